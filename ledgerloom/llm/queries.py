@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, repetition, splitting, tokens
+from ledgerloom.llm import lookalikes, mixing, repetition, splitting, tokens
 from ledgerloom.session import cut, table
 
 
@@ -43,7 +43,19 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p8_ids, p8_counts, p9_mix, p9_shares)}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    facts = table(spark, d, "edinet_xbrl").where("kind = 'text'")
+    return lookalikes.same_looking(facts, "fact_id", ["doc_id", "concept"], "text", "text").unionByName(
+        lookalikes.same_looking(table(spark, d, "filing_md"), "doc_id", ["stock_code", "doc_type", "report_period"], "md", "md")
+    )
+
+
+def p5_forms(spark: SparkSession, d: str) -> DataFrame:
+    facts = table(spark, d, "edinet_xbrl").where("kind = 'text'").select("fact_id", "text").distinct()
+    return facts.withColumn("form", lookalikes.consistent_form(F.col("text")))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p5_found, p5_forms, p8_ids, p8_counts, p9_mix, p9_shares)}
 
 ORACLES = {
     "p2_found": """SELECT DISTINCT doc_id FROM filing_md JOIN split_limits USING (market)
