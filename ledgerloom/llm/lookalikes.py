@@ -106,10 +106,23 @@ def spelled(token: str) -> str:
     return "".join(LATIN_TWINS.get(c) or GREEK.get(c) or CYRILLIC.get(c) or ARMENIAN.get(c) or c for c in token)
 
 
+def _ranges(points: list[int]) -> str:
+    """A character class of code points."""
+    out, start = [], 0
+    for i, p in enumerate(points):
+        if i + 1 == len(points) or points[i + 1] != p + 1:
+            out.append(f"\\U{points[start]:08x}-\\U{p:08x}")
+            start = i + 1
+    return f"[{''.join(out)}]"
+
+
+REPLACED = re.compile(_ranges(sorted(FORMS)))
+
+
 def consistent(text: str | None) -> str | None:
     if text is None or text.isascii():
         return text.replace("\r\n", "\n") if text and "\r" in text else text
-    t = text.replace("\r\n", "\n").translate(FORMS)
+    t = REPLACED.sub(lambda m: FORMS[ord(m.group())] or "", text.replace("\r\n", "\n") if "\r" in text else text)
     if FOREIGN.search(t):
         t = TOKEN.sub(lambda m: spelled(m.group()) if FOREIGN.search(m.group()) else m.group(), ud.normalize("NFD", t))
     return ud.normalize("NFC", t)
@@ -134,7 +147,7 @@ def same_looking(df: DataFrame, key: str, keys: list[str], text: str, field: str
     for k in keys:
         named = named & F.col(k).isNotNull()
     rows = df.select(F.col(key).alias("id"), *[F.col(k).alias(f"k_{i}") for i, k in enumerate(keys)], F.col(text).alias("t"), named.alias("named")).where("named AND t IS NOT NULL AND id IS NOT NULL")
-    cls = F.md5(F.to_json(F.array(*[F.col(f"k_{i}").cast("string") for i in range(len(keys))], consistent_form(F.col("t")))))
+    cls = F.md5(F.concat_ws("\x1f", *[F.col(f"k_{i}").cast("string") for i in range(len(keys))], consistent_form(F.col("t"))))
     m = rows.select("id", cls.alias("cls"), F.md5("t").alias("form")).distinct()
     forms = m.select("cls", "form").distinct()
     mixed = forms.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls")

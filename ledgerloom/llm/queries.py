@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lookalikes, mixing, repetition, splitting, tokens
+from ledgerloom.llm import lookalikes, markup, mixing, repetition, splitting, tokens
 from ledgerloom.session import cut, table
 
 
@@ -43,6 +43,19 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.with_markup(table(spark, d, "edinet_xbrl"))
+
+
+def p4_text(spark: SparkSession, d: str) -> DataFrame:
+    facts = table(spark, d, "edinet_xbrl").select("fact_id", "text").distinct()
+    return facts.select("fact_id", markup.clean_column(F.col("text")).alias("clean"))
+
+
+def p4_html(spark: SparkSession, d: str) -> DataFrame:
+    return markup.clean_pages(table(spark, d, "edinet_xbrl"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     facts = table(spark, d, "edinet_xbrl").where("kind = 'text'")
     return lookalikes.same_looking(facts, "fact_id", ["doc_id", "concept"], "text", "text").unionByName(
@@ -55,7 +68,7 @@ def p5_forms(spark: SparkSession, d: str) -> DataFrame:
     return facts.withColumn("form", lookalikes.consistent_form(F.col("text")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p5_found, p5_forms, p8_ids, p8_counts, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p8_ids, p8_counts, p9_mix, p9_shares)}
 
 ORACLES = {
     "p2_found": """SELECT DISTINCT doc_id FROM filing_md JOIN split_limits USING (market)
