@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 
 MIN_UNIT = 12
 BLANK = "[ \\t\\u000b\\f\\u00a0\\u1680\\u2000-\\u200b\\u202f\\u205f\\u2060\\u3000\\ufeff]"
-BREAK = r"\r\n|[\n\r\u0085  ]"
-#: A list mark, quote mark, heading mark or number in front of a unit.
+#: A list mark, quote mark, heading mark or number in front of a line.
 MARK = rf"(?m)^(?:{BLANK}|[-*+>•・◦▪‣–—]+(?={BLANK})|#+(?={BLANK})|[(（\[【]?[0-9０-９]{{1,3}}[)）\]】.、．](?![0-9０-９])|[(（]?[a-zA-Z][)）]|[①-⑳])+"
-#: A sentence ends here; the mark SENTENCE is put in place of the blank after it.
-SENTENCE_END = rf"(?<=[.!?]){BLANK}+|(?<=[。！？｡])(?!\n)"
-SENTENCE = "\u0003"
-#: A phrase of 2 to 200 characters, back to back at least four times in all, looked for from every eighth character on.
-RUN = r"(?s)\G(?:.{8})*?((.{2,200}?)\2{3,})"
+#: One pass over the characters takes blanks and carriage returns out and capitals down.
+CAPITALS = "".join(c for c in map(chr, [*range(0x41, 0x5B), *range(0xC0, 0xDF), *range(0x391, 0x3AA), *range(0x410, 0x430), *range(0xFF21, 0xFF3B)]) if len(c.lower()) == 1 and c.lower() != c)
+BLANKS = "\r \t\u000b\f  " + "".join(map(chr, range(0x2000, 0x200C))) + "  ⁠　﻿"
+#: Units end at line breaks and after sentences.
+UNIT_END = r"\n|(?<=[。！？｡])|(?<=[.!?])(?![0-9\n])"
+#: A phrase of 2 to 120 characters back to back within a unit, seen from every eighth character on: three times from there, so four in all.
+RUN = r"\G(?:.{8})*?((.{2,120}?)\2{2,})"
+LEAST_RUN = 96
 
 #: Frequent function words of the languages met.
 STOP_WORDS = (
@@ -46,17 +48,15 @@ THRESHOLDS = (
 )
 
 
-def _total(units: Column) -> Column:
-    return F.char_length(F.array_join(units, ""))
+def _keys(units: Column) -> Column:
+    """Units by what makes them equal. A short one counts only together with the one before it, or else is unlike all others."""
 
+    def key(u: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(units, i - 1), F.lit(""))
+        alike = F.char_length(u) + F.char_length(before) >= MIN_UNIT
+        return F.when(F.char_length(u) >= MIN_UNIT, u).otherwise(F.concat(F.lit("\x01"), F.when(alike & (u != ""), before).otherwise(i.cast("string")), F.lit("\x02"), u))
 
-def _once(text: Column, at: str) -> Column:
-    """A text without those of its units that stood in it before. A short unit is told from all others by its place."""
-    keyed = F.transform(
-        F.split(text, at),
-        lambda u, i: F.when(F.char_length(u) >= MIN_UNIT, u).otherwise(F.concat(u, F.lit("\x01"), i.cast("string"), F.lit("\x02"))),
-    )
-    return F.regexp_replace(F.array_join(F.array_distinct(keyed), "\n\n" if at == "\n\n+" else "\n"), "\x01[0-9]+\x02", "")
+    return F.transform(units, key)
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -67,26 +67,24 @@ def _ratio(part: Column, whole: Column) -> Column:
 def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFrame:
     """The key and every metric of the threshold table, one output row per input row."""
     d = df.select(F.col(key), F.col(text_col).alias("_text"))
-    # Normal form of the whole text at once: breaks, sentence marks, list marks and blanks.
-    t = F.regexp_replace(F.lower("_text"), BREAK, "\n")
-    t = F.regexp_replace(F.regexp_replace(t, SENTENCE_END, SENTENCE), MARK, "")
-    d = d.withColumn("_norm", F.regexp_replace(t, BLANK, ""))
-    d = d.withColumn("_a", _once(F.col("_norm"), "\n\n+"))
-    d = d.withColumn("_b", _once(F.col("_a"), "\n"))
-    d = d.withColumn("_c", F.regexp_replace(_once(F.col("_b"), f"[\n{SENTENCE}]"), "\n", ""))
-    d = d.withColumn("_runs", F.filter(F.regexp_extract_all("_c", F.lit(RUN), 1), lambda r: r.rlike(r"\p{L}") & (F.char_length(r) >= 2 * MIN_UNIT)))
-    kept = F.transform("_runs", lambda r: F.regexp_extract(r, r"(?s)^(.{2,200}?)\1{3,}$", 1))
-    bare = lambda c: F.char_length(F.regexp_replace(c, f"[\n{SENTENCE}]", ""))
-    lines = F.split("_text", BREAK)
+    d = d.withColumn("_norm", F.translate(F.regexp_replace("_text", MARK, ""), CAPITALS + BLANKS, CAPITALS.lower()))
+    d = d.withColumn("_units", F.split("_norm", UNIT_END))
+    d = d.withColumn("_kept", F.array_distinct(_keys(F.col("_units"))))
+    runs = F.flatten(F.transform(F.filter("_kept", lambda u: F.char_length(u) >= LEAST_RUN), lambda u: F.regexp_extract_all(u, F.lit(RUN), 1)))
+    runs = F.filter(runs, lambda r: (F.char_length(r) >= LEAST_RUN // 2) & r.rlike(r"\p{L}"))
+    d = d.withColumn("_runs", F.transform(runs, lambda r: F.struct(F.char_length(r).alias("all"), F.char_length(F.regexp_extract(r, r"^(.{2,120}?)\1{2,}$", 1)).alias("one"))))
+    kept = F.char_length(F.regexp_replace(F.array_join("_kept", ""), "\x01[^\x02]*\x02", ""))
+    line_keys = F.filter(F.split("_norm", "\n"), lambda x: F.char_length(x) >= MIN_UNIT)
+    lines = F.split("_text", r"\r?\n")
     stop = "(?<!\\p{L})(?:" + "|".join(STOP_WORDS) + ")(?!\\p{L})"
-    body = F.regexp_replace("_text", f"{BLANK}|{BREAK}", "")
+    body = F.regexp_replace("_text", rf"{BLANK}|[\r\n]", "")
     out = d.select(
         key,
         F.char_length("_text").alias("n_chars"),
-        bare(F.col("_norm")).alias("unit_chars"),
-        (bare(F.col("_norm")) - bare(F.col("_b"))).alias("repeated_line_chars"),
-        (bare(F.col("_norm")) - F.char_length("_c")).alias("repeated_unit_chars"),
-        (_total(F.col("_runs")) - _total(kept)).alias("run_chars"),
+        F.char_length(F.translate("_norm", "\n", "")).alias("unit_chars"),
+        (F.char_length(F.array_join(line_keys, "")) - F.char_length(F.array_join(F.array_distinct(line_keys), ""))).alias("repeated_line_chars"),
+        (F.char_length(F.translate("_norm", "\n", "")) - kept).alias("repeated_unit_chars"),
+        F.aggregate("_runs", F.lit(0), lambda t, r: t + r["all"] - r["one"]).alias("run_chars"),
         F.array_max(F.transform(lines, F.char_length)).cast("double").alias("max_line_chars"),
         _ratio(F.size(F.filter(lines, lambda x: F.char_length(x) < 20)), F.size(lines)).alias("short_line_ratio"),
         _ratio(F.char_length(F.regexp_replace(body, r"[\p{L}\p{N}\p{M}]", "")), F.char_length(body)).alias("symbol_ratio"),
@@ -109,6 +107,11 @@ def judged(df: DataFrame, text_col: str = "md", key: str = "doc_id", thresholds=
 
 
 def found(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFrame:
-    """Keys of documents that the rule `repeated` catches. Only keys are shuffled."""
+    """Keys of documents that the rule `repeated` catches. Only keys and a flag are shuffled.
+
+    The rule is asked after an aggregate: a filter on it would be pushed down and drag copies of the
+    whole nested projection with it.
+    """
     rule = tuple(t for t in THRESHOLDS if t[3] == "repeated")
-    return judged(df, text_col, key, rule).where(F.array_contains("violated", "repeated")).select(key).distinct()
+    hit = F.max(F.array_contains("violated", "repeated")).alias("_hit")
+    return judged(df, text_col, key, rule).groupBy(key).agg(hit).where("_hit").select(key)
