@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lookalikes, markup, mixing, repetition, splitting, tokens
+from ledgerloom.llm import lookalikes, markup, mixing, mojibake, repetition, splitting, tokens
 from ledgerloom.session import cut, table
 
 
@@ -26,6 +26,14 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.pieces(table(spark, d, "filing_md").dropDuplicates(["doc_id"]), table(spark, d, "split_limits"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.found(table(spark, d, "dart_fetch"))
+
+
+def p7_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.repair(table(spark, d, "dart_fetch"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"))
 
@@ -68,7 +76,7 @@ def p5_forms(spark: SparkSession, d: str) -> DataFrame:
     return facts.withColumn("form", lookalikes.consistent_form(F.col("text")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p8_ids, p8_counts, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares)}
 
 ORACLES = {
     "p2_found": """SELECT DISTINCT doc_id FROM filing_md JOIN split_limits USING (market)
