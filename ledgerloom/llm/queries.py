@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lookalikes, markup, mixing, mojibake, repetition, splitting, tokens
+from ledgerloom.llm import lookalikes, markup, mixing, mojibake, pii, repetition, splitting, tokens
 from ledgerloom.session import cut, table
 
 
@@ -76,7 +76,15 @@ def p5_forms(spark: SparkSession, d: str) -> DataFrame:
     return facts.withColumn("form", lookalikes.consistent_form(F.col("text")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(table(spark, d, "documents"))
+
+
+def p10_masked(spark: SparkSession, d: str) -> DataFrame:
+    return pii.masked(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares, p10_found, p10_masked)}
 
 ORACLES = {
     "p2_found": """SELECT DISTINCT doc_id FROM filing_md JOIN split_limits USING (market)
