@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-CORE = ("ledgerloom.plans.general",)
+CORE = ("ledgerloom.plans.general", "ledgerloom.plans.metrics")
 OPTIONAL = ("ledgerloom.llm.queries",)
 
 
