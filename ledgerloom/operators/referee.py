@@ -56,13 +56,19 @@ def attribution(pairs: DataFrame) -> DataFrame:
 
 
 def positional(rates: DataFrame, value: str, group: str) -> DataFrame:
-    """Median, tenth and ninetieth percentile by position v[floor(n p)], least value and tails, by group."""
-    w = Window.partitionBy(group).orderBy(value)
-    r = rates.where(F.col(value).isNotNull()).select(group, value, (F.row_number().over(w) - 1).alias("i"), F.count("*").over(Window.partitionBy(group)).alias("n"))
-    at = lambda p: F.max(F.when(F.col("i") == F.floor(F.col("n") * p[0] / p[1]), F.col(value)))
+    """Median, tenth and ninetieth percentile by position v[floor(n p)], least value and tails, by group.
+
+    Works on counts of distinct rates: they are rounded, so a group of any size comes down to a
+    bounded number of values before it meets in one window.
+    """
+    per = rates.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("c"))
+    w = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = per.withColumns({"upto": F.sum("c").over(w), "n": F.sum("c").over(Window.partitionBy(group))})
+    at = lambda a, b: F.min(F.when(F.col("upto") > F.floor(F.col("n") * a / b), F.col(value)))
+    tail = lambda limit: F.sum(F.when(F.col(value) < limit, F.col("c")).otherwise(0))
     return r.groupBy(group).agg(
-        F.count("*").alias("docs"), at((1, 2)).alias("median"), at((1, 10)).alias("p10"), at((9, 10)).alias("p90"), F.min(value).alias("least"), F.count_if(F.col(value) < 0.5).alias("below_half"), F.count_if(F.col(value) < 0.8).alias("below_08")
-    )
+        F.sum("c").alias("docs"), at(1, 2).alias("median"), at(1, 10).alias("p10"), at(9, 10).alias("p90"), F.min(value).alias("least"), tail(0.5).alias("below_half"), tail(0.8).alias("below_08")
+    )
 
 
 def compare_variants(base: DataFrame, other: DataFrame, value: str = "rate") -> DataFrame:

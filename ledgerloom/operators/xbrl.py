@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import num_xbrl_fact
@@ -76,6 +76,7 @@ def generic_facts(pages: DataFrame, key: str, xml: str) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """The latest row of each key: by the time column, then by all columns, so ties are settled."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(by), *[F.col(c) for c in df.columns if c not in (*keys, by)])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The latest row of each key: by the time column, then by all columns, so ties are settled. Partial aggregates, so a hot key is no hot task."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(F.col(by), *[F.col(c) for c in rest if c != by])
+    return df.groupBy(*keys).agg(F.max_by(row, row).alias("r")).select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
