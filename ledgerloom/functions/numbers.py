@@ -98,3 +98,13 @@ def numeric_hit(nums: Column, value: Column, printed: Column, rel: float = 1e-6)
     said = F.abs(num_lenient(printed))
     scaled = F.exists(F.array(*[F.lit(float(10**k)) for k in (0, 3, 6, 8)]), lambda k: (F.abs(value) / k >= 1) & F.exists(nums, lambda x: near(x, F.abs(value) / k)))
     return F.coalesce(F.exists(nums, lambda x: near(x, said)), F.lit(False)) | F.coalesce(scaled, F.lit(False))
+
+
+def number_is(x: Column, value: Column, printed: Column, rel: float = 1e-6) -> Column:
+    """numeric_hit for one number: plain arithmetic, which stays in generated code."""
+    near = lambda t: F.abs(F.abs(x) - t) <= F.lit(rel) * t
+    out = F.coalesce(near(F.abs(printed)), F.lit(False))
+    for k in (0, 3, 6, 8):
+        t = F.abs(value) / float(10**k)
+        out = out | F.coalesce((t >= 1) & near(t), F.lit(False))
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import numbers_in, numeric_hit
+from ledgerloom.functions.numbers import number_is, numbers_in
 from ledgerloom.operators.lines import lines
 
 LEAST = 1e6
@@ -34,18 +34,17 @@ def value_recall(docs: DataFrame, truth: DataFrame) -> DataFrame:
     return per.withColumn("recall", F.round(F.col("hits") / F.col("tested"), 6))
 
 
-def pairing(docs: DataFrame, truth: DataFrame) -> DataFrame:
+def pairing(docs: DataFrame, truth: DataFrame, printed: str | None = None) -> DataFrame:
     """Each testable truth row as hit, value_elsewhere, value_absent or label_missing.
 
-    An equality join on the document with a substring test on what meets there; only lines that hold
-    a number take part.
+    An equality join on the document with a substring test on what meets there. printed: the column
+    of the value as printed, if it differs from the value.
     """
-    ls = lines(docs).select("doc_id", key_form(F.col("line")).alias("norm"), numbers_in(F.col("line")).alias("ns"))
-    t = truth.where(F.abs("value") >= LEAST).select("doc_id", "fact_no", key_form(F.col("label")).alias("key"), "value", F.col("value").cast("bigint").cast("string").alias("printed")).where("key <> ''")
-    j = t.join(ls, "doc_id", "left")
-    labelled = F.contains("norm", F.col("key"))
-    value = numeric_hit(F.col("ns"), F.col("value"), F.col("printed"))
-    per = j.groupBy("doc_id", "fact_no").agg(F.bool_or(labelled & value).alias("hit"), F.bool_or(labelled).alias("lab"), F.bool_or(value).alias("val"))
+    ls = lines(docs).select("doc_id", key_form(F.col("line")).alias("norm"), F.explode_outer(numbers_in(F.col("line"))).alias("x"))
+    t = truth.where(F.abs("value") >= LEAST).select("doc_id", "fact_no", key_form(F.col("label")).alias("key"), "value", F.col(printed).alias("printed") if printed else F.col("value").alias("printed")).where("key <> ''")
+    value = number_is(F.col("x"), F.col("value"), F.col("printed"))
+    j = t.join(ls, "doc_id", "left").select("doc_id", "fact_no", F.contains("norm", F.col("key")).alias("l"), value.alias("v"))
+    per = j.groupBy("doc_id", "fact_no").agg(F.bool_or(F.col("l") & F.col("v")).alias("hit"), F.bool_or("l").alias("lab"), F.bool_or("v").alias("val"))
     status = F.when(F.col("hit"), "hit").when(~F.coalesce("lab", F.lit(False)), "label_missing").when(F.col("val"), "value_elsewhere").otherwise("value_absent")
     return per.select("doc_id", "fact_no", status.alias("status"))
 

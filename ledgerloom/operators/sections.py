@@ -89,18 +89,18 @@ def check_templates(docs: DataFrame) -> DataFrame:
     rows = [(v, t, x) for v in TEMPLATES for t, xs in (("annual", TEMPLATES[v].split("|")), ("semiannual", half(v))) for x in xs]
     tpl = spark.createDataFrame(rows, "version string, doc_type string, name string").withColumn("tn", chapter_form(F.col("name")))
     d = docs.where("md IS NOT NULL").select("doc_id", "doc_type", version_of(F.col("report_period")).alias("version"), "md")
-    found = lines(d).where(~F.col("line").rlike(CONTENTS) & F.col("line").rlike(CHAPTER))
-    names = found.select("doc_id", chapter_form(F.substring(F.regexp_replace(F.regexp_extract("line", CHAPTER, 1), r"\s+", ""), 1, 30)).alias("n")).where("n <> ''")
-    per = names.groupBy("doc_id").agg(F.collect_set("n").alias("names"))
+    found = lines(d).where(F.contains("line", F.lit("第"))).where(~F.col("line").rlike(CONTENTS) & F.col("line").rlike(CHAPTER))
+    names = found.select("doc_id", chapter_form(F.substring(F.regexp_replace(F.regexp_extract("line", CHAPTER, 1), r"\s+", ""), 1, 30)).alias("n"))
+    per = names.groupBy("doc_id").agg(F.collect_set(F.nullif("n", F.lit(""))).alias("names"))
     want = tpl.groupBy("version", "doc_type").agg(F.collect_list("tn").alias("want"))
     j = d.drop("md").join(per, "doc_id", "left").join(F.broadcast(want), ["version", "doc_type"], "left")
     names_ = F.coalesce("names", F.array().cast("array<string>"))
     like = lambda t: F.exists(names_, lambda n: F.contains(n, t) | F.contains(t, n))
-    got = F.size(F.filter("want", like))
     off = F.exists(F.array(*map(F.lit, OFF_TEMPLATE)), lambda w: F.contains(F.array_join(names_, "|"), w) & ~F.array_contains("want", w))
-    status = F.when(F.col("want").isNull(), "skip").when(off, "off_template").otherwise("ok")
-    ok = status == "ok"
-    return j.select("doc_id", "version", status.alias("status"), F.when(ok, F.size("want")).alias("expected"), F.when(ok, got).alias("found"), F.when(ok, F.round(got / F.size("want"), 6)).alias("ratio"))
+    j = j.select("doc_id", "version", "want", F.size(F.filter("want", like)).alias("got"), off.alias("off"))
+    ok = F.col("want").isNotNull() & ~F.col("off")
+    status = F.when(F.col("want").isNull(), "skip").when(F.col("off"), "off_template").otherwise("ok")
+    return j.select("doc_id", "version", status.alias("status"), F.when(ok, F.size("want")).alias("expected"), F.when(ok, F.col("got")).alias("found"), F.when(ok, F.round(F.col("got") / F.size("want"), 6)).alias("ratio"))
 
 
 def focus_keywords(exchanges: DataFrame, overrides: DataFrame) -> DataFrame:

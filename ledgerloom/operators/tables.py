@@ -83,9 +83,9 @@ def identity(docs: DataFrame) -> DataFrame:
 
 def footing(docs: DataFrame, tol_abs: float = 2.0, tol_rel: float = 0.005) -> DataFrame:
     """Totals against the sum of the rows since the total before, by column; without a total row the last row is tried."""
-    rows = table_rows(docs)
-    shape = rows.groupBy("doc_id", "table_no").agg(F.max(F.size("cells")).alias("ncol"), F.count("*").alias("nrow"))
-    c = cell_values(rows).join(shape.where("ncol >= 2 AND nrow >= 3"), ["doc_id", "table_no"]).withColumn("v", num_strict_cell(F.col("cell"))).where("v IS NOT NULL")
+    whole = Window.partitionBy("doc_id", "table_no")
+    rows = table_rows(docs).withColumns({"ncol": F.max(F.size("cells")).over(whole), "nrow": F.count("*").over(whole)}).where("ncol >= 2 AND nrow >= 3")
+    c = cell_values(rows).withColumn("v", num_strict_cell(F.col("cell"))).where("v IS NOT NULL")
     col = Window.partitionBy("doc_id", "table_no", "col_no")
     c = c.withColumns({"n": F.count("*").over(col), "total": F.col("label").rlike(TOTAL)}).where("n >= 3")
     c = c.withColumns({"totals": F.sum(F.col("total").cast("int")).over(col), "last": F.max("row_no").over(col)})
@@ -122,25 +122,26 @@ def cash_flow(docs: DataFrame) -> DataFrame:
 
     The statement's range and the current period's column are carried by windows over the lines.
     """
-    ls = lines(docs.where("md IS NOT NULL").select("doc_id", "md")).join(docs.select("doc_id", F.substring("report_period", 1, 4).alias("year")), "doc_id")
-    ns = F.regexp_replace("line", r"\s", "")
-    ls = ls.select("doc_id", "line_no", "year", ns.alias("s"))
+    ls = docs.select("doc_id", F.substring("report_period", 1, 4).alias("year"), F.posexplode(F.split("md", "\n")).alias("line_no", "line"))
+    ls = ls.select("doc_id", "line_no", "year", F.translate("line", " \t\r\u00a0\u3000", "").alias("s"))
     w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ls = ls.withColumns({"begun": F.max(F.contains("s", F.lit("合并现金流量表")).cast("int")).over(w)})
-    ls = ls.withColumn("ended", F.max((F.col("begun") * F.contains("s", F.lit("母公司现金流量表")).cast("int"))).over(w))
-    ls = ls.where("begun = 1 AND ended = 0 AND s LIKE '|%'").withColumn("cells", F.split(F.regexp_replace("s", r"^\|+|\|+$", ""), r"\|"))
+    ls = ls.withColumn("begun", F.max(F.contains("s", F.lit("合并现金流量表"))).over(w))
+    ls = ls.withColumn("inside", F.col("begun") & ~F.max(F.col("begun") & F.contains("s", F.lit("母公司现金流量表"))).over(w) & F.col("s").startswith("|"))
+    ls = ls.withColumn("cells", F.when(F.col("inside"), F.split(F.trim(F.col("s"), F.lit("|")), r"\|")))
     head = F.array_contains("cells", "项目") & F.array_contains("cells", "附注")
     at = F.array_position(F.transform("cells", lambda c: F.contains(c, F.col("year"))), F.lit(True)) - 1
-    ls = ls.withColumns({"head": head, "at": F.when(head & (at >= 0), at)})
-    ls = ls.withColumn("col", F.coalesce(F.last("at", ignorenulls=True).over(w), F.lit(2)).cast("int")).where("NOT head AND size(cells) > col")
+    ls = ls.withColumn("head", F.coalesce(head, F.lit(False)))
+    ls = ls.withColumn("col", F.coalesce(F.last(F.when(F.col("head") & (at >= 0), at), ignorenulls=True).over(w), F.lit(2)).cast("int"))
+    item: Column = F.lit(None).cast("string")
+    for k, p in reversed(CASH_FLOW.items()):
+        item = F.when(F.col("s").rlike(p), k).otherwise(item)
+    ls = ls.withColumn("item", F.when(F.col("inside") & ~F.col("head") & (F.size("cells") > F.col("col")), item))
     amounts = F.filter(F.transform("cells", amount_cf), lambda v: v.isNotNull())
-    value = F.coalesce(amount_cf(F.get("cells", F.col("col"))), F.get(amounts, F.lit(0)))
-    joined = F.array_join("cells", "")
-    items = ls.groupBy("doc_id").agg(*[F.min_by(F.when(joined.rlike(p), value), F.when(joined.rlike(p) & value.isNotNull(), F.col("line_no"))).alias(k) for k, p in CASH_FLOW.items()])
+    ls = ls.withColumn("v", F.when(F.col("item").isNotNull(), F.coalesce(amount_cf(F.get("cells", F.col("col"))), F.get(amounts, F.lit(0)))))
+    items = ls.groupBy("doc_id").agg(*[F.min_by("v", F.when((F.col("item") == k) & F.col("v").isNotNull(), F.col("line_no"))).alias(k) for k in CASH_FLOW])
     rhs = F.col("opening") + F.col("op") + F.col("inv") + F.col("fin") + F.coalesce("fx", F.lit(0.0))
     tol = F.greatest(F.abs("opening"), F.abs("closing"), F.lit(1.0)) * 0.002
-    out = docs.where("md IS NOT NULL").select("doc_id").join(items, "doc_id", "left")
-    return out.select("doc_id", *CASH_FLOW, F.when(rhs.isNull() | F.col("closing").isNull(), "skip").when(F.abs(F.col("closing") - rhs) <= tol, "pass").otherwise("fail").alias("status"))
+    return items.select("doc_id", *CASH_FLOW, F.when(rhs.isNull() | F.col("closing").isNull(), "skip").when(F.abs(F.col("closing") - rhs) <= tol, "pass").otherwise("fail").alias("status"))
 
 
 def labeled_rows(rows: DataFrame) -> DataFrame:
