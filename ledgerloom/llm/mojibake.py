@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut
+from ledgerloom.session import cut, spread
 
 SEGMENT = re.compile(r"<(/?)([A-Za-z][\w:.-]*)[^<>]*>|<[?!][^<>]*>|([^<>\n]+)")
 NAMED = re.compile(r"<\?xml[^>]*encoding\s*=\s*[\"']([\w-]+)", re.I)
@@ -222,7 +222,7 @@ def _bodies(df: DataFrame, key: str, body: str, cls: str) -> DataFrame:
 
 def judged(df: DataFrame, key: str = "rcept_no", body: str = "body", cls: str = "corp_cls"):
     """(model, shares, judged segments): key, chain and posterior of each segment that isn't plain ASCII."""
-    rows = _bodies(df, key, body, cls).dropDuplicates(["key", "body"])
+    rows = spread(_bodies(df, key, body, cls).dropDuplicates(["key", "body"]))
     model = Model(syllable_counts(rows))
     evidence = cut(rows.mapInPandas(_weigher(model), "key string, source string, field string, ev array<int>"))
     priors = estimate(evidence)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import pii_table
+from ledgerloom.session import spread
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
@@ -383,7 +384,7 @@ def found(df: DataFrame, key: str = "doc_id", text: str = "text", field: Field |
 
     two = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("key").isNotNull() & F.col("text").isNotNull())
     kind = two.schema["key"].dataType.simpleString()
-    return two.mapInPandas(run, f"key {kind}, pii_type string").distinct().withColumnRenamed("key", key)
+    return spread(two).mapInPandas(run, f"key {kind}, pii_type string").distinct().withColumnRenamed("key", key)
 
 
 def _bare(field: Field) -> tuple:
@@ -426,4 +427,4 @@ def masked(df: DataFrame, key: str = "doc_id", text: str = "text", field: Field
 
     two = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = two.schema["key"].dataType.simpleString()
-    return two.mapInPandas(run, f"key {kind}, masked string, n_found int").withColumnRenamed("key", key)
+    return spread(two).mapInPandas(run, f"key {kind}, masked string, n_found int").withColumnRenamed("key", key)

@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ledgerloom.session import spread
+
 #: Bounds of what a worker remembers: a cache, which changes no result.
 CACHED_PIECES, CACHED_PIECE_BYTES, CACHED_PAIRS = 200_000, 96, 1_000_000
 
@@ -248,7 +250,7 @@ def _encoder(path: str, key_type: pa.DataType, counts: bool, chunk: int = 256):
 def _mapped(df: DataFrame, text: str, key: str, path: str | None, counts: bool) -> DataFrame:
     two = df.select(df[key].alias("key"), df[text].alias("text"))
     kind = two.schema["key"].dataType.simpleString()
-    out = two.mapInArrow(_encoder(path or default_path(), None, counts), f"key {kind}, " + ("n_tokens bigint" if counts else "ids array<int>"))
+    out = spread(two).mapInArrow(_encoder(path or default_path(), None, counts), f"key {kind}, " + ("n_tokens bigint" if counts else "ids array<int>"))
     return out.withColumnRenamed("key", key)
 
 
