@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-CORE = ("ledgerloom.plans.general", "ledgerloom.plans.metrics", "ledgerloom.plans.pipelines")
+CORE = ("ledgerloom.plans.general", "ledgerloom.plans.metrics", "ledgerloom.plans.pipelines", "ledgerloom.plans.conversion")
 OPTIONAL = ("ledgerloom.llm.queries",)
 
 
@@ -31,4 +31,4 @@ def all_oracles() -> dict[str, str]:
 
 
 def entry(spark: SparkSession, d: str) -> DataFrame:
-    return all_queries()["accounting_identity"](spark, d)
+    return all_queries()["scorecard"](spark, d)

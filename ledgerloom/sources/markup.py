@@ -226,3 +226,89 @@ def _sniff(s: pd.Series) -> pd.Series:
 def decoded(content: Column) -> Column:
     """Bytes as UTF-8, unless CP949 breaks fewer characters. Valid UTF-8 never leaves the JVM."""
     return F.when(F.is_valid_utf8(content.cast("string")), F.try_validate_utf8(content.cast("string"))).otherwise(_sniff(content))
+
+
+class _Page(HTMLParser):
+    """Blocks of an HTML page in order: headings, paragraphs, list items, bold lines, tables by number; anchors of the contents."""
+
+    DROPPED = frozenset("script style head ix:header ix:hidden ix:references ix:resources".split())
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.out: list[tuple[str, int, str]] = []
+        self.buf: list[str] = []
+        self.kind, self.level, self.lost, self.table, self.bold = "p", 0, 0, 0, 0
+        self.link: str | None = None
+        self.titles: dict[str, str] = {}
+
+    def flush(self) -> None:
+        t = re.sub(r"\s+", " ", "".join(self.buf)).strip()
+        self.buf = []
+        if t:
+            self.out.append((self.kind, self.level, t))
+        self.kind, self.level = "p", 0
+
+    def handle_starttag(self, tag: str, attrs) -> None:
+        a = dict(attrs)
+        if tag in self.DROPPED:
+            self.lost += 1
+        if self.lost or tag in VOID and tag != "br":
+            return
+        if tag == "table":
+            self.flush()
+            self.table += 1
+        if self.table:
+            return
+        here = a.get("id") or a.get("name")
+        if tag == "a" and (a.get("href") or "").startswith("#"):
+            self.link = a["href"][1:]
+        elif here and tag in ("div", "a", "p", "td", "li") and here in self.titles:
+            self.flush()
+            self.out.append(("h", 2, self.titles.pop(here)))
+        if re.fullmatch("h[1-6]", tag):
+            self.flush()
+            self.kind, self.level = "h", int(tag[1])
+        elif tag in ("p", "div", "br", "tr", "section"):
+            self.flush()
+        elif tag == "li":
+            self.flush()
+            self.kind = "li"
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in self.DROPPED:
+            self.lost = max(0, self.lost - 1)
+            return
+        if tag == "a":
+            self.link = None
+        if tag == "table":
+            self.table = max(0, self.table - 1)
+        elif not self.table and (tag in ("p", "div", "li", "section") or re.fullmatch("h[1-6]", tag)):
+            self.flush()
+
+    def handle_data(self, data: str) -> None:
+        if self.lost or self.table:
+            return
+        t = data.strip()
+        if self.link and t and not t.isdigit() and len(t) <= 200:
+            self.titles.setdefault(self.link, t)
+        self.buf.append(data)
+
+
+def page_blocks(html: str) -> list[tuple[int, str, int, str]]:
+    p = _Page()
+    p.feed(html)
+    p.close()
+    p.flush()
+    return [(i, *b) for i, b in enumerate(p.out)]
+
+
+def html_blocks(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """key, seq, kind (h, p, li), level, text of each page outside its tables."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, *x) for k, t in zip(b["key"], b["html"], strict=True) for x in page_blocks(t)]
+            yield pd.DataFrame(rows, columns=["key", "seq", "kind", "level", "text"])
+
+    two = pages.select(F.col(key).cast("bigint").alias("key"), F.col(html).alias("html")).where("html IS NOT NULL")
+    return two.mapInPandas(run, "key bigint, seq int, kind string, level int, text string").withColumnRenamed("key", key)
