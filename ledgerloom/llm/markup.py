@@ -52,12 +52,12 @@ CHAR_REF = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{
 TEXT_MARKUP = [
     ("md_fence", re.compile(r"^[ \t]*(?:```|~~~)[^\n`]*$", re.M)),
     ("md_heading", re.compile(r"^ {0,3}#{1,6}[ \t]+\S", re.M)),
-    ("md_bold", re.compile(r"\*\*(?=\S)(?:(?!\*\*).)+?\*\*|(?<!\w)__(?=\S)(?:(?!__).)+?__(?!\w)", re.S)),
+    ("md_bold", re.compile(r"(?<!\*)\*\*(?!\*)(?:(?!\*\*).)+?\*\*|(?<!\w)__(?=\S)(?:(?!__).)+?__(?!\w)", re.S)),
     ("md_strike", re.compile(r"~~(?=\S)[^~\n]+~~")),
-    ("md_code", re.compile(r"(?<!`)`[^`\n]+`(?!`)")),
+    ("md_code", re.compile(r"(?<!`)`[^`]+`(?!`)")),
     ("md_link", re.compile(r"!?\[[^\[\]]*\]\([^()\s]+(?:\s+\"[^\"]*\")?\)|!?\[[^\[\]]*\]\[[^\[\]]*\]")),
     ("md_table", re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|[ \t]*$|^[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+$", re.M)),
-    ("wiki_quote", re.compile(r"'''(?=\S).+?'''|''(?=\S)[^'\n]+''", re.S)),
+    ("wiki_quote", re.compile(r"'''.+?'''|''(?=\S)[^'\n]+''", re.S)),
     ("wiki_heading", re.compile(r"^(={2,6})[ \t]*\S.*?[ \t]*\1[ \t]*$", re.M)),
     ("wiki_link", re.compile(r"\[\[[^\[\]]+\]\]")),
     ("wiki_template", re.compile(r"\{\{[^{}]+\}\}")),
@@ -263,9 +263,9 @@ REWRITES: list[tuple[re.Pattern, object]] = [
     (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]"), r"\1"),
     (re.compile(r"!?\[([^\[\]]*)\]\([^()\s]+(?:\s+\"[^\"]*\")?\)"), r"\1"),
     (re.compile(r"\[https?://[^\s\]]+\s*([^\]]*)\]"), r"\1"),
-    (re.compile(r"'{3}(?=\S)(.+?)'{3}", re.S), r"\1"),
+    (re.compile(r"'{3}(.+?)'{3}", re.S), r"\1"),
     (re.compile(r"''(?=\S)([^'\n]+)''"), r"\1"),
-    (re.compile(r"\*\*(?=\S)((?:(?!\*\*).)+?)\*\*", re.S), r"\1"),
+    (re.compile(r"(?<!\*)\*\*(?!\*)((?:(?!\*\*).)+?)\*\*", re.S), r"\1"),
     (re.compile(r"(?<!\w)__(?=\S)((?:(?!__).)+?)__(?!\w)", re.S), r"\1"),
     (re.compile(r"~~(?=\S)([^~\n]+)~~"), r"\1"),
     (re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*$\n?", re.M), ""),
