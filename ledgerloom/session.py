@@ -47,12 +47,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def small(df: DataFrame, limit_bytes: int = 8 << 20) -> bool:
-    """Whether the optimizer's own size estimate proves a table small enough to broadcast."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) <= limit_bytes
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """The same rows over at least as many partitions as there are cores: for work that costs far more than moving its input."""
+    """The same rows over at least as many partitions as there are cores: for work that costs far more than moving its input.
+
+    Only plain scans are asked for their partitions; a plan with a shuffle would have to run to tell.
+    """
+    plan = df._jdf.queryExecution()
+    if plan.executedPlan().toString().startswith("AdaptiveSparkPlan"):
+        return df
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df._jdf.queryExecution().toRdd().getNumPartitions() < want else df
+    return df.repartition(want) if plan.toRdd().getNumPartitions() < want else df
