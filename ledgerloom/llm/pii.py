@@ -65,54 +65,151 @@ def _shape(w: str) -> str:
 
 
 NUMERIC = frozenset("-().+/~")
+#: Features by template; each is one 64-bit key made of the codes of what it looks at.
+N_TEMPLATES = 30
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Codes:
+    """Numbers for words, shapes and parts of words. Fixed after training: what was never seen is 0 and makes no feature."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, int] = {"^": 1, "$": 2}
+        self.words: dict[str, tuple] = {}
+        self.grow = True
+
+    def code(self, x: str) -> int:
+        k = self.of.get(x)
+        if k is None:
+            if not self.grow:
+                return 0
+            k = self.of[x] = len(self.of) + 1
+        return k
+
+    def word(self, w: str) -> tuple:
+        """(word, shape, four parts, kind, shape text) of a token: kind 1 is a number, 2 a sign that a number may begin with, 3 one within it."""
+        known = self.words.get(w)
+        if known is None:
+            lo, s = w.lower(), _shape(w)
+            if s[0] == "H":
+                parts = ("h1=" + lo[0], "h2=" + lo[:2], "e1=" + lo[-1], "e2=" + lo[-2:])
+            elif s in ("T", "U", "l"):
+                parts = ("t3=" + lo[-3:], "t2=" + lo[-2:], "n=" + str(min(len(lo), 12)))
+            else:
+                parts = ()
+            kind = 1 if s[0] == "d" else 2 if w in "(+" else 3 if w in NUMERIC else 0
+            known = (self.code(lo), self.code("s=" + s), *(self.code(x) for x in parts), *[0] * (4 - len(parts)), kind, s)
+            if len(self.words) >= CACHED:
+                self.words.clear()
+            self.words[w] = known
+        return known
+
+    def runs(self, seg: str, toks: list[tuple[int, int]], info: list[tuple], base: int, put: tuple[list, ...]) -> None:
+        """Numbers of a segment: runs of digits and signs, coded by their shape, with the words around them."""
+        n, i = len(toks), 0
+        kinds = [x[6] for x in info]
+        while i < n:
+            k = kinds[i]
+            if k == 1 or (k == 2 and i + 1 < n and kinds[i + 1] == 1):
+                j = i
+                while j + 1 < n and (kinds[j + 1] == 1 or (kinds[j + 1] > 1 and j + 2 < n and (kinds[j + 2] == 1 or (kinds[j + 2] > 1 and j + 3 < n and kinds[j + 3] == 1)))):
+                    j += 1
+                if j > i or toks[i][1] - toks[i][0] >= 5:
+                    if j - i < 16:
+                        text = "".join(("_" if m > i and toks[m - 1][1] < toks[m][0] else "") + (info[m][7] if kinds[m] == 1 else seg[toks[m][0]]) for m in range(i, j + 1))
+                    else:
+                        text = "long"
+                    row = (self.code("r=" + text), info[i - 1][0] if i else 1, info[j + 1][0] if j + 1 < n else 2, info[i - 2][0] if i > 1 else 1)
+                    for m in range(i, j + 1):
+                        put[0].append(base + m)
+                        for o, v in zip(put[1:], row, strict=True):
+                            o.append(v)
+                i = j + 1
+            else:
+                i += 1
+
+    def keys(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> np.ndarray:
+        """The feature keys of all tokens of (segment, tokens), 0 where a template has nothing to say."""
+        flat: list[tuple] = []
+        at, gap, near_at = [], [], []
+        put: tuple[list, ...] = ([], [], [], [], [])
+        edge = ((2, 2, 0, 0, 0, 0),) * 3 + ((1, 1, 0, 0, 0, 0),) * 3
+        flat += edge
+        words = self.words
+        for seg, toks in segs:
+            info = [words.get(w) or self.word(w) for w in [seg[x:y] for x, y in toks]]
+            base = len(flat)
+            at.append((base, len(toks)))
+            flat += [x[:6] for x in info]
+            flat += edge
+            gap += [0, *[int(toks[i - 1][1] < toks[i][0]) for i in range(1, len(toks))]] if toks else []
+            self.runs(seg, toks, info, base, put)
+            if "@" in seg or "at" in seg or "AT" in seg:
+                signs = [i for i, (x, y) in enumerate(toks) if seg[x] == "@" or (y - x == 2 and i and seg[x:y].lower() == "at" and seg[toks[i - 1][0]] in "([")]
+                if signs:
+                    near_at += [(base + i, max(-6, min(8, i - min(signs, key=lambda q: abs(q - i)))) + 8) for i in range(len(toks))]
+        m = np.array(flat, np.uint64)
+        pos = np.concatenate([np.arange(b, b + n) for b, n in at]) if at else np.empty(0, np.int64)
+        lo, sh = m[:, 0], m[:, 1]
+        w = {k: lo[pos + k] for k in range(-3, 4)}
+        z = {k: sh[pos + k] for k in range(-2, 3)}
+        g = np.array(gap, np.uint64)
+        extra = np.zeros((len(m), 5), np.uint64)
+        if put[0]:
+            extra[put[0], :4] = np.array(put[1:], np.uint64).T
+        if near_at:
+            k, v = zip(*near_at, strict=True)
+            extra[list(k), 4] = np.array(v, np.uint64) + np.uint64(1)
+        r, rb, ra, rb2, sign = (extra[pos, i] for i in range(5))
+        part = [m[pos, i] for i in range(2, 6)]
+        known = lambda *xs: np.logical_and.reduce([x != 0 for x in xs])
+        always, runs = np.ones(len(pos), bool), r != 0
+        table = [
+            ((), always), ((w[0],), known(w[0])), ((z[0],), always), ((w[-1],), known(w[-1])), ((w[-2],), known(w[-2])), ((w[1],), known(w[1])), ((w[2],), known(w[2])),
+            ((w[-2], w[-1]), known(w[-2], w[-1])), ((w[1], w[2]), known(w[1], w[2])), ((w[-1], w[0]), known(w[-1], w[0])), ((w[0], w[1]), known(w[0], w[1])), ((w[-3],), known(w[-3])), ((w[3],), known(w[3])),
+            ((z[-1], z[0]), always), ((z[0], z[1]), always), ((z[-1], z[0], z[1]), always), ((z[0], g, z[-1]), always), ((w[-3], w[-2], w[-1]), known(w[-3], w[-2], w[-1])), ((z[-2], z[-1], z[0], z[1], z[2]), always),
+            *[((x,), x != 0) for x in part], ((r,), runs), ((rb,), extra[pos, 1] != 0), ((r, rb), runs & (rb != 0)), ((rb, ra), known(rb, ra)), ((rb2, rb), known(rb2, rb)), ((r, ra), runs & (ra != 0)), ((sign,), sign != 0),
+        ]
+        out = np.zeros((len(pos), N_TEMPLATES), np.uint64)
+        with np.errstate(over="ignore"):
+            for i, (xs, on) in enumerate(table):
+                key = np.full(len(pos), i + 1, np.uint64)
+                for x in xs:
+                    key = (key ^ (key >> np.uint64(29))) * ODD + x
+                key = (key ^ (key >> np.uint64(32))) * ODD
+                out[:, i] = np.where(on, key | np.uint64(1), 0)
+        return out
 
 
-def features(seg: str, toks: list[tuple[int, int]]) -> list[list[str]]:
-    n = len(toks)
-    w = [seg[a:b] for a, b in toks]
-    lo = [x.lower() for x in w]
-    sh = [_shape(x) for x in w]
-    gap = [i > 0 and toks[i - 1][1] < toks[i][0] for i in range(n)]
-    # Numbers: runs of digits and the signs between them, their shape, the word before and after.
-    run, pattern = [-1] * n, []
-    i = 0
-    while i < n:
-        if sh[i][0] == "d" or (w[i] in "(+" and i + 1 < n and sh[i + 1][0] == "d"):
-            j = i
-            while j + 1 < n and (sh[j + 1][0] == "d" or (w[j + 1] in NUMERIC and j + 2 < n and (sh[j + 2][0] == "d" or (w[j + 2] in NUMERIC and j + 3 < n and sh[j + 3][0] == "d")))):
-                j += 1
-            text = "".join(("_" if gap[k] and k > i else "") + (sh[k] if sh[k][0] == "d" else w[k]) for k in range(i, j + 1))
-            text = text if j - i < 16 else "long"
-            if j - i >= 1 or len(w[i]) >= 5:
-                pattern.append((text, lo[i - 1] if i else "^", lo[j + 1] if j + 1 < n else "$", lo[i - 2] if i > 1 else "^"))
-                for k in range(i, j + 1):
-                    run[k] = len(pattern) - 1
-            i = j + 1
-        else:
-            i += 1
-    at_sign = [k for k in range(n) if w[k] == "@" or (lo[k] == "at" and k and w[k - 1] in "([")]
-    out = []
-    for i in range(n):
-        p1, p2, p3 = (lo[i - 1] if i else "^"), (lo[i - 2] if i > 1 else "^"), (lo[i - 3] if i > 2 else "^")
-        n1, n2, n3 = (lo[i + 1] if i + 1 < n else "$"), (lo[i + 2] if i + 2 < n else "$"), (lo[i + 3] if i + 3 < n else "$")
-        s, sp, sn = sh[i], (sh[i - 1] if i else "^"), (sh[i + 1] if i + 1 < n else "$")
-        f = [
-            "b", "w=" + lo[i], "s=" + s, "p1=" + p1, "p2=" + p2, "n1=" + n1, "n2=" + n2, "p12=" + p2 + "|" + p1, "n12=" + n1 + "|" + n2, "pw=" + p1 + "|" + lo[i], "wn=" + lo[i] + "|" + n1,
-            "p3=" + p3, "n3=" + n3, "ss=" + sp + s, "sn=" + s + sn, "sss=" + sp + s + sn, "g=" + s + str(gap[i]) + sp, "p123=" + p3 + p2 + p1,
-            "s4=" + (sh[i - 2] if i > 1 else "^") + sp + s + sn + (sh[i + 2] if i + 2 < n else "$"),
-        ]
-        if s[0] == "H":
-            f += ["h1=" + lo[i][0], "h2=" + lo[i][:2], "t1=" + lo[i][-1], "t2=" + lo[i][-2:]]
-        elif s in ("T", "U", "l"):
-            f += ["t3=" + lo[i][-3:], "t2=" + lo[i][-2:], "l=" + str(min(len(lo[i]), 12))]
-        if run[i] >= 0:
-            t, before, after, before2 = pattern[run[i]]
-            f += ["r=" + t, "rb=" + before, "rtb=" + t + "|" + before, "rba=" + before + "|" + after, "rbb=" + before2 + "|" + before, "rta=" + t + "|" + after]
-        if at_sign:
-            near = min(at_sign, key=lambda k: abs(k - i))
-            f.append(f"at={max(-6, min(8, i - near))}")
-        out.append(f)
-    return out
+class Index:
+    """Feature keys to rows of weights, by open addressing; missing keys go to the last row, which weighs nothing."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.n = len(keys)
+        bits = max(16, int(np.ceil(np.log2(max(2, len(keys)) * 8))))
+        self.shift, size = np.uint64(64 - bits), 1 << bits
+        self.keys, self.rows, self.probes = np.zeros(size + 256, np.uint64), np.full(size + 256, self.n, np.int32), 1
+        for row, (k, at) in enumerate(zip(keys.tolist(), (keys >> self.shift).astype(np.int64).tolist(), strict=True)):
+            step = 0
+            while self.keys[at + step] != 0:
+                step += 1
+            self.keys[at + step], self.rows[at + step] = k, row
+            self.probes = max(self.probes, step + 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        flat = keys.ravel()
+        out = np.full(flat.shape, self.n, np.int32)
+        todo = np.flatnonzero(flat)
+        at = (flat[todo] >> self.shift).astype(np.int64)
+        for _ in range(self.probes):
+            seen = self.keys[at]
+            hit = seen == flat[todo]
+            out[todo[hit]] = self.rows[at[hit]]
+            go = ~hit & (seen != 0)
+            todo, at = todo[go], at[go] + 1
+            if not len(todo):
+                break
+        return out.reshape(keys.shape)
 
 
 def segments(text: str) -> Iterator[tuple[int, str]]:
@@ -129,35 +226,36 @@ def segments(text: str) -> Iterator[tuple[int, str]]:
 class Field:
     """Weights by feature and label, and of neighbouring labels."""
 
-    def __init__(self, index: dict[str, int], weights: np.ndarray, moves: np.ndarray) -> None:
-        self.index, self.weights, self.moves = index, weights, moves
+    def __init__(self, codes: Codes, index: Index, weights: np.ndarray, moves: np.ndarray) -> None:
+        self.codes, self.index, self.weights, self.moves = codes, index, weights, moves
         self.seen: dict[str, list[tuple[int, int, str]]] = {}
 
-    def ids(self, seg: str, toks: list[tuple[int, int]]) -> list[list[int]]:
-        get = self.index.get
-        return [[k for x in f if (k := get(x)) is not None] for f in features(seg, toks)]
+    def rows(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> list[np.ndarray]:
+        """Rows of weights of each token's features, by segment."""
+        if not segs:
+            return []
+        found = self.index.find(self.codes.keys(segs))
+        return np.split(found, np.cumsum([len(t) for _, t in segs])[:-1])
 
-    def decode(self, rows: list[list[list[int]]]) -> list[np.ndarray]:
+    def decode(self, rows: list[np.ndarray]) -> list[np.ndarray]:
         """Best labels of each row of tokens, in batches of rows of like length."""
         out: list[np.ndarray] = [np.empty(0, int)] * len(rows)
-        order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
+        order = [i for i in sorted(range(len(rows)), key=lambda i: len(rows[i])) if len(rows[i])]
         at = 0
         while at < len(order):
             size = max(1, min(512, 60_000 // max(1, len(rows[order[min(at + 511, len(order) - 1)]]))))
             part = order[at : at + size]
             at += size
-            best = self._viterbi([rows[i] for i in part])
-            for i, b in zip(part, best, strict=True):
+            for i, b in zip(part, self._viterbi([rows[i] for i in part]), strict=True):
                 out[i] = b
         return out
 
-    def _emissions(self, rows: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    def _emissions(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         length = np.array([len(r) for r in rows])
-        flat = [f for r in rows for f in r]
-        counts = np.array([len(f) for f in flat])
-        ids = np.fromiter((k for f in flat for k in f), np.int64, counts.sum())
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-        summed = np.add.reduceat(self.weights[ids], starts, axis=0)
+        ids = np.concatenate(rows)
+        summed = self.weights[ids[:, 0]].copy()
+        for i in range(1, ids.shape[1]):
+            summed += self.weights[ids[:, i]]
         em = np.zeros((len(rows), length.max(), len(LABELS)), np.float32)
         em[np.arange(length.max())[None, :] < length[:, None]] = summed
         return em, length
@@ -219,20 +317,15 @@ def examples(lines) -> list[tuple[str, list[tuple[int, int]], list[int]]]:
 def trained(lines: int = 6000, rounds: int = 6, seed: int = 7, rate: float = 0.25, ridge: float = 2e-6) -> Field:
     """The field trained from `lines` labelled lines. Deterministic."""
     data = examples(pii_table.labelled(lines, seed))
-    seen: dict[str, int] = {}
-    feats = []
-    for seg, toks, _ in data:
-        f = features(seg, toks)
-        feats.append(f)
-        for row in f:
-            for x in row:
-                seen[x] = seen.get(x, 0) + 1
-    index: dict[str, int] = {}
-    for x, c in seen.items():
-        if c >= 2:
-            index[x] = len(index)
-    field = Field(index, np.zeros((len(index), K), np.float32), np.where(BARRED, -1e4, 0.0).astype(np.float32))
-    rows = [[[index[x] for x in f if x in index] for f in fs] for fs in feats]
+    codes = Codes()
+    segs = [(seg, toks) for seg, toks, _ in data]
+    keys = codes.keys(segs)
+    codes.grow = False
+    codes.words.clear()
+    uniq, times = np.unique(keys, return_counts=True)
+    index = Index(uniq[(times >= 2) & (uniq != 0)])
+    field = Field(codes, index, np.zeros((index.n + 1, K), np.float32), np.where(BARRED, -1e4, 0.0).astype(np.float32))
+    rows = np.split(index.find(keys), np.cumsum([len(t) for _, t in segs])[:-1])
     gold = [np.array(g) for _, _, g in data]
     gw, gm = np.full(field.weights.shape, 1e-3, np.float32), np.full((K, K), 1e-3, np.float32)
     order = np.array(sorted(range(len(rows)), key=lambda i: len(rows[i])))
@@ -269,11 +362,11 @@ def _step(field: Field, rows, gold, gw, gm, rate: float, ridge: float) -> None:
     diff = -node.transpose(1, 0, 2)[alive]
     truth = np.concatenate(gold)
     diff[np.arange(len(truth)), truth] += 1.0
-    flat = [f for r in rows for f in r]
-    counts = np.array([len(f) for f in flat])
-    ids = np.fromiter((k for f in flat for k in f), np.int64, counts.sum())
+    ids = np.concatenate(rows)
+    who = np.repeat(np.arange(len(ids)), ids.shape[1])
+    ids = ids.ravel()
+    who, ids = who[ids < field.index.n], ids[ids < field.index.n]
     uniq, place = np.unique(ids, return_inverse=True)
-    who = np.repeat(np.arange(len(flat)), counts)
     grad = np.stack([np.bincount(place, diff[who, k], len(uniq)) for k in range(K)], 1).astype(np.float32)
     grad = grad / n - ridge * field.weights[uniq]
     gw[uniq] += grad**2
@@ -321,40 +414,34 @@ def _spans(toks: list[tuple[int, int]], labels: np.ndarray) -> list[tuple[int, i
     return [tuple(x) for x in out]
 
 
+def _windows(segs: list[str]) -> list[tuple[str, list[tuple[int, int]], int, int]]:
+    """(segment, all its tokens, first token, number of tokens) of the pieces that are decoded at once."""
+    out = []
+    for s in segs:
+        toks = [m.span() for m in TOKEN.finditer(s)]
+        for a in range(0, max(1, len(toks)), LONGEST - OVERLAP):
+            size = min(LONGEST, len(toks) - a)
+            if size > 0 and (a == 0 or size > OVERLAP):
+                out.append((s, toks, a, size))
+    return out
+
+
 def finds(field: Field, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
     """(start, end, kind) in each text."""
     where: list[list[tuple[int, str]]] = [list(segments(folded(t))) if t else [] for t in texts]
-    new = list(dict.fromkeys(s for w in where for _, s in w if s not in field.seen))
-    windows, rows = [], []
-    for s in new:
-        toks = [m.span() for m in TOKEN.finditer(s)]
-        for a in range(0, max(1, len(toks)), LONGEST - OVERLAP):
-            part = toks[a : a + LONGEST]
-            if part and (a == 0 or len(part) > OVERLAP):
-                windows.append((s, toks, a, len(part)))
-                rows.append(field.ids(s, part))
-    if len(field.seen) + len(new) > CACHED:
+    every = list(dict.fromkeys(s for w in where for _, s in w))
+    if len(field.seen) + len(every) > CACHED:
         field.seen.clear()
-        new = list(dict.fromkeys(s for w in where for _, s in w))
-        if len(windows) < len(new):  # what had been known before the cache was emptied is read again
-            known = {s for s, *_ in windows}
-            for s in new:
-                if s not in known:
-                    toks = [m.span() for m in TOKEN.finditer(s)]
-                    for a in range(0, max(1, len(toks)), LONGEST - OVERLAP):
-                        part = toks[a : a + LONGEST]
-                        if part and (a == 0 or len(part) > OVERLAP):
-                            windows.append((s, toks, a, len(part)))
-                            rows.append(field.ids(s, part))
-    for s in new:
-        field.seen.setdefault(s, [])
+    new = [s for s in every if s not in field.seen]
+    windows = _windows(new)
+    rows = field.rows([(s, toks[a : a + size]) for s, toks, a, size in windows])
     joined: dict[str, tuple[list, np.ndarray]] = {}
     for (s, toks, a, size), best in zip(windows, field.decode(rows), strict=True):
         _, labels = joined.setdefault(s, (toks, np.zeros(len(toks), int)))
         lead = OVERLAP // 2 if a else 0
         labels[a + lead : a + size] = best[lead:]
-    for s, (toks, labels) in joined.items():
-        field.seen[s] = _spans(toks, labels)
+    for s in new:
+        field.seen[s] = _spans(*joined[s]) if s in joined else []
     out = []
     for t, w in zip(texts, where, strict=True):
         got = []
@@ -388,7 +475,7 @@ def found(df: DataFrame, key: str = "doc_id", text: str = "text", field: Field |
 
 
 def _bare(field: Field) -> tuple:
-    return field.index, field.weights, field.moves
+    return field.codes, field.index, field.weights, field.moves
 
 
 _LOADED: dict = {}
