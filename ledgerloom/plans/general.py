@@ -69,7 +69,18 @@ def _amounts_sql() -> str:
           LEFT JOIN unit_codes u ON u.unit_code = coalesce(a.unit_code, b.unit_code))"""
 
 
+def _expand(x: str) -> str:
+    """The nodes at one place as a list of (axis, children): a list, a node, or a plain object with a node per key."""
+    items = f"list_filter(CASE json_type({x}) WHEN 'ARRAY' THEN json_extract({x}, '$[*]') ELSE [{x}] END, lambda e: json_type(e) = 'OBJECT')"
+    node = "CASE WHEN json_exists(e, '$.axis') THEN [{'axis': e->>'$.axis', 'ch': e->'$.children'}] ELSE list_transform(json_keys(e), lambda k: {'axis': k, 'ch': NULL::JSON}) END"
+    return f"flatten(list_transform({items}, lambda e: {node}))"
+
+
 ORACLES = {
+    "p3_found": f"""WITH RECURSIVE d AS (SELECT DISTINCT doc_id, context_ref, dims::JSON AS j FROM edinet_xbrl WHERE context_ref <> '' AND json_valid(dims)),
+     n AS (SELECT doc_id, context_ref, unnest(l) AS s, generate_subscripts(l, 1)::VARCHAR AS node_path FROM (SELECT *, {_expand('j')} AS l FROM d)
+       UNION ALL SELECT doc_id, context_ref, unnest(l) AS s, node_path || '.' || generate_subscripts(l, 1) AS node_path FROM (SELECT *, {_expand('s.ch')} AS l FROM n WHERE s.ch IS NOT NULL))
+     SELECT DISTINCT doc_id, context_ref, node_path, s.axis AS axis FROM n""",
     "p6_found": f"""WITH {_amounts_sql()}
     SELECT DISTINCT l.fact_id AS left_id, r.fact_id AS right_id FROM amounts l JOIN amounts r
       ON l.doc_id = r.doc_id AND l.concept = r.concept AND l.context_ref = r.context_ref AND l.dimension = r.dimension
