@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import cut
+
 #: Letters of other scripts and the Latin letters of the same shape.
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳ", "ABEZHIKMNOPTYXocj", strict=True))
 CYRILLIC = dict(zip("АВЕЗІЈКМНОРСТУХЅҮЬԌԚԜаеорсухѕіјһԁԛԝӏү", "ABE3IJKMHOPCTYXSYbGQWaeopcyxsijhdqwly", strict=True))
@@ -148,7 +150,7 @@ def same_looking(df: DataFrame, key: str, keys: list[str], text: str, field: str
         named = named & F.col(k).isNotNull()
     rows = df.select(F.col(key).alias("id"), *[F.col(k).alias(f"k_{i}") for i, k in enumerate(keys)], F.col(text).alias("t"), named.alias("named")).where("named AND t IS NOT NULL AND id IS NOT NULL")
     cls = F.md5(F.concat_ws("\x1f", *[F.col(f"k_{i}").cast("string") for i in range(len(keys))], consistent_form(F.col("t"))))
-    m = rows.select("id", cls.alias("cls"), F.md5("t").alias("form")).distinct()
+    m = cut(rows.select("id", cls.alias("cls"), F.md5("t").alias("form")).distinct())  # three readers, one pass over the texts
     forms = m.select("cls", "form").distinct()
     mixed = forms.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls")
     forms = forms.join(mixed, "cls", "left_semi")
