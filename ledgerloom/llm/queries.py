@@ -86,7 +86,23 @@ def p10_masked(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares, p10_found, p10_masked)}
 
+def _form_sql(c: str) -> str:
+    """The consistent form of a text, for texts in which no word mixes scripts of its own: character by character."""
+    plain = {chr(k): v for k, v in lookalikes.FORMS.items() if v and len(v) == 1} | lookalikes.LATIN_TWINS | lookalikes.GREEK | lookalikes.CYRILLIC | lookalikes.ARMENIAN
+    gone = "".join(chr(k) for k, v in lookalikes.FORMS.items() if not v and k < 0x20000)
+    out = f"translate(replace({c}, chr(13) || chr(10), chr(10)), '{''.join(plain)}{gone}', '{''.join(plain.values()).replace(chr(39), chr(39) * 2)}')"
+    for k, v in lookalikes.FORMS.items():
+        if v and len(v) > 1:
+            out = f"replace({out}, '{chr(k)}', '{v}')"
+    # Letters of other scripts under an accent: apart, by shape, together.
+    return f"nfc_normalize({out})"
+
+
 ORACLES = {
+    "p5_found": f"""WITH t AS (SELECT DISTINCT 'text' AS field, fact_id AS id, doc_id || '|' || concept AS k, text AS s FROM edinet_xbrl WHERE kind = 'text' AND text IS NOT NULL
+       UNION SELECT 'md', doc_id, stock_code || '|' || doc_type || '|' || report_period, md FROM filing_md WHERE md IS NOT NULL),
+     f AS (SELECT field, id, k, s, {_form_sql('s')} AS form FROM t WHERE k IS NOT NULL)
+     SELECT DISTINCT a.field AS field, a.id AS left_id, b.id AS right_id FROM f a JOIN f b ON a.field = b.field AND a.k = b.k AND a.form = b.form WHERE a.id < b.id AND a.s <> b.s""",
     "p2_found": """SELECT DISTINCT doc_id FROM filing_md JOIN split_limits USING (market)
      WHERE CASE size_unit WHEN 'bytes' THEN octet_length(encode(md)) ELSE length(md) END > max_size""",
 }
