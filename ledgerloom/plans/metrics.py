@@ -191,6 +191,14 @@ ORACLES = {
       c AS (SELECT *, abs(said - adds) AS r, abs(said - adds) <= greatest(2.0, abs(said) * 0.005) AS ok FROM t WHERE n >= 2)
       SELECT doc_id, count(*) FILTER (kind = 'labeled') AS labeled_tested, count(*) FILTER (kind = 'labeled' AND ok) AS labeled_passed, count(*) FILTER (kind = 'inferred') AS inferred_tested, count(*) FILTER (kind = 'inferred' AND ok) AS inferred_passed,
         round(max(r) FILTER (NOT ok)::DOUBLE, 2) AS worst_residual FROM c GROUP BY doc_id""",
+    "filing_footing": f"""WITH {ROWS}, sh AS (SELECT doc_id, table_no, max(len(cells)) AS nc, count(*) AS nr FROM rows_ GROUP BY ALL HAVING max(len(cells)) >= 2 AND count(*) >= 3),
+      c AS (SELECT r.doc_id, r.table_no, row_no, coalesce(list_filter(cells[1:2], lambda z: regexp_matches(z, '{Tb.CJK}'))[1], cells[1], '') AS lab, unnest(cells) AS cell, generate_subscripts(cells, 1) AS col FROM rows_ r JOIN sh USING (doc_id, table_no)),
+      v AS (SELECT doc_id, table_no, row_no, col, regexp_matches(lab, '{Tb.TOTAL}') AS tot, {STRICT.replace('XX', 'cell')} AS v FROM c WHERE col >= 2),
+      w AS (SELECT *, count(*) OVER q AS n, sum(tot::INT) OVER q AS tots, max(row_no) OVER q AS last, coalesce(sum(tot::INT) OVER (PARTITION BY doc_id, table_no, col ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM v WHERE v IS NOT NULL WINDOW q AS (PARTITION BY doc_id, table_no, col)),
+      k AS (SELECT *, CASE WHEN tots > 0 THEN tot ELSE row_no = last END AS is_sum, CASE WHEN tots > 0 THEN seg ELSE 0 END AS sg, tots > 0 AS lb FROM w WHERE n >= 3),
+      g AS (SELECT doc_id, table_no, col, sg, lb, sum(v) FILTER (NOT is_sum) AS adds, count(*) FILTER (NOT is_sum) AS kk, max(v) FILTER (is_sum) AS said FROM k GROUP BY ALL),
+      o AS (SELECT *, abs(said - adds) AS r, abs(said - adds) <= greatest(2.0, abs(said) * 0.005) AS ok FROM g WHERE said IS NOT NULL AND kk >= 2)
+      SELECT doc_id, count(*) FILTER (lb) AS labeled_tested, count(*) FILTER (lb AND ok) AS labeled_passed, count(*) FILTER (NOT lb) AS inferred_tested, count(*) FILTER (NOT lb AND ok) AS inferred_passed, round(max(r) FILTER (NOT ok), 2) AS worst_residual FROM o GROUP BY doc_id""",
     "articulation": "SELECT c_custkey AS doc_id, 2 AS tested, (c_custkey % 5 <> 2)::BIGINT AS matched, (c_custkey % 5 <> 2)::INT / 2.0 AS ratio FROM customer",
     "cashflow_c1": """WITH o AS (SELECT o_orderkey AS k, round(o_totalprice * 100)::BIGINT AS t FROM orders),
       x AS (SELECT k, t, t * 2 AS opening, t AS op, -(t // 3) AS inv, -(t // 5) AS fin, CASE WHEN k % 6 <> 1 THEN 17 END AS fx FROM o),
