@@ -46,7 +46,7 @@ ELEMENTS = frozenset(
 )
 ATTR = r"""\s+[A-Za-z_:][\w:.-]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>=]+))?"""
 TAG = re.compile(rf"<(/?)([A-Za-z][\w.-]*(?::[A-Za-z][\w.-]*)?)((?:{ATTR})*)\s*(/?)>")
-SPECIAL = re.compile(r"<!--.*?-->|<!--|-->|<!\[CDATA\[.*?\]\]>|<!DOCTYPE[^<>]*>|<\?xml[^<>]*\?>", re.S | re.I)
+SPECIAL = re.compile(r"<!--(?:(?!<!--|-->).)*-->|<!--|-->|<!\[CDATA\[.*?\]\]>|<!DOCTYPE[^<>]*>|<\?xml[^<>]*\?>", re.S | re.I)
 CHAR_REF = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 TEXT_MARKUP = [
@@ -56,16 +56,16 @@ TEXT_MARKUP = [
     ("md_strike", re.compile(r"~~(?=\S)[^~\n]+~~")),
     ("md_code", re.compile(r"(?<!`)`[^`]+`(?!`)")),
     ("md_link", re.compile(r"!?\[[^\[\]]*\]\([^()\s]+(?:\s+\"[^\"]*\")?\)|!?\[[^\[\]]*\]\[[^\[\]]*\]")),
-    ("md_table", re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|[ \t]*$|^[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+$", re.M)),
+    ("md_table", re.compile(r"^[ \t]*(?:\|[ \t]*)?:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|[ \t]*$|^[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+$", re.M)),
     ("wiki_quote", re.compile(r"'''.+?'''|''(?=\S)[^'\n]+''", re.S)),
-    ("wiki_heading", re.compile(r"^(={2,6})[ \t]*\S.*?[ \t]*\1[ \t]*$", re.M)),
+    ("wiki_heading", re.compile(r"^(={2,6})[ \t]*[^\s=](?:.*[^\s=])?[ \t]*\1[ \t]*$", re.M)),
     ("wiki_link", re.compile(r"\[\[[^\[\]]+\]\]")),
     ("wiki_template", re.compile(r"\{\{[^{}]+\}\}")),
     ("wiki_table", re.compile(r"^\{\||^\|\}|^\|-[ \t]*$", re.M)),
-    ("wiki_ext", re.compile(r"\[https?://[^\s\]]+(?:\s+[^\]]*)?\]")),
+    ("wiki_ext", re.compile(r"\[https?://[^\s\[\]]+(?:\s[^\[\]]*)?\]")),
     ("tex_env", re.compile(r"\\(?:begin|end)\{[A-Za-z*]+\}")),
     ("tex_command", re.compile(r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{")),
-    ("tex_math", re.compile(r"\\\(.+?\\\)|\\\[.+?\\\]|\$\$.+?\$\$|\$[^$\n]*[\\^_][^$\n]*\$", re.S)),
+    ("tex_math", re.compile(r"\\\((?:(?!\\[()]).)+\\\)|\\\[(?:(?!\\[\[\]]).)+\\\]|\$\$.+?\$\$|\$[^$\n]*[\\^_][^$\n]*\$", re.S)),
     ("tex_symbol", re.compile(r"\\(?:times|alpha|beta|gamma|delta|sum|int|cdot|leq|geq|pm|item|ldots|dots|quad|hline|infty|approx|neq|noindent|newline|LaTeX|TeX|par)(?![A-Za-z])")),
     ("tex_escape", re.compile(r"(?<!\\)\\[%$&_#{}](?!\w*:)")),
     ("tex_break", re.compile(r"\\\\[ \t]*$", re.M)),
@@ -247,28 +247,28 @@ def _tex_table(m: re.Match) -> str:
 
 #: What a construct becomes. In order: blocks first, then spans.
 REWRITES: list[tuple[re.Pattern, object]] = [
-    (re.compile(r"^\{\|[^\n]*\n(.*?)^\|\}[ \t]*$", re.M | re.S), _wiki_row),
-    (re.compile(r"\\begin\{(?:tabular|array)\}(?:\{[^}]*\})?(.*?)\\end\{(?:tabular|array)\}", re.S), _tex_table),
+    (re.compile(r"^\{\|[^\n]*\n((?:(?!^\{\||^\|\}).)*)^\|\}[ \t]*$", re.M | re.S), _wiki_row),
+    (re.compile(r"\\begin\{(?:tabular|array)\}(?:\{[^}]*\})?((?:(?!\\begin\{|\\end\{).)*)\\end\{(?:tabular|array)\}", re.S), _tex_table),
     (re.compile(r"\\(?:begin|end)\{[A-Za-z*]+\}"), ""),
-    (re.compile(r"^(={2,6})[ \t]*(\S.*?)[ \t]*\1[ \t]*$", re.M), lambda m: "#" * len(m.group(1)) + " " + m.group(2)),
+    (re.compile(r"^(={2,6})[ \t]*([^\s=](?:.*[^\s=])?)[ \t]*\1[ \t]*$", re.M), lambda m: "#" * len(m.group(1)) + " " + m.group(2)),
     (re.compile(r"\\(?:part|chapter|section)\*?\{([^{}]*)\}"), r"# \1"),
     (re.compile(r"\\subsection\*?\{([^{}]*)\}"), r"## \1"),
     (re.compile(r"\\subsubsection\*?\{([^{}]*)\}"), r"### \1"),
-    (re.compile(r"\\\((.+?)\\\)", re.S), r"$\1$"),
-    (re.compile(r"\\\[(.+?)\\\]", re.S), r"$\1$"),
+    (re.compile(r"\\\(((?:(?!\\[()]).)+)\\\)", re.S), r"$\1$"),
+    (re.compile(r"\\\[((?:(?!\\[\[\]]).)+)\\\]", re.S), r"$\1$"),
     (re.compile(r"\$\$(.+?)\$\$", re.S), r"$\1$"),
     (re.compile(r"\\(?:cite|ref|label|footnotemark|index)\{[^{}]*\}"), ""),
     (re.compile(r"\\(?:textbf|textit|emph|underline|texttt|textsc|mbox|text|footnote)\{([^{}]*)\}"), r"\1"),
     (re.compile(r"\{\{([^{}|]*)\|?([^{}]*)\}\}"), lambda m: "[" + m.group(2).replace("|", " ") + "]" if m.group(2) else ""),
     (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]"), r"\1"),
     (re.compile(r"!?\[([^\[\]]*)\]\([^()\s]+(?:\s+\"[^\"]*\")?\)"), r"\1"),
-    (re.compile(r"\[https?://[^\s\]]+\s*([^\]]*)\]"), r"\1"),
+    (re.compile(r"\[https?://[^\s\[\]]+(?:\s([^\[\]]*))?\]"), r"\1"),
     (re.compile(r"'{3}(.+?)'{3}", re.S), r"\1"),
     (re.compile(r"''(?=\S)([^'\n]+)''"), r"\1"),
     (re.compile(r"(?<!\*)\*\*(?!\*)((?:(?!\*\*).)+?)\*\*", re.S), r"\1"),
     (re.compile(r"(?<!\w)__(?=\S)((?:(?!__).)+?)__(?!\w)", re.S), r"\1"),
     (re.compile(r"~~(?=\S)([^~\n]+)~~"), r"\1"),
-    (re.compile(r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*$\n?", re.M), ""),
+    (re.compile(r"^[ \t]*(?:\|[ \t]*)?:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*$\n?", re.M), ""),
 ]
 
 
@@ -279,7 +279,7 @@ def clean_text(text: str | None) -> str | None:
     t = SPECIAL.sub("", text)
     found = list(tags(t))
     if any(m.group(2).lower() == "table" and not m.group(1) for m in found):
-        t = "\n".join(written([(k, x) for _, k, x in leaves(p)]) if p.lstrip().startswith("<table") else p for p in re.split(r"(<table.*?</table>)", t, flags=re.S | re.I))
+        t = "\n".join(written([(k, x) for _, k, x in leaves(p)]) if p.lstrip().startswith("<table") else p for p in re.split(r"(<table(?:(?!<table|</table>).)*</table>)", t, flags=re.S | re.I))
         found = list(tags(t))
     keep, at = [], 0
     for m in found:

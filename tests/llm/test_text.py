@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,12 @@ def test_found_and_repaired(spark):
     fixed = {x["rcept_no"]: x for x in mojibake.repair(d).collect()}
     assert fixed["L"]["body"] == body(GOOD[0], GOOD[1]) and fixed["L"]["restored"] and fixed["U"]["body"] == body(GOOD[0]) and not fixed["X"]["restored"]
     assert mojibake.found(d.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["<!--", "[[", "{|\n", "\\(", "\\[", " ", "[http://a ", "'''", "`", "== a ", "<table>", "\\begin{tabular}", "| ---", "$^"])
+def test_long_odd_texts_take_linear_time(unit):
+    t = unit * (120_000 // len(unit))
+    start = time.monotonic()
+    markup.constructs(t)
+    markup.clean_text(t)
+    assert time.monotonic() - start < 15
