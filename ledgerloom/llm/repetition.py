@@ -1,10 +1,16 @@
 """Share of repeated content inside one document, as one projection compiled from a threshold table.
 
-Every figure is a built-in expression over the document's own text: no user function, no shuffle,
-no cap on its length. A document is cut into units (lines, table rows, sentences); a unit of
-MIN_UNIT or more characters that stood in the document before is repeated, and so is all but the
-first of a phrase that runs on back to back. Letter case, spacing and list marks in front are
-taken away before units are held against each other; figures and words are not.
+Every figure is over the document's own text: no shuffle, no cap on its length. A document is cut
+into units (lines, table rows, sentences); a unit of MIN_UNIT or more characters that stood in the
+document before is repeated, and so is all but the first of a phrase that runs on back to back.
+Letter case, spacing and list marks in front are taken away before units are held against each
+other; figures and words are not. A character that is repeated in both ways counts once.
+
+Figures are built-in expressions but for the characters that stand in repeats, which are marked in
+Arrow batches: no regular expression finds runs of every period from every character in less than
+quadratic time. A short period is found by holding the text against itself shifted by it; a longer
+one p from k-grams, k being the power of two from p on: inside a run the last place of the same
+k-gram is exactly p characters back. Both are exact, in O(n log n) for each power of two.
 
 Defined results: null text gives null figures and no violated rule; empty and blank text give 0
 repeated characters, share 0. Rows that come twice give the same figures twice; callers drop them by id.
@@ -12,8 +18,14 @@ repeated characters, share 0. Rows that come twice give the same figures twice;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain, pairwise
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIN_UNIT = 12
 BLANK = "[ \\t\\u000b\\f\\u00a0\\u1680\\u2000-\\u200b\\u202f\\u205f\\u2060\\u3000\\ufeff]"
@@ -21,12 +33,16 @@ BLANK = "[ \\t\\u000b\\f\\u00a0\\u1680\\u2000-\\u200b\\u202f\\u205f\\u2060\\u300
 MARK = rf"(?m)^(?:{BLANK}|[-*+>•・◦▪‣–—]+(?={BLANK})|#+(?={BLANK})|[(（\[【]?[0-9０-９]{{1,3}}[)）\]】.、．](?![0-9０-９])|[(（]?[a-zA-Z][)）]|[①-⑳])+"
 #: One pass over the characters takes blanks and carriage returns out and capitals down.
 CAPITALS = "".join(c for c in map(chr, [*range(0x41, 0x5B), *range(0xC0, 0xDF), *range(0x391, 0x3AA), *range(0x410, 0x430), *range(0xFF21, 0xFF3B)]) if len(c.lower()) == 1 and c.lower() != c)
-BLANKS = "\r \t\u000b\f  " + "".join(map(chr, range(0x2000, 0x200C))) + "  ⁠　﻿"
-#: Units end at line breaks and after sentences.
-UNIT_END = r"\n|(?<=[。！？｡])|(?<=[.!?])(?![0-9\n])"
-#: A phrase of 2 to 120 characters back to back within a unit, seen from every eighth character on: three times from there, so four in all.
-RUN = r"\G(?:.{8})*?((.{2,120}?)\2{2,})"
-LEAST_RUN = 96
+BLANKS = "\x01\r \t\u000b\f  " + "".join(map(chr, range(0x2000, 0x200C))) + "  ⁠　﻿"
+#: Units end at line breaks and after sentences; a sentence's end within a line is written as CUT.
+CUT = "\x01"
+SENTENCE_END = r"(?<=[。！？｡])(?!\n)|(?<=[.!?])(?![0-9\n])"
+#: From which length of a phrase on how many times back to back are many. A phrase of one character is one of two equal ones.
+MANY = ((12, 3), (6, 5), (2, 7), (1, 14))
+#: Periods that are found by shifting the text; longer ones take k-grams.
+SHIFTS = 32
+#: Texts are worked on together up to so many characters; a longer one is worked on alone, and whole.
+TOGETHER = 1_000_000
 
 #: Frequent function words of the languages met.
 STOP_WORDS = (
@@ -48,15 +64,131 @@ THRESHOLDS = (
 )
 
 
-def _keys(units: Column) -> Column:
-    """Units by what makes them equal. A short one counts only together with the one before it, or else is unlike all others."""
-
-    def key(u: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(units, i - 1), F.lit(""))
-        alike = F.char_length(u) + F.char_length(before) >= MIN_UNIT
-        return F.when(F.char_length(u) >= MIN_UNIT, u).otherwise(F.concat(F.lit("\x01"), F.when(alike & (u != ""), before).otherwise(i.cast("string")), F.lit("\x02"), u))
-
-    return F.transform(units, key)
+def _many(period: int) -> int:
+    return next(n for least, n in MANY if period >= least)
+
+
+def _stretches(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches of True."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], at, [False])).view(np.int8)))
+    return edges[::2], edges[1::2]
+
+
+def _short_runs(codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    for p in range(1, min(SHIFTS, len(codes) - 1) + 1):
+        least, width = (_many(p) - 1) * p, 1
+        same = codes[p:] == codes[:-p]
+        while 2 * width <= min(least, 16) and len(same) > width:
+            same, width = same[:-width] & same[width:], 2 * width
+        if same.any():
+            for a, b in zip(*_stretches(same), strict=True):
+                if b - a + width - 1 >= least:
+                    yield int(a), int(b) + width - 1 + p, p
+
+
+def _long_runs(codes: np.ndarray, owner: np.ndarray, longest: int) -> Iterator[tuple[int, int, int]]:
+    def paired(h: np.ndarray, k: int) -> np.ndarray:
+        h = h[:-k] * np.uint64(0x9E3779B97F4A7C15) + h[k:]
+        return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+    h, k = codes.astype(np.uint64) * np.uint64(0x94D049BB133111EB), 1
+    while k < SHIFTS and len(h) > k:
+        h, k = paired(h, k), 2 * k
+    if k < SHIFTS or longest < 3 * SHIFTS:
+        return
+    h = h ^ (owner[: len(h)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    at = np.arange(len(h))
+    while len(at):
+        order = np.argsort(h[at], kind="stable")
+        by, seen = at[order], h[at][order]
+        twin = seen[1:] == seen[:-1]
+        if k > SHIFTS:
+            back = by[1:] - by[:-1]
+            near = twin & (back <= k) & (back > k // 2)
+            i, d = by[1:][near], back[near]
+            order = np.argsort(i)
+            i, d = i[order], d[order]
+            new = np.flatnonzero((np.diff(i) != 1) | (np.diff(d) != 0)) + 1
+            for first, last in pairwise([0, *new, len(i)] if len(i) else []):
+                p = int(d[first])
+                a, b = int(i[first]) - p, int(i[last - 1]) + k
+                if b - a >= _many(p) * p and np.array_equal(codes[a + p : b], codes[a : b - p]):
+                    yield a, b, p
+        # A k-gram that stands once is part of no longer one that stands twice.
+        at = np.sort(by[np.concatenate((twin, [False])) | np.concatenate(([False], twin))])
+        if 3 * k > 2 * longest or len(h) <= k:
+            return
+        h, k = paired(h, k), 2 * k
+        at = at[at < len(h)]
+
+
+def _repeated_units(units: list[str]) -> Iterator[tuple[int, int]]:
+    """Numbers of the units that stood before. A short one counts only together with the one before it, or else is unlike all others."""
+    seen: set = set()
+    before = ""
+    for i, u in enumerate(units):
+        if u:
+            key = u if len(u) >= MIN_UNIT else (before, u) if len(u) + len(before) >= MIN_UNIT else None
+            if key is not None:
+                if key in seen:
+                    yield i
+                seen.add(key)
+        before = u
+
+
+def _marks(texts: list[str]) -> list[tuple[int, int, int]]:
+    """Of each text: characters in repeated units, in runs but for their first time, and in either."""
+    units: list[str] = []
+    of: list[int] = []
+    for t in texts:
+        units += t.replace(CUT, "\n").split("\n")
+        of.append(len(units))
+    size = np.fromiter(map(len, units), np.int64, len(units))
+    # Every unit is followed by a code of its own, so that nothing runs on over its end.
+    ends = np.cumsum(size + 1)
+    codes = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    letters = np.ones(len(codes), bool)
+    letters[ends - 1] = False
+    codes[ends - 1] = 0x110000 + np.arange(len(ends))
+    flat = "".join(units)
+    codes[letters] = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = [0, *(int(ends[n - 1]) for n in of)]
+    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+    in_unit, in_run = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+    low = 0
+    for high in of:
+        for i in _repeated_units(units[low:high]):
+            e = ends[low + i] - 1
+            in_unit[e - size[low + i] : e] = True
+        low = high
+    for a, b, p in chain(_short_runs(codes), _long_runs(codes, owner, int(np.max(size, initial=0)))):
+        if any(chr(c).isalpha() for c in codes[a : a + p]):
+            in_run[a + p : a + (b - a) // p * p] = True
+    return [tuple(int(np.count_nonzero(m[a:b])) for m in (in_unit, in_run, in_unit | in_run)) for a, b in pairwise(starts)]
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in ("units", "runs", "any")]))
+def _repeats(s: pd.Series) -> pd.DataFrame:
+    """The characters of normalised texts that stand in repeats; null for null."""
+    out: list[tuple] = [(None, None, None)] * len(s)
+    some: list[int] = []
+    chars = 0
+    texts = s.tolist()
+
+    def work() -> None:
+        for i, got in zip(some, _marks([texts[i] for i in some]), strict=True):
+            out[i] = got
+
+    for i, t in enumerate(texts):
+        if isinstance(t, str):
+            if some and chars + len(t) > TOGETHER:
+                work()
+                some, chars = [], 0
+            some.append(i)
+            chars += len(t)
+    if some:
+        work()
+    return pd.DataFrame(out, columns=["units", "runs", "any"]).astype("Int32")
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -68,12 +200,7 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
     """The key and every metric of the threshold table, one output row per input row."""
     d = df.select(F.col(key), F.col(text_col).alias("_text"))
     d = d.withColumn("_norm", F.translate(F.regexp_replace("_text", MARK, ""), CAPITALS + BLANKS, CAPITALS.lower()))
-    d = d.withColumn("_units", F.split("_norm", UNIT_END))
-    d = d.withColumn("_kept", F.array_distinct(_keys(F.col("_units"))))
-    runs = F.flatten(F.transform(F.filter("_kept", lambda u: F.char_length(u) >= LEAST_RUN), lambda u: F.regexp_extract_all(u, F.lit(RUN), 1)))
-    runs = F.filter(runs, lambda r: (F.char_length(r) >= LEAST_RUN // 2) & r.rlike(r"\p{L}"))
-    d = d.withColumn("_runs", F.transform(runs, lambda r: F.struct(F.char_length(r).alias("all"), F.char_length(F.regexp_extract(r, r"^(.{2,120}?)\1{2,}$", 1)).alias("one"))))
-    kept = F.char_length(F.regexp_replace(F.array_join("_kept", ""), "\x01[^\x02]*\x02", ""))
+    d = d.withColumn("_repeats", _repeats(F.regexp_replace("_norm", SENTENCE_END, CUT)))
     line_keys = F.filter(F.split("_norm", "\n"), lambda x: F.char_length(x) >= MIN_UNIT)
     lines = F.split("_text", r"\r?\n")
     stop = "(?<!\\p{L})(?:" + "|".join(STOP_WORDS) + ")(?!\\p{L})"
@@ -83,8 +210,9 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
         F.char_length("_text").alias("n_chars"),
         F.char_length(F.translate("_norm", "\n", "")).alias("unit_chars"),
         (F.char_length(F.array_join(line_keys, "")) - F.char_length(F.array_join(F.array_distinct(line_keys), ""))).alias("repeated_line_chars"),
-        (F.char_length(F.translate("_norm", "\n", "")) - kept).alias("repeated_unit_chars"),
-        F.aggregate("_runs", F.lit(0), lambda t, r: t + r["all"] - r["one"]).alias("run_chars"),
+        F.col("_repeats.units").alias("repeated_unit_chars"),
+        F.col("_repeats.runs").alias("run_chars"),
+        F.col("_repeats.any").alias("repeated_chars"),
         F.array_max(F.transform(lines, F.char_length)).cast("double").alias("max_line_chars"),
         _ratio(F.size(F.filter(lines, lambda x: F.char_length(x) < 20)), F.size(lines)).alias("short_line_ratio"),
         _ratio(F.char_length(F.regexp_replace(body, r"[\p{L}\p{N}\p{M}]", "")), F.char_length(body)).alias("symbol_ratio"),
@@ -94,7 +222,7 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
         {
             "line_share": _ratio(F.col("repeated_line_chars"), F.col("unit_chars")),
             "run_share": _ratio(F.col("run_chars"), F.col("unit_chars")),
-            "repeat_share": _ratio(F.col("repeated_unit_chars") + F.col("run_chars"), F.col("unit_chars")),
+            "repeat_share": _ratio(F.col("repeated_chars"), F.col("unit_chars")),
         }
     )
 

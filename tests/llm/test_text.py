@@ -34,6 +34,39 @@ def test_short_lines_of_a_repeated_paragraph_count(spark):
     assert share(spark, f"{para}\n\n{para}\n\n{para}")[0] > 0.5
 
 
+def brute_runs(t):
+    """Characters after the first time of a phrase with a letter, run on often enough: every period from every character."""
+    hit = set()
+    for p in range(1, len(t) // 3 + 1):
+        a = 0
+        while a + p < len(t):
+            b = a + p
+            while b < len(t) and t[b] == t[b - p]:
+                b += 1
+            n = (b - a) // p
+            if n >= next(x for least, x in repetition.MANY if p >= least) and any(c.isalpha() for c in t[a : a + p]):
+                hit |= set(range(a + p, a + n * p))
+            a = max(a + 1, b - p)
+    return len(hit)
+
+
+def test_runs_are_those_of_every_period_from_every_character():
+    r = random.Random(3)
+    texts = []
+    for _ in range(150):
+        parts = ["".join(r.choice("ab-字😀") for _ in range(r.choice([1, 3, 8, 20, 70, 130]))) * r.choice([1, 1, 2, 3, 4, 7, 15]) for _ in range(r.randint(0, 5))]
+        texts.append("".join(parts))
+    assert [m[1] for m in repetition._marks(texts)] == [brute_runs(t) for t in texts]
+
+
+def test_runs_of_short_units_and_of_long_phrases_count(spark):
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = repetition.measured(frame(spark, "\n".join(word(7) * 13 for _ in range(60)), word(130) * 20, word(2500) * 4, word(3000))).collect()
+    got = {x["doc_id"]: x["run_share"] for x in rows}
+    assert got[0] == pytest.approx(12 / 13, abs=1e-6) and got[1] == pytest.approx(0.95) and got[2] == pytest.approx(0.75) and got[3] == 0.0
+
+
 def test_found_counts_a_row_once_and_reads_long_texts(spark):
     long = "".join(f"sentence number {i} says nothing new. " for i in range(20000))
     d = frame(spark, "same words again and again\n" * 9, long, None, "")
