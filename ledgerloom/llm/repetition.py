@@ -1,8 +1,9 @@
 """Share of repeated content inside one document, as one projection compiled from a threshold table.
 
 Every figure is over the document's own text: no shuffle, no cap on its length. A document is cut
-into units (lines, table rows, sentences); a unit of MIN_UNIT or more characters that stood in the
-document before is repeated, and so is all but the first of a phrase that runs on back to back.
+into units (paragraphs, lines, table rows, sentences); a unit of MIN_UNIT or more characters that
+stood in the document before is repeated, and so is all but the first of a phrase that runs on back
+to back, whatever line breaks and sentence ends stand in it.
 Letter case, spacing and list marks in front are taken away before units are held against each
 other; figures and words are not. A character that is repeated in both ways counts once.
 
@@ -122,45 +123,58 @@ def _long_runs(codes: np.ndarray, owner: np.ndarray, longest: int) -> Iterator[t
         at = at[at < len(h)]
 
 
-def _repeated_units(units: list[str]) -> Iterator[tuple[int, int]]:
-    """Numbers of the units that stood before. A short one counts only together with the one before it, or else is unlike all others."""
+def _repeated_units(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end, breaks not counted, of the paragraphs, lines and sentences that stood before.
+
+    A short sentence or line counts also together with the one before it.
+    """
     seen: set = set()
-    before = ""
-    for i, u in enumerate(units):
-        if u:
-            key = u if len(u) >= MIN_UNIT else (before, u) if len(u) + len(before) >= MIN_UNIT else None
-            if key is not None:
-                if key in seen:
-                    yield i
-                seen.add(key)
-        before = u
+
+    def stood(unit: str | tuple[str, str]) -> bool:
+        if unit in seen:
+            return True
+        seen.add(unit)
+        return False
+
+    at = 0
+    for paragraph in text.split("\n\n"):
+        first, before, fresh = at, "", []
+        for line in paragraph.split("\n"):
+            start = at
+            for u in line.split(CUT):
+                if len(u) >= MIN_UNIT:
+                    if stood(u):
+                        yield at, at + len(u)
+                elif u and len(u) + len(before) >= MIN_UNIT and stood((before, u)):
+                    yield at, at + len(u)
+                at, before = at + len(u), u
+            whole = line.replace(CUT, "")
+            if whole:
+                fresh.append(whole)
+            # One of a single sentence was asked already.
+            if CUT in line.strip(CUT) and len(whole) >= MIN_UNIT and stood(whole):
+                yield start, at
+        if len(fresh) > 1 and at - first >= MIN_UNIT and stood("".join(fresh)):
+            yield first, at
 
 
 def _marks(texts: list[str]) -> list[tuple[int, int, int]]:
     """Of each text: characters in repeated units, in runs but for their first time, and in either."""
-    units: list[str] = []
-    of: list[int] = []
-    for t in texts:
-        units += t.replace(CUT, "\n").split("\n")
-        of.append(len(units))
-    size = np.fromiter(map(len, units), np.int64, len(units))
-    # Every unit is followed by a code of its own, so that nothing runs on over its end.
+    flat = [t.replace(CUT, "").replace("\n", "") for t in texts]
+    size = np.fromiter(map(len, flat), np.int64, len(flat))
+    # Every text is followed by a code of its own, so that nothing runs on over its end.
     ends = np.cumsum(size + 1)
     codes = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-    letters = np.ones(len(codes), bool)
-    letters[ends - 1] = False
+    inside = np.ones(len(codes), bool)
+    inside[ends - 1] = False
     codes[ends - 1] = 0x110000 + np.arange(len(ends))
-    flat = "".join(units)
-    codes[letters] = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
-    starts = [0, *(int(ends[n - 1]) for n in of)]
-    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+    codes[inside] = np.frombuffer("".join(flat).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = [0, *ends.tolist()]
+    owner = np.repeat(np.arange(len(texts)), size + 1)
     in_unit, in_run = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
-    low = 0
-    for high in of:
-        for i in _repeated_units(units[low:high]):
-            e = ends[low + i] - 1
-            in_unit[e - size[low + i] : e] = True
-        low = high
+    for off, t in zip(starts, texts, strict=False):
+        for a, b in _repeated_units(t):
+            in_unit[off + a : off + b] = True
     for a, b, p in chain(_short_runs(codes), _long_runs(codes, owner, int(np.max(size, initial=0)))):
         if any(chr(c).isalpha() for c in codes[a : a + p]):
             in_run[a + p : a + (b - a) // p * p] = True

@@ -67,6 +67,20 @@ def test_runs_of_short_units_and_of_long_phrases_count(spark):
     assert got[0] == pytest.approx(12 / 13, abs=1e-6) and got[1] == pytest.approx(0.95) and got[2] == pytest.approx(0.75) and got[3] == 0.0
 
 
+def test_short_units_run_on_and_paragraphs_and_lines_of_short_units_count(spark):
+    para = "東京本社\n大阪支店\n京都工場\n札幌営業"
+    apart = "\n\n".join(f"{para}\n\n{''.join(chr(0x4E00 + 40 * i + j) for j in range(13))}" for i in range(40))
+    line = "はい。いいえ。そうです。違う。"
+    lines = "\n".join(f"{line}\n{''.join(chr(0x4E00 + 40 * i + j) for j in range(13))}" for i in range(40))
+    wrapped = "repeated phrase " * 60
+    wrapped = "\n".join(wrapped[i : i + 37] for i in range(0, len(wrapped), 37))
+    got = share(spark, "はい。" * 2000, "OK\n" * 2000, apart, lines, wrapped, "東京本社\n\n大阪支店\n\n東京本社\n\n大阪支店", "One sentence stands alone.", "One line stands alone\n")
+    assert got[6] == 0.0 and got[7] == 0.0
+    assert got[0] == pytest.approx(1999 / 2000, abs=1e-6) and got[1] == pytest.approx(1999 / 2000, abs=1e-6)
+    assert got[2] == pytest.approx(39 * 16 / (40 * 29), abs=1e-6) and got[3] == pytest.approx(39 * 15 / (40 * 28), abs=1e-6)
+    assert got[4] == pytest.approx(59 / 60, abs=1e-6) and got[5] == 0.0
+
+
 def test_found_counts_a_row_once_and_reads_long_texts(spark):
     long = "".join(f"sentence number {i} says nothing new. " for i in range(20000))
     d = frame(spark, "same words again and again\n" * 9, long, None, "")
