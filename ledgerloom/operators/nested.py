@@ -17,6 +17,7 @@ Other columns of the input are ignored, whatever they are called.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,16 +46,87 @@ def _as_nodes(x) -> list[dict]:
     return []
 
 
+class _Sign(str):
+    """A piece of JSON between values."""
+
+
 def _text(x) -> str | None:
+    """A string as it is, anything else as JSON, with its own stack."""
     if x is None or isinstance(x, str):
         return x
-    return json.dumps(_plain(x), ensure_ascii=False)
-
-
-def _plain(x):
-    if isinstance(x, _Pairs):
-        return {k: _plain(v) for k, v in x}
-    return [_plain(v) for v in x] if isinstance(x, list) else x
+    out, left = [], [x]
+    while left:
+        v = left.pop()
+        if isinstance(v, _Sign):
+            out.append(v)
+        elif isinstance(v, list):
+            ends, parts = ("{}", [[_Sign(f"{json.dumps(k, ensure_ascii=False)}: "), w] for k, w in dict(v).items()]) if isinstance(v, _Pairs) else ("[]", [[w] for w in v])
+            row = [_Sign(ends[0])]
+            for i, part in enumerate(parts):
+                row += [_Sign(", "), *part] if i else part
+            left += reversed([*row, _Sign(ends[1])])
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
+
+
+BLANK = re.compile(r"[ \t\n\r]*")
+
+
+def _read(text: str):
+    """json.loads(text, object_pairs_hook=_Pairs) with its own stack, for texts too deep for that."""
+    scalar = json.JSONDecoder().raw_decode
+    holders: list[list] = []
+    keys: list[str | None] = []
+
+    def after(i: int) -> int:
+        return BLANK.match(text, i).end()
+
+    def key(i: int) -> tuple[str, int]:
+        i = after(i)
+        if text[i : i + 1] != '"':
+            raise ValueError(f"no key at {i}")
+        k, i = scalar(text, i)
+        i = after(i)
+        if text[i : i + 1] != ":":
+            raise ValueError(f"no colon at {i}")
+        return k, i + 1
+
+    i = 0
+    while True:
+        i = after(i)
+        c = text[i : i + 1]
+        if c == "{" or c == "[":
+            value = _Pairs() if c == "{" else []
+            i = after(i + 1)
+            if text[i : i + 1] != ("}" if c == "{" else "]"):
+                k, i = key(i) if c == "{" else (None, i)
+                holders.append(value)
+                keys.append(k)
+                continue
+            i += 1
+        else:
+            value, i = scalar(text, i)
+        while True:
+            i = after(i)
+            if not holders:
+                if i < len(text):
+                    raise ValueError(f"more at {i}")
+                return value
+            top = holders[-1]
+            named = isinstance(top, _Pairs)
+            top.append((keys[-1], value) if named else value)
+            c = text[i : i + 1]
+            if c == ",":
+                i += 1
+                if named:
+                    keys[-1], i = key(i)
+                break
+            if c != ("}" if named else "]"):
+                raise ValueError(f"not closed at {i}")
+            i += 1
+            value = holders.pop()
+            keys.pop()
 
 
 def _member(x) -> tuple[str | None, list[dict]]:
@@ -75,8 +147,11 @@ def label_tree(dims: str | None) -> list[dict]:
     if not dims or not dims.strip():
         return []
     try:
-        root = json.loads(dims, object_pairs_hook=_Pairs)
-    except (ValueError, RecursionError):
+        try:
+            root = json.loads(dims, object_pairs_hook=_Pairs)
+        except RecursionError:
+            root = _read(dims)
+    except ValueError:
         return []
     out: list[dict] = []
     pre = post = 0

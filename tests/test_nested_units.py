@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from ledgerloom.operators import nested, units
 
 FACTS = "fact_id bigint, doc_id string, context_ref string, dims string, kind string, concept string, unit_ref string, value double, scale string, text string, pre int, depth string"
@@ -46,6 +48,27 @@ def test_intervals_hold_exactly_the_ancestors():
             assert n["parent_path"] == (above[-1] if above else None)
 
 
+def test_any_depth_is_read():
+    deep = '{"axis": "A", "children": [' * 5000 + "]}" * 5000
+    got = nested.label_tree(deep)
+    assert len(got) == 5000 and got[-1]["depth"] == 5000 and got[-1]["parent_pre"] == 4999
+    assert nested.label_tree(deep[:-1]) == nested.label_tree(deep + "]") == []
+    held = "[" * 60000 + "]" * 60000
+    assert nested.label_tree(f'{{"axis": "A", "typed": {held}}}')[0]["typed"] == held
+
+
+def test_both_readers_agree():
+    r = random.Random(2)
+    texts = [json.dumps(tree(r), indent=r.choice([None, 1])) for _ in range(100)] + ['{"a": 1, "a": [NaN, -2e3, true, {}, [ ]], "b" : "\\u00e9\\""}', " null ", "3"]
+    for t in texts:
+        want = json.loads(t, object_pairs_hook=nested._Pairs)
+        assert repr(nested._read(t)) == repr(want) and type(nested._read(t)) is type(want)
+        assert nested._text(nested._Pairs([("k", want)])) == json.dumps({"k": json.loads(t)}, ensure_ascii=False)
+    for t in ["", "{", "[1,]", "[1 2]", '{"a"}', '{"a":1,}', "{1:2}", "]", "[1]]", '{"a":1]']:
+        with pytest.raises(ValueError):
+            nested._read(t)
+
+
 def test_odd_dims():
     assert nested.label_tree(None) == nested.label_tree("") == nested.label_tree("null") == nested.label_tree("{}") == nested.label_tree("[1, \"x\"") == nested.label_tree("3") == []
     plain = nested.label_tree('{"b:Axis": "m1", "a:Axis": null}')
