@@ -354,13 +354,18 @@ def style_tree(leaf_rows: DataFrame) -> DataFrame:
 
 
 def clean_pages(df: DataFrame, key: str = "fact_id", host: str = "edinet_code", html: str = "html") -> DataFrame:
-    """key, clean: the text of each page without branches of low importance. Pages are distinct by key."""
+    """key, clean: the text of each page without branches of low importance. Pages are distinct by key.
+
+    A page of which no leaf is left has an empty text, one without html a null.
+    """
+    every = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(F.col(html).isNotNull()).alias("some"))
     pages = df.select(F.col(key).alias("id"), F.coalesce(F.col(host), F.lit("")).alias("host"), F.col(html).alias("html")).where("id IS NOT NULL AND html IS NOT NULL").dropDuplicates(["id"])
     leaf_rows = pages.mapInPandas(_trees, LEAVES)
     dull = style_tree(leaf_rows).where((F.col("pages") >= MIN_PAGES) & (F.col("content_importance") < LEAST_IMPORTANCE) & (F.col("look_importance") < LEAST_IMPORTANCE)).select("host", "path")
     kept = leaf_rows.join(dull, ["host", "path"], "left_anti")
     back = kept.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "text"))).alias("parts"))
-    return back.select(F.col("id").alias(key), _written(F.col("parts")).alias("clean"))
+    texts = back.select("id", _written(F.col("parts")).alias("clean"))
+    return every.join(texts, "id", "left").select(F.col("id").alias(key), F.when(F.col("some"), F.coalesce("clean", F.lit(""))).alias("clean"))
 
 
 @F.pandas_udf(T.StringType())

@@ -155,6 +155,13 @@ def test_boilerplate_of_a_host_goes(spark):
     assert markup.with_markup(d).count() == 33 and markup.with_markup(d.limit(0)).count() == 0
 
 
+def test_pages_without_a_leaf_keep_their_row(spark):
+    rows = [(i, "h", f"<div class='nav'>Home</div><p>text {i}</p>") for i in range(30)] + [(90, "h", "<div class='nav'>Home</div>"), (91, "h", ""), (92, "h", "<!-- c -->"), (93, "h", "<script>x</script>"), (94, "h", None), (95, None, None), (96, None, "<p>a</p>"), (None, "h", "<p>a</p>")]
+    d = spark.createDataFrame(rows, "fact_id bigint, edinet_code string, html string")
+    got = [tuple(r) for r in markup.clean_pages(d.unionByName(d)).collect()]
+    assert len(got) == 37 and {k: v for k, v in got if k >= 90} == {90: "", 91: "", 92: "", 93: "", 94: None, 95: None, 96: "a"}
+
+
 # Look-alikes
 
 
