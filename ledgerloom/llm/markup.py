@@ -303,13 +303,13 @@ def _mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def presentation_nodes(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
-    """fact_id, host, kind: the presentation nodes of each text's tree. No shuffle."""
+    """fact_id, host, kind: the markup constructs of each text, by regular expressions; no tree is built. No shuffle."""
     two = df.select(F.col(key).alias("fact_id"), F.col(host).alias("host"), F.col(text).alias("text"))
     return two.where(F.col("fact_id").isNotNull() & F.col("text").rlike(SIGNS)).mapInPandas(_mark, NODES)
 
 
 def with_markup(df: DataFrame, key: str = "fact_id", host: str = "edinet_code", text: str = "text") -> DataFrame:
-    """Keys of texts whose tree holds a presentation node."""
+    """Keys of texts that hold a construct of markup."""
     return presentation_nodes(df, key, host, text).select(F.col("fact_id").alias(key)).distinct()
 
 
