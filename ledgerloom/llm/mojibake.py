@@ -1,6 +1,7 @@
 """Text decoded with the wrong encoding: expectation-maximization over latent encoding chains.
 
-A body is cut into its text segments (between tags and line ends). Each segment hides a chain: none,
+A body is cut into its segments (texts between tags and line ends, attribute values, comments; a run
+of windows-1252 among other characters is one of its own). Each segment hides a chain: none,
 or one of CHAINS (what the bytes were, what they were taken for), or `lost`, a chain that kept too
 little to be named. The likelihood of a chain is that of the text it leads back to, under a
 character model whose syllable frequencies come from the corpus itself. Short segments say little
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import cut
 
-SEGMENT = re.compile(r"<(/?)([A-Za-z][\w:.-]*)[^<>]*>|<[?!][^<>]*>|([^<>\n]+)")
+SEGMENT = re.compile(r"<(/?)([A-Za-z][\w:.-]*)([^<>]*)>|<!--([^<>]*)-->|<[?!][^<>]*>|([^<>\n]+)")
+VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|=([^\s\"'<>]+)")
 NAMED = re.compile(r"<\?xml[^>]*encoding\s*=\s*[\"']([\w-]+)", re.I)
 FIELDS = {"TITLE": "title", "P": "text", "SPAN": "text", "TD": "cell", "TH": "cell", "TE": "cell", "TU": "cell"}
 
@@ -48,6 +50,9 @@ CHAINS: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = (
 NAMES = ("none", *[n for n, _ in CHAINS], "lost")
 #: Windows-1252 characters back to their bytes; what it doesn't define passes as Latin-1.
 LATIN = {ord(bytes([b]).decode("cp1252")): b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+#: Characters that are no byte of windows-1252; runs of those that are; syllables that are no accented capitals within a Latin word.
+_BYTES = r"\x00-\xff\ufffd" + "".join(map(chr, LATIN))
+OTHER, RUN, SYLLABLES = re.compile(f"[^{_BYTES}]"), re.compile(f"[{_BYTES}]+"), re.compile("[가-힣]{2}|(?<![A-Za-z])[가-힣](?![A-Za-z])")
 IMPOSSIBLE = -1e9
 LOST_MARK = "�"
 
@@ -138,14 +143,38 @@ class Model:
         return out
 
 
+def _cut(text: str, start: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of a segment that hide one chain each.
+
+    Other characters make the latin chains impossible for the whole segment, so a run of latin ones
+    beside them is a part of its own where one of these chains leads back to syllables and loses none.
+    """
+    runs = [m for m in RUN.finditer(text) if not m.group().isascii()] if OTHER.search(text) else []
+    at = 0
+    for m in runs:
+        if any(SYLLABLES.search(was) for _, steps in CHAINS if steps[0][0] == "latin" and (was := back(m.group(), steps)) is not None):
+            if not text[at : m.start()].isascii():
+                yield start + at, start + m.start()
+            yield start + m.start(), start + m.end()
+            at = m.end()
+    if not text[at:].isascii():
+        yield start + at, start + len(text)
+
+
 def segments(body: str) -> Iterator[tuple[str, int, int]]:
-    """(field, start, end) of each text segment that isn't plain ASCII."""
+    """(field, start, end) of each part of text, attribute values and comments that isn't plain ASCII."""
     field = "other"
     for m in SEGMENT.finditer(body):
         if m.group(2):
             field = "other" if m.group(1) else FIELDS.get(m.group(2).upper(), "other")
-        elif m.group(3) and not m.group(3).isascii():
-            yield field, m.start(3), m.end(3)
+            where = [("other", v.start(g), v.end(g)) for v in VALUE.finditer(body, m.start(3), m.end(3)) for g in (1, 2, 3) if v.group(g)] if not m.group(3).isascii() else []
+        elif m.group(4):
+            where = [("other", m.start(4), m.end(4))]
+        else:
+            where = [(field, m.start(5), m.end(5))] if m.group(5) else []
+        for f, a, z in where:
+            if not body[a:z].isascii():
+                yield from ((f, x, y) for x, y in _cut(body[a:z], a))
 
 
 def source_of(body: str, cls: str | None) -> str:

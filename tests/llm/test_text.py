@@ -219,6 +219,19 @@ def test_found_and_repaired(spark):
     assert mojibake.found(d.limit(0)).count() == 0
 
 
+def test_garbled_beside_intact_and_in_attributes_and_comments(spark):
+    r = random.Random(8)
+    rows = [(str(i), "Y", body(*(r.choice(GOOD) for _ in range(6))), 1) for i in range(60)]
+    wrong = [GOOD[0].encode("cp949").decode("latin-1"), GOOD[0].encode().decode("latin-1")]
+    mixed = [f(x) for x in (*wrong, GOOD[0]) for f in (lambda x: body(f"{GOOD[1]} {x} {GOOD[3]}"), lambda x: body(GOOD[1]) + f'<TD ALT="{x}" N=3>1</TD>', lambda x: body(GOOD[1]) + f"<!-- {x} -->")]
+    rows += [(f"M{i}", "Y", m, 1) for i, m in enumerate(mixed)]
+    rows += [("F", "Y", body(f"{GOOD[1]} créée à DISTRIBUIÇÃO, INFORMAÇÕES {GOOD[3]}"), 1)]
+    d = spark.createDataFrame(rows, "rcept_no string, corp_cls string, body string, key int")
+    assert sorted(x[0] for x in mojibake.found(d).collect()) == [f"M{i}" for i in range(6)]
+    fixed = {x["rcept_no"]: x["body"] for x in mojibake.repair(d).collect()}
+    assert fixed == {f"M{i}": mixed[6 + i % 3] for i in range(6)}
+
+
 @pytest.mark.parametrize("unit", ["<!--", "[[", "{|\n", "\\(", "\\[", " ", "[http://a ", "'''", "`", "== a ", "<table>", "\\begin{tabular}", "| ---", "$^"])
 def test_long_odd_texts_take_linear_time(unit):
     t = unit * (120_000 // len(unit))
