@@ -10,7 +10,8 @@ stand where a list is expected. An object without `axis` names one node per key,
 key whose value is null gives a node without member. Entries of a list that are no objects are
 no nodes, and take no place among their siblings. Facts without a context (null or empty) keep
 their row in the fact table with a null context key, and add no context. Rows that come twice
-count once. The nodes of a context are the union over all distinct texts of `dims` that name it.
+count once. The nodes of a context are the union over all distinct texts of `dims` that name it,
+as one tree with one set of labels.
 Other columns of the input are ignored, whatever they are called.
 """
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,7 +52,7 @@ class _Sign(str):
 
 
 def _text(x) -> str | None:
-    """A string as it is, anything else as JSON, with its own stack."""
+    """A string as it is, anything else as JSON without blanks, with its own stack."""
     if x is None or isinstance(x, str):
         return x
     out, left = [], [x]
@@ -60,10 +61,10 @@ def _text(x) -> str | None:
         if isinstance(v, _Sign):
             out.append(v)
         elif isinstance(v, list):
-            ends, parts = ("{}", [[_Sign(f"{json.dumps(k, ensure_ascii=False)}: "), w] for k, w in dict(v).items()]) if isinstance(v, _Pairs) else ("[]", [[w] for w in v])
+            ends, parts = ("{}", [[_Sign(f"{json.dumps(k, ensure_ascii=False)}:"), w] for k, w in dict(v).items()]) if isinstance(v, _Pairs) else ("[]", [[w] for w in v])
             row = [_Sign(ends[0])]
             for i, part in enumerate(parts):
-                row += [_Sign(", "), *part] if i else part
+                row += [_Sign(","), *part] if i else part
             left += reversed([*row, _Sign(ends[1])])
         else:
             out.append(json.dumps(v, ensure_ascii=False))
@@ -189,13 +190,53 @@ def link_by_containment(nodes: list[dict]) -> None:
         holding.append(n)
 
 
+def merged_tree(texts: Iterable[str | None]) -> list[dict]:
+    """The nodes of one context in pre-order: the trees of its texts laid over each other, labelled once.
+
+    Nodes are one where their places, contents and ancestors agree; two contents at one place stand
+    side by side, each with its own children. Labels are the distinct ones of all texts.
+    """
+    trees = [t for t in map(label_tree, dict.fromkeys(texts)) if t]
+    if len(trees) < 2:
+        return trees[0] if trees else []
+    top: dict = {}
+    for nodes in trees:
+        under: dict = {None: top}
+        for n in nodes:
+            key = (int(n["node_path"].rpartition(".")[2]), *(n[c] or "" for c in CONTENT), *(n[c] is None for c in CONTENT))
+            row, kids = under[n["parent_pre"]].setdefault(key, (n, {}))
+            if row is not n:
+                row["labels"] = row["labels"] + [x for x in n["labels"] if x not in row["labels"]]
+            under[n["pre"]] = kids
+    out: list[dict] = []
+    post = 0
+    stack = [(iter(sorted(top.items(), key=lambda kv: kv[0])), None)]
+    while stack:
+        step = next(stack[-1][0], None)
+        if step is None:
+            owner = stack.pop()[1]
+            if owner is not None:
+                post += 1
+                owner["post"] = post
+            continue
+        _, (row, kids) = step
+        out.append(row)
+        row["pre"] = len(out)
+        stack.append((iter(sorted(kids.items(), key=lambda kv: kv[0])), row))
+    link_by_containment(out)
+    return out
+
+
+CONTENT = ("axis", "member", "typed", "node_order")
+
+
 def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
     for b in batches:
         rows = [
             (d, c, n["node_path"], n["axis"], n["pre"], n["post"], n["depth"], n["parent_pre"], n["parent_path"], n["member"], n["typed"], n["node_order"], n["labels"])
-            for d, c, t in zip(b["doc_id"], b["context_ref"], b["dims"], strict=True)
-            for n in label_tree(t)
+            for d, c, t in zip(b["doc_id"], b["context_ref"], b["texts"], strict=True)
+            for n in merged_tree(t)
         ]
         out = pd.DataFrame(rows, columns=columns)
         out["parent_pre"] = out["parent_pre"].astype("Int32")
@@ -206,36 +247,38 @@ def _named(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("context_ref").isNotNull() & (F.col("context_ref") != ""))
 
 
-def dimension_nodes(facts: DataFrame) -> DataFrame:
-    """One row per node of each context: its interval, its parent's, its path, axis, member and labels.
+def _texts(facts: DataFrame) -> DataFrame:
+    """doc_id, context_ref, texts: the distinct texts of `dims` of each context.
 
-    Repeated texts of `dims` fall together before the shuffle (partial aggregation), so a filing
-    with a third of all facts costs no more than its distinct contexts.
+    Repeated texts fall together before the one shuffle (partial aggregation), so a context with a
+    third of all facts costs no more than its distinct texts, which are its tree.
     """
-    texts = (
-        _named(facts)
-        .where(F.col("dims").isNotNull() & ~F.trim("dims").isin("", "[]", "{}", "null"))
-        .select("doc_id", "context_ref", "dims")
-        .distinct()
-    )
-    return texts.mapInPandas(_expand, NODE_SCHEMA)
+    said = _named(facts).where(F.col("dims").isNotNull() & ~F.trim("dims").isin("", "[]", "{}", "null"))
+    return said.groupBy("doc_id", "context_ref").agg(F.array_sort(F.collect_set("dims")).alias("texts"))
 
 
-def dimension_table(facts: DataFrame) -> DataFrame:
-    """dimension_nodes with one row per (context, place, content), whatever text of `dims` it came from."""
-    nodes = dimension_nodes(facts)
-    return nodes.groupBy(*[c for c in nodes.columns if c not in ("labels", "pre", "post", "parent_pre")]).agg(
-        F.min("pre").alias("pre"), F.min("post").alias("post"), F.min("parent_pre").alias("parent_pre"), F.max("labels").alias("labels")
-    )
+def dimension_nodes(facts: DataFrame) -> DataFrame:
+    """One row per node of each context: its interval, its parent's, its path, axis, member and labels."""
+    return _texts(facts).mapInPandas(_expand, NODE_SCHEMA)
+
+
+def node_places(facts: DataFrame) -> DataFrame:
+    """doc_id, context_ref, node_path, axis: the distinct places of each context's nodes, each context being whole where it is labelled."""
+    columns = ["doc_id", "context_ref", "node_path", "axis"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _expand(batches):
+            yield b[columns].drop_duplicates()
+
+    return _texts(facts).mapInPandas(run, "doc_id string, context_ref string, node_path string, axis string")
 
 
 def label_table(facts: DataFrame) -> DataFrame:
     """Labels of members, each pointing to its node."""
     return (
         dimension_nodes(facts)
-        .select("doc_id", "context_ref", "node_path", "pre", "member", F.explode("labels").alias("l"))
+        .select("doc_id", "context_ref", "node_path", "pre", "member", F.explode(F.array_distinct("labels")).alias("l"))
         .select("doc_id", "context_ref", "node_path", "pre", "member", F.col("l.lang").alias("lang"), F.col("l.text").alias("label"))
-        .distinct()
     )
 
 

@@ -10,11 +10,11 @@ from ledgerloom.session import table
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return nested.dimension_nodes(table(spark, d, "edinet_xbrl")).select("doc_id", "context_ref", "node_path", "axis").distinct()
+    return nested.node_places(table(spark, d, "edinet_xbrl"))
 
 
 def p3_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return nested.dimension_table(table(spark, d, "edinet_xbrl")).drop("labels")
+    return nested.dimension_nodes(table(spark, d, "edinet_xbrl")).drop("labels")
 
 
 def p3_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -70,13 +70,29 @@ def _amounts_sql() -> str:
 
 
 def _expand(x: str) -> str:
-    """The nodes at one place as a list of (axis, children): a list, a node, or a plain object with a node per key."""
+    """The nodes at one place as a list of (axis, member, ...): a list, a node, or a plain object with a node per key."""
     items = f"list_filter(CASE json_type({x}) WHEN 'ARRAY' THEN json_extract({x}, '$[*]') ELSE [{x}] END, lambda e: json_type(e) = 'OBJECT')"
-    node = "CASE WHEN json_exists(e, '$.axis') THEN [{'axis': e->>'$.axis', 'ch': e->'$.children'}] ELSE list_transform(json_keys(e), lambda k: {'axis': k, 'ch': NULL::JSON}) END"
-    return f"flatten(list_transform({items}, lambda e: {node}))"
-
+    one = "{'axis': e->>'$.axis', 'ch': e->'$.children', 'member': CASE WHEN json_type(e->'$.member') = 'OBJECT' THEN e->>'$.member.qname' ELSE e->>'$.member' END, 'typed': e->>'$.typed', 'ord': e->>'$.order', 'labels': e->'$.member.labels'}"
+    each = "{'axis': k, 'ch': NULL::JSON, 'member': json_extract_string(e, '$.\"' || k || '\"'), 'typed': NULL::VARCHAR, 'ord': NULL::VARCHAR, 'labels': NULL::JSON}"
+    return f"flatten(list_transform({items}, lambda e: CASE WHEN json_exists(e, '$.axis') THEN [{one}] ELSE list_transform(json_keys(e), lambda k: {each}) END))"
+
+
+_PATH = "coalesce(parent_path || '.', '') || i"
+#: One link of a chain; chr(1) comes before every character of a content.
+_LINK = "lpad(i::VARCHAR, 6, '0') || coalesce(s.axis, '') || chr(2) || coalesce(s.member, '') || chr(2) || coalesce(s.typed, '') || chr(2) || coalesce(s.ord, '') || chr(1)"
+#: The distinct nodes of each context with the chain of places and contents above them, c, in which a chain begins the chains of its branch.
+_NODES_SQL = f"""WITH RECURSIVE d AS (SELECT DISTINCT doc_id, context_ref, dims::JSON AS j FROM edinet_xbrl WHERE context_ref <> '' AND json_valid(dims)),
+     w AS (SELECT doc_id, context_ref, unnest(l) AS s, generate_subscripts(l, 1) AS i, 1 AS depth, '' AS above, NULL::VARCHAR AS parent_path FROM (SELECT *, {_expand('j')} AS l FROM d)
+       UNION ALL SELECT doc_id, context_ref, unnest(l), generate_subscripts(l, 1), depth + 1, above || {_LINK}, {_PATH} FROM (SELECT *, {_expand('s.ch')} AS l FROM w WHERE s.ch IS NOT NULL)),
+     n AS (SELECT DISTINCT doc_id, context_ref, {_PATH} AS node_path, s.axis AS axis, depth, parent_path, s.member AS member, s.typed AS typed, s.ord AS node_order, above || {_LINK} AS c, above FROM w),
+     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, context_ref ORDER BY c) AS pre FROM n),
+     z AS (SELECT a.*, a.pre + (SELECT count(*) FROM r b WHERE b.doc_id = a.doc_id AND b.context_ref = a.context_ref AND starts_with(b.c, a.c) AND b.c <> a.c) - a.depth + 1 AS post FROM r a)"""
 
 ORACLES = {
+    "p3_nodes": f"""{_NODES_SQL} SELECT z.doc_id, z.context_ref, z.node_path, z.axis, z.depth, z.parent_path, z.member, z.typed, z.node_order, z.pre, z.post, p.pre AS parent_pre
+     FROM z LEFT JOIN z p ON p.doc_id = z.doc_id AND p.context_ref = z.context_ref AND p.c = z.above""",
+    "p3_labels": f"""{_NODES_SQL}, m AS (SELECT DISTINCT doc_id, context_ref, above || {_LINK} AS c, unnest(json_extract(s.labels, '$[*]')) AS l FROM w WHERE s.labels IS NOT NULL)
+     SELECT DISTINCT z.doc_id, z.context_ref, z.node_path, z.pre, z.member, m.l->>'$.lang' AS lang, m.l->>'$.text' AS label FROM z JOIN m USING (doc_id, context_ref, c)""",
     "p3_found": f"""WITH RECURSIVE d AS (SELECT DISTINCT doc_id, context_ref, dims::JSON AS j FROM edinet_xbrl WHERE context_ref <> '' AND json_valid(dims)),
      n AS (SELECT doc_id, context_ref, unnest(l) AS s, generate_subscripts(l, 1)::VARCHAR AS node_path FROM (SELECT *, {_expand('j')} AS l FROM d)
        UNION ALL SELECT doc_id, context_ref, unnest(l) AS s, node_path || '.' || generate_subscripts(l, 1) AS node_path FROM (SELECT *, {_expand('s.ch')} AS l FROM n WHERE s.ch IS NOT NULL))

@@ -63,7 +63,7 @@ def test_both_readers_agree():
     for t in texts:
         want = json.loads(t, object_pairs_hook=nested._Pairs)
         assert repr(nested._read(t)) == repr(want) and type(nested._read(t)) is type(want)
-        assert nested._text(nested._Pairs([("k", want)])) == json.dumps({"k": json.loads(t)}, ensure_ascii=False)
+        assert nested._text(nested._Pairs([("k", want)])) == json.dumps({"k": json.loads(t)}, ensure_ascii=False, separators=(",", ":"))
     for t in ["", "{", "[1,]", "[1 2]", '{"a"}', '{"a":1,}', "{1:2}", "]", "[1]]", '{"a":1]']:
         with pytest.raises(ValueError):
             nested._read(t)
@@ -81,12 +81,30 @@ def test_tables_link_and_count_once(spark):
     d = '[{"axis":"x","member":{"qname":"q","labels":[{"lang":"en","text":"t"}]},"children":{"axis":"y"}}]'
     rows = [(1, "d", "c", d, "num", "A", None, 1.0, None, "1", 9, "z"), (1, "d", "c", d, "num", "A", None, 1.0, None, "1", 9, "z"), (2, "d", "c", None, "num", "A", None, 1.0, None, "1", 9, "z"), (3, "d", "", d, "num", "A", None, 1.0, None, "1", 9, "z"), (4, None, None, "[]", None, None, None, None, None, None, None, None)]
     f = spark.createDataFrame(rows, FACTS)
-    nodes = {r["node_path"]: r for r in nested.dimension_table(f).collect()}
+    nodes = {r["node_path"]: r for r in nested.dimension_nodes(f).collect()}
     assert set(nodes) == {"1", "1.1"} and nodes["1.1"]["parent_path"] == "1" and nodes["1.1"]["parent_pre"] == nodes["1"]["pre"]
     assert [tuple(r)[-2:] for r in nested.label_table(f).collect()] == [("en", "t")]
     assert nested.dimension_nodes(f.limit(0)).count() == 0
 
 
+def test_texts_of_one_context_make_one_labelled_tree(spark):
+    r = random.Random(5)
+    say = lambda c, d: (1, "d", c, d, "num", "A", None, 1.0, None, "1", 9, "z")
+    two = [say("c", '[{"axis":"x"},{"axis":"y"}]'), say("c", '[{"axis":"x","children":[{"axis":"k"}]},{"axis":"y"}]'), say("c", '[ {"axis":"x"} , {"axis":"z"} ]')]
+    got = {(n["node_path"], n["axis"]): n for n in nested.dimension_nodes(spark.createDataFrame(two, FACTS)).collect()}
+    assert {k: (n["pre"], n["post"], n["parent_pre"]) for k, n in got.items()} == {("1", "x"): (1, 2, None), ("1.1", "k"): (2, 1, 1), ("2", "y"): (3, 3, None), ("2", "z"): (4, 4, None)}
+    for _ in range(60):
+        texts = [json.dumps([tree(r) for _ in range(r.randint(0, 3))]) for _ in range(3)]
+        nodes = nested.merged_tree(texts)
+        assert {(n["node_path"], n["axis"]) for n in nodes} == {(p, a) for t in texts for p, a, _ in brute(t)}
+        assert [n["pre"] for n in nodes] == sorted(n["post"] for n in nodes) == list(range(1, len(nodes) + 1))
+        for n in nodes:
+            holding = [p["node_path"] for p in nodes if p["pre"] < n["pre"] and p["post"] > n["post"]]
+            assert holding == [n["node_path"].rsplit(".", k)[0] for k in range(n["depth"] - 1, 0, -1)]
+    deep = '{"axis":"A","children":[' * 20000 + "]}" * 20000
+    assert len(nested.label_tree(deep)) == 20000
+
+
 UNITS = [("jpy", "money_jpy", "jpy", 1.0), ("jpy_thousand", "money_jpy", "jpy", 1e3), ("jpy_million", "money_jpy", "jpy", 1e6), ("percent", "ratio", "pure", 0.01), ("pure", "ratio", "pure", 1.0), ("tsubo", "area", "square_metre", 3.305785), ("square_metre", "area", "square_metre", 1.0)]
 
 
