@@ -5,8 +5,7 @@ key and matched to unit codes by a join with the alias table; the unit is the fi
 field, the unit in the text, and the source's default; then factor (and offset, where a dimension
 has one) apply.
 
-Defined results: a null value is read from the printed text where that holds one number, else the
-amount is null. An unknown or missing unit gives null unit, dimension and amount unless a default
+Defined results: a null value is read from the printed text (its first number), else the amount is null. An unknown or missing unit gives null unit, dimension and amount unless a default
 is named. A scale that is null, blank or no integer counts as 0. Rows that come twice count once.
 An empty table gives an empty result; other columns are ignored, whatever they are called.
 """
@@ -80,21 +79,21 @@ def alias_table(spark: SparkSession, units: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "unit_key string, unit_code string").join(F.broadcast(known), "unit_code")
 
 
-def in_base_units(facts: DataFrame, units: DataFrame, defaults: DataFrame | None = None, offsets: dict[str, float] | None = None) -> DataFrame:
-    """One row per numeric fact: its unit, dimension and amount in the base unit.
+def based(facts: DataFrame, units: DataFrame, defaults: DataFrame | None = None, offsets: dict[str, float] | None = None) -> DataFrame:
+    """One row per row of a numeric fact: its unit, dimension and amount in the base unit. No shuffle but for defaults.
 
     defaults: (concept, unit_code), the unit that a source leaves out. offsets: by unit code, added after the factor.
     """
     spark = facts.sparkSession
-    alias = F.broadcast(alias_table(spark, units).select("unit_key", "unit_code"))
-    codes = F.broadcast(units.select("unit_code", "dimension", "base_unit", "factor").dropDuplicates(["unit_code"]))
-    f = (
-        facts.where(F.col("kind") == "num")
-        .select("fact_id", "doc_id", "concept", "context_ref", "unit_ref", "value", "scale", "text")
-        .dropDuplicates(["fact_id"])
-        .withColumn("field_key", spelling_key(F.col("unit_ref")))
-        .withColumn("text_key", printed_unit_key(F.col("text")))
-    )
+    alias = F.broadcast(alias_table(spark, units).select("unit_key", "unit_code"))  # size bound: the fixed list of spellings
+    codes = F.broadcast(units.select("unit_code", "dimension", "base_unit", "factor").dropDuplicates(["unit_code"]))  # and its unit codes
+    f = facts.where(F.col("kind") == "num").select(
+        "fact_id", "doc_id", "concept", "context_ref", "value",
+        F.coalesce(F.col("scale").try_cast("int"), F.lit(0)).alias("shift"),
+        spelling_key(F.col("unit_ref")).alias("field_key"),
+        printed_unit_key(F.col("text")).alias("text_key"),
+        F.coalesce("value", printed_number(F.col("text"))).alias("number"),
+    )
     f = f.join(alias.withColumnsRenamed({"unit_key": "field_key", "unit_code": "field_unit"}), "field_key", "left")
     f = f.join(alias.withColumnsRenamed({"unit_key": "text_key", "unit_code": "text_unit"}), "text_key", "left")
     if defaults is not None:
@@ -103,30 +102,41 @@ def in_base_units(facts: DataFrame, units: DataFrame, defaults: DataFrame | None
     else:
         f = f.withColumn("default_unit", F.lit(None).cast("string"))
     f = f.withColumn("unit_code", F.coalesce("field_unit", "text_unit", "default_unit")).join(codes, "unit_code", "left")
-    number = F.coalesce("value", printed_number(F.col("text")))
-    shift = F.coalesce(F.col("scale").try_cast("int"), F.lit(0))
-    amount = number * F.pow(F.lit(10.0), shift) * F.col("factor")
+    amount = F.col("number") * F.pow(F.lit(10.0), F.col("shift")) * F.col("factor")
     for code, by in (offsets or {}).items():
         amount = F.when(F.col("unit_code") == code, amount + F.lit(by)).otherwise(amount)
     return f.select("fact_id", "doc_id", "concept", "context_ref", "value", "unit_code", "dimension", "base_unit", amount.alias("amount"))
 
 
-def equal_amounts(amounts: DataFrame, tolerance: float = 1e-5) -> DataFrame:
+def in_base_units(facts: DataFrame, units: DataFrame, defaults: DataFrame | None = None, offsets: dict[str, float] | None = None) -> DataFrame:
+    """based() with one row per fact."""
+    return based(facts, units, defaults, offsets).dropDuplicates(["fact_id"])
+
+
+def equal_amounts(amounts: DataFrame, stated: DataFrame | None = None, tolerance: float = 1e-5) -> DataFrame:
     """Pairs of facts of one filing, concept and context that state one amount by different values.
 
-    A band join turned into an equality join: amounts fall into logarithmic bins as wide as the
-    tolerance, and each left row looks into its own bin and the two beside it.
+    Groups of one value make no pair. Which groups have several is asked of `stated` (the facts, or
+    else the amounts) by an aggregate, before which the rows of a hot group fall together; only
+    those go on to the band join. That is an equality join on logarithmic bins as wide as the
+    tolerance: each left row looks into its own bin and the two beside it. Groups are shuffled by
+    the digest of their names.
     """
-    a = amounts.where(
-        F.col("value").isNotNull() & F.col("amount").isNotNull() & ~F.isnan("amount") & (F.col("amount") != 0) & (F.coalesce("context_ref", F.lit("")) != "") & F.col("doc_id").isNotNull() & F.col("concept").isNotNull()
+    named = (F.coalesce("context_ref", F.lit("")) != "") & F.col("doc_id").isNotNull() & F.col("concept").isNotNull() & F.col("value").isNotNull()
+    group = F.unhex(F.md5(F.concat_ws("\x1f", "doc_id", "concept", "context_ref"))).alias("group")
+    several = (
+        (amounts if stated is None else stated).where(named).select(group, "value")
+        .groupBy("group").agg(F.min("value").alias("least"), F.max("value").alias("most")).where("least < most").select("group")
     )
     width = 2 * tolerance
-    a = a.select(
-        "fact_id", "value", "amount", "doc_id", "concept", "context_ref", "dimension",
-        F.signum("amount").cast("int").alias("sg"), F.floor(F.log(F.abs("amount")) / F.lit(width)).alias("bin"),
+    a = amounts.where(named & F.col("amount").isNotNull() & ~F.isnan("amount") & (F.col("amount") != 0)).select(
+        group, "fact_id", "value", "amount", F.xxhash64("dimension").alias("dim"), F.floor(F.log(F.abs("amount")) / F.lit(width)).alias("bin"),
     )
-    key = ["doc_id", "concept", "context_ref", "dimension", "sg", "bin"]
-    left = a.select(*key[:-1], F.col("fact_id").alias("l"), F.col("value").alias("lv"), F.col("amount").alias("la"), F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
+    a = a.join(several, "group", "left_semi")
+    key = ["group", "dim", "bin"]
+    bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin")
+    left = a.select("group", "dim", F.col("fact_id").alias("l"), F.col("value").alias("lv"), F.col("amount").alias("la"), bins)
     right = a.select(*key, F.col("fact_id").alias("r"), F.col("value").alias("rv"), F.col("amount").alias("ra"))
     same = F.abs(F.col("la") - F.col("ra")) <= F.lit(tolerance) * F.greatest(F.abs("la"), F.abs("ra"))
-    return left.join(right, key).where((F.col("l") < F.col("r")) & (F.col("lv") != F.col("rv")) & same).select(F.col("l").alias("left_id"), F.col("r").alias("right_id"))
+    pairs = left.join(right, key).where((F.col("l") < F.col("r")) & (F.col("lv") != F.col("rv")) & same)
+    return pairs.select(F.col("l").alias("left_id"), F.col("r").alias("right_id")).distinct()

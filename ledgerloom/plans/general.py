@@ -29,16 +29,14 @@ def p3_facts(spark: SparkSession, d: str) -> DataFrame:
     return nested.fact_table(table(spark, d, "edinet_xbrl"))
 
 
-def _amounts(spark: SparkSession, d: str) -> DataFrame:
-    return units.in_base_units(table(spark, d, "edinet_xbrl"), table(spark, d, "unit_codes"))
-
-
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return units.equal_amounts(_amounts(spark, d))
+    facts = table(spark, d, "edinet_xbrl")
+    return units.equal_amounts(units.based(facts, table(spark, d, "unit_codes")), facts.where("kind = 'num'"))
 
 
 def p6_amounts(spark: SparkSession, d: str) -> DataFrame:
-    return _amounts(spark, d).select("fact_id", "unit_code", "dimension", "base_unit", F.round("amount", 6).alias("amount"))
+    amounts = units.in_base_units(table(spark, d, "edinet_xbrl"), table(spark, d, "unit_codes"))
+    return amounts.select("fact_id", "unit_code", "dimension", "base_unit", F.round("amount", 6).alias("amount"))
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_nodes, p3_labels, p3_contexts, p3_facts, p6_found, p6_amounts)}
