@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut
+
 #: Spellings of units met in filings, after spelling_key(), by unit code.
 UNIT_ALIASES = {
     "jpy": "jpy yen 円 ¥ jpyen 日本円",
@@ -118,9 +120,9 @@ def equal_amounts(amounts: DataFrame, stated: DataFrame | None = None, tolerance
 
     Groups of one value make no pair. Which groups have several is asked of `stated` (the facts, or
     else the amounts) by an aggregate, before which the rows of a hot group fall together; only
-    those go on to the band join. That is an equality join on logarithmic bins as wide as the
-    tolerance: each left row looks into its own bin and the two beside it. Groups are shuffled by
-    the digest of their names.
+    those go on to the band join. That is an equality join on logarithmic bins more than twice as
+    wide as the tolerance: each left row looks into its own bin and the nearer one beside it.
+    Groups are shuffled by the digest of their names.
     """
     named = (F.coalesce("context_ref", F.lit("")) != "") & F.col("doc_id").isNotNull() & F.col("concept").isNotNull() & F.col("value").isNotNull()
     group = F.unhex(F.md5(F.concat_ws("\x1f", "doc_id", "concept", "context_ref"))).alias("group")
@@ -128,13 +130,13 @@ def equal_amounts(amounts: DataFrame, stated: DataFrame | None = None, tolerance
         (amounts if stated is None else stated).where(named).select(group, "value")
         .groupBy("group").agg(F.min("value").alias("least"), F.max("value").alias("most")).where("least < most").select("group")
     )
-    width = 2 * tolerance
+    place = F.log(F.abs("amount")) / F.lit(2.1 * tolerance)
     a = amounts.where(named & F.col("amount").isNotNull() & ~F.isnan("amount") & (F.col("amount") != 0)).select(
-        group, "fact_id", "value", "amount", F.xxhash64("dimension").alias("dim"), F.floor(F.log(F.abs("amount")) / F.lit(width)).alias("bin"),
+        group, "fact_id", "value", "amount", F.xxhash64("dimension").alias("dim"), F.floor(place).alias("bin"), (place - F.floor(place) < 0.5).alias("low"),
     )
-    a = a.join(several, "group", "left_semi")
+    a = cut(a.join(several, "group", "left_semi"))  # two readers, one pass over the facts
     key = ["group", "dim", "bin"]
-    bins = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin")
+    bins = F.explode(F.array(F.col("bin"), F.col("bin") + F.when(F.col("low"), -1).otherwise(1))).alias("bin")
     left = a.select("group", "dim", F.col("fact_id").alias("l"), F.col("value").alias("lv"), F.col("amount").alias("la"), bins)
     right = a.select(*key, F.col("fact_id").alias("r"), F.col("value").alias("rv"), F.col("amount").alias("ra"))
     same = F.abs(F.col("la") - F.col("ra")) <= F.lit(tolerance) * F.greatest(F.abs("la"), F.abs("ra"))
