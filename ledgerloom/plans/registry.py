@@ -1,33 +1,22 @@
-"""All registered queries and their SQL; those for training data join in only where their subpackage is there."""
+"""All registered queries of the library and their SQL."""
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-CORE = ("ledgerloom.plans.general", "ledgerloom.plans.metrics", "ledgerloom.plans.pipelines", "ledgerloom.plans.conversion")
-OPTIONAL = ("ledgerloom.llm.queries",)
+from ledgerloom.plans import conversion, general, metrics, pipelines
 
-
-def _parts() -> list:
-    found = [importlib.import_module(m) for m in CORE]
-    for m in OPTIONAL:
-        try:
-            found.append(importlib.import_module(m))
-        except ModuleNotFoundError as e:
-            if not (e.name or "").startswith("ledgerloom.llm"):
-                raise
-    return found
+PARTS = (general, metrics, pipelines, conversion)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for m in _parts() for k, v in m.QUERIES.items()}
+    return {k: v for m in PARTS for k, v in m.QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    return {k: v for m in _parts() for k, v in m.ORACLES.items()}
+    return {k: v for m in PARTS for k, v in m.ORACLES.items()}
 
 
 def entry(spark: SparkSession, d: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,14 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; where it is unset (tests), one in the local temporary folder."""
+    """The shared folder of spark.checkpoint.dir. Where it is unset, a temporary one on a single machine; a cluster must name one."""
     sc = spark.sparkContext
     said = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    held = sc._jsc.sc().getCheckpointDir()
+    if not said and held.isDefined():
+        return held.get()
     if not said:
-        import tempfile
-
+        master = sc.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is unset: the cluster {master} must name a folder that all its machines share")
         said = os.path.join(tempfile.gettempdir(), "ledgerloom-checkpoint")
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if held.isEmpty():
         sc.setCheckpointDir(said)
     return said
 
