@@ -109,25 +109,51 @@ def bench_rollup(spark: SparkSession, d: str) -> DataFrame:
     return R.bench_summary(s).drop("min_chars", "max_chars")
 
 
+#: Headings that a report of each market may have, by hand.
+HEADINGS = {
+    "ashare": "第三节 管理层讨论与分析|第四节 公司治理|第八节 财务报告|十二、财务报表附注|合并资产负债表|环境与社会责任|公司 业务概要|其他",
+    "jpx": "第2【事業の状況】|第5【経理の状況】|監査報告書|事業等のリスク|注記 事項|連結損益計算書|沿革",
+    "twse": "資產負債表|會計師查核報告|財務報表附註|財務報表索引|風險管理|其他",
+    "kr": "재무제표|재무제표 주석|연결 재무 상태표|위험요소|기업지배구조",
+    "us": "Item 7. Management's Discussion and Analysis|Item 1A. Risk Factors|Notes to Financial Statements|Consolidated Balance Sheets|risk factors",
+}
+
+
 def map_section(spark: SparkSession, d: str) -> DataFrame:
-    return S.map_sections(X.filings(spark, d))
+    """Headings of all filings by their market's ontology, and a page of headings by hand for each customer."""
+    market = F.element_at(F.create_map(*[F.lit(x) for kv in (("jp", "jpx"), ("cn", "ashare"), ("tw", "twse"), ("kr", "kr")) for x in kv]), F.col("market"))
+    real = X.filings(spark, d).select("doc_id", F.coalesce(market, F.lit("us")).alias("market"), "md")
+    kinds = F.array(*[F.struct(F.lit(m).alias("market"), F.lit("".join(f"## {h}\n" for h in hs.split("|"))).alias("md")) for m, hs in HEADINGS.items()])
+    made = table(spark, d, "customer").select((-F.col("c_custkey")).alias("doc_id"), F.element_at(kinds, (F.col("c_custkey") % 5 + 1).cast("int")).alias("k"))
+    return S.map_sections(real.unionByName(made.select("doc_id", "k.market", "k.md")))
 
 
-def template_check(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.year("o_orderdate").alias("y"))
+def _reports(spark: SparkSession, d: str) -> DataFrame:
+    """A report per order: chapters of its year's template but every sixth, with a line of contents; key % 7 = 2 a chapter too many, key % 11 = 4 one of other issuers."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"))
     k = F.col("doc_id")
     period = F.concat((F.lit(2012) + k % 15).cast("string"), F.lit("-12-31"))
-    names = F.split(F.element_at(F.create_map(*[F.lit(x) for kv in S.TEMPLATES.items() for x in kv]), S.version_of(period)), r"\|")
+    names = F.element_at(F.create_map(*[x for v, ns in S.ANNUAL.items() for x in (F.lit(v), F.array(*map(F.lit, ns)))]), S.version_of(period))
     kept = F.filter(names, lambda x, i: (i + k) % 6 != 1)
-    md = F.array_join(F.transform(kept, lambda x, i: F.concat(F.lit("## 第"), i + 1, F.lit("节 "), x, F.lit("\n文"))), "\n")
-    docs = o.select("doc_id", F.when(k % 8 == 3, "q1").when(k % 8 == 5, "semiannual").otherwise("annual").alias("doc_type"), period.alias("report_period"), md.alias("md"))
-    return S.check_templates(docs)
+    kept = F.concat(kept, F.when(k % 7 == 2, F.array(F.lit("企业文化建设"))).otherwise(F.array().cast("array<string>")), F.when(k % 11 == 4, F.array(F.lit("致股东"))).otherwise(F.array().cast("array<string>")))
+    body = F.array_join(F.transform(kept, lambda x, i: F.concat(F.lit("## 第"), i + 1, F.lit("节 "), x, F.lit("\n文"))), "\n")
+    kind = F.when(k % 8 == 3, "q1").when(k % 8 == 5, "semiannual").when(k % 8 == 6, "amendment").otherwise("annual")
+    return o.select("doc_id", kind.alias("doc_type"), period.alias("report_period"), F.concat(F.lit("第一节 致股东......3\n"), body).alias("md"))
+
+
+def template_check(spark: SparkSession, d: str) -> DataFrame:
+    checked = S.check_templates(_reports(spark, d))
+    return checked.withColumns({c: F.array_join(c, "|") for c in ("missing", "extra")})
+
+
+def template_report(spark: SparkSession, d: str) -> DataFrame:
+    return S.template_report(template_check(spark, d))
 
 
 def focus_keywords(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "issuers").select("exchange", "market").distinct()
-    own = table(spark, d, "issuers").where("exchange = 'jpx'").select("exchange").distinct().select("exchange", F.lit("risk").alias("concept"), F.lit("リスク").alias("keyword"))
-    return S.focus_keywords(e, own)
+    """By the exchanges of the lists, and by those of the issuers that have a market of their own."""
+    mine = table(spark, d, "issuers").where("exchange = 'nse'").select("exchange", F.lit("us").alias("market")).distinct()
+    return S.focus_keywords(S.exchange_markets(spark).unionByName(mine), S.override_keywords(spark))
 
 
 def words(spark: SparkSession, d: str) -> DataFrame:
@@ -272,7 +298,7 @@ def version_stale(spark: SparkSession, d: str) -> DataFrame:
 
 NAMES = (
     xbrl_facts, facts_with_context, scope_counts, concept_rollup, concept_frequency, value_recall, pairing, pairing_report, control_pairing, variant_compare, q3q4_jump, truth_align, vendor_consistency,
-    bench_rollup, map_section, template_check, focus_keywords, row_clusters, table_blocks, col_bands, row_bands, word_to_cell, column_split, reading_order, page_stitch, table_dedup, merge_paragraphs, captions,
+    bench_rollup, map_section, template_check, template_report, focus_keywords, row_clusters, table_blocks, col_bands, row_bands, word_to_cell, column_split, reading_order, page_stitch, table_dedup, merge_paragraphs, captions,
     balance_sheet_lines, disclosure_class, dispatch, xml_sane, latest_receipts, xml_blocks, dart_markdown, html_cells, html_table_markdown, decode_sniff, front_matter, resume_todo, version_stale,
 )
 QUERIES = {f.__name__: f for f in NAMES}
@@ -293,10 +319,44 @@ PAIRS = f"""{NUMS}, t AS (SELECT doc_id, n AS fact_no, 'item' || ln AS key, a::D
    att AS (SELECT doc_id, count(*) AS tested, count(*) FILTER (status = 'hit') AS hit, round(count(*) FILTER (status = 'hit') / count(*), 6) AS rate FROM pairs GROUP BY doc_id)"""
 WORDS = """w0 AS (SELECT l_suppkey AS doc_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) - 1 AS seq, l_partkey AS p FROM lineitem),
    w AS (SELECT doc_id, seq // 24 + 1 AS page_no, seq, (seq % 2 * 300 + 50 + p % 3)::DOUBLE AS x0, (seq % 24 // 2 * 15 + 60)::DOUBLE AS y0, 'w' || (p % 50) AS text FROM w0)"""
-ONTO = ", ".join(f"('{m}', '{c}', {i}, '{k.replace(chr(39), chr(39) * 2)}')" for i, (c, ms) in enumerate(S.ONTOLOGY.items()) for m, ks in ms.items() for k in ks.split("|"))
-HF = lambda c: f"translate(regexp_replace({c}, '[\\s\\x{{3000}}]|\\.{{2,}}|[·．]{{2,}}', '', 'g'), '与與及', '和和和')"
-TPL = ", ".join(f"('{v}', '{t}', {len(xs)}, [{', '.join(repr(x) for x in xs)}])" for v in S.TEMPLATES for t, xs in (("annual", S.TEMPLATES[v].split("|")), ("semiannual", [x for x in S.TEMPLATES[v].split("|") if not (v == "2017" and x == "公司治理")])))
-VERSION = "CASE " + " ".join(f"WHEN y >= {lo} THEN '{v}'" for lo, v in S.FROM_YEAR) + " END"
+#: The ontology and the templates again, by hand, as the SQL's own values.
+ONTO = """('ashare','cover',0,'重要提示 目录 释义'),('ashare','company_profile',1,'公司简介 主要财务指标'),('ashare','business_overview',2,'公司业务概要'),
+      ('ashare','mda',3,'管理层讨论与分析 经营情况讨论与分析 董事会报告 公司业务概要'),('ashare','governance',4,'公司治理 公司治理、环境和社会'),('ashare','esg',5,'环境和社会 环境与社会 社会责任'),
+      ('ashare','material_events',6,'重要事项'),('ashare','shareholders',7,'股份变动及股东情况 股份变动 股东情况'),('ashare','bonds',8,'债券相关情况 公司债券相关情况'),
+      ('ashare','financial_report',9,'财务报告'),('ashare','financial_statements',10,'财务报告 财务报表 合并资产负债表 合并利润表 合并现金流量表'),('ashare','notes',11,'财务报表附注 附注'),
+      ('ashare','audit_report',12,'审计报告 审计意见'),('ashare','risk',13,'风险因素 风险'),
+      ('jpx','company_profile',0,'企業の概況 設備の状況'),('jpx','mda',1,'経営成績 事業の状況 経営に関する分析 財政状態'),('jpx','material_events',2,'提出会社の状況'),
+      ('jpx','shareholders',3,'株式事務の概要 大株主の状況'),('jpx','governance',4,'コーポレート・ガバナンス 企業統治'),('jpx','financial_report',5,'経理の状況'),
+      ('jpx','financial_statements',6,'財務諸表 連結貸借対照表 連結損益計算書 連結キャッシュ・フロー計算書'),('jpx','notes',7,'注記 注記事項'),('jpx','audit_report',8,'監査報告書 独立監査人'),('jpx','risk',9,'事業等のリスク リスク'),
+      ('twse','cover',0,'封面 目錄 目次 財務報表索引'),('twse','company_profile',1,'公司概況 公司沿革'),('twse','mda',2,'營運概況 經營狀況 營運之檢討與分析'),('twse','governance',3,'公司治理 公司治理情形'),
+      ('twse','financial_statements',4,'資產負債表 綜合損益表 現金流量表 權益變動表 財務報表'),('twse','notes',5,'財務報表附註 附註'),('twse','audit_report',6,'會計師查核報告 會計師核閱報告'),('twse','risk',7,'風險 風險管理'),
+      ('kr','mda',0,'경영진의_논의 사업의_내용 이사의_경영진단'),('kr','governance',1,'지배구조 기업지배구조'),('kr','financial_statements',2,'재무제표 연결_재무상태표 연결_손익계산서 연결_현금흐름표'),
+      ('kr','notes',3,'주석 재무제표_주석'),('kr','audit_report',4,'감사보고서 감사의견'),('kr','risk',5,'위험요소 리스크_관리'),
+      ('us','mda',0,'Management''s_Discussion_and_Analysis Management_Discussion_and_Analysis Discussion_and_Analysis_of_Financial_Condition'),
+      ('us','financial_statements',1,'Balance_Sheets Statements_of_Earnings Statements_of_Operations Statements_of_Income Statements_of_Comprehensive_Income Statements_of_Cash_Flows Statements_of_Changes Financial_Statements'),
+      ('us','notes',2,'Notes_to_Consolidated_Financial_Statements Notes_to_Financial_Statements Notes_to_the_Financial_Statements'),
+      ('us','audit_report',3,'Report_of_Independent_Registered_Public_Accounting_Firm Independent_Auditor'),('us','risk',4,'Risk_Factors'),('us','governance',5,'Corporate_Governance Directors,_Executive_Officers_and_Corporate_Governance')"""
+ONTOLOGY_SQL = f"o0(market, concept, ord, ks) AS (VALUES {ONTO}), o AS (SELECT market, concept, ord, replace(unnest(string_split(ks, ' ')), '_', ' ') AS keyword FROM o0)"
+HF = lambda c: f"translate(regexp_replace({c}, '[\\s\\x{{3000}}]|\\.{{2,}}|[·．]{{2,}}', '', 'g'), '与', '和')"
+TPL = """('2025', ['重要提示、目录和释义','公司简介和主要财务指标','管理层讨论与分析','公司治理、环境和社会','重要事项','股份变动及股东情况','债券相关情况','财务报告']),
+      ('2021', ['重要提示、目录和释义','公司简介和主要财务指标','管理层讨论与分析','公司治理','环境和社会责任','重要事项','股份变动及股东情况','优先股相关情况','债券相关情况','财务报告']),
+      ('2017', ['重要提示、目录和释义','公司简介和主要财务指标','公司业务概要','经营情况讨论与分析','重要事项','股份变动及股东情况','优先股相关情况','董事、监事、高级管理人员和员工情况','公司治理','公司债券相关情况','财务报告','备查文件目录']),
+      ('2016', ['重要提示、目录和释义','公司简介和主要财务指标','公司业务概要','经营情况讨论与分析','重要事项','股份变动及股东情况','优先股相关情况','董事、监事、高级管理人员和员工情况','公司治理','公司债券相关情况','财务报告','备查文件目录']),
+      ('2015', ['重要提示、目录和释义','公司简介和主要财务指标','公司业务概要','管理层讨论与分析','重要事项','股份变动及股东情况','优先股相关情况','董事、监事、高级管理人员和员工情况','公司治理','财务报告','备查文件目录']),
+      ('2014', ['重要提示、目录和释义','公司简介','会计数据和财务指标摘要','董事会报告','重要事项','股份变动及股东情况','优先股相关情况','董事、监事、高级管理人员和员工情况','公司治理','内部控制','财务报告','备查文件目录']),
+      ('2012', ['重要提示、目录和释义','公司简介','会计数据和财务指标摘要','董事会报告','重要事项','股份变动及股东情况','董事、监事、高级管理人员和员工情况','公司治理','内部控制','财务报告','备查文件目录'])"""
+_CF = lambda x: f"replace(replace({x}, '与', '和'), '、目录和', '')"
+_LIKE = f"(contains({_CF('x')}, {_CF('g')}) OR contains({_CF('g')}, {_CF('x')}))"
+CHECKED = f"""t(version, names) AS (VALUES {TPL}),
+      r AS (SELECT o_orderkey AS doc_id, 2012 + o_orderkey % 15 AS y, CASE o_orderkey % 8 WHEN 3 THEN 'q1' WHEN 5 THEN 'semiannual' WHEN 6 THEN 'amendment' ELSE 'annual' END AS doc_type FROM orders),
+      v AS (SELECT *, CASE WHEN y >= 2025 THEN '2025' WHEN y >= 2021 THEN '2021' WHEN y >= 2018 THEN '2017' WHEN y >= 2016 THEN '2016' WHEN y = 2015 THEN '2015' WHEN y >= 2013 THEN '2014' ELSE '2012' END AS version FROM r),
+      a AS (SELECT v.*, names, CASE WHEN doc_type = 'annual' THEN names WHEN doc_type = 'semiannual' AND version IN ('2025', '2021') THEN names WHEN doc_type = 'semiannual' AND version = '2017' THEN list_filter(names, lambda x: x <> '公司治理') END AS want FROM v JOIN t USING (version)),
+      f AS (SELECT *, [names[k] FOR k IN range(1, len(names) + 1) IF (k - 1 + doc_id) % 6 <> 1] || CASE WHEN doc_id % 7 = 2 THEN ['企业文化建设'] ELSE [] END || CASE WHEN doc_id % 11 = 4 THEN ['致股东'] ELSE [] END AS got,
+          CASE WHEN doc_type = 'amendment' THEN 'amendment' WHEN doc_type = 'q1' THEN 'quarterly' WHEN want IS NULL THEN 'no_template' WHEN doc_id % 11 = 4 OR (list_contains(names, '董事会报告') AND NOT list_contains(want, '董事会报告')) THEN 'off_template' END AS reason FROM a),
+      g AS (SELECT *, list_filter(want, lambda x: len(list_filter(got, lambda g: {_LIKE})) = 0) AS lost FROM f),
+      checked AS (SELECT doc_id, doc_type, version, CASE WHEN reason IS NULL THEN 'ok' ELSE 'skip' END AS status, reason, CASE WHEN reason IS NULL THEN len(want)::INT END AS expected,
+          CASE WHEN reason IS NULL THEN (len(want) - len(lost))::INT END AS found, CASE WHEN reason IS NULL THEN round((len(want) - len(lost)) / len(want), 6) END AS ratio, CASE WHEN reason IS NULL THEN lost END AS missing,
+          CASE WHEN reason IS NULL THEN list_filter(got, lambda x: length(x) > 3 AND len(list_filter(want, lambda g: {_LIKE})) = 0) END AS extra FROM g)"""
 RULES = "r AS (SELECT DISTINCT l_orderkey AS doc_id, (l_linenumber * 2 + CASE WHEN l_partkey % 4 = 0 THEN 100 ELSE 0 END)::DOUBLE AS y FROM lineitem)"
 ORACLES = {
     "xbrl_facts": f"WITH {FACTS} SELECT fact_id, concept, nullif(context_ref, '') AS context_ref, nullif(unit_ref, '') AS unit_ref, scale, text FROM f WHERE kind = 'num' AND contains(html, '<ix:non')",
@@ -314,17 +374,23 @@ ORACLES = {
     "vendor_consistency": f"WITH c AS (SELECT c_custkey AS k, abs({C.format('c_acctbal')}) AS a FROM customer) SELECT CASE WHEN k % 9 = 2 OR a = 0 THEN 'incomplete' WHEN k % 4 = 1 THEN 'inconsistent' END AS skip_reason, count(*) AS n FROM c GROUP BY 1",
     "bench_rollup": """WITH s AS (SELECT c_custkey % 3 AS m, c_custkey % 7 AS k FROM customer), t AS (SELECT CASE m WHEN 0 THEN 'cn' WHEN 1 THEN 'jp' ELSE 'tw' END AS market, k FROM s)
       SELECT coalesce(market, 'ALL') AS market, count(*) AS n, count(*) FILTER (k NOT IN (3, 5)) AS pass, count(*) FILTER (k = 3) AS fail, count(*) FILTER (k = 5) AS skip, round(count(*) FILTER (k NOT IN (3, 5)) / count(*), 6) AS pass_rate FROM t GROUP BY ROLLUP (market)""",
-    "map_section": rf"""WITH docs AS (SELECT DISTINCT ON (doc_id) * FROM filing_md), o(market, concept, ord, keyword) AS (VALUES {ONTO}),
-      ls AS (SELECT doc_id, market, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) - 1 AS line_no FROM docs WHERE md IS NOT NULL),
+    "map_section": rf"""WITH docs AS (SELECT DISTINCT ON (doc_id) * FROM filing_md), {ONTOLOGY_SQL},
+      mk(k, market, hs) AS (VALUES (0, 'ashare', '第三节 管理层讨论与分析|第四节 公司治理|第八节 财务报告|十二、财务报表附注|合并资产负债表|环境与社会责任|公司 业务概要|其他'), (1, 'jpx', '第2【事業の状況】|第5【経理の状況】|監査報告書|事業等のリスク|注記 事項|連結損益計算書|沿革'),
+        (2, 'twse', '資產負債表|會計師查核報告|財務報表附註|財務報表索引|風險管理|其他'), (3, 'kr', '재무제표|재무제표 주석|연결 재무 상태표|위험요소|기업지배구조'),
+        (4, 'us', 'Item 7. Management''s Discussion and Analysis|Item 1A. Risk Factors|Notes to Financial Statements|Consolidated Balance Sheets|risk factors')),
+      every AS (SELECT doc_id, CASE market WHEN 'jp' THEN 'jpx' WHEN 'cn' THEN 'ashare' WHEN 'tw' THEN 'twse' WHEN 'kr' THEN 'kr' ELSE 'us' END AS market, md FROM docs WHERE md IS NOT NULL
+        UNION ALL SELECT -c_custkey, mk.market, '## ' || replace(hs, '|', chr(10) || '## ') FROM customer JOIN mk ON c_custkey % 5 = k),
+      ls AS (SELECT doc_id, market, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) - 1 AS line_no FROM every),
       h AS (SELECT doc_id, market, line_no::INT AS line_no, regexp_replace(regexp_replace(line, '^[\s\x{{A0}}\x{{3000}}]+|[\s\x{{A0}}\x{{3000}}]+$', '', 'g'), '^#+\s*(?:[0-9]+[.．]\s*)?[【]?|[】]$', '', 'g') AS heading FROM ls WHERE regexp_matches(line, '^#{{1,4}}\s+\S')),
       j AS (SELECT doc_id, line_no, heading, concept, row_number() OVER (PARTITION BY doc_id, line_no ORDER BY length({HF('keyword')}) DESC, ord) AS rn FROM h JOIN o USING (market) WHERE contains({HF('heading')}, {HF('keyword')}))
       SELECT doc_id, line_no, heading, concept FROM j WHERE rn = 1""",
-    "template_check": f"""WITH t(version, doc_type, n, names) AS (VALUES {TPL}), o AS (SELECT o_orderkey AS doc_id, 2012 + o_orderkey % 15 AS y, CASE WHEN o_orderkey % 8 = 3 THEN 'q1' WHEN o_orderkey % 8 = 5 THEN 'semiannual' ELSE 'annual' END AS doc_type FROM orders),
-      v AS (SELECT *, {VERSION} AS version FROM o), a AS (SELECT v.*, t.n AS n, t.names AS want, b.names AS every FROM v LEFT JOIN t USING (version, doc_type) LEFT JOIN (SELECT version, names FROM t WHERE doc_type = 'annual') b USING (version)),
-      f AS (SELECT *, [replace(replace(every[k], '与', '和'), '、目录和', '') FOR k IN range(1, len(every) + 1) IF (k - 1 + doc_id) % 6 <> 1] AS got FROM a),
-      c AS (SELECT doc_id, version, n, len(list_filter(want, lambda x: len(list_filter(got, lambda g: contains(g, replace(replace(x, '与', '和'), '、目录和', '')) OR contains(replace(replace(x, '与', '和'), '、目录和', ''), g))) > 0)) AS found FROM f)
-      SELECT doc_id, version, CASE WHEN n IS NULL THEN 'skip' ELSE 'ok' END AS status, n AS expected, CASE WHEN n IS NOT NULL THEN found END AS found, CASE WHEN n IS NOT NULL THEN round(found / n, 6) END AS ratio FROM c""",
-    "focus_keywords": f"WITH o(market, concept, ord, keyword) AS (VALUES {ONTO}), e AS (SELECT DISTINCT exchange, market FROM issuers) SELECT exchange, concept, CASE WHEN exchange = 'jpx' AND concept = 'risk' THEN 'リスク' ELSE string_agg(DISTINCT keyword, '|' ORDER BY keyword) END AS keywords FROM e JOIN o USING (market) WHERE concept IN ({', '.join(repr(x) for x in S.FOCUS)}) GROUP BY exchange, market, concept",
+    "template_check": f"WITH {CHECKED} SELECT * REPLACE (array_to_string(missing, '|') AS missing, array_to_string(extra, '|') AS extra) FROM checked",
+    "template_report": f"WITH {CHECKED} SELECT doc_type, version, count(*) AS reports, round(median(ratio), 6) AS median_ratio, count(*) FILTER (ratio = 1) AS whole, round(count(*) FILTER (ratio = 1) / count(*), 6) AS whole_share FROM checked WHERE status = 'ok' GROUP BY doc_type, version",
+    "focus_keywords": f"""WITH {ONTOLOGY_SQL}, e(exchange, market) AS (VALUES ('sse', 'ashare'), ('szse', 'ashare'), ('bj', 'ashare'), ('jpx', 'jpx'), ('twse', 'twse'), ('tpex', 'twse'), ('ksc', 'kr'), ('koe', 'kr'), ('knx', 'kr'), ('nyse', 'us'), ('nasdaq', 'us'), ('otc', 'us'), ('nse', 'us')),
+      own(exchange, concept, ks) AS (VALUES ('bj', 'mda', '管理层讨论与分析|经营情况讨论与分析'), ('bj', 'financial_statements', '财务报告|财务报表'), ('bj', 'audit_report', '审计报告'), ('bj', 'risk', '风险因素'), ('bj', 'governance', '公司治理'),
+        ('knx', 'mda', '경영진의 논의|사업의 내용'), ('knx', 'financial_statements', '재무제표'), ('knx', 'notes', '주석'), ('knx', 'audit_report', '감사보고서'), ('knx', 'risk', '위험요소'), ('knx', 'governance', '지배구조')),
+      k AS (SELECT exchange, concept, string_agg(DISTINCT keyword, '|' ORDER BY keyword) AS ks FROM e JOIN o USING (market) WHERE concept IN ('mda', 'financial_statements', 'notes', 'audit_report', 'risk', 'governance') GROUP BY ALL)
+      SELECT k.exchange, k.concept, coalesce(own.ks, k.ks) AS keywords FROM k LEFT JOIN own USING (exchange, concept)""",
     "row_clusters": f"""WITH RECURSIVE {RULES}, k AS (SELECT doc_id, min(y) AS y, 0 AS row_no FROM r GROUP BY doc_id UNION ALL SELECT k.doc_id, (SELECT min(r.y) FROM r WHERE r.doc_id = k.doc_id AND r.y - k.y >= 3), row_no + 1 FROM k WHERE EXISTS (SELECT 1 FROM r WHERE r.doc_id = k.doc_id AND r.y - k.y >= 3)) SELECT doc_id, 1 AS page_no, row_no, y FROM k""",
     "table_blocks": f"WITH {RULES}, b AS (SELECT *, coalesce((y - lag(y) OVER (PARTITION BY doc_id ORDER BY y) >= 80)::INT, 0) AS brk FROM r), g AS (SELECT doc_id, y, sum(brk) OVER (PARTITION BY doc_id ORDER BY y) AS block_no FROM b) SELECT doc_id, 1 AS page_no, block_no::BIGINT AS block_no, count(*) AS n_rows, min(y) AS top, max(y) AS bottom FROM g GROUP BY doc_id, block_no HAVING count(*) >= 2",
     "col_bands": f"WITH {WORDS} SELECT doc_id, page_no, (dense_rank() OVER (PARTITION BY doc_id, page_no ORDER BY side) - 1)::BIGINT AS band_no, x0, x1, words FROM (SELECT doc_id, page_no, seq % 2 AS side, min(x0) AS x0, max(x0) + 40 AS x1, count(*) AS words FROM w GROUP BY ALL)",

@@ -161,10 +161,13 @@ def test_pairing_statuses_and_scale(spark):
 
 
 def test_section_ties_and_templates(spark):
-    d = docs(spark, "## 公司治理\n## 公司业务概要\n", "## 第一节 重要提示、目录和释义\n## 第二节 财务报告......12\n")
-    assert [r["concept"] for r in sections.map_sections(d).where("doc_id = 0").orderBy("line_no").collect()] == ["governance", "business"]
-    r = sections.check_templates(d).where("doc_id = 1").first()
-    assert (r["version"], r["expected"], r["found"]) == ("2021", 10, 1)
+    d = docs(spark, "## 公司治理\n## 公司业务概要\n", "第一节 重要提示、目录和释义\n## 第二节 财务报告......12\n第三节\n### 第四节 企业文化 建设\r\n", "第一节 致股东\n", "").withColumn("market", F.when(F.col("market").isNotNull(), "ashare"))
+    assert [r["concept"] for r in sections.map_sections(d).where("doc_id = 0").orderBy("line_no").collect()] == ["governance", "business_overview"]
+    got = {r["doc_id"]: r for r in sections.check_templates(d).collect()}
+    assert (got[1]["version"], got[1]["expected"], got[1]["found"], got[1]["extra"]) == ("2021", 10, 1, ["企业文化建设"]) and len(got[1]["missing"]) == 9
+    assert got[2]["reason"] == "off_template" and got[2]["ratio"] is None and got[3]["found"] == 0 and len(got[3]["missing"]) == 10
+    half = sections.check_templates(d.withColumn("doc_type", F.lit("semiannual")).withColumn("report_period", F.lit("2016-06-30"))).first()
+    assert half["reason"] == "no_template" and sections.check_templates(d.limit(0)).count() == 0
 
 
 def test_incremental(spark, tmp_path):
