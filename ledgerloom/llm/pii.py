@@ -7,17 +7,16 @@ the labelled table of pii_table (its number of lines is the bound of the sample)
 exact likelihood, and decoded by Viterbi over batches of segments of like length in numpy.
 
 An exact check follows the decoding: an address needs a number, a telephone number 7 to 20 digits (extensions and figures run on to it),
-an e-mail address its sign, an identity number enough digits, a name no digit and no company's form.
+an e-mail address its sign, an identity number enough digits, a name no digit.
 
 Defined results: null gives null and nothing found; empty and blank texts are returned as they are.
-Overlapping finds do not occur. Texts are read whole, however long: only a segment of more than
-LONGEST tokens is cut into windows that overlap, each token being taken from the window that holds
-more of its surroundings.
+Overlapping finds do not occur. Texts and segments are read whole, however long.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,10 +31,12 @@ from ledgerloom.session import spread
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
+K = len(LABELS)
 TOKEN = re.compile(r"\d+|[A-Za-zÀ-ɏ]+|[가-힣]+|[ぁ-ゟ]+|[゠-ヿ]+|[㐀-鿿々ヶ]|\S")
 SEGMENT = re.compile(r"(?<=[。！？])|\n|(?<=[a-zà-ÿ%0-9가-힣]{2}\.)[ \t]+")
 WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {0x3000: 0x20, 0x00A0: 0x20, 0x2010: 0x2D, 0x2011: 0x2D, 0x2013: 0x2D, 0x2212: 0x2D}
-LONGEST, OVERLAP = 400, 60
+#: Tokens whose features are made at once: a bound of memory that changes no result.
+TOGETHER = 20_000
 #: A cache of what a worker has decoded, by segment with its digits made alike; it changes no result.
 CACHED = 50_000
 
@@ -121,10 +122,7 @@ class Codes:
                 while j + 1 < n and (kinds[j + 1] == 1 or (kinds[j + 1] > 1 and j + 2 < n and (kinds[j + 2] == 1 or (kinds[j + 2] > 1 and j + 3 < n and kinds[j + 3] == 1)))):
                     j += 1
                 if j > i or toks[i][1] - toks[i][0] >= 5:
-                    if j - i < 16:
-                        text = "".join(("_" if m > i and toks[m - 1][1] < toks[m][0] else "") + (info[m][7] if kinds[m] == 1 else seg[toks[m][0]]) for m in range(i, j + 1))
-                    else:
-                        text = "long"
+                    text = "".join(("_" if m > i and toks[m - 1][1] < toks[m][0] else "") + (info[m][7] if kinds[m] == 1 else seg[toks[m][0]]) for m in range(i, j + 1))
                     row = (self.code("r=" + text), info[i - 1][0] if i else 1, info[j + 1][0] if j + 1 < n else 2, info[i - 2][0] if i > 1 else 1)
                     for m in range(i, j + 1):
                         put[0].append(base + m)
@@ -134,8 +132,8 @@ class Codes:
             else:
                 i += 1
 
-    def keys(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> np.ndarray:
-        """The feature keys of all tokens of (segment, tokens), 0 where a template has nothing to say."""
+    def read(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> tuple[np.ndarray, ...]:
+        """What the features of (segment, tokens) are made of: codes of all tokens, their places, gaps before them, numbers and signs around them."""
         flat: list[tuple] = []
         at, gap, near_at = [], [], []
         put: tuple[list, ...] = ([], [], [], [], [])
@@ -152,20 +150,24 @@ class Codes:
             self.runs(seg, toks, info, base, put)
             if "@" in seg or "at" in seg or "AT" in seg:
                 signs = [i for i, (x, y) in enumerate(toks) if seg[x] == "@" or (y - x == 2 and i and seg[x:y].lower() == "at" and seg[toks[i - 1][0]] in "([")]
-                if signs:
-                    near_at += [(base + i, max(-6, min(8, i - min(signs, key=lambda q: abs(q - i)))) + 8) for i in range(len(toks))]
+                for i in {i for q in signs for i in range(max(0, q - 6), min(len(toks), q + 9))}:
+                    near_at.append((base + i, min((i - q for q in signs[max(0, bisect(signs, i) - 1) : bisect(signs, i) + 1]), key=abs) + 8))
         m = np.array(flat, np.uint64)
         pos = np.concatenate([np.arange(b, b + n) for b, n in at]) if at else np.empty(0, np.int64)
-        lo, sh = m[:, 0], m[:, 1]
-        w = {k: lo[pos + k] for k in range(-3, 4)}
-        z = {k: sh[pos + k] for k in range(-2, 3)}
-        g = np.array(gap, np.uint64)
         extra = np.zeros((len(m), 5), np.uint64)
         if put[0]:
             extra[put[0], :4] = np.array(put[1:], np.uint64).T
         if near_at:
             k, v = zip(*near_at, strict=True)
             extra[list(k), 4] = np.array(v, np.uint64) + np.uint64(1)
+        return m, pos, np.array(gap, np.uint64), extra
+
+    @staticmethod
+    def keys(m: np.ndarray, pos: np.ndarray, g: np.ndarray, extra: np.ndarray) -> np.ndarray:
+        """The feature keys of the tokens at some places of read(), 0 where a template has nothing to say."""
+        lo, sh = m[:, 0], m[:, 1]
+        w = {k: lo[pos + k] for k in range(-3, 4)}
+        z = {k: sh[pos + k] for k in range(-2, 3)}
         r, rb, ra, rb2, sign = (extra[pos, i] for i in range(5))
         part = [m[pos, i] for i in range(2, 6)]
         known = lambda *xs: np.logical_and.reduce([x != 0 for x in xs])
@@ -174,7 +176,7 @@ class Codes:
             ((), always), ((w[0],), known(w[0])), ((z[0],), always), ((w[-1],), known(w[-1])), ((w[-2],), known(w[-2])), ((w[1],), known(w[1])), ((w[2],), known(w[2])),
             ((w[-2], w[-1]), known(w[-2], w[-1])), ((w[1], w[2]), known(w[1], w[2])), ((w[-1], w[0]), known(w[-1], w[0])), ((w[0], w[1]), known(w[0], w[1])), ((w[-3],), known(w[-3])), ((w[3],), known(w[3])),
             ((z[-1], z[0]), always), ((z[0], z[1]), always), ((z[-1], z[0], z[1]), always), ((z[0], g, z[-1]), always), ((w[-3], w[-2], w[-1]), known(w[-3], w[-2], w[-1])), ((z[-2], z[-1], z[0], z[1], z[2]), always),
-            *[((x,), x != 0) for x in part], ((r,), runs), ((rb,), extra[pos, 1] != 0), ((r, rb), runs & (rb != 0)), ((rb, ra), known(rb, ra)), ((rb2, rb), known(rb2, rb)), ((r, ra), runs & (ra != 0)), ((sign,), sign != 0),
+            *[((x,), x != 0) for x in part], ((r,), runs), ((rb,), rb != 0), ((r, rb), runs & (rb != 0)), ((rb, ra), known(rb, ra)), ((rb2, rb), known(rb2, rb)), ((r, ra), runs & (ra != 0)), ((sign,), sign != 0),
         ]
         out = np.zeros((len(pos), N_TEMPLATES), np.uint64)
         with np.errstate(over="ignore"):
@@ -236,15 +238,25 @@ class Field:
         self.codes, self.index, self.weights, self.moves = codes, index, weights, moves
         self.seen: dict[str, list[tuple[int, int, str]]] = {}
 
-    def rows(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> list[np.ndarray]:
-        """Rows of weights of each token's features, by segment."""
+    def emissions(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> list[np.ndarray]:
+        """The weight of each label at each token, by segment. Features are made and summed for TOGETHER tokens at a time."""
         if not segs:
             return []
-        found = self.index.find(self.codes.keys(segs))
-        return np.split(found, np.cumsum([len(t) for _, t in segs])[:-1])
+        m, pos, gap, extra = self.codes.read(segs)
+        out = np.empty((len(pos), K), np.float32)
+        for a in range(0, len(pos), TOGETHER):
+            z = min(len(pos), a + TOGETHER)
+            out[a:z] = self._summed(self.index.find(self.codes.keys(m, pos[a:z], gap[a:z], extra)))
+        return np.split(out, np.cumsum([len(t) for _, t in segs])[:-1])
+
+    def _summed(self, ids: np.ndarray) -> np.ndarray:
+        summed = self.weights[ids[:, 0]].copy()
+        for i in range(1, ids.shape[1]):
+            summed += self.weights[ids[:, i]]
+        return summed
 
     def decode(self, rows: list[np.ndarray]) -> list[np.ndarray]:
-        """Best labels of each row of tokens, in batches of rows of like length."""
+        """Best labels of each segment by its emissions, in batches of segments of like length; each segment whole, however long."""
         out: list[np.ndarray] = [np.empty(0, int)] * len(rows)
         order = [i for i in sorted(range(len(rows)), key=lambda i: len(rows[i])) if len(rows[i])]
         at = 0
@@ -256,18 +268,15 @@ class Field:
                 out[i] = b
         return out
 
-    def _emissions(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         length = np.array([len(r) for r in rows])
-        ids = np.concatenate(rows)
-        summed = self.weights[ids[:, 0]].copy()
-        for i in range(1, ids.shape[1]):
-            summed += self.weights[ids[:, i]]
-        em = np.zeros((len(rows), length.max(), len(LABELS)), np.float32)
-        em[np.arange(length.max())[None, :] < length[:, None]] = summed
+        em = np.zeros((len(rows), length.max(), K), np.float32)
+        em[np.arange(length.max())[None, :] < length[:, None]] = np.concatenate(rows)
         return em, length
 
-    def _viterbi(self, rows: list[list[list[int]]]) -> list[np.ndarray]:
-        em, length = self._emissions(rows)
+    def _viterbi(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+        em, length = self.padded(rows)
         n, m, k = em.shape
         back = np.empty((m, n, k), np.int8)
         score = em[:, 0] + START
@@ -277,6 +286,7 @@ class Field:
             alive = (t < length)[:, None]
             back[t] = np.where(alive, best, np.arange(k))  # beyond a row's end the label stays
             score = np.where(alive, np.take_along_axis(step, best[:, None], 1)[:, 0] + em[:, t], score)
+            score -= score.max(1, keepdims=True)
         paths = np.empty((n, m), np.int8)
         at, each = score.argmax(1), np.arange(n)
         for t in range(m - 1, 0, -1):
@@ -286,7 +296,6 @@ class Field:
         return [paths[i, : length[i]].astype(int) for i in range(n)]
 
 
-K = len(LABELS)
 #: Moves that no labelling makes: an inside label follows its own kind.
 BARRED = np.zeros((K, K), bool)
 for _b in range(K):
@@ -319,12 +328,12 @@ def examples(lines) -> list[tuple[str, list[tuple[int, int]], list[int]]]:
 
 
 @lru_cache(maxsize=2)
-def trained(lines: int = 6000, rounds: int = 6, seed: int = 7, rate: float = 0.25, ridge: float = 2e-6) -> Field:
+def trained(lines: int = 8000, rounds: int = 6, seed: int = 7, rate: float = 0.25, ridge: float = 2e-6) -> Field:
     """The field trained from `lines` labelled lines. Deterministic."""
     data = examples(pii_table.labelled(lines, seed))
     codes = Codes()
     segs = [(seg, toks) for seg, toks, _ in data]
-    keys = codes.keys(segs)
+    keys = codes.keys(*codes.read(segs))
     codes.grow = False
     codes.words.clear()
     uniq, times = np.unique(keys, return_counts=True)
@@ -345,7 +354,7 @@ def trained(lines: int = 6000, rounds: int = 6, seed: int = 7, rate: float = 0.2
 
 def _step(field: Field, rows, gold, gw, gm, rate: float, ridge: float) -> None:
     """One AdaGrad step on the likelihood of a batch, by the forward-backward algorithm."""
-    em, length = field._emissions(rows)
+    em, length = field.padded([field._summed(r) for r in rows])
     n, m, _ = em.shape
     alive = np.arange(m)[None, :] < length[:, None]
     move = np.exp(field.moves)
@@ -389,12 +398,10 @@ def _step(field: Field, rows, gold, gw, gm, rate: float, ridge: float) -> None:
     field.moves += np.where(BARRED, 0.0, rate * gmove / np.sqrt(gm)).astype(np.float32)
 
 
-COMPANY = re.compile(r"^[\s　]*(?:株式会社|有限会社|주식회사|股份|有限公司|plc\b|Group\b|Ltd\b|Inc\b|Corp\b|Limited\b|Holdings?\b|Partners\b|Materials\b|Logistics\b|Industries\b|Foods\b|SA\b|SE\b|SAS\b|S\.A\.|Alimentos\b|Materiais\b|Logística\b|Indústrias\b|Matériaux\b|Agro\b|Logistique\b)")
 EMAIL_SIGN = re.compile(r"[@＠]|[(\[]\s*at\s*[)\]]|\sat\s", re.I)
-COMPANY_WORDS = re.compile(r"株式会社|주식회사|公司|\b(?:plc|Group|Ltd|Inc|Corp|Limited|Holdings?|Partners|Industries|S\.A|SA|SE|SAS)\b")
 
 
-def sound(kind: str, text: str, after: str) -> bool:
+def sound(kind: str, text: str) -> bool:
     """The exact check of a find."""
     digits = sum(c.isdigit() for c in text)
     if kind == "email":
@@ -405,7 +412,7 @@ def sound(kind: str, text: str, after: str) -> bool:
         return digits >= 6
     if kind == "address":
         return digits >= 1 and len(text) >= 5
-    return digits == 0 and len(text) >= 2 and not COMPANY.match(after) and not COMPANY_WORDS.search(text)
+    return digits == 0 and len(text) >= 2
 
 
 def _spans(toks: list[tuple[int, int]], labels: np.ndarray) -> list[tuple[int, int, str]]:
@@ -419,42 +426,18 @@ def _spans(toks: list[tuple[int, int]], labels: np.ndarray) -> list[tuple[int, i
     return [tuple(x) for x in out]
 
 
-def _windows(segs: list[str]) -> list[tuple[str, list[tuple[int, int]], int, int]]:
-    """(segment, all its tokens, first token, number of tokens) of the pieces that are decoded at once."""
-    out = []
-    for s in segs:
-        toks = [m.span() for m in TOKEN.finditer(s)]
-        for a in range(0, max(1, len(toks)), LONGEST - OVERLAP):
-            size = min(LONGEST, len(toks) - a)
-            if size > 0 and (a == 0 or size > OVERLAP):
-                out.append((s, toks, a, size))
-    return out
-
-
 def finds(field: Field, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
     """(start, end, kind) in each text."""
     where: list[list[tuple[int, str]]] = [list(segments(folded(t))) if t else [] for t in texts]
     every = list(dict.fromkeys(s for w in where for _, s in w))
     if len(field.seen) + len(every) > CACHED:
         field.seen.clear()
-    new = [s for s in every if s not in field.seen]
-    windows = _windows(new)
-    rows = field.rows([(s, toks[a : a + size]) for s, toks, a, size in windows])
-    joined: dict[str, tuple[list, np.ndarray]] = {}
-    for (s, toks, a, size), best in zip(windows, field.decode(rows), strict=True):
-        _, labels = joined.setdefault(s, (toks, np.zeros(len(toks), int)))
-        lead = OVERLAP // 2 if a else 0
-        labels[a + lead : a + size] = best[lead:]
-    for s in new:
-        field.seen[s] = _spans(*joined[s]) if s in joined else []
+    new = [(s, [m.span() for m in TOKEN.finditer(s)]) for s in every if s not in field.seen]
+    for (s, toks), best in zip(new, field.decode(field.emissions(new)), strict=True):
+        field.seen[s] = _spans(toks, best)
     out = []
     for t, w in zip(texts, where, strict=True):
-        got = []
-        for off, s in w:
-            for a, b, k in field.seen[s]:
-                if sound(k, t[off + a : off + b], t[off + b : off + b + 24]):
-                    got.append((off + a, off + b, k))
-        out.append(got)
+        out.append([(off + a, off + b, k) for off, s in w for a, b, k in field.seen[s] if sound(k, t[off + a : off + b])])
     return out
 
 

@@ -1,5 +1,6 @@
 import base64
 import random
+import re
 
 import public_tokenizers as P
 import pytest
@@ -105,21 +106,55 @@ def test_sources_by_their_plain_name(spark):
 # Personal information
 
 
-def test_held_out_lines():
+def test_nothing_of_the_labelled_table_stands_in_the_documents():
+    import duckdb
+
+    said = "\n".join(t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall())
+    words = set(re.findall(r"[^\W\d_]+", said))
+    listed = [x for table in (pii_table.SURNAMES, pii_table.GIVEN) for xs in table.values() for x in xs if len(x) > 1]
+    assert [x for x in listed if (x in words if x.isascii() else x in said)] == []
+    made = {text[a:b] for text, spans in pii_table.labelled() for a, b, k in spans if k in ("name", "address", "email") and b - a > 3}
+    assert [x for x in made if x in said] == [] and len(made) > 3000
+
+
+def test_held_out_lines_with_other_words():
     field, right, said, there = pii.trained(), 0, 0, 0
     for text, spans in pii_table.labelled(500, 4321):
         got = {(a, b, k) for a, b, k in pii.finds(field, [text])[0]}
         want = {(a, b, k) for a, b, k in spans}
         right, said, there = right + len(got & want), said + len(got), there + len(want)
-    assert right / said > 0.95 and right / there > 0.95
+    assert right / said > 0.9 and right / there > 0.9
+
+
+def best_path(field, em):
+    """Viterbi in plain loops over one segment's emissions."""
+    score, back = [float(e + s) for e, s in zip(em[0], pii.START, strict=True)], []
+    for row in em[1:]:
+        step = [max((score[a] + float(field.moves[a][b]), -a) for a in range(pii.K)) for b in range(pii.K)]
+        back.append([-a for _, a in step])
+        score = [x + float(e) for (x, _), e in zip(step, row, strict=True)]
+    path = [max(range(pii.K), key=lambda k: score[k])]
+    for b in reversed(back):
+        path.append(b[path[-1]])
+    return path[::-1]
+
+
+def test_decoding_is_the_best_path_whatever_the_length(monkeypatch):
+    field, text = pii.trained(), pii.folded(" ".join(t.replace("\n", " ") for t, _ in pii_table.labelled(150, 5)))
+    toks = [m.span() for m in pii.TOKEN.finditer(text)]
+    em = field.emissions([(text, toks), ("a b", [(0, 1), (2, 3)])])
+    assert len(toks) > 2000 and field.decode(em)[0].tolist() == best_path(field, em[0])
+    monkeypatch.setattr(pii, "TOGETHER", 777)
+    again = field.emissions([(text, toks), ("a b", [(0, 1), (2, 3)])])
+    assert all((a == b).all() for a, b in zip(em, again, strict=True))
 
 
 def test_finds_are_replaced_and_the_rest_stays():
     field = pii.trained()
-    t = "Contact: jessamy.quenby@larkmere.example Telephone 020 7946 0335. Quenby Group plc holds 5%."
+    t = "Contact: jessamy.quenby@larkmere.example Telephone 020 7946 0335. Quenby Group plc holds 5% of the votes."
     got = pii.finds(field, [t, None, "", "  "])
     assert {k for _, _, k in got[0]} == {"email", "phone"} and got[1:] == [[], [], []]
-    assert pii.replaced(t, got[0]) == "Contact: [EMAIL] Telephone [PHONE]. Quenby Group plc holds 5%."
+    assert pii.replaced(t, got[0]) == "Contact: [EMAIL] Telephone [PHONE]. Quenby Group plc holds 5% of the votes."
     assert pii.replaced(None, []) is None
 
 
