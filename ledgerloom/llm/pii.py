@@ -328,7 +328,7 @@ def examples(lines) -> list[tuple[str, list[tuple[int, int]], list[int]]]:
 
 
 @lru_cache(maxsize=2)
-def trained(lines: int = 8000, rounds: int = 6, seed: int = 7, rate: float = 0.25, ridge: float = 2e-6) -> Field:
+def trained(lines: int = 10000, rounds: int = 6, seed: int = 7, rate: float = 0.25, ridge: float = 2e-6) -> Field:
     """The field trained from `lines` labelled lines. Deterministic."""
     data = examples(pii_table.labelled(lines, seed))
     codes = Codes()

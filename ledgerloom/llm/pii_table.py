@@ -68,8 +68,8 @@ PERSONAL = {
 }
 #: Sentences that hold none of it. C company, L place, T line of business, # figures.
 PLAIN = {
-    "ja": "法人番号は9999999999999である。|受付番号99999999999999により提出した。|型番KS-9999-9999の販売を終えた。|9999-9999-9999年度の数値を修正した。|9999999999|注記99-99-9999を参照。|証券コード9999の{C}は上場している。|{C}向けの売上は全体の99.9%で、9999年の99.9%と比べて縮小した。|{L}の売掛金について減損損失#千円を計上した。|第9四半期の{T}の受注は価格改定の浸透に伴い、99.9%後退した。|{C}は当社の議決権の99.9%を保有している。|{T}に関して9999年から9999年までに#百万円の投資を見込んでいる。|{L}周辺の{T}の需要は9999年まで年率99.9%で伸びる見通しである。|9999年9月、{C}との{T}の供給契約を999か月延長した。|営業利益は#億円で、前期の999.9億円から低迷した。|{L}では999名が勤務し、年間#個を出荷した。|割引率が一ポイント動いた場合、売掛金は約#千円変動する。|為替は{T}の収入を#億円押し上げたが、数量は99.9%縮小した。|実効税率は暖冬の影響から99.9%となり、99.9ポイント上昇した。|減価償却費#千円の多くは9999年に導入した{T}の設備に係る。|投資活動に用いた資金は#億円で、このうち#百万円を{T}に充てた。|一株当たり99.9円の配当を提案し、配当性向は99.9%である。|{L}が一か月停止した場合、売上高は#億円減る可能性がある。|第9四半期に自己の株式#株を#億円で取得した。|資料はhttps://ir.{H}/9999にある。|社債は@99.9で発行した。|代表取締役社長の選任を決議した。|社外取締役は3名である。|{T}事業の売上高は補助金の終了を受けて、前期比99.9%の#億円となり、増加した。|9999年9月末における繰延税金資産の残高は#億円である。|主要な株主|従業員の状況|役員の氏名は別紙による。",
-    "zh": "统一信用代码为9999999999999999ZZ。|公告编号9999-9999。|参见附注99-99-9999。|型号KS-9999-9999停产。|9999-9999-9999年度数据已重述。|证券代码999999。|对{C}的销售占收入的99.9%,而9999年为99.9%,有所下降。|公司对{L}的商誉计提减值#千元。|第9季度{T}订单变动99.9%,因产品结构变化,明显减少。|{C}持有公司99.9%的表决权。|公司计划在9999年至9999年间向{T}投入#元。|预计到9999年{L}周边{T}需求年均增长99.9%。|9999年9月,公司与{C}将{T}供货合同延长999个月。|营业利润由上年的#千元变为#亿元,略有回落。|{L}共有员工999人,全年发货#件。|折现率变动一个百分点,应收账款将变动约#万元。|汇率使{T}收入增加#千元,而销量变动99.9%,有所下降。|受两座工厂复产影响,实际税率为9.9%,变动99.9个百分点,同比提高。|折旧#万元主要来自9999年安装的{T}设备。|投资活动支出#万元,其中#亿元用于{T}。|拟每股派息99.9元,派息率为99.9%。|若{L}停工一个月,收入可能减少#千元。|第9季度公司以#千元回购股份#股。|资料见https://ir.{H}/9999。|债券以@99.9发行。|独立董事共三名。|法定代表人未变更。|由于暖冬,{T}业务收入为#千元,变动99.9%,明显上升。|9999年9月末,预计负债余额为999.9万元。|主要股东|风险提示",
+    "ja": "{L}の工場は第99期に完成した。|法人番号は9999999999999である。|受付番号99999999999999により提出した。|型番KS-9999-9999の販売を終えた。|9999-9999-9999年度の数値を修正した。|9999999999|注記99-99-9999を参照。|証券コード9999の{C}は上場している。|{C}向けの売上は全体の99.9%で、9999年の99.9%と比べて縮小した。|{L}の売掛金について減損損失#千円を計上した。|第9四半期の{T}の受注は価格改定の浸透に伴い、99.9%後退した。|{C}は当社の議決権の99.9%を保有している。|{T}に関して9999年から9999年までに#百万円の投資を見込んでいる。|{L}周辺の{T}の需要は9999年まで年率99.9%で伸びる見通しである。|9999年9月、{C}との{T}の供給契約を999か月延長した。|営業利益は#億円で、前期の999.9億円から低迷した。|{L}では999名が勤務し、年間#個を出荷した。|割引率が一ポイント動いた場合、売掛金は約#千円変動する。|為替は{T}の収入を#億円押し上げたが、数量は99.9%縮小した。|実効税率は暖冬の影響から99.9%となり、99.9ポイント上昇した。|減価償却費#千円の多くは9999年に導入した{T}の設備に係る。|投資活動に用いた資金は#億円で、このうち#百万円を{T}に充てた。|一株当たり99.9円の配当を提案し、配当性向は99.9%である。|{L}が一か月停止した場合、売上高は#億円減る可能性がある。|第9四半期に自己の株式#株を#億円で取得した。|資料はhttps://ir.{H}/9999にある。|社債は@99.9で発行した。|代表取締役社長の選任を決議した。|社外取締役は3名である。|{T}事業の売上高は補助金の終了を受けて、前期比99.9%の#億円となり、増加した。|9999年9月末における繰延税金資産の残高は#億円である。|主要な株主|従業員の状況|役員の氏名は別紙による。",
+    "zh": "{L}的厂区于第99期完工。|统一信用代码为9999999999999999ZZ。|公告编号9999-9999。|参见附注99-99-9999。|型号KS-9999-9999停产。|9999-9999-9999年度数据已重述。|证券代码999999。|对{C}的销售占收入的99.9%,而9999年为99.9%,有所下降。|公司对{L}的商誉计提减值#千元。|第9季度{T}订单变动99.9%,因产品结构变化,明显减少。|{C}持有公司99.9%的表决权。|公司计划在9999年至9999年间向{T}投入#元。|预计到9999年{L}周边{T}需求年均增长99.9%。|9999年9月,公司与{C}将{T}供货合同延长999个月。|营业利润由上年的#千元变为#亿元,略有回落。|{L}共有员工999人,全年发货#件。|折现率变动一个百分点,应收账款将变动约#万元。|汇率使{T}收入增加#千元,而销量变动99.9%,有所下降。|受两座工厂复产影响,实际税率为9.9%,变动99.9个百分点,同比提高。|折旧#万元主要来自9999年安装的{T}设备。|投资活动支出#万元,其中#亿元用于{T}。|拟每股派息99.9元,派息率为99.9%。|若{L}停工一个月,收入可能减少#千元。|第9季度公司以#千元回购股份#股。|资料见https://ir.{H}/9999。|债券以@99.9发行。|独立董事共三名。|法定代表人未变更。|由于暖冬,{T}业务收入为#千元,变动99.9%,明显上升。|9999年9月末,预计负债余额为999.9万元。|主要股东|风险提示",
     "ko": "법인등록번호는 999999-9999999이다.|접수번호 99999999999999로 제출하였다.|주석 99-99-9999를 참조한다.|모델 KS-9999-9999 판매를 종료하였다.|9999-9999-9999 회계연도를 재작성하였다.|{C}에 대한 매출은 전체의 99.9%로 9999년의 99.9%에 비하여 줄어들었다.|{L}의 매출채권에 대하여 손상차손 #천원을 인식하였다.|9분기 {T} 수주는 온화한 겨울의 영향으로 99.9% 둔화되었다.|{C}는 회사 의결권의 99.9%를 보유하고 있다.|{T}에 9999년부터 9999년까지 #천원을 투자할 계획이다.|{L} 주변 {T} 수요는 9999년까지 연 99.9% 성장할 전망이다.|9999년 9월 {C}와 {T} 공급 계약을 999개월 연장하였다.|영업이익은 #억원으로 전기의 #천원에서 감소하였다.|{L}에는 999명이 근무하며 연간 #개를 출하하였다.|할인율이 일 포인트 변동하면 리스부채은 약 #백만원 변동한다.|환율은 {T} 수익을 #억원 높였으나 물량은 99.9% 둔화되었다.|유효세율은 보조금 종료로 99.9%로 99.9포인트 확대되었다.|감가상각비 #억원은 대부분 9999년에 설치한 {T} 설비에서 발생하였다.|투자활동에 사용한 현금은 #억원이며 이 중 #억원은 {T}에 사용되었다.|주당 99.9원의 배당을 제안하며 배당성향은 99.9%이다.|{L}이 한 달간 중단되면 매출이 #억원 감소할 수 있다.|9분기에 자기주식 #주를 #억원에 취득하였다.|자료는 https://ir.{H}/9999 에 있다.|{L}의 공장은 99기에 완공되었다.|대표이사 변경은 없다.|{T} 부문의 매출액은 일부 수주의 이월로 전기 대비 99.9% 변동한 999.9억원으로 개선되었다.|9999년 9월 말 매출채권 잔액은 #백만원이다.|{T} 연구비는 #천원으로 매출의 99.9%에 해당한다.|배당 정책|임직원 현황|작성책임자는 미정이다.",
     "en": "Corporate number 9999999999999 applies to the group.|Receipt number 99999999999999 was issued for the filing.|The ISIN-like code ZZ9999999999 refers to the bond.|See note 99-99-9999.|Model KS-9999-9999 was withdrawn.|Fiscal years 9999-9999-9999 are restated in the tables.|Lot 999-999-99 was sold.|Order 9999999999 was shipped.|Bonds were placed @ 99.9.|Sales to {C} made up 99.9% of revenue, compared with 99.9% in 9999.|An impairment loss of USD # billion was booked on goodwill at {L}.|Orders for {T} slipped 9.9% in the first quarter, in spite of a strike at the port.|{C} holds 99.9% of the voting rights of the company.|We plan to spend INR # million on {T} at {L} between 9999 and 9999.|We expect {T} demand around {L} to grow 99.9% a year until 9999.|The company and {C} agreed in September 9999 to extend the {T} supply contract for 999 months.|Operating profit in the {T} business went down to JPY # thousand from JPY # million a year earlier.|The {L} site employed 999 people and shipped # units in the year.|A one-point change in the discount rate would move goodwill by about EUR # billion.|Foreign exchange lifted {T} revenue by USD # thousand while volumes weakened 99.9%.|The effective tax rate went up by 99.9 points to 9.9%, as two plants resumed full operation.|Depreciation of JPY # thousand relates mostly to {T} equipment installed in 9999.|Cash used in investing activities was EUR # million, of which EUR # thousand went into {T}.|The board proposes a dividend of 99.9 per share, a payout of 99.9%.|If the {L} depot were closed for a month, revenue could fall by INR # thousand.|During the first quarter the company bought back # shares for USD # million.|Net sales of {T} grew 99.9% to USD # billion, on the back of replacement demand.|In May 9999 a claim of JPY # over {T} deliveries at {L} was settled out of court.|Documents are at https://ir.{H}/9999.|At the end of March 9999, inventories stood at INR # thousand, against INR # thousand at the previous year-end.|Major Shareholders|Results of Operations|Legal Proceedings|Subsequent Events|Corporate Governance|Risk Factors|Dividend Policy|Tax Matters|Capital Expenditure|Segment Information|Business Overview|Related Party Transactions|Research and Development|Employees|{L} Town|The director was re-elected.|Research spending on {T} came to EUR 999.9 million, or 99.9% of sales.",
     "fr": "Numéro SIREN 999 999 999.|Dépôt n° 99999999999999.|Voir note 99-99-9999.|Le modèle KS-9999-9999 est retiré.|Les exercices 9999-9999-9999 sont retraités.|Obligations émises @ 99.9.|Les ventes à {C} représentent 99.9% du total, contre 99.9% en 9999.|Une dépréciation de # milliards d'euros a été constatée sur le poste stocks à {L}.|{C} détient 99.9% des droits de vote.|Le groupe prévoit d'investir # millions d'euros dans l'activité {T} entre 9999 et 9999.|Autour de {L}, la demande de {T} devrait croître de 99.9 % par an jusqu'en 9999.|En 9/9999, le contrat conclu avec {C} a été prolongé de 999 mois.|Le site de {L} emploie 999 personnes et a expédié # unités.|L'activité {T} s'est accrue de 99.9% et atteint # milliards d'euros, avec la fin des aides à l'isolation.|L'amortissement de # milliards d'euros concerne surtout le matériel de {T} installé en 9999.|Au trimestre 9, # actions ont été rachetées pour # milliards d'euros.|Le dividende proposé est de 99.9 par action, soit un taux de 99.9%.|Fin 9/9999, le poste créances clients s'élevait à # millions d'euros.|La recherche liée à l'activité {T} a coûté # milliards d'euros, soit 99.9 % des ventes.|Documents : https://ir.{H}/9999|La marge opérationnelle est retombée à # milliards d'euros contre # milliards d'euros un an plus tôt.|Parties liées|Actionnaires|Politique de dividende|Litiges|Information sectorielle|Impôts|Effectifs|Gouvernement d'entreprise|Facteurs de risque",
@@ -87,7 +87,7 @@ COMPANIES = {
 PLACES = {
     "ja": "S県S市|S事業所|S工場|S台地区|Sヶ里|S市|S町|S支店|S物流センター|S港".split("|"),
     "zh": "S港|S码头|S物流园|S园区|S镇|S省S市|S县|S新区|S基地|S工厂".split("|"),
-    "ko": "S군|S 공장|S구|S 물류센터|S항|S공단|S단지|S 사업장|S읍|S시|S 지점".split("|"),
+    "ko": "S군|S 공장|S구|S 물류센터|S항|S공단|S단지|S 사업장|S읍|S시|S 지점|S 물류센터|S 공장|S 사업장".split("|"),
     "en": "S|Port S|S Point|S Bay|Sford|Sfield|S Valley|North S|S Harbour|Sville".split("|"),
     "fr": "S|S-Grise|Saint-S|S-sur-S|Sville|Port-S".split("|"),
     "pt": "Vila S|Porto S|Campo S|Pedra S|São S do Lago|Ribeirão S|Monte S|S|S Novo|Santa S".split("|"),
@@ -118,6 +118,12 @@ ITEMS = {
     "fr": "stocks|écarts d'acquisition|créances clients|passifs sur contrats|impôts différés actifs|Poste|Exercice|Précédent|actions propres|Facteurs de risque|Parties liées".split("|"),
     "pt": "estoques|ágio|contas a receber|passivos de contrato|ações em tesouraria|Conta|Atual|Anterior|imobilizado em andamento|Fatores de risco".split("|"),
 }
+#: Headings made by rule.
+HEADINGS_BY_RULE = {
+    "ja": "Sの状況|Sの概要|Sの方針|Sに関する事項|S資産|S負債|S計画".split("|"),
+    "zh": "S说明|S情况|S事项|S政策|S概况|S分析|S信息|S资产|S负债|S计划|S报告|S估计说明|S准备".split("|"),
+    "ko": "S 현황|S 사항|S 정책|S의 개요|S 정보|S자산|S부채|S 계획".split("|"),
+}
 TYPES = {"N": "name", "P": "phone", "I": "id_number", "A": "address", "E": "email"}
 
 
@@ -142,9 +148,9 @@ def _surname(lang: str, r: random.Random) -> str:
     if r.random() < (0.25 if lang in ("ja", "en", "fr", "pt") else 0.7):
         return r.choice(SURNAMES[lang])
     if lang == "ja":
-        return _invented(lang, r, 1, 3)
+        return _invented(lang, r, 1, 3) if r.random() < 0.85 else f"{_invented(lang, r, 1, 1)}{r.choice('ヶノ')}{_invented(lang, r, 1, 1)}"
     if lang in ("zh", "ko"):
-        return _invented(lang, r, 1, 2)
+        return _invented(lang, r, r.choice([1, 2]), 2)
     s = _invented(lang, r)
     return f"{s}-{_invented(lang, r, 1)}" if r.random() < 0.12 else f"{s} {_invented(lang, r)}" if lang == "pt" and r.random() < 0.25 else s
 
@@ -225,7 +231,7 @@ def _filled(template: str, lang: str, r: random.Random) -> list[tuple[str, str]]
             elif k == "H":
                 out.append((f"{_invented('en', r).lower()}.{r.choice(ENDS)}", ""))
             elif k == "W":
-                out.append((r.choice(ITEMS[lang]), ""))
+                out.append((_made(r.choice(HEADINGS_BY_RULE[lang]), lang, r) if lang in PARTS and r.random() < 0.35 else r.choice(ITEMS[lang]), ""))
             elif k == "L":
                 out.append((_made(r.choice(PLACES[lang]), lang, r), ""))
             else:
@@ -238,13 +244,13 @@ def _filled(template: str, lang: str, r: random.Random) -> list[tuple[str, str]]
     return out
 
 
-def labelled(n: int = 8000, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
+def labelled(n: int = 10000, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """n labelled lines (the bound of the training sample): text and (start, end, type) of what it holds."""
     r, out = random.Random(seed), []
     plain = {k: [*v.split("|"), "{W}", "{W}", "{W}", "{L}", "{L}", "{T}", "{C}", "| {W} | # |", "| {W} | # | (#) |", "| {W} | (#) | # |", "| {W} | - | (#) |", "| {W} | △# | # |"] for k, v in PLAIN.items()}
     personal = {k: v.split("|") for k, v in PERSONAL.items()}
-    for v in personal.values():
-        v += ["{N}"] * 4
+    for k, v in personal.items():
+        v += ["{N}"] * (8 if k in PARTS else 4)
     for _ in range(n):
         parts: list[tuple[str, str]] = []
         lang = r.choice(list(PLAIN))
