@@ -64,11 +64,18 @@ def p4_html(spark: SparkSession, d: str) -> DataFrame:
     return markup.clean_pages(table(spark, d, "edinet_xbrl"))
 
 
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
+def _same_looking(spark: SparkSession, d: str) -> DataFrame:
     facts = table(spark, d, "edinet_xbrl").where("kind = 'text'")
-    return lookalikes.same_looking(facts, "fact_id", ["doc_id", "concept"], "text", "text").unionByName(
-        lookalikes.same_looking(table(spark, d, "filing_md"), "doc_id", ["stock_code", "doc_type", "report_period"], "md", "md")
-    )
+    md = lookalikes.forms(table(spark, d, "filing_md"), "doc_id", ["stock_code", "doc_type", "report_period"], "md", "md")
+    return lookalikes.classes(lookalikes.forms(facts, "fact_id", ["doc_id", "concept"], "text", "text").unionByName(md))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.pairs(_same_looking(spark, d))
+
+
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.links(_same_looking(spark, d))
 
 
 def p5_forms(spark: SparkSession, d: str) -> DataFrame:
@@ -84,11 +91,12 @@ def p10_masked(spark: SparkSession, d: str) -> DataFrame:
     return pii.masked(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares, p10_found, p10_masked)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_classes, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares, p10_found, p10_masked)}
 
 def _form_sql(c: str) -> str:
-    """The consistent form of a text, for texts in which no word mixes scripts of its own: character by character."""
-    plain = {chr(k): v for k, v in lookalikes.FORMS.items() if v and len(v) == 1} | lookalikes.LATIN_TWINS | lookalikes.GREEK | lookalikes.CYRILLIC | lookalikes.ARMENIAN
+    """The shapes of a text, character by character: equal where consistent forms are."""
+    plain = {chr(k): v for k, v in lookalikes.FORMS.items() if v and len(v) == 1} | lookalikes.TO_LATIN | lookalikes.KANA
+    plain = {k: lookalikes.KANA.get(v, v) for k, v in plain.items()}
     gone = "".join(chr(k) for k, v in lookalikes.FORMS.items() if not v and k < 0x20000)
     out = f"translate(replace({c}, chr(13) || chr(10), chr(10)), '{''.join(plain)}{gone}', '{''.join(plain.values()).replace(chr(39), chr(39) * 2)}')"
     for k, v in lookalikes.FORMS.items():

@@ -165,7 +165,7 @@ def test_pages_without_a_leaf_keep_their_row(spark):
 # Look-alikes
 
 
-@pytest.mark.parametrize(("a", "b"), [("ＡＢＣ１２", "ABC12"), ("ﾎﾟﾝﾌﾟ", "ポンプ"), ("e\u0301te\u0301", "été"), ("a\u200bb\u00ad", "ab"), ("x\u2007y\u3000z", "x y z"), ("A‐1", "A-1"), ("ﬂow", "flow"), ("⽔⾒", "水見"), ("Ѕсоре", "Scope"), ("Сосоа", "Cocoa"), ("ΑВС", "ABC"), ("С\u0327a", "Ça"), ("\u1112\u1161\u11ab", "한"), ("豈", "豈"), ("カ", "力"), ("a\r\nb", "a\nb")])
+@pytest.mark.parametrize(("a", "b"), [("ＡＢＣ１２", "ABC12"), ("ﾎﾟﾝﾌﾟ", "ポンプ"), ("e\u0301te\u0301", "été"), ("a\u200bb\u00ad", "ab"), ("x\u2007y\u3000z", "x y z"), ("A‐1", "A-1"), ("ﬂow", "flow"), ("⽔⾒", "水見"), ("Ѕсоре", "Scope"), ("Сосоа", "Cocoa"), ("ΑВС", "ABC"), ("С\u0327a", "Ça"), ("\u1112\u1161\u11ab", "한"), ("豈", "豈"), ("カ", "力"), ("⼯場", "エ場"), ("⼒メラ", "ｶメラ"), ("力", "力"), ("Ꭺᴬ", "Aᴬ"), ("ⲞꓚR", "OCR"), ("νаг", "vаг"), ("a\r\nb", "a\nb")])
 def test_same_looks_are_one_form(a, b):
     assert lookalikes.consistent(a) == lookalikes.consistent(b)
 
@@ -178,9 +178,40 @@ def test_different_looks_stay_apart(a, b):
 def test_scripts():
     assert lookalikes.consistent("Пoлe") == "Поле"  # Latin o and e in a Cyrillic word
     assert lookalikes.consistent("Россия") == "Россия"
+    assert lookalikes.consistent("ЅсоЗ") != lookalikes.consistent("Ѕсо3")
     assert lookalikes.consistent(None) is None and lookalikes.consistent("") == ""
 
 
+ORDINARY = "能力 口座 工業 人口 夕方|東京へ行く。アメリカへ行く|カメラとヘリコプターとベンチ|東京エレクトロン、人口ピラミッド、プロ野球|クレジット口座|3カ所、二カ月、数カ国|アニメの第二四半期、ニッケル二次電池|プラスチック工業のデータ処理|Россия сор и все остальные|Ελλάδα και ΑΒΓ|Scope et été|한국 전력|八王子のハイテク工場".split("|")
+
+
+@pytest.mark.parametrize("text", ORDINARY)
+def test_ordinary_text_of_a_consistent_script_stays(text):
+    assert lookalikes.consistent(text) == text
+
+
+def test_forms_depend_on_shapes_only():
+    r = random.Random(9)
+    kin = [*lookalikes.KANA.items(), ("а", "a"), ("о", "o"), ("Ο", "O"), ("с", "c")]
+    for _ in range(3000):
+        a, b = [], []
+        for _ in range(r.randint(1, 9)):
+            x, y = r.choice(kin)
+            c = r.choice("業月ラーのが3 я第b力")
+            p = r.random()
+            a.append(c if p < 0.5 else r.choice((x, y)))
+            b.append(c if p < 0.5 else r.choice((x, y)))
+        fa, fb = lookalikes.consistent("".join(a)), lookalikes.consistent("".join(b))
+        assert fa == fb and lookalikes.consistent(fa) == fa
+    assert all(lookalikes.REPLACED.search(v) is None for v in lookalikes.FORMS.values() if v)
+
+
+def test_links_count_pairs(spark):
+    d = spark.createDataFrame([(1, "d", "AB"), (2, "d", "ＡＢ"), (3, "d", "AB"), (4, "d", "А\u200bB"), (5, "e", "AB"), (2, "d", "ＡＢ")], "fact_id bigint, doc_id string, text string")
+    m = lookalikes.classes(lookalikes.forms(d, "fact_id", ["doc_id"], "text", "text"))
+    assert {(r["id"], r["links"]) for r in lookalikes.links(m).collect()} == {(1, 2), (2, 3), (3, 2), (4, 3)} and lookalikes.pairs(m).count() == 5
+
+
 def test_pairs_of_forms(spark):
     rows = [(1, "d", "c", "AB", 0), (2, "d", "c", "ＡＢ", 0), (3, "d", "c", "AB", 0), (4, "d", "c", "А\u200bB", 0), (5, "e", "c", "ＡＢ", 0), (6, None, "c", "AB", 0), (7, "d", "c", None, 0), (8, "d", "c", "AC", 0), (2, "d", "c", "ＡＢ", 0)]
     d = spark.createDataFrame(rows, "fact_id bigint, doc_id string, concept string, text string, form int")
