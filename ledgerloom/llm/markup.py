@@ -1,26 +1,31 @@
 """Markup residue turned into clean text, with the structure that carries meaning kept.
 
 A site style tree: the pages of one host (here the fragments of one issuer) are read into DOM trees
-and merged by the path of their nodes. Each node of the merged tree has an importance: the entropy
-of its presentation styles for inner nodes, of its contents for leaves, in units of the number of
-pages that have it. A branch that looks and reads the same on page after page says nothing about
-the page and is removed; what is left is written out as text.
+and merged by the path of their nodes. The styles of an inner node are the sequences of its
+children, with what presents them; the styles of a leaf are its contents. An inner node's own
+importance is the entropy of its styles in units of its pages; a leaf's is one less the mean entropy
+of its contents over the pages, so that what stands on every page counts nothing. The composite
+importance of an inner node, from the bottom up, weighs its own with the mean of its children's by
+the share of each style. A branch in which no
+node has any importance says nothing about a page and is removed; the rest is written out as text.
 
 HTML and XML elements, comments and character references, and constructs of Markdown, wiki text
-and LaTeX all become presentation nodes of a text's tree; ordinary signs (comparison, brackets,
-ampersands, note marks, numbers, currency) stay content. Headings come out as `# `, lists as `- `,
-tables as `| a | b |`, code in fences, formulas between `$`.
+and LaTeX count as markup in a text; ordinary signs (comparison, brackets, ampersands, note marks,
+numbers, currency, paths of files) do not. Headings come out as `# `, lists as `- `, tables as
+`| a | b |`, code in fences, formulas between `$`.
 
 Defined results: null gives null, a text without markup is returned as it is; unclosed and
 misnested elements are closed where their parent ends. Rows that come twice count once as pages.
-A node that fewer than MIN_PAGES pages have is important, whatever it holds.
+A node that fewer than MIN_PAGES different pages have is important, whatever it holds.
 """
 
 from __future__ import annotations
 
 import hashlib
 import html as html_lib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
@@ -30,7 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MIN_PAGES, LEAST_IMPORTANCE = 8, 0.15
+from ledgerloom.session import cut
+
+MIN_PAGES, LEAST_IMPORTANCE, GAMMA = 8, 0.15, 0.9
 #: Any sign a construct needs; a text without one has no markup. A gate for speed that loses nothing.
 SIGNS = r"[<>&\\\[{*_#`~|=$']|---"
 
@@ -52,10 +59,10 @@ CHAR_REF = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{
 TEXT_MARKUP = [
     ("md_fence", re.compile(r"^[ \t]*(?:```|~~~)[^\n`]*$", re.M)),
     ("md_heading", re.compile(r"^ {0,3}#{1,6}[ \t]+\S", re.M)),
-    ("md_bold", re.compile(r"(?<!\*)\*\*(?!\*)(?:(?!\*\*).)+?\*\*|(?<!\w)__(?=\S)(?:(?!__).)+?__(?!\w)", re.S)),
+    ("md_bold", re.compile(r"(?<!\*)\*\*(?!\*)(?:(?!\*\*).)+?\*\*|(?<!\w)__(?=\S)(?![a-z0-9_]+__)(?:(?!__).)+?__(?!\w)", re.S)),
     ("md_strike", re.compile(r"~~(?=\S)[^~\n]+~~")),
     ("md_code", re.compile(r"(?<!`)`[^`]+`(?!`)")),
-    ("md_link", re.compile(r"!?\[[^\[\]]*\]\([^()\s]+(?:\s+\"[^\"]*\")?\)|!?\[[^\[\]]*\]\[[^\[\]]*\]")),
+    ("md_link", re.compile(r"!?\[[^\[\]]*\]\([^()\s]*[/.#:@?][^()\s]*(?:\s+\"[^\"]*\")?\)|!?\[[^\[\]]*\]\[[^\[\]]*\]")),
     ("md_table", re.compile(r"^[ \t]*(?:\|[ \t]*)?:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|[ \t]*$|^[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+$", re.M)),
     ("wiki_quote", re.compile(r"'''.+?'''|''(?=\S)[^'\n]+''", re.S)),
     ("wiki_heading", re.compile(r"^(={2,6})[ \t]*[^\s=](?:.*[^\s=])?[ \t]*\1[ \t]*$", re.M)),
@@ -71,6 +78,8 @@ TEXT_MARKUP = [
     ("tex_break", re.compile(r"\\\\[ \t]*$", re.M)),
 ]
 
+FILE_PATH = re.compile(r"\b[A-Za-z]:\\[^\s{}]*")
+
 
 def tags(text: str):
     for m in TAG.finditer(text):
@@ -88,6 +97,8 @@ def constructs(text: str) -> list[str]:
             out.append("special")
     if "&" in text and any(m.group(1)[0] == "#" or m.group(1) + ";" in html5 for m in CHAR_REF.finditer(text)):
         out.append("char_ref")
+    if ":\\" in text:
+        text = FILE_PATH.sub(" ", text)
     return out + [k for k, r in TEXT_MARKUP if r.search(text)]
 
 
@@ -98,17 +109,31 @@ CELLS = frozenset("td th te tu".split())
 BLOCKS = frozenset("p div section article tr table ul ol li pre blockquote dl dt dd body document h1 h2 h3 h4 h5 h6 thead tbody tfoot caption figure header footer main form".split())
 
 
+#: Before every character of a tag, so that a branch stands together when paths are sorted.
+SEP = "\x01"
+
+
 class _Walker(HTMLParser):
-    """Leaves of a fragment in order: (path with presentation, kind, text)."""
+    """Leaves of a fragment in order, (path, kind, text), and its inner nodes, (path, labels of the children, their tags).
+
+    A path is the chain of tags from the root; a label is a tag with what presents it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, str]] = []
         self.leaves: list[tuple[str, str, str]] = []
+        self.nodes: list[tuple[str, list[str], list[str]]] = [("#", [], [])]
+        self.open = [self.nodes[0]]
         self.lost = 0
 
     def _leaf(self, kind: str, text: str = "") -> None:
-        self.leaves.append((">".join(label for _, label in self.stack) or "#", kind, text))
+        path = self.open[-1][0]
+        if text.strip():
+            path += f"{SEP}#text"
+            self.open[-1][1].append("#text")
+            self.open[-1][2].append("#text")
+        self.leaves.append((path, kind, text))
 
     def _kind(self) -> str:
         for n, label in reversed(self.stack):
@@ -130,13 +155,20 @@ class _Walker(HTMLParser):
                 self._leaf("br")
             return
         look = ".".join(sorted(f"{k}={v}" for k, v in attrs if k in ("class", "style", "align", "border", "role")))
+        label = f"{tag}[{look}]" if look else tag
         self.lost += tag in DROPPED
+        node = (f"{self.open[-1][0]}{SEP}{tag}", [], [])
+        if not self.lost:
+            self.open[-1][1].append(label)
+            self.open[-1][2].append(tag)
+            self.nodes.append(node)
+        self.stack.append((tag, label))
+        self.open.append(node)
         if not self.lost:
             if tag in BLOCKS:
                 self._leaf(f"<{tag}")
             elif tag in CELLS:
                 self._leaf("<cell")
-        self.stack.append((tag, f"{tag}[{look}]" if look else tag))
         if not self.lost and tag == "mfrac":
             self._leaf("frac")
 
@@ -152,6 +184,7 @@ class _Walker(HTMLParser):
             self.lost -= n in DROPPED
             if not self.lost and n in BLOCKS:
                 self._leaf(f"{n}>")
+            self.open.pop()
             if n == tag:
                 break
 
@@ -160,11 +193,15 @@ class _Walker(HTMLParser):
             self._leaf(self._kind(), data)
 
 
-def leaves(fragment: str) -> list[tuple[str, str, str]]:
+def walked(fragment: str) -> _Walker:
     w = _Walker()
     w.feed(fragment)
     w.close()
-    return w.leaves
+    return w
+
+
+def leaves(fragment: str) -> list[tuple[str, str, str]]:
+    return walked(fragment).leaves
 
 
 def _squeeze(x: str) -> str:
@@ -261,12 +298,12 @@ REWRITES: list[tuple[re.Pattern, object]] = [
     (re.compile(r"\\(?:textbf|textit|emph|underline|texttt|textsc|mbox|text|footnote)\{([^{}]*)\}"), r"\1"),
     (re.compile(r"\{\{([^{}|]*)\|?([^{}]*)\}\}"), lambda m: "[" + m.group(2).replace("|", " ") + "]" if m.group(2) else ""),
     (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]"), r"\1"),
-    (re.compile(r"!?\[([^\[\]]*)\]\([^()\s]+(?:\s+\"[^\"]*\")?\)"), r"\1"),
+    (re.compile(r"!?\[([^\[\]]*)\]\([^()\s]*[/.#:@?][^()\s]*(?:\s+\"[^\"]*\")?\)"), r"\1"),
     (re.compile(r"\[https?://[^\s\[\]]+(?:\s([^\[\]]*))?\]"), r"\1"),
     (re.compile(r"'{3}(.+?)'{3}", re.S), r"\1"),
     (re.compile(r"''(?=\S)([^'\n]+)''"), r"\1"),
     (re.compile(r"(?<!\*)\*\*(?!\*)((?:(?!\*\*).)+?)\*\*", re.S), r"\1"),
-    (re.compile(r"(?<!\w)__(?=\S)((?:(?!__).)+?)__(?!\w)", re.S), r"\1"),
+    (re.compile(r"(?<!\w)__(?=\S)(?![a-z0-9_]+__)((?:(?!__).)+?)__(?!\w)", re.S), r"\1"),
     (re.compile(r"~~(?=\S)([^~\n]+)~~"), r"\1"),
     (re.compile(r"^[ \t]*(?:\|[ \t]*)?:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*$\n?", re.M), ""),
 ]
@@ -322,47 +359,109 @@ def clean_column(c: Column) -> Column:
     return _clean(c)
 
 
-LEAVES = "id bigint, host string, pos int, path string, kind string, look string, content string, text string"
+#: Tables, formulas and code are kept or removed as a whole: their leaves go by the path of the outermost one.
+WHOLE = re.compile(rf"^([^{SEP}]*(?:{SEP}(?!(?:table|math|pre|code){SEP})[^{SEP}]*)*?{SEP}(?:table|math|pre|code)){SEP}.*$")
+TREE = "id bigint, host string, pos int, path string, kind string, text string, style string, kids string, n int, pages int"
 
 
 def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in LEAVES.split(", ")]
+    """Rows of two kinds for each page: its leaves in order (pos, kind, text), and the styles of each path with their numbers (style, kids, n).
+
+    The first style of a path in a page counts the page. kids: tags of the children and their numbers.
+    """
+    columns = [c.split()[0] for c in TREE.split(", ")]
+
+    def digest(x: str) -> str:
+        return hashlib.blake2b(x.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
     for b in batches:
         rows = []
         for i, h, t in zip(b["id"], b["host"], b["html"], strict=True):
-            for n, (path, kind, text) in enumerate(leaves(t)):
-                content = hashlib.blake2b(_squeeze(text).strip().encode("utf-8", "replace"), digest_size=8).hexdigest()
-                rows.append((i, h, n, re.sub(r"\[.*?\]", "", path), kind, path, content, text))
-        yield pd.DataFrame(rows, columns=columns).astype({"id": "int64", "pos": "int32"})
-
-
-def style_tree(leaf_rows: DataFrame) -> DataFrame:
-    """host, path, pages, content_importance, look_importance of the merged tree's nodes.
+            w = walked(t)
+            rows += [(i, h, n, WHOLE.sub(r"\1", path), kind, text, None, None, 0, 0) for n, (path, kind, text) in enumerate(w.leaves)]
+            styles: Counter = Counter()
+            for path, labels, tags_ in w.nodes:
+                kids = " ".join(f"{k} {n}" for k, n in sorted(Counter(tags_).items()))
+                styles[path, digest("\n".join(labels)), kids] += 1
+            for path, _, text in w.leaves:
+                if text.strip():
+                    styles[path, digest(_squeeze(text).strip()), ""] += 1
+            seen: set[str] = set()
+            for (path, style, kids), n in styles.items():
+                rows.append((i, h, None, path, None, None, style, kids, n, int(path not in seen)))
+                seen.add(path)
+        out = pd.DataFrame(rows, columns=columns)
+        out["pos"] = out["pos"].astype("Int32")
+        yield out.astype({"id": "int64", "n": "int32", "pages": "int32"})
+
+
+NODE = "host string, path string, pages bigint, styles bigint, importance double, dull boolean"
+
+
+def _importance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The nodes of merged trees from the bottom up: styles come by host, deeper paths first, so only the finished children of open nodes are held."""
+    columns = [c.split()[0] for c in NODE.split(", ")]
+    done: list[tuple[str, float, bool]] = []
+    at: tuple[str, str] | None = None
+    kids: dict[str, tuple[float, bool]] = {}
+    pages = total = styles = 0
+    clogc = below = spread = 0.0
+
+    def finished() -> tuple:
+        if pages < 2:
+            own = 1.0
+        elif at[1].endswith("#text"):
+            own = 1 - spread / styles / math.log(pages)
+        else:
+            own = min(1.0, (math.log(total) - clogc / total) / math.log(pages))
+        if not at[1].endswith("#text"):
+            keep = GAMMA**styles
+            own = (1 - keep) * own + keep * below / total
+        dull = pages >= MIN_PAGES and own < LEAST_IMPORTANCE and all(d for _, d in kids.values())
+        done.append((at[1], own, dull))
+        return (*at, pages, styles, own, dull)
 
-    Counts fall together by (host, path, content) before the shuffle, so a host with a third of all
-    pages is no hot key.
+    for b in batches:
+        rows = []
+        for host, path, said, c, first, having in zip(b["host"], b["path"], b["kids"], b["n"], b["pages"], b["having"], strict=True):
+            if (host, path) != at:
+                if at is not None:
+                    rows.append(finished())
+                    if host != at[0]:
+                        done.clear()
+                at, kids, pages, total, styles, clogc, below, spread = (host, path), {}, 0, 0, 0, 0.0, 0.0, 0.0
+                while done and done[-1][0].startswith(path + SEP):
+                    p, imp, dull = done.pop()
+                    kids[p[len(path) + 1 :]] = (imp, dull)
+            pages, total, styles, clogc, spread = pages + first, total + c, styles + 1, clogc + c * math.log(c), spread + math.log(having)
+            parts = said.split(" ") if said else []
+            held = [(kids[k][0], int(n)) for k, n in zip(parts[::2], parts[1::2], strict=True)]
+            below += c * sum(v * n for v, n in held) / sum(n for _, n in held) if held else 0.0
+        yield pd.DataFrame(rows, columns=columns)
+    if at is not None:
+        yield pd.DataFrame([finished()], columns=columns)
+
+
+def style_tree(rows: DataFrame) -> DataFrame:
+    """host, path, pages, styles, importance, dull: the nodes of the merged trees of _trees().
+
+    Styles fall together by (host, path, style) before the shuffle. What is left of a host, its
+    merged tree, is read in order by one task that holds one branch of it at a time.
     """
-    said = leaf_rows.where(F.length(F.trim("text")) > 0)
-
-    def entropy(by: str) -> DataFrame:
-        per = said.groupBy("host", "path", by).agg(F.count("*").alias("c"))
-        total = per.groupBy("host", "path").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
-        bits = F.when(F.col("m") > 1, (F.log("m") - F.col("clogc") / F.col("m")) / F.log("m")).otherwise(F.lit(1.0))
-        return total.select("host", "path", F.col("m").alias("pages"), bits.alias(f"{by}_importance"))
-
-    return entropy("content").join(entropy("look").drop("pages"), ["host", "path"])
+    styles = rows.where("style IS NOT NULL").groupBy("host", "path", "style", "kids").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"), F.count("*").alias("having"))
+    return styles.repartition("host").sortWithinPartitions("host", F.desc("path")).select("host", "path", "kids", "n", "pages", "having").mapInPandas(_importance, NODE)
 
 
 def clean_pages(df: DataFrame, key: str = "fact_id", host: str = "edinet_code", html: str = "html") -> DataFrame:
     """key, clean: the text of each page without branches of low importance. Pages are distinct by key.
 
-    A page of which no leaf is left has an empty text, one without html a null.
+    Pages are parsed once. A page of which no leaf is left has an empty text, one without html a null.
     """
     every = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(F.col(html).isNotNull()).alias("some"))
     pages = df.select(F.col(key).alias("id"), F.coalesce(F.col(host), F.lit("")).alias("host"), F.col(html).alias("html")).where("id IS NOT NULL AND html IS NOT NULL").dropDuplicates(["id"])
-    leaf_rows = pages.mapInPandas(_trees, LEAVES)
-    dull = style_tree(leaf_rows).where((F.col("pages") >= MIN_PAGES) & (F.col("content_importance") < LEAST_IMPORTANCE) & (F.col("look_importance") < LEAST_IMPORTANCE)).select("host", "path")
-    kept = leaf_rows.join(dull, ["host", "path"], "left_anti")
+    rows = cut(pages.mapInPandas(_trees, TREE))
+    dull = style_tree(rows).where("dull").select("host", "path")
+    kept = rows.where("pos IS NOT NULL").join(dull, ["host", "path"], "left_anti")
     back = kept.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "text"))).alias("parts"))
     texts = back.select("id", _written(F.col("parts")).alias("clean"))
     return every.join(texts, "id", "left").select(F.col("id").alias(key), F.when(F.col("some"), F.coalesce("clean", F.lit(""))).alias("clean"))

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import time
@@ -126,7 +127,7 @@ def test_cuts_at_the_strongest_boundary(spark):
 
 # Markup
 
-PLAIN = ["< note > text", "R&D: a", "*8 text", "[39] text", "#43: text", "5 < 36; x", "A = B + C (50).", "US$653 and US$70", "name *", "9~10% rise", "rate = 4 / 8\nif rate < 1: keep(rate)", "a_b c_d", "AT&T & co", "-5 * 3 * 2", "", "price ` mark"]
+PLAIN = ["C:\\new\\par and D:\\a_b\\text", "[1](注2)", "def __init__ of x", "< note > text", "R&D: a", "*8 text", "[39] text", "#43: text", "5 < 36; x", "A = B + C (50).", "US$653 and US$70", "name *", "9~10% rise", "rate = 4 / 8\nif rate < 1: keep(rate)", "a_b c_d", "AT&T & co", "-5 * 3 * 2", "", "price ` mark"]
 MARKED = ["a <b>b</b>", "x</td>", "<br/>", "<!-- c -->", "a&amp;b", "&#12354;", "**bold**", "`code`", "```\nx\n```", "### head", "[t](https://a.example/b)", "| a |\n| --- |", "'''b'''", "== h ==", "[[a|b]]", "{{n|x}}", "{| class=\"w\"\n|}", "\\textbf{x}", "$\\frac{1}{2}$", "\\(x_{3}\\)", "5\\% x", "\\begin{tabular}", '<ix:nonNumeric name="a">', "<TE>"]
 
 
@@ -147,12 +148,66 @@ def test_structure_stays():
     assert markup.clean_text(None) is None
 
 
+def brute_tree(pages):
+    """path -> (pages, importance, dull) by recursion over merged trees held whole."""
+    nodes, on = {}, {}
+    for at, page in enumerate(pages):
+        w, seen = markup.walked(page), set()
+        items = [(p, tuple(ls), tuple(ts)) for p, ls, ts in w.nodes] + [(p, x.strip(), ()) for p, _, x in w.leaves if x.strip()]
+        for path, style, kids in items:
+            n = nodes.setdefault(path, [0, {}])
+            n[0] += path not in seen
+            seen.add(path)
+            n[1].setdefault(style, [0, kids])[0] += 1
+            on.setdefault((path, style), set()).add(at)
+    out = {}
+
+    def judge(path):
+        m, styles = nodes[path]
+        total = sum(c for c, _ in styles.values())
+        imp = 1.0 if m < 2 else min(1.0, -sum(c / total * math.log(c / total) for c, _ in styles.values()) / math.log(m))
+        if m > 1 and path.endswith("#text"):
+            imp = 1 - sum(math.log(len(on[path, s])) for s in styles) / len(styles) / math.log(m)
+        kids = {k for _, ks in styles.values() for k in ks}
+        below = {k: judge(f"{path}{markup.SEP}{k}") for k in kids}
+        if not path.endswith("#text"):
+            keep = markup.GAMMA ** len(styles)
+            imp = (1 - keep) * imp + keep * sum(c / total * (sum(below[k][1] for k in ks) / len(ks) if ks else 0.0) for c, ks in styles.values())
+        out[path] = (m, imp, m >= markup.MIN_PAGES and imp < markup.LEAST_IMPORTANCE and all(b[2] for b in below.values()))
+        return out[path]
+
+    judge("#")
+    return out
+
+
+def test_the_merged_tree_is_that_of_brute_force(spark):
+    r = random.Random(6)
+
+    def element(depth):
+        tag = r.choice(["div", "p", "ul", "span"])
+        inner = "".join(element(depth + 1) for _ in range(r.randint(0, 3))) if depth < 4 else ""
+        return f"<{tag}{r.choice(['', ' class=a', ' class=b'])}>{r.choice(['', 'Same', 'Nav', str(r.random())])}{inner}</{tag}>"
+
+    hosts = {h: ["<section><ol><dt>Home</dt><dt>Help</dt></ol></section>" + "".join(element(0) for _ in range(r.randint(0, 3))) for _ in range(40)] for h in ("a", "b")}
+    d = spark.createDataFrame([(i + 100 * (h == "b"), h, p) for h, ps in hosts.items() for i, p in enumerate(ps)], "id bigint, host string, html string")
+    got = {(x["host"], x["path"]): (x["pages"], x["importance"], x["dull"]) for x in markup.style_tree(d.repartition(5).mapInPandas(markup._trees, markup.TREE)).collect()}
+    want = {(h, p): v for h, ps in hosts.items() for p, v in brute_tree(ps).items()}
+    assert set(got) == set(want) and all(got[k] == (want[k][0], pytest.approx(want[k][1]), want[k][2]) for k in want)
+    assert got["a", markup.SEP.join(["#", "section", "ol", "dt", "#text"])] == (40, 0.0, True) and got["a", markup.SEP.join(["#", "section"])][2] and not got["a", "#"][2]
+
+
 def test_boilerplate_of_a_host_goes(spark):
-    rows = [(i, "h", f"<div class='nav'>Home</div><p>text {i}</p>") for i in range(30)] + [(99, "other", "<div>Home</div>"), (98, None, None), (97, "h", "")]
+    rows = [(i, "h", f"<div class='nav'><ul><li>Home</li><li>Help</li></ul></div><p>text {i}</p>") for i in range(30)] + [(99, "other", "<div>Home</div>"), (98, None, None), (97, "h", "")]
+    rows += [(200, "one", "<table><tr>" + "<td>Nil</td>" * 12 + "</tr></table>")] + [(300 + i, "same", "<p>Same</p>") for i in range(20)]
     d = spark.createDataFrame(rows, "fact_id bigint, edinet_code string, html string").withColumn("text", F.lit("<b>x</b>"))
     got = {r[0]: r[1] for r in markup.clean_pages(d.unionByName(d)).collect()}
-    assert got[3] == "text 3" and got[99] == "Home"
-    assert markup.with_markup(d).count() == 33 and markup.with_markup(d.limit(0)).count() == 0
+    assert got[3] == "text 3" and got[99] == "Home" and got[200].count("Nil") == 12
+    tables = [(i, "h", f"<p>{i}</p><table><tr><th>Item</th><td>{i}</td></tr></table><math><mi>a</mi><mo>=</mo><mn>{i}</mn></math>", "") for i in range(20)]
+    whole = markup.clean_pages(spark.createDataFrame(tables, "fact_id bigint, edinet_code string, html string, text string"))
+    assert whole.where("fact_id = 7").first()["clean"] == "7\n| Item | 7 |\n$a = 7$"
+    assert {got[300 + i] for i in range(20)} == {""} and len(got) == len(rows)
+    assert markup.with_markup(d).count() == len(rows) and markup.with_markup(d.limit(0)).count() == 0
+    assert markup.clean_pages(d.limit(0)).count() == 0
 
 
 def test_pages_without_a_leaf_keep_their_row(spark):
