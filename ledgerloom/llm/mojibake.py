@@ -9,7 +9,7 @@ on their own, so the chains' shares are estimated per source (class and encoding
 line) and field (kind of element) over all records, and each segment is judged, and where a chain is
 named repaired, by its posterior.
 
-The expectation step runs over segments grouped by their rounded evidence; only the table of shares
+The expectation step runs over segments grouped by their evidence (in tenths, below the best chain's); only the table of shares
 (sources x fields x chains, whose sizes are fixed) comes to the driver.
 
 Defined results: null, empty and plain ASCII bodies are in order. Characters that a chain lost stay
@@ -24,11 +24,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut
+from ledgerloom.session import cut, spread
 
 SEGMENT = re.compile(r"<(/?)([A-Za-z][\w:.-]*)([^<>]*)>|<!--([^<>]*)-->|<[?!][^<>]*>|([^<>\n]+)")
 VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|=([^\s\"'<>]+)")
@@ -63,19 +64,42 @@ def _to_bytes(text: str, encoding: str) -> bytes:
     return text.encode(encoding)
 
 
-def back(text: str, steps) -> str | None:
-    """The text a chain started from; None if the chain cannot have led here. Lost characters stay lost."""
+def back(text: str, steps) -> tuple[str, int] | None:
+    """The text a chain started from and its characters broken without a lost one beside them; None where it has a character that the chain can't lead to.
+
+    Lost characters stay lost; each may break the ones beside it.
+    """
+    broken = 0
     for taken, was in steps:
+        gone = text.count(LOST_MARK)
         try:
-            raw = b"\xff".join(_to_bytes(p, taken) for p in text.split(LOST_MARK))
+            raw = b"\xff".join(_to_bytes(p, taken) for p in text.split(LOST_MARK)) if gone else _to_bytes(text, taken)
         except UnicodeEncodeError:
             return None
-        gone = text.count(LOST_MARK)
         text = raw.decode(was, "replace")
-        # Each lost character may break the ones beside it, but nothing else may be broken.
-        if text.count(LOST_MARK) > 3 * gone:
-            return None
-    return text
+        broken += max(0, text.count(LOST_MARK) - 3 * gone)
+    return text, broken
+
+
+#: Log-weights of characters by range, later ranges over earlier ones.
+WEIGHTS = (
+    (0x0000, 0x110000, -13.5), (0x0000, 0x0020, -14.0), (0x0009, 0x000B, -4.0), (0x000D, 0x000E, -4.0), (0x0020, 0x0080, -4.0), (0x0080, 0x00A0, -22.0), (0x00A0, 0x0100, -9.5), (0x1100, 0x1200, -22.0),
+    (0x2010, 0x2028, -9.0), (0x20A9, 0x20AA, -9.0), (0x20AC, 0x20AD, -9.0), (0x203B, 0x203C, -9.0), (0x25B2, 0x25B4, -9.0), (0x3000, 0x3001, -9.0), (0x00B7, 0x00B8, -9.0), (0x3040, 0x3100, -10.0),
+    (0x3130, 0x3190, -12.0), (0x4E00, 0xA000, -12.5), (0xE000, 0xF900, -22.0), (0xFF61, 0xFFA0, -11.5), (0xFFFD, 0xFFFE, -30.0), (0xF0000, 0x110000, -22.0),
+)
+#: The same of a text that kept too little: broken characters are at home, the rest comes from anywhere.
+LOST_WEIGHTS = ((0x0000, 0x110000, -14.0), (0x0000, 0x0080, -4.5), (0x0080, 0x00A0, -8.0), (0xE000, 0xF900, -8.0), (0xF0000, 0x110000, -8.0), (0xFFFD, 0xFFFE, -2.0))
+#: What a character costs that a chain broke beside a lost one, and one that it broke by itself.
+GONE, BROKEN = -8.0, -30.0
+#: Evidence is kept in tenths, and so far below the best chain's (e^-60 is no share of a posterior).
+TENTHS, LEAST = 10, -600
+
+
+def _weights(ranges) -> np.ndarray:
+    out = np.empty(0x110000)
+    for a, z, w in ranges:
+        out[a:z] = w
+    return out
 
 
 class Model:
@@ -83,64 +107,43 @@ class Model:
 
     def __init__(self, syllables: dict[str, int]) -> None:
         total = sum(syllables.values()) + 11172
-        self.syllable = {c: math.log(0.5 * (n + 1.0) / total) for c, n in syllables.items()}
         self.rare = math.log(0.5 / total)
-        self.memo: dict[str, float] = {}
-
-    def of_char(self, c: str) -> float:
-        o = ord(c)
-        if o < 0x80:
-            return -4.0 if o >= 0x20 or c in "\t\r" else -14.0
-        if 0xAC00 <= o <= 0xD7A3:
-            return self.syllable.get(c, self.rare)
-        if o == 0xFFFD:
-            return -30.0
-        if o < 0xA0 or 0xE000 <= o <= 0xF8FF or o >= 0xF0000 or 0x1100 <= o <= 0x11FF:
-            return -22.0
-        if o < 0x100:
-            return -9.5
-        if 0x2010 <= o <= 0x2027 or o in (0x20AC, 0x20A9, 0x25B3, 0x25B2, 0x203B, 0x3000, 0x00B7):
-            return -9.0
-        if 0x4E00 <= o <= 0x9FFF:
-            return -12.5
-        if 0x3040 <= o <= 0x30FF:
-            return -10.0
-        if 0xFF61 <= o <= 0xFF9F:
-            return -11.5
-        if 0x3130 <= o <= 0x318F:
-            return -12.0
-        return -13.5
-
-    def of(self, text: str) -> float:
-        memo, total = self.memo, 0.0
-        for c in text:
-            p = memo.get(c)
-            if p is None:
-                p = memo[c] = self.of_char(c)
-            total += p
-        return total
-
-    def lost(self, text: str) -> float:
-        """A text that kept too little: broken characters are at home, the rest comes from anywhere."""
-        total = 0.0
-        for c in text:
-            o = ord(c)
-            total += -2.0 if o == 0xFFFD else -4.5 if o < 0x80 else -8.0 if o < 0xA0 or 0xE000 <= o <= 0xF8FF or o >= 0xF0000 else -14.0
-        return total
-
-    def evidence(self, text: str) -> list[float]:
-        """Log-likelihood by chain, in the order of NAMES, against that of no chain."""
-        none = self.of(text)
-        out = [0.0]
-        for _, steps in CHAINS:
-            was = back(text, steps)
-            if was is None or was == text:
-                out.append(IMPOSSIBLE)
-            else:
-                gone = was.count(LOST_MARK)
-                out.append(self.of(was.replace(LOST_MARK, "")) - 8.0 * gone - none)
-        out.append(self.lost(text) - none)
-        return out
+        self.syllable = {c: math.log(0.5 * (n + 1.0) / total) for c, n in syllables.items()}
+        self.tables: tuple[np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tables": None}
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood of each text, as text and as one that kept too little. All characters are weighed in one lookup."""
+        if self.tables is None:
+            known = _weights(WEIGHTS)
+            known[0xAC00:0xD7A4] = self.rare
+            known[[ord(c) for c in self.syllable]] = list(self.syllable.values())
+            self.tables = known, _weights(LOST_WEIGHTS)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum(size)
+        sums = [np.concatenate(([0.0], np.cumsum(t[codes]))) for t in self.tables]
+        return tuple(x[ends] - x[ends - size] for x in sums)
+
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """Log-likelihood of each text by chain, in the order of NAMES, in tenths below that of the best."""
+        once = list(dict.fromkeys(texts))
+        none, lost = self.scores(once)
+        ev = np.full((len(once), len(NAMES)), IMPOSSIBLE)
+        ev[:, 0], ev[:, -1] = none, lost
+        for k, (_, steps) in enumerate(CHAINS, 1):
+            was = [(i, *b) for i, t in enumerate(once) if (b := back(t, steps)) is not None and b[0] != t]
+            if was:
+                at, found, broken = zip(*was, strict=True)
+                broken = np.array(broken)
+                gone = np.array([x.count(LOST_MARK) for x in found])
+                kept, _ = self.scores([x.replace(LOST_MARK, "") for x in found])
+                ev[list(at), k] = kept + GONE * (gone - broken) + BROKEN * broken
+        ev = np.maximum(np.round((ev - ev.max(1, keepdims=True)) * TENTHS), LEAST).astype(np.int32)
+        place = {t: i for i, t in enumerate(once)}
+        return ev[[place[t] for t in texts]]
 
 
 def _cut(text: str, start: int) -> Iterator[tuple[int, int]]:
@@ -152,7 +155,8 @@ def _cut(text: str, start: int) -> Iterator[tuple[int, int]]:
     runs = [m for m in RUN.finditer(text) if not m.group().isascii()] if OTHER.search(text) else []
     at = 0
     for m in runs:
-        if any(SYLLABLES.search(was) for _, steps in CHAINS if steps[0][0] == "latin" and (was := back(m.group(), steps)) is not None):
+        ways = (back(m.group(), steps) for _, steps in CHAINS if steps[0][0] == "latin")
+        if any(w is not None and not w[1] and SYLLABLES.search(w[0]) for w in ways):
             if not text[at : m.start()].isascii():
                 yield start + at, start + m.start()
             yield start + m.start(), start + m.end()
@@ -185,11 +189,9 @@ def source_of(body: str, cls: str | None) -> str:
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        c: Counter = Counter()
-        for body in b["body"]:
-            c.update(body)
-        rows = [(k, n) for k, n in c.items() if "가" <= k <= "힣"]
-        yield pd.DataFrame(rows, columns=["c", "n"]).astype({"n": "int64"})
+        codes = np.frombuffer("".join(b["body"]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        n = np.bincount(codes[(codes >= 0xAC00) & (codes <= 0xD7A3)] - 0xAC00, minlength=1)
+        yield pd.DataFrame({"c": [chr(0xAC00 + i) for i in np.flatnonzero(n)], "n": n[n > 0].astype("int64")})
 
 
 def syllable_counts(bodies: DataFrame) -> dict[str, int]:
@@ -198,20 +200,44 @@ def syllable_counts(bodies: DataFrame) -> dict[str, int]:
     return {r["c"]: r["n"] for r in got.collect()}
 
 
+def _parts(bodies: pd.Series, classes: pd.Series, model: Model, size: int = 500_000) -> Iterator[list[tuple[int, str, list, np.ndarray]]]:
+    """(place, source, segments, evidence of each) of the bodies, weighed together up to so many characters; a longer body alone, and whole."""
+    some: list[tuple[int, str, list]] = []
+    texts: list[str] = []
+    chars = 0
+
+    def weighed() -> list:
+        ev, at, out = model.evidence(texts) if texts else np.empty((0, len(NAMES)), np.int32), 0, []
+        for i, source, segs in some:
+            out.append((i, source, segs, ev[at : at + len(segs)]))
+            at += len(segs)
+        return out
+
+    for i, (body, cls) in enumerate(zip(bodies, classes, strict=True)):
+        if some and chars + len(body) > size:
+            yield weighed()
+            some, texts, chars = [], [], 0
+        segs = list(segments(body))
+        some.append((i, source_of(body, cls), segs))
+        texts += [body[a:z] for _, a, z in segs]
+        chars += len(body)
+    if some:
+        yield weighed()
+
+
 def _weigher(model: Model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for key, cls, body in zip(b["key"], b["cls"], b["body"], strict=True):
-                source = source_of(body, cls)
-                rows += [(key, source, field, [max(-60, min(60, round(x))) for x in model.evidence(body[a:z])]) for field, a, z in segments(body)]
-            yield pd.DataFrame(rows, columns=["key", "source", "field", "ev"])
+            keys, digests = b["key"].tolist(), b["digest"].tolist()
+            for part in _parts(b["body"], b["cls"], model):
+                rows = [(keys[i], digests[i], source, [{"field": f, "ev": e.tolist()} for (f, _, _), e in zip(segs, ev, strict=True)]) for i, source, segs, ev in part]
+                yield pd.DataFrame(rows, columns=["key", "digest", "source", "segments"])
 
     return run
 
 
 def _posterior(prior: str = "prior", ev: str = "ev"):
-    weight = F.zip_with(prior, ev, lambda p, e: p * F.exp(e.cast("double")))
+    weight = F.zip_with(prior, ev, lambda p, e: p * F.exp(e / F.lit(float(TENTHS))))
     total = F.aggregate(weight, F.lit(0.0), lambda t, w: t + w)
     return F.transform(weight, lambda w: w / total)
 
@@ -250,10 +276,11 @@ def _bodies(df: DataFrame, key: str, body: str, cls: str) -> DataFrame:
 
 
 def judged(df: DataFrame, key: str = "rcept_no", body: str = "body", cls: str = "corp_cls"):
-    """(model, shares, judged segments): key, chain and posterior of each segment that isn't plain ASCII."""
-    rows = _bodies(df, key, body, cls).dropDuplicates(["key", "body"])
+    """(model, shares, judged segments): key, chain and posterior of each segment that isn't plain ASCII. No body is shuffled."""
+    rows = spread(_bodies(df, key, body, cls))
     model = Model(syllable_counts(rows))
-    evidence = cut(rows.mapInPandas(_weigher(model), "key string, source string, field string, ev array<int>"))
+    weighed = rows.withColumn("digest", F.md5("body")).mapInPandas(_weigher(model), "key string, digest string, source string, segments array<struct<field:string,ev:array<int>>>")
+    evidence = cut(weighed.dropDuplicates(["key", "digest"]).select("key", "source", F.inline("segments")))
     priors = estimate(evidence)
     post = evidence.join(F.broadcast(_priors_frame(df.sparkSession, priors)), ["source", "field"]).withColumn("post", _posterior())
     best = F.array_position("post", F.array_max("post")) - 1
@@ -266,20 +293,20 @@ def found(df: DataFrame, key: str = "rcept_no") -> DataFrame:
 
 
 def _repairer(model: Model, priors: dict):
-    logs = {k: [math.log(max(p, 1e-12)) for p in v] for k, v in priors.items()}
-    flat = [math.log(0.9), *[math.log(0.1 / (len(NAMES) - 1))] * (len(NAMES) - 1)]
-
-    def repaired(body: str, cls: str | None) -> tuple[str, int, int, str]:
-        source, out, at, bad, kept, chains = source_of(body, cls), [], 0, 0, 0, Counter()
-        for field, a, z in segments(body):
-            score = [p + e for p, e in zip(logs.get((source, field), flat), model.evidence(body[a:z]), strict=True)]
-            best = max(range(len(score)), key=score.__getitem__)
+    logs = {k: np.log(np.maximum(v, 1e-12)) for k, v in priors.items()}
+    flat = np.log([0.9, *[0.1 / (len(NAMES) - 1)] * (len(NAMES) - 1)])
+    steps = dict(CHAINS)
+
+    def repaired(body: str, source: str, segs: list, ev: np.ndarray) -> tuple[str, int, int, str]:
+        out, at, bad, kept, chains = [], 0, 0, 0, Counter()
+        for (field, a, z), e in zip(segs, ev, strict=True):
+            best = int(np.argmax(logs.get((source, field), flat) + e / TENTHS))
             if best == 0:
                 continue
             bad += 1
             chains[NAMES[best]] += 1
-            new = back(body[a:z], dict(CHAINS)[NAMES[best]]) if NAMES[best] != "lost" else None
-            if new is not None:
+            if NAMES[best] != "lost":
+                new, _ = back(body[a:z], steps[NAMES[best]])
                 kept += LOST_MARK not in new
                 out += [body[at:a], new]
                 at = z
@@ -287,8 +314,10 @@ def _repairer(model: Model, priors: dict):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, *repaired(body, c)) for k, c, body in zip(b["key"], b["cls"], b["body"], strict=True)]
-            yield pd.DataFrame(rows, columns=["key", "body", "garbled_segments", "restored_segments", "chain"]).query("garbled_segments > 0")
+            keys, bodies = b["key"].tolist(), b["body"].tolist()
+            for part in _parts(b["body"], b["cls"], model):
+                rows = [(keys[i], *repaired(bodies[i], source, segs, ev)) for i, source, segs, ev in part]
+                yield pd.DataFrame(rows, columns=["key", "body", "garbled_segments", "restored_segments", "chain"]).query("garbled_segments > 0")
 
     return run
 
@@ -296,6 +325,6 @@ def _repairer(model: Model, priors: dict):
 def repair(df: DataFrame, key: str = "rcept_no", body: str = "body", cls: str = "corp_cls") -> DataFrame:
     """key, repaired body, number of garbled and of wholly restored segments, and the main chain, of affected records."""
     model, priors, _ = judged(df, key, body, cls)
-    rows = _bodies(df, key, body, cls).dropDuplicates(["key", "body"])
-    out = rows.mapInPandas(_repairer(model, priors), "key string, body string, garbled_segments int, restored_segments int, chain string")
+    rows = spread(_bodies(df, key, body, cls))
+    out = rows.mapInPandas(_repairer(model, priors), "key string, body string, garbled_segments int, restored_segments int, chain string").distinct()
     return out.withColumn("restored", F.col("restored_segments") == F.col("garbled_segments")).withColumnRenamed("key", key)

@@ -2,6 +2,7 @@ import math
 import random
 import re
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -289,7 +290,7 @@ def test_chains_lead_back():
     made = {"cp949 as latin": s.encode("cp949").decode("latin-1"), "utf-8 as latin": s.encode().decode("latin-1"), "utf-8 as latin twice": s.encode().decode("latin-1").encode().decode("latin-1"), "cp949 as gbk": GOOD[1].encode("cp949").decode("gbk", "replace")}
     steps = dict(mojibake.CHAINS)
     for name in ("cp949 as latin", "utf-8 as latin", "utf-8 as latin twice"):
-        assert mojibake.back(made[name], steps[name]) == s
+        assert mojibake.back(made[name], steps[name]) == (s, 0)
     assert mojibake.back("가", steps["cp949 as latin"]) is None
 
 
@@ -305,6 +306,24 @@ def test_found_and_repaired(spark):
     assert mojibake.found(d.limit(0)).count() == 0
 
 
+def test_long_segments_name_the_right_chain(spark):
+    syllables = Counter("".join(GOOD * 50))
+    model = mojibake.Model(syllables)
+    text = " ".join(GOOD * 40)
+    taken = {"utf-8 as gbk": text.encode()[: len(text.encode()) // 2 * 2].decode("gbk", "replace"), "cp949 as latin": text.encode("cp949").decode("latin-1"), "utf-8 as latin": text.encode().decode("latin-1"), "none": text}
+    for name, t in taken.items():
+        ev = model.evidence([t, GOOD[2], t])
+        assert ev[0].tolist() == ev[2].tolist() and ev.max() == 0 and ev.min() >= mojibake.LEAST
+        assert [mojibake.NAMES[k] for k in range(len(mojibake.NAMES)) if ev[0][k] == 0] == [name]
+
+
+def test_scores_are_sums_of_weights():
+    model = mojibake.Model({"가": 5, "나": 1})
+    texts = ["가나다", "", "a\u00e9\ufffd\U0010fffd", "\t漢ｱ"]
+    one = lambda c: model.syllable.get(c, model.rare) if "가" <= c <= "힣" else next(w for a, z, w in reversed(mojibake.WEIGHTS) if a <= ord(c) < z)
+    assert model.scores(texts)[0].tolist() == pytest.approx([sum(map(one, t)) for t in texts])
+
+
 def test_garbled_beside_intact_and_in_attributes_and_comments(spark):
     r = random.Random(8)
     rows = [(str(i), "Y", body(*(r.choice(GOOD) for _ in range(6))), 1) for i in range(60)]
