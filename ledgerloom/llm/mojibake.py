@@ -71,6 +71,8 @@ def back(text: str, steps) -> tuple[str, int] | None:
     """
     broken = 0
     for taken, was in steps:
+        if taken == "latin" and OTHER.search(text):
+            return None
         gone = text.count(LOST_MARK)
         try:
             raw = b"\xff".join(_to_bytes(p, taken) for p in text.split(LOST_MARK)) if gone else _to_bytes(text, taken)
@@ -152,9 +154,13 @@ def _cut(text: str, start: int) -> Iterator[tuple[int, int]]:
     Other characters make the latin chains impossible for the whole segment, so a run of latin ones
     beside them is a part of its own where one of these chains leads back to syllables and loses none.
     """
-    runs = [m for m in RUN.finditer(text) if not m.group().isascii()] if OTHER.search(text) else []
+    if not OTHER.search(text):
+        yield start, start + len(text)
+        return
     at = 0
-    for m in runs:
+    for m in RUN.finditer(text):
+        if m.group().isascii():
+            continue
         ways = (back(m.group(), steps) for _, steps in CHAINS if steps[0][0] == "latin")
         if any(w is not None and not w[1] and SYLLABLES.search(w[0]) for w in ways):
             if not text[at : m.start()].isascii():
