@@ -14,7 +14,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_shares(spark: SparkSession, d: str) -> DataFrame:
-    m = repetition.judged(table(spark, d, "filing_md")).dropDuplicates(["doc_id"])
+    m = repetition.judged(table(spark, d, "filing_md"))
     return m.select("doc_id", F.round("repeat_share", 6).alias("repeat_share"), F.round("run_share", 6).alias("run_share"), F.round("line_share", 6).alias("line_share"), "violated")
 
 

@@ -205,6 +205,22 @@ def _repeats(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["units", "runs", "any"]).astype("Int32")
 
 
+def _tree(words) -> str:
+    """A pattern of these words that reads each common beginning once."""
+    tree: dict = {}
+    for w in words:
+        at = tree
+        for c in w:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def written(t: dict) -> str:
+        parts = [c + written(k) for c, k in sorted(t.items()) if c]
+        return f"(?:{'|'.join(parts)}){'?' if '' in t else ''}" if parts else ""
+
+    return written(tree)
+
+
 def _ratio(part: Column, whole: Column) -> Column:
     """0 where there is nothing to share in, null where there is no text."""
     return F.when(whole.isNotNull() & part.isNotNull(), F.coalesce(F.try_divide(part, whole), F.lit(0.0)))
@@ -217,8 +233,8 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
     d = d.withColumn("_repeats", _repeats(F.regexp_replace("_norm", SENTENCE_END, CUT)))
     line_keys = F.filter(F.split("_norm", "\n"), lambda x: F.char_length(x) >= MIN_UNIT)
     lines = F.split("_text", r"\r?\n")
-    stop = "(?<!\\p{L})(?:" + "|".join(STOP_WORDS) + ")(?!\\p{L})"
-    body = F.regexp_replace("_text", rf"{BLANK}|[\r\n]", "")
+    stop = f"(?=[{''.join(sorted({w[0] for w in STOP_WORDS}))}])(?<!\\p{{L}}){_tree(STOP_WORDS)}(?!\\p{{L}})"
+    body = F.translate("_text", BLANKS[1:] + "\n", "")
     out = d.select(
         key,
         F.char_length("_text").alias("n_chars"),
@@ -229,7 +245,7 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
         F.col("_repeats.any").alias("repeated_chars"),
         F.array_max(F.transform(lines, F.char_length)).cast("double").alias("max_line_chars"),
         _ratio(F.size(F.filter(lines, lambda x: F.char_length(x) < 20)), F.size(lines)).alias("short_line_ratio"),
-        _ratio(F.char_length(F.regexp_replace(body, r"[\p{L}\p{N}\p{M}]", "")), F.char_length(body)).alias("symbol_ratio"),
+        _ratio(F.char_length(F.regexp_replace(body, r"[\p{L}\p{N}\p{M}]+", "")), F.char_length(body)).alias("symbol_ratio"),
         _ratio(F.regexp_count(F.lower("_text"), F.lit(stop)), F.regexp_count("_text", F.lit(r"\p{L}+"))).alias("stop_word_ratio"),
     )
     return out.withColumns(
@@ -242,18 +258,18 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
 
 
 def judged(df: DataFrame, text_col: str = "md", key: str = "doc_id", thresholds=THRESHOLDS) -> DataFrame:
-    """measured() with `violated`, the names of the rules of the threshold table that a document breaks."""
+    """measured(), once per key, with `violated`, the names of the rules of the threshold table that a document breaks.
+
+    Only keys and figures are shuffled. The rules are asked after the aggregate: before it, every
+    mention of a figure would drag a copy of the whole nested projection with it.
+    """
+    m = measured(df, text_col, key)
+    once = m.groupBy(key).agg(*[F.max(c).alias(c) for c in m.columns if c != key])
     tests = {">=": lambda c, t: c >= t, ">": lambda c, t: c > t, "<": lambda c, t: c < t, "<=": lambda c, t: c <= t}
     rules = F.array(*[F.when(tests[op](F.col(m), F.lit(t)), F.lit(name)) for m, op, t, name in thresholds])
-    return measured(df, text_col, key).withColumn("violated", F.array_compact(rules))
+    return once.withColumn("violated", F.array_compact(rules))
 
 
 def found(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFrame:
-    """Keys of documents that the rule `repeated` catches. Only keys and a flag are shuffled.
-
-    The rule is asked after an aggregate: a filter on it would be pushed down and drag copies of the
-    whole nested projection with it.
-    """
-    rule = tuple(t for t in THRESHOLDS if t[3] == "repeated")
-    hit = F.max(F.array_contains("violated", "repeated")).alias("_hit")
-    return judged(df, text_col, key, rule).groupBy(key).agg(hit).where("_hit").select(key)
+    """Keys of documents that the rule `repeated` catches, judged over the whole threshold table."""
+    return judged(df, text_col, key).where(F.col(key).isNotNull() & F.array_contains("violated", "repeated")).select(key)
