@@ -231,30 +231,42 @@ def measured(df: DataFrame, text_col: str = "md", key: str = "doc_id") -> DataFr
     d = df.select(F.col(key), F.col(text_col).alias("_text"))
     d = d.withColumn("_norm", F.translate(F.regexp_replace("_text", MARK, ""), CAPITALS + BLANKS, CAPITALS.lower()))
     d = d.withColumn("_repeats", _repeats(F.regexp_replace("_norm", SENTENCE_END, CUT)))
-    line_keys = F.filter(F.split("_norm", "\n"), lambda x: F.char_length(x) >= MIN_UNIT)
-    lines = F.split("_text", r"\r?\n")
     stop = f"(?=[{''.join(sorted({w[0] for w in STOP_WORDS}))}])(?<!\\p{{L}}){_tree(STOP_WORDS)}(?!\\p{{L}})"
-    body = F.translate("_text", BLANKS[1:] + "\n", "")
+    # Lists and counts that several figures need are columns of their own: an expression named twice would be worked out twice.
+    d = d.withColumns(
+        {
+            "_lines": F.transform(F.split("_text", r"\r?\n"), F.char_length),
+            "_keys": F.filter(F.split("_norm", "\n"), lambda x: F.char_length(x) >= MIN_UNIT),
+            "_body": F.translate("_text", BLANKS[1:] + "\n", ""),
+        }
+    )
     out = d.select(
         key,
         F.char_length("_text").alias("n_chars"),
         F.char_length(F.translate("_norm", "\n", "")).alias("unit_chars"),
-        (F.char_length(F.array_join(line_keys, "")) - F.char_length(F.array_join(F.array_distinct(line_keys), ""))).alias("repeated_line_chars"),
+        (F.char_length(F.array_join("_keys", "")) - F.char_length(F.array_join(F.array_distinct("_keys"), ""))).alias("repeated_line_chars"),
         F.col("_repeats.units").alias("repeated_unit_chars"),
         F.col("_repeats.runs").alias("run_chars"),
         F.col("_repeats.any").alias("repeated_chars"),
-        F.array_max(F.transform(lines, F.char_length)).cast("double").alias("max_line_chars"),
-        _ratio(F.size(F.filter(lines, lambda x: F.char_length(x) < 20)), F.size(lines)).alias("short_line_ratio"),
-        _ratio(F.char_length(F.regexp_replace(body, r"[\p{L}\p{N}\p{M}]+", "")), F.char_length(body)).alias("symbol_ratio"),
-        _ratio(F.regexp_count(F.lower("_text"), F.lit(stop)), F.regexp_count("_text", F.lit(r"\p{L}+"))).alias("stop_word_ratio"),
+        F.array_max("_lines").cast("double").alias("max_line_chars"),
+        F.size("_lines").alias("_n_lines"),
+        F.size(F.filter("_lines", lambda x: x < 20)).alias("_short_lines"),
+        F.char_length("_body").alias("_n_body"),
+        F.char_length(F.regexp_replace("_body", r"[\p{L}\p{N}\p{M}]+", "")).alias("_symbols"),
+        F.regexp_count(F.lower("_text"), F.lit(stop)).alias("_stops"),
+        F.regexp_count("_text", F.lit(r"\p{L}+")).alias("_words"),
     )
-    return out.withColumns(
+    out = out.withColumns(
         {
+            "short_line_ratio": _ratio(F.col("_short_lines"), F.col("_n_lines")),
+            "symbol_ratio": _ratio(F.col("_symbols"), F.col("_n_body")),
+            "stop_word_ratio": _ratio(F.col("_stops"), F.col("_words")),
             "line_share": _ratio(F.col("repeated_line_chars"), F.col("unit_chars")),
             "run_share": _ratio(F.col("run_chars"), F.col("unit_chars")),
             "repeat_share": _ratio(F.col("repeated_chars"), F.col("unit_chars")),
         }
     )
+    return out.drop("_n_lines", "_short_lines", "_n_body", "_symbols", "_stops", "_words")
 
 
 def judged(df: DataFrame, text_col: str = "md", key: str = "doc_id", thresholds=THRESHOLDS) -> DataFrame:
