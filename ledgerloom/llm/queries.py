@@ -51,6 +51,21 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def _heated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, float]:
+    """Sizes, targets, and as many tokens asked as all usable documents of target sources hold: more than the repetition limits give at the targets."""
+    sizes, targets = cut(mixing.sized(table(spark, d, "documents"))), table(spark, d, "mix_targets")
+    named = targets.where("target_share > 0").select(mixing.source_key(F.col("source")).alias("source")).distinct()
+    return sizes, targets, float(sizes.join(named, "source", "left_semi").agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0])
+
+
+def p9_heated(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(*_heated(spark, d))
+
+
+def p9_heated_plan(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.plan(*_heated(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.with_markup(table(spark, d, "edinet_xbrl"))
 
@@ -91,7 +106,7 @@ def p10_masked(spark: SparkSession, d: str) -> DataFrame:
     return pii.masked(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_classes, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares, p10_found, p10_masked)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_shares, p2_found, p2_pieces, p4_found, p4_text, p4_html, p5_found, p5_classes, p5_forms, p7_found, p7_repaired, p8_ids, p8_counts, p9_mix, p9_shares, p9_heated, p9_heated_plan, p10_found, p10_masked)}
 
 def _form_sql(c: str) -> str:
     """The shapes of a text, character by character: equal where consistent forms are."""

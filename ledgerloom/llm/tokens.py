@@ -43,6 +43,7 @@ class Vocabulary:
         self.pieces = regex.compile(pattern).findall
         self.pattern = regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
+        self.longest = max(map(len, ranks), default=1)
         #: Every token, and every start of one that is none itself, as -1.
         self.starts: dict[bytes, int] = {}
         for b in ranks:
@@ -108,8 +109,7 @@ class Vocabulary:
     def extend(self, data: bytes, last: list[int], start: int) -> None:
         """Fills last[i] of prefixes i beyond `start`, given those up to it. Rests on tokens that begin at any known prefix."""
         starts, apart, stay, n = self.starts, self.apart, self.stay_apart, len(data)
-        longest = 128
-        for i in range(max(0, start - longest), n):
+        for i in range(max(0, start - self.longest), n):
             before = last[i]
             if before == -2:
                 continue

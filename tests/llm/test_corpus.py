@@ -103,6 +103,43 @@ def test_sources_by_their_plain_name(spark):
     assert mixing.mixed(mixing.sized(d.limit(0)), t).count() == 0
 
 
+def shares_by_sql(spark, chosen):
+    """Actual share, most uses and limits by source, from p8_counts, the documents and the chosen records alone, in DuckDB."""
+    import duckdb
+
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    counts = queries.p8_counts(spark, d).toPandas()  # noqa: F841
+    mix = chosen.toPandas()  # noqa: F841
+    return con.sql(f"""WITH x AS (SELECT lower(trim(d.source)) AS source, c.n_tokens, m.uses FROM mix m JOIN counts c USING (doc_id) JOIN '{d}/documents.parquet' d USING (doc_id))
+      SELECT t.source, t.target_share, t.max_repeats, coalesce(sum(n_tokens * uses), 0) / (SELECT sum(n_tokens * uses) FROM x) AS share, max(uses) AS most, sum(n_tokens * uses) AS used
+      FROM '{d}/mix_targets.parquet' t LEFT JOIN x USING (source) GROUP BY ALL""").fetchall()
+
+
+def test_shares_of_the_documents_by_sql(spark):
+    d = "/root/testdata/sf0.01"
+    mine = queries.p9_mix(spark, d)
+    got = shares_by_sql(spark, mine)
+    there = sum(t for _, t, _, share, _, _ in got if share)
+    assert all(abs(share - t / there) < 0.01 and most <= cap for _, t, cap, share, most, _ in got if share)
+    reported = {r["source"]: r["actual_share"] for r in mixing.shares(mine, spark.read.parquet(f"{d}/mix_targets.parquet")).collect()}
+    assert all(reported[s] == pytest.approx(share) for s, _, _, share, _, _ in got)
+
+
+def test_the_heated_mixture_gives_the_asked_total_within_the_caps(spark):
+    d = "/root/testdata/sf0.01"
+    plan = queries.p9_heated_plan(spark, d).collect()
+    x = plan[0]["exponent"]
+    assert 0 < x < 1 and all(r["budget"] <= r["tokens"] * r["max_repeats"] + 1 for r in plan)
+    got = {s: (share, most, cap, used) for s, _, cap, share, most, used in shares_by_sql(spark, queries.p9_heated(spark, d))}
+    total = sum(r["tokens"] for r in plan)
+    assert abs(sum(u or 0 for *_, u in got.values()) / total - 1) < 0.02 and all(m is None or m <= c for _, m, c, _ in got.values())
+    # The exponent is the least one: some source stands at its limit, and budgets are those of targets to 1 - x and natural shares to x.
+    assert max(r["budget"] / (r["tokens"] * r["max_repeats"]) for r in plan if r["tokens"]) == pytest.approx(1, abs=1e-6)
+    raw = {r["source"]: r["target_share"] ** (1 - x) * (r["tokens"] / total) ** x for r in plan if r["tokens"]}
+    assert all(r["budget"] == pytest.approx(total * raw[r["source"]] / sum(raw.values()), rel=1e-6) for r in plan if r["tokens"])
+
+
 # Personal information
 
 
