@@ -60,18 +60,24 @@ def format_of(exchange: Column) -> Column:
 
 
 def is_page_number(c: Column) -> Column:
-    return F.trim(c).rlike(r"^(?:[-–—]\s*)?(?:第\s*)?[0-9]{1,4}(?:\s*[/／]\s*[0-9]{1,4})?(?:\s*[页頁])?(?:\s*[-–—])?$")
+    """Digits alone, or `n / m`."""
+    return F.trim(c).rlike(r"^\p{Nd}+(?:\s*/\s*\p{Nd}+)?$")
+
+
+#: Words of unit lines, and marks that end a sentence and so no caption or heading.
+UNIT_WORD, NO_CAPTION = "单位", r"[。；，、．.,;:：]$"
 
 
 def is_caption(c: Column) -> Column:
-    return c.rlike(r"^(?:表|図|图|圖|Table|Figure)\s*[0-9０-９一二三四五六七八九十]") & (F.char_length(c) <= 60)
+    """A unit line, or a short text that ends like no sentence."""
+    return (c != "") & (F.contains(c, F.lit(UNIT_WORD)) | ((F.char_length(c) <= 40) & ~c.rlike(NO_CAPTION)))
 
 
 def quoted_units(md: Column) -> Column:
-    """Lines that state the unit, quoted."""
-    return F.regexp_replace(md, r"(?m)^(\s*[（(]?(?:单位|單位|単位|단위)\s*[:：][^\n|]{1,30})$", "> $1")
+    """Lines that begin with the unit, trimmed and quoted."""
+    return F.regexp_replace(md, r"(?m)^[ \t\x{3000}]*((?:单位|単位)\s*[:：][^\n]*?)[ \t\r\x{3000}]*$", "> $1")
 
 
 def needs_space(a: Column, b: Column) -> Column:
-    """Whether two pieces of text are joined by a space: both sides of the seam are ASCII letters or digits."""
-    return a.rlike(r"[A-Za-z0-9,.;:)]$") & b.rlike(r"^[A-Za-z0-9(]")
+    """Whether two pieces of text are joined by a space: both sides of the seam are ASCII."""
+    return a.rlike(r"[\x00-\x7F]$") & b.rlike(r"^[\x00-\x7F]")

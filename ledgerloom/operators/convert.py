@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.filings import is_page_number
-from ledgerloom.operators import layout, lines, tables
+from ledgerloom.functions.filings import format_of, is_page_number, quoted_units
+from ledgerloom.operators import layout, lines, tables, xbrl
+from ledgerloom.sources import markup
 
 #: Enumerations and chapter marks that make a heading.
 CHAPTER_MARK = r"^第[^【]{1,5}【|^第[一二三四五六七八九十0-9]+[节章]"
@@ -26,11 +27,11 @@ def block_kind(text: Column, size: Column, font: Column) -> Column:
     return F.when(head, "h2").when((F.char_length(text) <= 40) & text.rlike(SUB_MARK) & (size >= 12.0), "h3").otherwise("p")
 
 
-def page_body(blocks: DataFrame, table_boxes: DataFrame, header: float = 55.0, footer: float = 60.0, slack: float = 2.0) -> DataFrame:
+def page_body(blocks: DataFrame, table_boxes: DataFrame, header: float = 55.0, footer: float = 60.0, number: float = 75.0, slack: float = 2.0) -> DataFrame:
     """Blocks outside the header and footer bands (unless they are chapter headings), without page numbers at the foot and without those inside a table."""
     mark = F.col("text").rlike(CHAPTER_MARK)
-    kept = blocks.where(mark | ((F.col("y0") >= header) & (F.col("y1") <= F.col("height") - footer)) | F.col("y0").isNull())
-    kept = kept.where(~((F.col("y0") > F.col("height") - 2 * footer) & is_page_number(F.col("text"))))
+    kept = blocks.where(mark | ((F.col("y0") >= header) & (F.col("y0") <= F.col("height") - footer)) | F.col("y0").isNull())
+    kept = kept.where(~((F.col("y0") > F.col("height") - number) & is_page_number(F.col("text"))))
     b, t = kept.alias("b"), table_boxes.alias("t")
     inside = (F.col("b.x0") >= F.col("t.x0") - slack) & (F.col("b.y0") >= F.col("t.y0") - slack) & (F.col("b.x1") <= F.col("t.x1") + slack) & (F.col("b.y1") <= F.col("t.y1") + slack)
     return b.join(t, (F.col("b.doc_id") == F.col("t.doc_id")) & (F.col("b.page_no") == F.col("t.page_no")) & inside, "left_anti")
@@ -47,12 +48,30 @@ def in_order(blocks: DataFrame, strategy: str = "natural") -> DataFrame:
 
 
 def layout_markdown(blocks: DataFrame, strategy: str = "natural") -> DataFrame:
-    """Markdown of layout blocks (doc_id, page_no, seq, x0, y0, kind, text): ordered, merged to paragraphs and rendered."""
+    """Markdown of layout blocks (doc_id, page_no, seq, x0, y0, kind, text): ordered, merged to paragraphs and rendered. Blocks of kind table stay as they are."""
     o = in_order(blocks, strategy).select("doc_id", "page_no", F.col("pos").cast("int").alias("seq"), "y0", "kind", "text")
     m = layout.merged_lines(o)
-    line = F.concat(F.when(F.col("kind") == "h2", "## ").when(F.col("kind") == "h3", "### ").otherwise(""), "text")
+    line = F.concat(F.when(F.col("kind") == "h2", "\n## ").when(F.col("kind") == "h3", "\n### ").otherwise(""), "text", F.when(F.col("kind") == "table", "\n").otherwise(""))
     per = m.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", "par_no", line.alias("line")))).alias("ls"))
-    return per.select("doc_id", F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("md"))
+    return per.select("doc_id", quoted_units(F.regexp_replace(F.array_join(F.transform("ls", lambda x: x["line"]), "\n"), r"\n{3,}", "\n\n")).alias("md"))
+
+
+def layout_document(blocks: DataFrame, tables_: DataFrame, strategy: str = "y") -> DataFrame:
+    """Markdown of whole layout documents.
+
+    blocks: doc_id, page_no, seq, x0, y0, x1, y1, height, size, font, text. tables_: doc_id, page_no,
+    table_no, x0, y0, x1, y1, height, grid (rows of cells). Headers, footers, page numbers and text
+    inside tables go; tables that run over pages are one, under the caption above their first part.
+    """
+    body = page_body(blocks, tables_)
+    body = body.withColumn("kind", block_kind(F.col("text"), F.col("size"), F.col("font")))
+    whole = layout.stitched_grids(tables_).join(layout.captions(tables_, body), ["doc_id", "page_no", "table_no"], "left")
+    said = F.regexp_replace("caption", r"\s+", " ")
+    said = F.when(F.char_length(said) > 80, F.concat(F.substring(said, 1, 80), F.lit("…"))).otherwise(said)
+    text = F.concat(F.coalesce(F.concat(F.lit("**"), said, F.lit("**\n")), F.lit("")), layout.grid_text(F.col("grid")))
+    boxes = tables_.select("doc_id", "page_no", "table_no", "x0")
+    t = whole.join(boxes, ["doc_id", "page_no", "table_no"]).select("doc_id", "page_no", (F.lit(1_000_000) + F.col("table_no")).cast("int").alias("seq"), "x0", "y0", F.lit("table").alias("kind"), text.alias("text"))
+    return layout_markdown(body.select("doc_id", "page_no", F.col("seq").cast("int").alias("seq"), "x0", "y0", "kind", "text").unionByName(t), strategy)
 
 
 def tagged_headings(spans: DataFrame) -> DataFrame:
@@ -130,25 +149,90 @@ def with_next_pages(pages: DataFrame, hit: Column, more: int = 2) -> DataFrame:
     return pages.withColumn("long", text).withColumn("hit", hit).where("hit").select("doc_id", "page_no", F.col("long").alias("text"))
 
 
-def scorecard(docs: DataFrame) -> DataFrame:
-    """One row per document with the state of every metric; a metric that measures nothing is null or skip and hinders no other.
+#: The metrics of a scorecard: name -> plan over (doc_id, market, md). Another is added by putting it in.
+METRICS = {
+    "identity": lambda d: tables.identity(d).select("doc_id", F.col("status").alias("identity")),
+    "footing": lambda d: tables.footing(d).select("doc_id", F.when(F.col("labeled_tested") > 0, F.round(F.col("labeled_passed") / F.col("labeled_tested"), 6)).alias("footing")),
+    "articulation": lambda d: tables.articulation(d).select("doc_id", F.col("ratio").alias("articulation")),
+    "alignment": lambda d: tables.alignment(d).select("doc_id", "misaligned_ratio"),
+    "duplication": lambda d: lines.duplication(d).select("doc_id", "dup_ratio"),
+    "garbled": lambda d: lines.garbled(d.where("md IS NOT NULL")).select("doc_id", F.col("ratio").alias("garbled_ratio")),
+    "sections": lambda d: lines.sections(d).select("doc_id", "section_count"),
+    "fragmentation": lambda d: lines.fragmentation(d).select("doc_id", "fragment_ratio"),
+    "fake_headings": lambda d: lines.fake_headings(d).select("doc_id", "fake_ratio"),
+    "script_profile": lambda d: lines.script_profile(d.where("md IS NOT NULL")).select("doc_id", "suspicious"),
+}
+
 
-    The documents are read once per metric, each metric is aggregated by document first, and the joins
-    share the document's hash partitioning.
+def scorecard(docs: DataFrame, metrics=None) -> DataFrame:
+    """One row per document with the figure of every metric; a metric that measures nothing is null or skip and hinders no other.
+
+    A metric whose plan cannot be made leaves its message in `errors` and the others their figures.
+    Each metric is aggregated by document first, and the joins share the document's hash partitioning.
     """
     base = docs.where("md IS NOT NULL").select("doc_id", "market")
-    parts = [
-        tables.identity(docs).select("doc_id", F.col("status").alias("identity")),
-        tables.footing(docs).select("doc_id", F.when(F.col("labeled_tested") > 0, F.round(F.col("labeled_passed") / F.col("labeled_tested"), 6)).alias("footing")),
-        tables.articulation(docs).select("doc_id", F.col("ratio").alias("articulation")),
-        tables.alignment(docs).select("doc_id", "misaligned_ratio"),
-        lines.duplication(docs).select("doc_id", "dup_ratio"),
-        lines.garbled(docs.where("md IS NOT NULL")).select("doc_id", F.col("ratio").alias("garbled_ratio")),
-        lines.sections(docs).select("doc_id", "section_count"),
-        lines.fragmentation(docs).select("doc_id", "fragment_ratio"),
-        lines.fake_headings(docs).select("doc_id", "fake_ratio"),
-        lines.script_profile(docs.where("md IS NOT NULL")).select("doc_id", "suspicious"),
-    ]
-    for p in parts:
-        base = base.join(p, "doc_id", "left")
-    return base
+    errors = []
+    for name, plan in (METRICS if metrics is None else metrics).items():
+        try:
+            part = plan(docs)
+            part.schema  # noqa: B018  # resolves the plan
+        except Exception as e:  # noqa: BLE001
+            errors.append(f"{name}: {type(e).__name__}")
+            continue
+        base = base.join(part, "doc_id", "left")
+    return base.withColumn("errors", F.lit("; ".join(errors))) if errors else base
+
+
+def xbrl_markdown(files: DataFrame) -> DataFrame:
+    f = xbrl.generic_facts(files.select("doc_id", markup.decoded(F.col("content")).alias("xml")), "doc_id", "xml")
+    line = F.concat(F.lit("- "), "concept", F.lit(": "), "values")
+    per = f.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("md"))
+    return per
+
+
+def cvm_markdown(files: DataFrame) -> DataFrame:
+    a = cvm_accounts(files.select("doc_id", markup.decoded(F.col("content")).alias("xml")), "doc_id", "xml")
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", "scope", "statement", "code", "name", "field", "value"), F.lit(" |"))
+    return a.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("md"))
+
+
+def zip_markdown(files: DataFrame) -> DataFrame:
+    m = markup.zip_members(files, "doc_id")
+    good = markup.chapters(m, "doc_id").select("doc_id", markup.html_to_markdown(F.col("html")).alias("md"), F.lit(None).cast("string").alias("error"))
+    return good.unionByName(m.where("error IS NOT NULL").select("doc_id", F.lit(None).cast("string").alias("md"), "error"))
+
+
+#: Converters by format: plan over (doc_id, content) with doc_id, md and, where it can tell, error. Another is added by putting it in.
+CONVERTERS = {
+    "ixbrl": lambda f: f.select("doc_id", markup.html_to_markdown(markup.decoded(F.col("content"))).alias("md")),
+    "esef": lambda f: f.select("doc_id", markup.html_to_markdown(markup.decoded(F.col("content"))).alias("md")),
+    "ixbrl_zip": zip_markdown,
+    "dart_xml": lambda f: f.select("doc_id", markup.filing_to_markdown(markup.decoded(F.col("content"))).alias("md")),
+    "xbrl": xbrl_markdown,
+    "cvm_xml": cvm_markdown,
+}
+
+
+def convert_files(files: DataFrame, converters=None) -> DataFrame:
+    """doc_id, format, md, error of files (doc_id, exchange, content): each goes to the converter of its exchange's format.
+
+    The plans of the formats are a union over one read each with a filter. A format without a
+    converter (layout needs the relations of layout_document) and a file that gives no text have an error.
+    """
+    by = CONVERTERS if converters is None else converters
+    f = files.select("doc_id", format_of(F.col("exchange")).alias("format"), "content")
+    none = F.lit(None).cast("string")
+    rest = f.where(~F.col("format").isin(*by) | F.col("content").isNull()).select("doc_id", "format", none.alias("md"), F.when(F.col("content").isNull(), "no content").otherwise(F.concat(F.lit("no converter: "), "format")).alias("error"))
+    for name, plan in by.items():
+        mine = f.where((F.col("format") == name) & F.col("content").isNotNull())
+        got = plan(mine.select("doc_id", "content"))
+        got = got if "error" in got.columns else got.withColumn("error", none)
+        every = mine.select("doc_id", "format").join(got, "doc_id", "left")
+        rest = rest.unionByName(every.select("doc_id", "format", "md", F.coalesce("error", F.when(F.coalesce("md", F.lit("")) == "", "nothing to read")).alias("error")))
+    return rest
+
+
+def files_of(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, exchange, content of the files under path/<exchange>/: read as bytes, whatever they are."""
+    b = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return b.select(F.xxhash64("path").alias("doc_id"), F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("exchange"), "content", "path")

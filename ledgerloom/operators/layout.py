@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.filings import is_caption, needs_space
+
 
 def is_rule(kind: Column, x0: Column, y0: Column, x1: Column, y1: Column, width: Column) -> Column:
     """Which drawings count as table rules."""
@@ -102,9 +104,10 @@ def reading_order(words: DataFrame, output: DataFrame, least: int = 50) -> DataF
 def merged_lines(blocks: DataFrame, same_row: float = 5.0, wrap: float = 22.0) -> DataFrame:
     """Blocks (seq, y0, kind, text) of a page merged to paragraphs: same row, or a wrapped line after text without an end mark.
 
+    A space joins two pieces only where both sides of the seam are ASCII.
     A merge on one row keeps the paragraph's old height, so the page is folded with the last paragraph as state.
     """
-    ends = r"[。．.!?！？:：;；]$"
+    ends = r"[。！？；：!?;:]$"
     item = F.struct("seq", F.col("y0").cast("double").alias("y0"), "kind", "text")
     per = blocks.groupBy("doc_id", "page_no").agg(F.array_sort(F.collect_list(item)).alias("bs"))
     zero = F.array().cast("array<struct<y0:double,kind:string,text:string>>")
@@ -114,8 +117,9 @@ def merged_lines(blocks: DataFrame, same_row: float = 5.0, wrap: float = 22.0) -
         new = F.struct(b["y0"].alias("y0"), b["kind"].alias("kind"), b["text"].alias("text"))
         gap = b["y0"] - last["y0"]
         both = (last["kind"] == "p") & (b["kind"] == "p")
-        row, wrapped = both & (F.abs(gap) < same_row), both & (gap >= same_row) & (gap < wrap) & ~last["text"].rlike(ends)
-        joined = F.struct(F.when(row, last["y0"]).otherwise(b["y0"]).alias("y0"), last["kind"].alias("kind"), F.concat(last["text"], F.when(row, " ").otherwise(""), b["text"]).alias("text"))
+        row, wrapped = both & (F.abs(gap) < same_row), both & (F.abs(gap) >= same_row) & (gap < wrap) & ~last["text"].rlike(ends)
+        seam = F.when(needs_space(last["text"], b["text"]), " ").otherwise("")
+        joined = F.struct(F.when(row, last["y0"]).otherwise(b["y0"]).alias("y0"), last["kind"].alias("kind"), F.concat(last["text"], seam, b["text"]).alias("text"))
         return F.when((F.size(acc) > 0) & (row | wrapped), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(new)))
 
     out = per.select("doc_id", "page_no", F.posexplode(F.aggregate("bs", zero, step)).alias("par_no", "p"))
@@ -142,22 +146,99 @@ def kept_candidates(cands: DataFrame, overlap: float = 0.5) -> DataFrame:
 
 
 def captions(tables: DataFrame, texts: DataFrame, reach: float = 30.0) -> DataFrame:
-    """The nearest caption-like text at most `reach` above each table: a band join on height bins, then the least gap."""
+    """The nearest caption that starts at most `reach` above each table: a band join on height bins, then the least gap."""
     t = tables.select("doc_id", "page_no", "table_no", F.col("y0").alias("ty"), F.explode(F.array(F.floor(F.col("y0") / reach), F.floor(F.col("y0") / reach) - 1)).alias("b"))
-    x = texts.select("doc_id", "page_no", F.col("y1").alias("xy"), "text", F.floor(F.col("y1") / reach).alias("b"))
-    j = t.join(x, ["doc_id", "page_no", "b"]).where((F.col("ty") >= F.col("xy")) & (F.col("ty") - F.col("xy") <= reach))
-    return j.groupBy("doc_id", "page_no", "table_no").agg(F.min_by("text", F.struct((F.col("ty") - F.col("xy")).alias("gap"), "text")).alias("caption"))
+    x = texts.where(is_caption(F.trim("text"))).select("doc_id", "page_no", F.col("y0").alias("xy"), F.trim("text").alias("text"), F.floor(F.col("y0") / reach).alias("b"))
+    gap = F.col("ty") - F.col("xy")
+    j = t.join(x, ["doc_id", "page_no", "b"]).where((gap > 0) & (gap <= reach))
+    return j.groupBy("doc_id", "page_no", "table_no").agg(F.min_by("text", F.struct(gap.alias("gap"), "text")).alias("caption"))
 
 
-def stitched(tables: DataFrame, near: float = 25.0) -> DataFrame:
-    """Tables that run over pages get one chain: last of its page near the bottom, next page's first near the top, as many columns. Any number of pages."""
+def chained(tables: DataFrame, near: float = 25.0) -> DataFrame:
+    """Tables with the number of their chain. Tables that run over pages get one: last of its page near the bottom, next page's first near the top, as many columns. Any number of pages."""
     page = Window.partitionBy("doc_id", "page_no")
     t = tables.withColumns({"first": F.row_number().over(page.orderBy("y0")) == 1, "last": F.row_number().over(page.orderBy(F.desc("y1"))) == 1})
     w = Window.partitionBy("doc_id").orderBy("page_no", "y0")
     prev = lambda c: F.lag(c).over(w)
     goes_on = (prev("page_no") == F.col("page_no") - 1) & prev("last") & F.col("first") & (prev("ncols") == F.col("ncols")) & (prev("height") - prev("y1") <= near) & (F.col("y0") <= near)
     t = t.withColumn("starts", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
-    return t.select("doc_id", "page_no", "y0", "nrows", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("chain"))
+    return t.withColumn("chain", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("first", "last", "starts")
+
+
+def stitched(tables: DataFrame, near: float = 25.0) -> DataFrame:
+    return chained(tables, near).select("doc_id", "page_no", "y0", "nrows", "chain")
+
+
+def stitched_grids(tables: DataFrame, near: float = 25.0) -> DataFrame:
+    """One row per chain, where its first table stands, with all its rows; a header that a later page repeats is dropped."""
+    t = chained(tables.withColumns({"ncols": F.size(F.get("grid", F.lit(0)))}), near)
+    per = t.groupBy("doc_id", "chain").agg(F.array_sort(F.collect_list(F.struct("page_no", "y0", "table_no", "grid"))).alias("parts"))
+    head = F.get(F.get("parts", F.lit(0))["grid"], F.lit(0))
+    more = lambda p, i: F.when((i > 0) & (F.get(p["grid"], F.lit(0)) == head), F.slice(p["grid"], 2, 1_000_000_000)).otherwise(p["grid"])
+    first = F.get("parts", F.lit(0))
+    return per.select("doc_id", first["page_no"].alias("page_no"), first["table_no"].alias("table_no"), first["y0"].alias("y0"), F.flatten(F.transform("parts", more)).alias("grid"))
+
+
+def grid_text(grid: Column) -> Column:
+    """Rows of cells as a pipe table: blanks trimmed, pipes escaped, rows padded, empty rows and columns dropped; empty if nothing is left."""
+    cell = lambda c: F.replace(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\r?\n", " ")), F.lit("|"), F.lit("\\|"))
+    data = F.filter(F.transform(grid, lambda r: F.transform(r, cell)), lambda r: F.exists(r, lambda c: c != ""))
+    at = lambda r, i: F.coalesce(F.get(r, i), F.lit(""))
+    wide = F.coalesce(F.array_max(F.transform(data, F.size)), F.lit(0))
+    cols = F.filter(F.sequence(F.lit(0), F.greatest(wide - 1, F.lit(0))), lambda i: F.exists(data, lambda r: at(r, i) != ""))
+    line = F.transform(data, lambda r: F.concat(F.lit("| "), F.array_join(F.transform(cols, lambda i: at(r, i)), " | "), F.lit(" |")))
+    rule = F.array(F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.size(cols))))
+    return F.when(F.size(data) > 0, F.array_join(F.concat(F.slice(line, 1, 1), rule, F.slice(line, 2, 1_000_000_000)), "\n")).otherwise("")
+
+
+def accepted_text_tables(tables: DataFrame, rows: int = 2, cols: int = 2, filled: float = 0.5) -> DataFrame:
+    """Tables found by aligned text that are tables: rows and columns enough, and at least half of the cells of rows that hold anything filled."""
+    data = F.filter("grid", lambda r: F.exists(r, lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
+    per = lambda r: F.size(F.filter(r, lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
+    total = lambda a: F.aggregate(a, F.lit(0), lambda t, x: t + x)
+    t = tables.withColumn("rows", data).withColumns({"n": F.transform("rows", per), "cells": F.transform("rows", F.size)})
+    ok = (F.size("rows") >= rows) & (F.array_max("n") >= cols) & (total("n") / total("cells") >= filled)
+    return t.where(ok).drop("grid", "n", "cells").withColumnRenamed("rows", "grid")
+
+
+def largest_tables(cells: DataFrame, k: int = 3) -> DataFrame:
+    """The k tables of each document with most cells (rows times columns), ties by number: a report."""
+    area = cells.groupBy("doc_id", "table_no").agg(((F.max("row_no") + 1) * (F.max("col_no") + 1)).alias("area"))
+    per = area.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("area")).alias("a"), "table_no"))), 1, k).alias("t"))
+    return per.select("doc_id", F.posexplode("t").alias("place", "t")).select("doc_id", "place", "t.table_no", (-F.col("t.a")).alias("area"))
+
+
+#: Labels of the totals of a frameless balance sheet, not within a longer word, and their codes and names where a label is torn.
+TOTALS = {
+    "assets": (r"(?<![一-龥])資?\s*產\s*(?:總|合)\s*(?:計|額)", "^1[xX]{3}$", "資產總計"),
+    "liab": (r"(?<![一-龥])負\s*債\s*(?:總|合)\s*(?:計|額)", "^2[xX]{3}$", "負債總計"),
+    "equity": (r"(?<![一-龥])(?:股\s*東\s*)?權\s*益\s*(?:(?:總|合)\s*(?:計|額)|淨\s*(?:額|值))", "^3[xX]{3}$", "權益總計"),
+}
+SHEET_WORDS = ("資產負債表", "現金及約當現金", "流動資產")
+
+
+def balance_pages(pages: DataFrame) -> DataFrame:
+    """Pages (doc_id, page_no, text) that hold a frameless balance sheet: its words, and a line that is an account's code."""
+    flat = F.regexp_replace("text", r"[ \x{3000}]", "")
+    words = [F.contains(flat, F.lit(w)) for w in SHEET_WORDS]
+    return pages.where(words[0] & words[1] & words[2] & F.col("text").rlike(r"(?m)^\s*[0-9]{4}\s*$"))
+
+
+def balance_totals(rows: DataFrame) -> DataFrame:
+    """doc_id, kind, name, amount of the three totals: the first label with an amount in the 8 lines after it, up to the next code; else the first total code."""
+    w = Window.partitionBy("doc_id").orderBy("line_no")
+    r = rows.withColumn("s", F.trim("line"))
+    digits = r"^\$?([0-9,]+)$"
+    tokens = F.filter(F.split("s", r"\s+"), lambda t: t.rlike(digits) & F.char_length(F.regexp_replace(t, r"[$,]", "")).between(5, 12))
+    r = r.withColumn("amt", F.regexp_replace(F.get(tokens, F.lit(0)), r"[$]", "")).withColumn("code", F.col("s").rlike("^[0-9]{4}$"))
+    ahead = w.rowsBetween(1, 8)
+    r = r.withColumn("next", F.collect_list(F.struct("code", F.coalesce("amt", F.lit("")).alias("amt"))).over(ahead))
+    stop = F.array_position(F.transform("next", lambda x: x["code"]), F.lit(True))
+    reach = F.when(stop > 0, F.slice("next", F.lit(1), (stop - 1).cast("int"))).otherwise(F.col("next"))
+    r = r.withColumn("found", F.get(F.filter(reach, lambda x: x["amt"] != ""), F.lit(0))["amt"]).where("found IS NOT NULL")
+    parts = [r.where(F.col("s").rlike(label) | F.col("s").rlike(code)).select("doc_id", F.lit(kind).alias("kind"), F.when(F.col("s").rlike(label), F.regexp_replace("s", " ", "")).otherwise(F.lit(plain)).alias("name"), F.col("found").alias("amount"), F.struct((~F.col("s").rlike(label)).cast("int").alias("c"), "line_no").alias("o")) for kind, (label, code, plain) in TOTALS.items()]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.groupBy("doc_id", "kind").agg(F.min_by("name", "o").alias("name"), F.regexp_replace(F.min_by("amount", "o"), ",", "").try_cast("double").alias("amount"))
 
 
 def balance_rows(rows: DataFrame) -> DataFrame:

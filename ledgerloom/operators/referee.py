@@ -54,6 +54,22 @@ def attribution(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("doc_id").agg(F.count("*").alias("tested"), *[F.count_if(F.col("status") == k).alias(k) for k in kinds]).withColumn("rate", F.round(F.col("hit") / F.col("tested"), 6))
 
 
+def evaluation(docs: dict[str, DataFrame], truth: DataFrame) -> DataFrame:
+    """One row per document of `pdf` with the pairing rates of its sources side by side, and what keeps it from being measured.
+
+    docs: by source (pdf; ixbrl and control where there are any) doc_id and md. suspect_input_mismatch:
+    50 labelled facts or more but fewer than 150 characters for each. not_measurable: no labelled fact.
+    """
+    base = docs["pdf"].select("doc_id", F.coalesce(F.char_length("md"), F.lit(0)).alias("md_chars"))
+    labelled = truth.where(F.col("label").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n_labeled"))
+    out = base.join(labelled, "doc_id", "left").withColumn("n_labeled", F.coalesce("n_labeled", F.lit(0)))
+    for name, d in docs.items():
+        a = attribution(pairing(d, truth))
+        out = out.join(a.select("doc_id", F.col("rate").alias(f"{name}_rate"), F.col("tested").alias(f"{name}_tested")), "doc_id", "left")
+    mismatch = (F.col("n_labeled") >= 50) & (F.col("md_chars") < 150 * F.col("n_labeled"))
+    return out.withColumns({"suspect_input_mismatch": mismatch, "not_measurable": F.col("n_labeled") == 0})
+
+
 def positional(rates: DataFrame, value: str, group: str) -> DataFrame:
     """Median, tenth and ninetieth percentile by position v[floor(n p)], least value and tails, by group.
 

@@ -141,9 +141,9 @@ def next_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def html_markdown(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "edinet_xbrl").where("kind = 'text'").dropDuplicates(["fact_id"])
-    b = M.html_blocks(f, "fact_id").withColumns({"kind": F.when(F.col("kind") == "h", "heading").otherwise(F.col("kind"))})
-    return M.blocks_markdown(b, "fact_id")
+    """The markup of every fact as Markdown, tables in place."""
+    f = table(spark, d, "edinet_xbrl").where("html IS NOT NULL").select("fact_id", "html").distinct()
+    return f.select("fact_id", M.html_to_markdown(F.col("html")).alias("md"))
 
 
 @F.pandas_udf(T.BinaryType())
@@ -184,7 +184,7 @@ ORACLES = {
     "tagged_headings": f"WITH {SPANS}, t AS (SELECT *, count(*) OVER (PARTITION BY doc_id, text) AS times FROM s) SELECT doc_id, page_no, seq::INT AS seq, text, 9.0::DOUBLE AS body FROM t WHERE size = 14.0 AND times <= 2",
     "flow_paragraphs": f"WITH {SPANS}, b AS (SELECT *, coalesce(y0 - lag(y0) OVER o > 20 OR page_no <> lag(page_no) OVER o, true)::INT AS brk FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY page_no, y0, seq)), p AS (SELECT *, sum(brk) OVER (PARTITION BY doc_id ORDER BY page_no, y0, seq) AS par FROM b), t AS (SELECT doc_id, par, string_agg(text, ' ' ORDER BY page_no, y0, seq) AS text FROM p GROUP BY ALL) SELECT doc_id, count(*) AS paragraphs, max(length(text)) AS longest FROM t GROUP BY doc_id",
     "page_order": f"WITH {W}, k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no) AS n, max(seq % 2) OVER (PARTITION BY doc_id, page_no) AS m FROM w) SELECT doc_id, seq, row_number() OVER (PARTITION BY doc_id ORDER BY page_no, CASE WHEN n >= 4 THEN seq % 2 ELSE 0 END, y0, x0, seq)::INT AS pos FROM k",
-    "page_body": f"WITH {W} SELECT doc_id, seq FROM w WHERE y0 >= 55 AND y0 + 10 <= 240 AND NOT (y0 > 180 AND seq % 5 = 0) AND NOT (seq % 2 = 1 AND y0 >= 68 AND y0 + 10 <= 122)",
+    "page_body": f"WITH {W} SELECT doc_id, seq FROM w WHERE y0 >= 55 AND y0 <= 240 AND NOT (y0 > 225 AND seq % 5 = 0) AND NOT (seq % 2 = 1 AND y0 >= 68 AND y0 + 10 <= 122)",
     "rules_in_blocks": f"""WITH {P.RULES}, b AS (SELECT *, coalesce((y - lag(y) OVER (PARTITION BY doc_id ORDER BY y) >= 80)::INT, 0) AS brk FROM r), g AS (SELECT doc_id, y, sum(brk) OVER (PARTITION BY doc_id ORDER BY y) AS block_no FROM b), t AS (SELECT doc_id, block_no, min(y) AS top, max(y) AS bottom FROM g GROUP BY ALL HAVING count(*) >= 2),
       v AS (SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice)::INT AS seq, l_linenumber * 2 + CASE WHEN l_partkey % 4 = 0 THEN 100 ELSE 0 END AS y FROM lineitem)
       SELECT doc_id, 1 AS page_no, block_no::BIGINT AS block_no, seq FROM v JOIN t USING (doc_id) WHERE y - 1 <= bottom AND y + 3 >= top""",

@@ -228,8 +228,9 @@ def captions(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"))
     k = F.col("doc_id")
     t = o.select("doc_id", F.lit(1).alias("page_no"), F.lit(0).alias("table_no"), F.lit(100.0).alias("y0"))
-    x = o.select("doc_id", F.lit(1).alias("page_no"), F.explode(F.array(F.struct((F.lit(95.0) - k % 40).alias("y1"), F.lit("Table 1").alias("text")), F.struct((F.lit(60.0) + k % 60).alias("y1"), F.lit("表2").alias("text")))).alias("s")).select("doc_id", "page_no", "s.y1", "s.text")
-    return Lo.captions(t, x)
+    text = lambda y, x: F.struct(y.alias("y0"), F.lit(x).alias("text"))
+    x = o.select("doc_id", F.lit(1).alias("page_no"), F.explode(F.array(text(F.lit(95.0) - k % 40, "Table 1"), text(F.lit(60.0) + k % 60, "表2"), text(F.lit(99.0), "It ends."))).alias("s"))
+    return Lo.captions(t, x.select("doc_id", "page_no", "s.y0", "s.text"))
 
 
 def balance_sheet_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -398,7 +399,7 @@ ORACLES = {
     "word_to_cell": f"WITH {WORDS}, k AS (SELECT *, min(seq % 2) OVER (PARTITION BY doc_id, page_no) AS lo FROM w) SELECT doc_id, page_no, seq, CASE WHEN (y0 - 60) / 15 < 9 THEN ((y0 - 60) // 15)::INT END AS row_no, (seq % 2 - lo)::INT AS col_no, false AS outside_x, (y0 - 60) / 15 >= 9 AS outside_y FROM k",
     "column_split": f"WITH {WORDS}, g AS (SELECT *, lead(x0) OVER (PARTITION BY doc_id, page_no ORDER BY x0) - x0 AS gap FROM w), p AS (SELECT doc_id, page_no, max(gap) AS mg, count(*) AS n, max(x0) - min(x0) AS span FROM g GROUP BY ALL), b AS (SELECT g.doc_id, g.page_no, max(x0) AS bx, any_value(mg) AS mg FROM g JOIN p ON g.doc_id = p.doc_id AND g.page_no = p.page_no AND gap = mg WHERE n >= 4 AND span > 0 AND mg >= 0.15 * span GROUP BY g.doc_id, g.page_no) SELECT doc_id, page_no, bx + mg / 2 AS mid FROM b",
     "page_stitch": f"WITH {ITEMS}, s AS (SELECT doc_id, n AS page_no, ln, CASE WHEN doc_id % 3 = 0 THEN n ELSE 1 END AS chain FROM i) SELECT doc_id, chain::BIGINT AS chain, count(*) AS pages, sum(ln)::BIGINT AS nrows FROM s GROUP BY ALL",
-    "captions": "WITH x AS (SELECT o_orderkey AS doc_id, unnest([95.0 - o_orderkey % 40, 60.0 + o_orderkey % 60]) AS y1, unnest(['Table 1', '表2']) AS text FROM orders) SELECT doc_id, 1 AS page_no, 0 AS table_no, arg_min(text, (100 - y1, text)) AS caption FROM x WHERE y1 <= 100 AND 100 - y1 <= 30 GROUP BY doc_id",
+    "captions": "WITH x AS (SELECT o_orderkey AS doc_id, unnest([95.0 - o_orderkey % 40, 60.0 + o_orderkey % 60]) AS y0, unnest(['Table 1', '表2']) AS text FROM orders) SELECT doc_id, 1 AS page_no, 0 AS table_no, arg_min(text, (100 - y0, text)) AS caption FROM x WHERE y0 < 100 AND 100 - y0 <= 30 GROUP BY doc_id",
     "balance_sheet_lines": f"WITH c AS (SELECT c_custkey AS doc_id, abs({C.format('c_acctbal')}) AS a FROM customer) SELECT doc_id, '1100' AS code, '现金' AS name, (a + 10000)::DOUBLE AS amount FROM c UNION ALL SELECT doc_id, '2100', '借款', (a + 20000)::DOUBLE FROM c WHERE doc_id % 4 <> 1",
     "disclosure_class": r"""WITH r AS (SELECT DISTINCT rcept_no, report_nm, regexp_extract(report_nm, '\(([0-9]{4})\.[0-9]{2}\)', 1) AS y, regexp_extract(report_nm, '\([0-9]{4}\.([0-9]{2})\)', 1) AS m FROM dart_fetch)
       SELECT rcept_no, report_nm, CASE WHEN regexp_matches(report_nm, '정정|訂正') THEN NULL WHEN contains(report_nm, '증권신고서') THEN 'prospectus' WHEN contains(report_nm, '사업보고서') THEN 'annual' WHEN contains(report_nm, '반기보고서') THEN 'semiannual' WHEN contains(report_nm, '분기보고서') THEN CASE WHEN m IN ('', '03') THEN 'q1' ELSE 'q3' END END AS doc_type,

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans import conversion, general, metrics, pipelines
+from ledgerloom.plans import conversion, documents, general, metrics, pipelines
 
-PARTS = (general, metrics, pipelines, conversion)
+PARTS = (general, metrics, pipelines, conversion, documents)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -96,7 +96,7 @@ def test_row_clusters_are_anchored(spark):
 
 def test_paragraphs_and_candidates(spark):
     b = spark.createDataFrame([(1, 1, 0, 10.0, "p", "one"), (1, 1, 1, 12.0, "p", "two"), (1, 1, 2, 25.0, "p", "three."), (1, 1, 3, 40.0, "p", "four"), (1, 1, 4, 45.0, "h2", "Head")], "doc_id int, page_no int, seq int, y0 double, kind string, text string")
-    assert [r["text"] for r in layout.merged_lines(b).orderBy("par_no").collect()] == ["one twothree.", "four", "Head"]
+    assert [r["text"] for r in layout.merged_lines(b).orderBy("par_no").collect()] == ["one two three. four", "Head"]
     c = spark.createDataFrame([(1, 1, 0, 0.0, 0.0, 10.0, 10.0, 3), (1, 1, 1, 1.0, 0.0, 10.0, 10.0, 2), (1, 1, 2, 20.0, 0.0, 30.0, 10.0, 2)], "doc_id int, page_no int, seq int, x0 double, y0 double, x1 double, y1 double, ncols int")
     assert [r["seq"] for r in layout.kept_candidates(c).orderBy("seq").collect()] == [0, 2]
 
@@ -126,6 +126,7 @@ def test_zip_sources_and_charsets(spark):
             z.writestr(n, t)
     files = spark.createDataFrame([(7, buf.getvalue()), (8, b"plain"), (9, b"PKbroken"), (10, None)], "key bigint, content binary")
     m = markup.zip_members(files, "key")
+    assert {r["key"]: r["error"] is not None for r in m.where("error IS NOT NULL OR name = ''").collect()} == {8: False, 9: True}
     assert {r["key"]: r["html"] for r in markup.chapters(m, "key").collect()} == {7: "one\ntwo"}
     assert markup.largest_page(m, "key").first()["name"] == "big.xhtml"
     assert {r["key"]: r["name"] for r in markup.main_or_first(m, "key").collect()} == {7: "7.xml", 8: ""}
@@ -140,7 +141,7 @@ def test_filing_functions(spark):
     assert f(filings.sane_xml, "R&D < 5 &amp; <P>\x01") == "R&amp;D &lt; 5 &amp; <P>"
     assert f(filings.format_of, "lse") == "esef" and f(filings.format_of, "otc") == "unsupported"
     assert f(filings.front_matter, "---\na: 1\n---\nbody") == "body"
-    assert f(filings.is_page_number, "- 12 -") and not f(filings.is_page_number, "12 items")
+    assert f(filings.is_page_number, "12 / 30") and not f(filings.is_page_number, "- 12 -") and not f(filings.is_page_number, "12 items")
     d = spark.createDataFrame([(1, 'a"b', None, "x\n\n\n\ny")], "doc_id int, code string, title string, md string")
     assert sinks.with_front_matter(d, ["code", "title"]).first()["md"] == '---\ncode: "a\\"b"\n---\nx\n\ny'
 
