@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import amount_cf, num_lenient, num_strict_cell, strip
-from ledgerloom.operators.lines import lines
 
 CJK = r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}\x{AC00}-\x{D7AF}]"
 #: Row labels of the accounting identity.
@@ -26,23 +25,30 @@ CASH_FLOW = {
 }
 
 
-def table_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, table_no, row_no, cells: runs of pipe lines of two rows or more; rules between rows are left out.
+#: What no text holds: it stands for the lines between tables.
+BETWEEN = "\uffff"
+
+
+def doc_tables(docs: DataFrame) -> DataFrame:
+    """doc_id, table_no, rows: runs of pipe lines of two rows or more, rules between rows left out, each row stripped.
 
-    Islands by a running count of the lines that are no pipe lines. An escaped pipe stays in its cell.
+    Lines outside tables become one sign, by which the text is split: nothing is shuffled or sorted.
     """
-    s = strip(F.col("line"))
-    ls = lines(docs.where("md IS NOT NULL")).select("doc_id", "line_no", s.alias("s"))
-    ls = ls.withColumn("pipe", F.col("s").rlike(r"(?s)^\|.*\|$") & (F.char_length("s") > 1))
-    w = Window.partitionBy("doc_id").orderBy("line_no")
-    ls = ls.withColumn("island", F.sum((~F.col("pipe")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rows = ls.where(F.col("pipe") & ~F.col("s").rlike(r"^\|[\s:|\-]+\|$"))
-    rows = rows.withColumn("n", F.count("*").over(Window.partitionBy("doc_id", "island"))).where("n >= 2")
-    rows = rows.withColumn("table_no", F.dense_rank().over(Window.partitionBy("doc_id").orderBy("island")) - 1)
-    rows = rows.withColumn("row_no", F.row_number().over(Window.partitionBy("doc_id", "table_no").orderBy("line_no")) - 1)
-    inner = F.expr("substring(s, 2, char_length(s) - 2)")
-    cells = F.transform(F.split(inner, r"(?<!\\)\|"), strip)
-    return rows.select("doc_id", "table_no", "row_no", cells.alias("cells"))
+    stripped = F.transform(F.split(F.translate("md", BETWEEN, ""), "\n"), strip)
+    pipe = lambda x: x.rlike(r"(?s)^\|.*\|$") & (F.char_length(x) > 1)
+    text = F.array_join(F.transform(stripped, lambda x: F.when(pipe(x), x).otherwise(BETWEEN)), "\n")
+    rows = F.transform(F.split(text, BETWEEN), lambda t: F.filter(F.split(t, "\n"), lambda x: (x != "") & ~x.rlike(r"^\|[\s:|\-]+\|$")))
+    return docs.where("md IS NOT NULL").select("doc_id", F.posexplode(F.filter(rows, lambda r: F.size(r) >= 2)).alias("table_no", "rows"))
+
+
+def cells_of(row: Column) -> Column:
+    """The cells of a pipe line. An escaped pipe stays in its cell."""
+    return F.transform(F.split(F.substring(row, F.lit(2), F.char_length(row) - 2), r"(?<!\\)\|"), strip)
+
+
+def table_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, table_no, row_no, cells of doc_tables()."""
+    return doc_tables(docs).select("doc_id", "table_no", F.posexplode("rows").alias("row_no", "row")).select("doc_id", "table_no", "row_no", cells_of(F.col("row")).alias("cells"))
 
 
 def label(cells: Column) -> Column:
@@ -68,36 +74,49 @@ def alignment(docs: DataFrame) -> DataFrame:
 def identity(docs: DataFrame) -> DataFrame:
     """Assets = liabilities + equity over all candidates of a document: pass, fail or skip, and the least difference.
 
-    Candidates are summed pairwise only between distinct liability and equity values; the nearest
-    asset is then looked up in the document's sorted assets, so no three-way product is built.
+    Rows are told by their label before their cells become rows. Sums of distinct liabilities and
+    equities are sorted together with the assets, so the nearest sum of an asset is its neighbour.
     """
-    c = cell_values(table_rows(docs)).withColumn("v", num_lenient(F.col("cell"))).where("v IS NOT NULL AND v <> 0")
     key = F.when(F.col("label").rlike(ASSET), "asset").when(F.col("label").rlike(LIABILITY), "liability").when(F.col("label").rlike(EQUITY) & ~F.col("label").rlike(NOT_EQUITY), "equity")
-    per = c.withColumn("key", key).where("key IS NOT NULL").groupBy("doc_id").agg(*[F.array_sort(F.collect_set(F.when(F.col("key") == k, F.col("v")))).alias(k) for k in ("asset", "liability", "equity")])
-    diffs = F.transform("asset", lambda a: F.array_min(F.transform("liability", lambda li: F.array_min(F.transform("equity", lambda e: F.abs(a - li - e))))))
-    found = (F.size("asset") > 0) & (F.size("liability") > 0) & (F.size("equity") > 0)
-    per = per.select("doc_id", F.when(found, F.array_min(diffs)).alias("diff"))
+    c = table_rows(docs).select("doc_id", label(F.col("cells")).alias("label"), "cells").withColumn("key", key).where("key IS NOT NULL")
+    c = c.select("doc_id", "key", F.explode(F.slice("cells", F.lit(2), F.size("cells"))).alias("cell")).withColumn("v", num_lenient(F.col("cell"))).where("v IS NOT NULL AND v <> 0")
+    per = c.groupBy("doc_id").agg(*[F.collect_set(F.when(F.col("key") == k, F.col("v"))).alias(k) for k in ("asset", "liability", "equity")])
+    sums = F.array_distinct(F.flatten(F.transform("liability", lambda li: F.transform("equity", lambda e: li + e))))
+    both = F.concat(F.transform("asset", lambda v: F.struct(v.alias("v"), F.lit(1).alias("asset"))), F.transform(sums, lambda v: F.struct(v.alias("v"), F.lit(0).alias("asset"))))
+    every = per.select("doc_id", F.inline(both))
+    w = Window.partitionBy("doc_id").orderBy("v", "asset")
+    below = F.last(F.when(F.col("asset") == 0, F.col("v")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    above = F.first(F.when(F.col("asset") == 0, F.col("v")), ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    diff = F.least(F.abs(F.col("v") - below), F.abs(F.col("v") - above))
+    per = every.withColumn("diff", diff).where("asset = 1").groupBy("doc_id").agg(F.min("diff").alias("diff"))
     out = docs.where("md IS NOT NULL").select("doc_id").join(per, "doc_id", "left")
     return out.select("doc_id", F.when(F.col("diff").isNull(), "skip").when(F.col("diff") <= 1.0, "pass").otherwise("fail").alias("status"), F.round("diff", 2).alias("diff"))
 
 
 def footing(docs: DataFrame, tol_abs: float = 2.0, tol_rel: float = 0.005) -> DataFrame:
-    """Totals against the sum of the rows since the total before, by column; without a total row the last row is tried."""
-    whole = Window.partitionBy("doc_id", "table_no")
-    rows = table_rows(docs).withColumns({"ncol": F.max(F.size("cells")).over(whole), "nrow": F.count("*").over(whole)}).where("ncol >= 2 AND nrow >= 3")
-    c = cell_values(rows).withColumn("v", num_strict_cell(F.col("cell"))).where("v IS NOT NULL")
-    col = Window.partitionBy("doc_id", "table_no", "col_no")
-    c = c.withColumns({"n": F.count("*").over(col), "total": F.col("label").rlike(TOTAL)}).where("n >= 3")
-    c = c.withColumns({"totals": F.sum(F.col("total").cast("int")).over(col), "last": F.max("row_no").over(col)})
-    before = col.orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("seg", F.coalesce(F.sum(F.col("total").cast("int")).over(before), F.lit(0)))
-    is_sum = F.when(F.col("totals") > 0, F.col("total")).otherwise(F.col("row_no") == F.col("last"))
-    seg = F.when(F.col("totals") > 0, F.col("seg")).otherwise(F.lit(0))
-    c = c.withColumns({"is_sum": is_sum, "seg": seg, "kind": F.when(F.col("totals") > 0, "labeled").otherwise("inferred")})
-    per = c.groupBy("doc_id", "table_no", "col_no", "seg", "kind").agg(
-        F.sum(F.when(~F.col("is_sum"), F.col("v"))).alias("addends"), F.count_if(~F.col("is_sum")).alias("k"), F.max(F.when(F.col("is_sum"), F.col("v"))).alias("said")
-    )
-    per = per.where("said IS NOT NULL AND k >= 2").withColumn("residual", F.abs(F.col("said") - F.col("addends")))
+    """Totals against the sum of the rows since the total before, by column; without a total row the last row is tried.
+
+    A column is folded within its table's row, so only figures by document are shuffled.
+    """
+    t = doc_tables(docs).where("size(rows) >= 3").select("doc_id", F.transform("rows", cells_of).alias("rows"))
+    t = t.withColumn("ncol", F.array_max(F.transform("rows", F.size))).where("ncol >= 2")
+    t = t.withColumn("rows", F.transform("rows", lambda r: F.struct(label(r).rlike(TOTAL).alias("total"), F.transform(r, num_strict_cell).alias("vs"))))
+    c = t.select("doc_id", "rows", F.explode(F.sequence(F.lit(1), F.col("ncol") - 1)).alias("col"))
+    entries = F.filter(F.transform("rows", lambda r: F.struct(F.get(r["vs"], F.col("col")).alias("v"), r["total"].alias("total"))), lambda e: e["v"].isNotNull())
+    c = c.select("doc_id", entries.alias("es")).where("size(es) >= 3")
+    c = c.withColumn("kind", F.when(F.exists("es", lambda e: e["total"]), "labeled").otherwise("inferred"))
+    last = F.size("es") - 1
+    es = F.transform("es", lambda e, i: F.struct(e["v"].alias("v"), F.when(F.col("kind") == "labeled", e["total"]).otherwise(i == last).alias("said")))
+    state = "struct<s:double,k:int,out:array<struct<said:double,addends:double,k:int>>>"
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("k"), F.array().alias("out")).cast(state)
+
+    def step(a: Column, e: Column) -> Column:
+        done = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("k"), F.concat(a["out"], F.array(F.struct(e["v"].alias("said"), a["s"].alias("addends"), a["k"].alias("k")))).alias("out")).cast(state)
+        more = F.struct((a["s"] + e["v"]).alias("s"), (a["k"] + 1).alias("k"), a["out"].alias("out")).cast(state)
+        return F.when(e["said"], done).otherwise(more)
+
+    per = c.select("doc_id", "kind", F.explode(F.aggregate(es, start, step)["out"]).alias("o")).select("doc_id", "kind", "o.*").where("k >= 2")
+    per = per.withColumn("residual", F.abs(F.col("said") - F.col("addends")))
     ok = F.col("residual") <= F.greatest(F.lit(tol_abs), F.abs("said") * tol_rel)
     return per.groupBy("doc_id").agg(
         *[F.count_if((F.col("kind") == k) & t).alias(f"{k}_{n}") for k in ("labeled", "inferred") for n, t in (("tested", F.lit(True)), ("passed", ok))],
@@ -107,8 +126,9 @@ def footing(docs: DataFrame, tol_abs: float = 2.0, tol_rel: float = 0.005) -> Da
 
 def articulation(docs: DataFrame, tol_abs: float = 2.0) -> DataFrame:
     """Whether net income and cash each stand in two tables with one value."""
-    c = cell_values(table_rows(docs)).where(~F.col("label").rlike(NOT_SHARED)).withColumn("v", num_lenient(F.col("cell"))).where("v IS NOT NULL")
-    c = c.withColumn("grp", F.when(F.col("label").rlike(NET_INCOME), "net_income").when(F.col("label").rlike(CASH), "cash")).where("grp IS NOT NULL")
+    grp = F.when(F.col("label").rlike(NET_INCOME), "net_income").when(F.col("label").rlike(CASH), "cash")
+    r = table_rows(docs).select("doc_id", "table_no", label(F.col("cells")).alias("label"), "cells").withColumn("grp", grp).where("grp IS NOT NULL").where(~F.col("label").rlike(NOT_SHARED))
+    c = r.select("doc_id", "table_no", "grp", F.explode(F.slice("cells", F.lit(2), F.size("cells"))).alias("cell")).withColumn("v", num_lenient(F.col("cell"))).where("v IS NOT NULL")
     # In order of value a match of two tables, if any, is found between some row and the nearest row of another table.
     w = Window.partitionBy("doc_id", "grp").orderBy("v", "table_no")
     c = c.withColumns({"change": (F.lag("table_no").over(w) != F.col("table_no")).cast("int"), "pv": F.lag("v").over(w)})
