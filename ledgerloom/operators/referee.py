@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import number_is, numbers_in
+from ledgerloom.functions.numbers import numbers_in
 from ledgerloom.operators.lines import lines
 
 LEAST = 1e6
@@ -16,20 +16,38 @@ def key_form(c):
     return F.regexp_replace(c, r"[\s\x{A0}\x{3000},|]", "")
 
 
+REL = 1e-6
+#: Bins of values are more than twice as wide as the tolerance: what is near stands in the own bin or the nearer one beside it.
+WIDTH = 2.1 * REL
+SCALES = (0, 3, 6, 8)
+
+
+def _place(v):
+    return F.log(v) / F.lit(WIDTH)
+
+
+def _bin(v):
+    """The bin of an absolute value; zero has one of its own."""
+    return F.when(v == 0, F.lit(-(2**62))).otherwise(F.floor(_place(v)))
+
+
+def _two_bins(v):
+    low = _place(v) - F.floor(_place(v)) < 0.5
+    return F.when(v == 0, F.array(_bin(v))).otherwise(F.array(_bin(v), _bin(v) + F.when(low, -1).otherwise(1)))
+
+
 def value_recall(docs: DataFrame, truth: DataFrame) -> DataFrame:
     """Share of testable facts whose value stands anywhere in the text, at any of four scales.
 
-    Numbers become one row per rounded value and scale, so the tolerance join is an equality join on
-    (document, logarithmic bin), looked up in the bin and its neighbours.
+    The tolerance join is an equality join on (document, logarithmic bin): a fact's value at each
+    scale looks into two bins, a number of the text stands in one.
     """
-    nums = docs.select("doc_id", F.explode(F.array_distinct(numbers_in(F.col("md")))).alias("x")).where("x <> 0")
-    width = 2e-6
-    bin_ = lambda v: F.floor(F.log(F.abs(v)) / width)
-    nums = nums.select("doc_id", F.abs("x").alias("x"), bin_(F.col("x")).alias("b")).distinct()
+    nums = docs.select("doc_id", F.explode(F.array_distinct(F.transform(numbers_in(F.col("md")), F.abs))).alias("x")).where("x <> 0")
+    nums = nums.select("doc_id", "x", _bin(F.col("x")).alias("b"))
     t = truth.where(F.abs("value") >= LEAST).select("doc_id", "fact_no", F.abs("value").alias("v"))
-    probes = t.select("doc_id", "fact_no", F.explode(F.array(*[F.col("v") / 10**k for k in (0, 3, 6, 8)])).alias("p")).where("p >= 1")
-    probes = probes.select("doc_id", "fact_no", "p", F.explode(F.array(*[bin_(F.col("p")) + i for i in (-1, 0, 1)])).alias("b"))
-    hits = probes.join(nums, ["doc_id", "b"]).where(F.abs(F.col("x") - F.col("p")) <= 1e-6 * F.col("p")).select("doc_id", "fact_no").distinct().withColumn("hit", F.lit(1))
+    probes = t.select("doc_id", "fact_no", F.explode(F.array(*[F.col("v") / 10**k for k in SCALES])).alias("p")).where("p >= 1")
+    probes = probes.select("doc_id", "fact_no", "p", F.explode(_two_bins(F.col("p"))).alias("b"))
+    hits = probes.join(nums, ["doc_id", "b"]).where(F.abs(F.col("x") - F.col("p")) <= REL * F.col("p")).select("doc_id", "fact_no").distinct().withColumn("hit", F.lit(1))
     per = t.join(hits, ["doc_id", "fact_no"], "left").groupBy("doc_id").agg(F.count("*").alias("tested"), F.count("hit").alias("hits"))
     return per.withColumn("recall", F.round(F.col("hits") / F.col("tested"), 6))
 
@@ -37,16 +55,25 @@ def value_recall(docs: DataFrame, truth: DataFrame) -> DataFrame:
 def pairing(docs: DataFrame, truth: DataFrame, printed: str | None = None) -> DataFrame:
     """Each testable truth row as hit, value_elsewhere, value_absent or label_missing.
 
-    An equality join on the document with a substring test on what meets there. printed: the column
-    of the value as printed, if it differs from the value.
+    Facts meet the numbers of their document by (document, logarithmic bin), so only numbers near a
+    fact's value at one of its scales, or as printed, are held against its label; whether a label
+    stands anywhere is asked once of the whole document. printed: the column of the value as
+    printed, if it differs from the value.
     """
-    ls = lines(docs).select("doc_id", key_form(F.col("line")).alias("norm"), F.explode_outer(numbers_in(F.col("line"))).alias("x"))
-    t = truth.where(F.abs("value") >= LEAST).select("doc_id", "fact_no", key_form(F.col("label")).alias("key"), "value", F.col(printed).alias("printed") if printed else F.col("value").alias("printed")).where("key <> ''")
-    value = number_is(F.col("x"), F.col("value"), F.col("printed"))
-    j = t.join(ls, "doc_id", "left").select("doc_id", "fact_no", F.contains("norm", F.col("key")).alias("l"), value.alias("v"))
-    per = j.groupBy("doc_id", "fact_no").agg(F.bool_or(F.col("l") & F.col("v")).alias("hit"), F.bool_or("l").alias("lab"), F.bool_or("v").alias("val"))
-    status = F.when(F.col("hit"), "hit").when(~F.coalesce("lab", F.lit(False)), "label_missing").when(F.col("val"), "value_elsewhere").otherwise("value_absent")
-    return per.select("doc_id", "fact_no", status.alias("status"))
+    lines_ = lines(docs).select("doc_id", key_form(F.col("line")).alias("norm"), F.array_distinct(F.transform(numbers_in(F.col("line")), F.abs)).alias("xs")).where("size(xs) > 0")
+    nums = lines_.select("doc_id", "norm", F.explode("xs").alias("x")).withColumn("b", _bin(F.col("x")))
+    said = F.abs(F.col(printed) if printed else F.col("value"))
+    t = truth.where(F.abs("value") >= LEAST).select("doc_id", "fact_no", key_form(F.col("label")).alias("key"), F.abs("value").alias("v"), said.alias("said")).where("key <> ''")
+    scaled = F.filter(F.array(*[F.col("v") / float(10**k) for k in SCALES]), lambda x: x >= 1)
+    targets = F.array_distinct(F.filter(F.concat(F.array("said"), scaled), lambda x: x.isNotNull()))
+    probes = t.select("doc_id", "fact_no", "key", F.explode(targets).alias("p")).select("*", F.explode(_two_bins(F.col("p"))).alias("b"))
+    near = probes.join(nums, ["doc_id", "b"]).where(F.abs(F.col("x") - F.col("p")) <= REL * F.col("p"))
+    met = near.groupBy("doc_id", "fact_no").agg(F.bool_or(F.contains("norm", F.col("key"))).alias("hit"))
+    whole = docs.select("doc_id", F.array_join(F.transform(F.split("md", "\n"), key_form), "\n").alias("text"))
+    named = t.join(whole, "doc_id", "left").groupBy("doc_id", "fact_no").agg(F.bool_or(F.contains("text", F.col("key"))).alias("lab"))
+    j = named.join(met, ["doc_id", "fact_no"], "left")
+    status = F.when(F.col("hit"), "hit").when(~F.coalesce("lab", F.lit(False)), "label_missing").when(F.col("hit").isNotNull(), "value_elsewhere").otherwise("value_absent")
+    return j.select("doc_id", "fact_no", status.alias("status"))
 
 
 def attribution(pairs: DataFrame) -> DataFrame:
