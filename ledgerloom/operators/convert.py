@@ -38,12 +38,12 @@ def page_body(blocks: DataFrame, table_boxes: DataFrame, header: float = 55.0, f
 
 
 def in_order(blocks: DataFrame, strategy: str = "natural") -> DataFrame:
-    """Blocks numbered in reading order: y, natural (y then x) or column (left column first)."""
+    """Blocks numbered in reading order: y, natural (as the layout gives them) or column (left column first, then y)."""
     if strategy == "column":
         blocks = blocks.join(layout.column_split(blocks), ["doc_id", "page_no"], "left")
         keys = [F.when(F.col("mid").isNull() | (F.col("x0") < F.col("mid")), 0).otherwise(1), "y0", "x0", "seq"]
     else:
-        keys = ["y0", "seq"] if strategy == "y" else ["y0", "x0", "seq"]
+        keys = ["y0", "seq"] if strategy == "y" else ["seq"]
     return blocks.withColumn("pos", F.row_number().over(Window.partitionBy("doc_id").orderBy("page_no", *keys)))
 
 

@@ -77,6 +77,28 @@ def words_to_cells(words: DataFrame, bands: DataFrame, rows: DataFrame) -> DataF
     return w.select("doc_id", "page_no", "seq", "text", F.when(inside, row).alias("row_no"), col.cast("int").alias("col_no"), (F.element_at(far, (col + 1).cast("int")) > 0).alias("outside_x"), (~inside).alias("outside_y"))
 
 
+def lined_tables(rules: DataFrame, words: DataFrame, least_rules: int = 4) -> DataFrame:
+    """doc_id, page_no, block_no, top, bottom, grid: tables between horizontal rules, put together from rows, blocks, column bands and words.
+
+    rules: doc_id, page_no, y; words: doc_id, page_no, seq, x0, y0, x1, y1, text. A page needs
+    least_rules rules, a table two rows and two columns and some text.
+    """
+    enough = rules.groupBy("doc_id", "page_no").agg(F.count("*").alias("n")).where(F.col("n") >= least_rules).select("doc_id", "page_no")
+    rows = row_clusters(rules.join(enough, ["doc_id", "page_no"], "left_semi"))
+    blocks = table_blocks(rows)
+    cy = (F.col("y0") + F.col("y1")) / 2
+    inside = lambda d, y: d.join(blocks.select("doc_id", "page_no", "block_no", "top", "bottom"), ["doc_id", "page_no"]).where(y.between(F.col("top"), F.col("bottom")))
+    one = F.struct("page_no", "block_no").alias("page_no")
+    w = inside(words, cy).select("doc_id", one, "seq", "x0", "y0", "x1", "y1", "text")
+    cells = words_to_cells(w, column_bands(w), inside(rows, F.col("y")).select("doc_id", one, "y")).where("row_no IS NOT NULL")
+    per = cells.groupBy("doc_id", "page_no", "row_no", "col_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), " ").alias("text"))
+    lines_ = per.groupBy("doc_id", "page_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("m"), F.max("col_no").alias("wide"))
+    t = lines_.groupBy("doc_id", "page_no").agg(F.array_sort(F.collect_list(F.struct("row_no", "m"))).alias("rows"), (F.max("wide") + 1).alias("ncols"))
+    grid = F.transform("rows", lambda r: F.transform(F.sequence(F.lit(0), F.col("ncols") - 1), lambda c: F.coalesce(F.get(F.filter(r["m"], lambda x: x["col_no"] == c), F.lit(0))["text"], F.lit(""))))
+    t = t.where("size(rows) >= 2 AND ncols >= 2").select("doc_id", "page_no.page_no", "page_no.block_no", grid.alias("grid"))
+    return t.join(blocks.select("doc_id", "page_no", "block_no", "top", "bottom"), ["doc_id", "page_no", "block_no"])
+
+
 def column_split(words: DataFrame, least: float = 0.15) -> DataFrame:
     """doc_id, page_no, mid: the middle of the widest gap between left edges, if it is wide enough; ties to the right."""
     w = Window.partitionBy("doc_id", "page_no").orderBy("x0")

@@ -137,6 +137,16 @@ def consistency(rows: DataFrame, limit: float = 0.02) -> DataFrame:
     return rows.withColumn("skip_reason", F.when(off.isNull(), "incomplete").when(off > limit, "inconsistent"))
 
 
+def eligible(checked: DataFrame, vendor: DataFrame, cliffs: DataFrame) -> DataFrame:
+    """doc_id, skip_reason of each document for the vendor comparison: null where it takes part.
+
+    checked: precheck of the texts (doc_id, reason); vendor: consistency (doc_id, skip_reason); cliffs:
+    documents whose issuer restated (doc_id, excluded). The first reason counts.
+    """
+    j = checked.join(vendor.select("doc_id", F.col("skip_reason").alias("own")), "doc_id", "left").join(cliffs.groupBy("doc_id").agg(F.bool_or("excluded").alias("cliff")), "doc_id", "left")
+    return j.select("doc_id", F.coalesce("reason", "own", F.when(F.col("cliff"), "restatement_cliff")).alias("skip_reason"))
+
+
 def bench_summary(results: DataFrame) -> DataFrame:
     """Pass, fail and skip with rates by market and over all; skips count against the rate."""
     r = results.rollup("market").agg(

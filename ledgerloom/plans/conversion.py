@@ -50,12 +50,17 @@ def archive_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def truth_eval(spark: SparkSession, d: str) -> DataFrame:
-    """Vendor fields, each under any of its labels, against statements; fields the filing leaves out are missing."""
+    """Vendor fields, each under any of its labels, against the statements that pass the three filters; fields the filing leaves out are missing."""
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), (F.abs(X.cents("c_acctbal")) + 1000).cast("double").alias("liab"), (F.abs(X.cents("c_acctbal")) * 2 + 7).cast("double").alias("eq"))
     item = lambda n, v, *labels: F.struct(F.lit(n).alias("fact_no"), v.alias("value"), F.array(*map(F.lit, labels)).alias("labels"))
     t = c.select("doc_id", F.explode(F.array(item(1, F.col("liab"), "负债合计", "負債の部合計", "負債總計"), item(2, F.col("eq"), "所有者权益合计", "純資産の部合計", "權益總計"))).alias("i"))
     t = t.select("doc_id", "i.fact_no", "i.value", F.posexplode("i.labels").alias("k", "label"))
-    p = R.pairing(X.statements(spark, d), t.withColumn("fact_no", F.col("fact_no") * 10 + F.col("k")))
+    vendor = P.vendor_rows(spark, d)
+    jump = F.when(F.col("doc_id") % 8 == 6, 2.0).otherwise(1.1)
+    said = c.select(F.col("doc_id").alias("symbol"), F.lit(1995).alias("year"), F.explode(F.array(F.struct(F.lit(3).alias("quarter"), F.col("liab").alias("value")), F.struct(F.lit(4).alias("quarter"), (F.col("liab") * jump).alias("value")))).alias("q"))
+    cliffs = R.cliff(said.select("symbol", "year", "q.quarter", "q.value")).select(F.col("symbol").alias("doc_id"), "excluded")
+    fit = R.eligible(C.precheck(X.statements(spark, d)), vendor, cliffs).where("skip_reason IS NULL")
+    p = R.pairing(X.statements(spark, d).join(fit, "doc_id", "left_semi"), t.join(fit, "doc_id", "left_semi").withColumn("fact_no", F.col("fact_no") * 10 + F.col("k")))
     per = p.groupBy("doc_id", F.floor(F.col("fact_no") / 10).alias("field")).agg(F.bool_or(F.col("status") == "hit").alias("hit"), F.bool_and(F.col("status") == "label_missing").alias("missing"))
     return per.groupBy("field").agg(F.count("*").alias("tested"), F.count_if("hit").alias("hits"), F.count_if("missing").alias("missing"))
 
@@ -116,6 +121,12 @@ def page_order(spark: SparkSession, d: str) -> DataFrame:
     return C.in_order(P.words(spark, d), "column").select("doc_id", "seq", "pos")
 
 
+def page_order_y(spark: SparkSession, d: str) -> DataFrame:
+    w = P.words(spark, d)
+    y = C.in_order(w, "y").select("doc_id", "seq", F.col("pos").alias("by_y"))
+    return y.join(C.in_order(w, "natural").select("doc_id", "seq", F.col("pos").alias("natural")), ["doc_id", "seq"])
+
+
 def page_body(spark: SparkSession, d: str) -> DataFrame:
     w = P.words(spark, d).withColumns({"height": F.lit(300.0), "text": F.when(F.col("seq") % 5 == 0, (F.col("seq") % 100).cast("string")).otherwise(F.col("text"))})
     box = w.select("doc_id", "page_no").distinct().select("doc_id", "page_no", F.lit(300.0).alias("x0"), F.lit(70.0).alias("y0"), F.lit(420.0).alias("x1"), F.lit(120.0).alias("y1"))
@@ -165,7 +176,7 @@ def zip_chapters(spark: SparkSession, d: str) -> DataFrame:
 
 NAMES = (
     scorecard, identity_scorecard, precheck, vendor_symbols, company_exchange, archive_sample, truth_eval, cvm_statements, generic_xbrl, xbrl_contexts, merge_signs, font_map, tagged_headings, flow_paragraphs,
-    page_order, page_body, layout_markdown, rules_in_blocks, next_pages, html_markdown, zip_chapters,
+    page_order, page_order_y, page_body, layout_markdown, rules_in_blocks, next_pages, html_markdown, zip_chapters,
 )
 QUERIES = {f.__name__: f for f in NAMES}
 W = P.WORDS
@@ -184,11 +195,13 @@ ORACLES = {
     "tagged_headings": f"WITH {SPANS}, t AS (SELECT *, count(*) OVER (PARTITION BY doc_id, text) AS times FROM s) SELECT doc_id, page_no, seq::INT AS seq, text, 9.0::DOUBLE AS body FROM t WHERE size = 14.0 AND times <= 2",
     "flow_paragraphs": f"WITH {SPANS}, b AS (SELECT *, coalesce(y0 - lag(y0) OVER o > 20 OR page_no <> lag(page_no) OVER o, true)::INT AS brk FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY page_no, y0, seq)), p AS (SELECT *, sum(brk) OVER (PARTITION BY doc_id ORDER BY page_no, y0, seq) AS par FROM b), t AS (SELECT doc_id, par, string_agg(text, ' ' ORDER BY page_no, y0, seq) AS text FROM p GROUP BY ALL) SELECT doc_id, count(*) AS paragraphs, max(length(text)) AS longest FROM t GROUP BY doc_id",
     "page_order": f"WITH {W}, k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no) AS n, max(seq % 2) OVER (PARTITION BY doc_id, page_no) AS m FROM w) SELECT doc_id, seq, row_number() OVER (PARTITION BY doc_id ORDER BY page_no, CASE WHEN n >= 4 THEN seq % 2 ELSE 0 END, y0, x0, seq)::INT AS pos FROM k",
+    "page_order_y": f"WITH {W} SELECT doc_id, seq, (row_number() OVER (PARTITION BY doc_id ORDER BY page_no, y0, seq))::INT AS by_y, (row_number() OVER (PARTITION BY doc_id ORDER BY page_no, seq))::INT AS natural FROM w",
     "page_body": f"WITH {W} SELECT doc_id, seq FROM w WHERE y0 >= 55 AND y0 <= 240 AND NOT (y0 > 225 AND seq % 5 = 0) AND NOT (seq % 2 = 1 AND y0 >= 68 AND y0 + 10 <= 122)",
     "rules_in_blocks": f"""WITH {P.RULES}, b AS (SELECT *, coalesce((y - lag(y) OVER (PARTITION BY doc_id ORDER BY y) >= 80)::INT, 0) AS brk FROM r), g AS (SELECT doc_id, y, sum(brk) OVER (PARTITION BY doc_id ORDER BY y) AS block_no FROM b), t AS (SELECT doc_id, block_no, min(y) AS top, max(y) AS bottom FROM g GROUP BY ALL HAVING count(*) >= 2),
       v AS (SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice)::INT AS seq, l_linenumber * 2 + CASE WHEN l_partkey % 4 = 0 THEN 100 ELSE 0 END AS y FROM lineitem)
       SELECT doc_id, 1 AS page_no, block_no::BIGINT AS block_no, seq FROM v JOIN t USING (doc_id) WHERE y - 1 <= bottom AND y + 3 >= top""",
     "next_pages": "WITH p AS (SELECT l_orderkey AS doc_id, row_number() OVER w AS page_no, l_linenumber AS k FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice)), t AS (SELECT doc_id, page_no, concat_ws(chr(10), 'p' || k, 'p' || lead(k) OVER (PARTITION BY doc_id ORDER BY page_no), 'p' || lead(k, 2) OVER (PARTITION BY doc_id ORDER BY page_no)) AS text FROM p) SELECT doc_id, page_no::INT AS page_no, text FROM t WHERE page_no % 3 = 1",
     "zip_chapters": "SELECT p_partkey, 'one ' || p_name || chr(10) || 'two ' || p_name AS html FROM part",
-    "truth_eval": "SELECT 1::BIGINT AS field, count(*) AS tested, count(*) FILTER (k % 7 <> 5) AS hits, count(*) FILTER (k % 7 = 5) AS missing FROM (SELECT c_custkey AS k FROM customer WHERE abs(round(c_acctbal * 100)::BIGINT) + 1000 >= 1000000) UNION ALL SELECT 2, count(*), count(*), 0 FROM customer WHERE abs(round(c_acctbal * 100)::BIGINT) * 2 + 7 >= 1000000",
+    "truth_eval": """WITH f AS (SELECT * FROM (SELECT c_custkey AS k, abs(round(c_acctbal * 100)::BIGINT) AS a FROM customer) WHERE a > 0 AND k % 3 <> 1 AND k % 4 <> 1 AND k % 9 <> 2 AND k % 8 <> 6)
+      SELECT 1::BIGINT AS field, count(*) AS tested, count(*) FILTER (k % 7 <> 5) AS hits, count(*) FILTER (k % 7 = 5) AS missing FROM f WHERE a + 1000 >= 1000000 UNION ALL SELECT 2, count(*), count(*), 0 FROM f WHERE a * 2 + 7 >= 1000000""",
 }

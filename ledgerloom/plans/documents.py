@@ -15,6 +15,7 @@ from ledgerloom.functions import numbers as N
 from ledgerloom.operators import convert as C
 from ledgerloom.operators import layout as Lo
 from ledgerloom.operators import referee as R
+from ledgerloom.operators import xbrl as Xb
 from ledgerloom.plans import fixtures as X
 from ledgerloom.session import table
 from ledgerloom.sources import markup as M
@@ -174,11 +175,50 @@ def largest_tables(spark: SparkSession, d: str) -> DataFrame:
     return Lo.largest_tables(cells)
 
 
-NAMES = (page_markdown, layout_document, text_marks, cell_amounts, zip_choice, convert_files, evaluation, company_list, sheet_totals, text_tables, largest_tables)
+def inline_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Numeric and text facts of a page for each order: a self-closing one, signs that toggle, nested markup, a fact without unit."""
+    o = table(spark, d, "orders").select("o_orderkey", X.cents("o_totalprice").cast("string").alias("t"))
+    html = _say(
+        '<p><ix:nonFraction name="p:Nil" contextRef="c0"/><ix:nonFraction name="p:Cash" contextRef="c1" unitRef="JPY" scale="3" sign="-">△', F.col("t"), '</ix:nonFraction>',
+        '<ix:nonFraction name="p:Debt" contextRef="c1" sign="-">', F.col("t"), '</ix:nonFraction><ix:nonNumeric name="q:Policy" contextRef="c2"><b>Policy</b> <i>', F.col("o_orderkey").cast("string"), "</i></ix:nonNumeric></p>",
+    )
+    f = Xb.inline_facts(o.select("o_orderkey", html.alias("html")), "o_orderkey")
+    return f.select("o_orderkey", "pos", "kind", "concept", "context_ref", "unit_ref", "text", "value")
+
+
+def lined_tables(spark: SparkSession, d: str) -> DataFrame:
+    """A page for each supplier: five rules and three words in each of four rows, a rule far below; every fourth page has too few rules."""
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("doc_id"))
+    k = F.col("doc_id")
+    ys = F.when(k % 4 == 0, F.array(*[F.lit(float(y)) for y in (100, 120, 140)])).otherwise(F.array(*[F.lit(float(y)) for y in (100, 120, 121, 140, 160, 180, 600)]))
+    rules = s.select("doc_id", F.lit(1).alias("page_no"), F.explode(ys).alias("y"))
+    word = lambda r, c, part: F.struct(F.lit(r * 10 + c * 2 + part).alias("seq"), F.lit(50.0 + 100 * c + 22 * part).alias("x0"), F.lit(105.0 + 20 * r).alias("y0"), F.lit(f"r{r}c{c}" if part == 0 else "x").alias("text"))
+    words = s.select("doc_id", F.lit(1).alias("page_no"), F.explode(F.array(*[word(r, c, p) for r in range(4) for c in range(3) for p in range(2) if c < 2 or r != 1])).alias("w")).select("doc_id", "page_no", "w.*")
+    words = words.withColumns({"x1": F.col("x0") + 20, "y1": F.col("y0") + 10})
+    return Lo.lined_tables(rules, words).select("doc_id", "page_no", "block_no", "top", "bottom", Lo.grid_text(F.col("grid")).alias("md"))
+
+
+def rule_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Drawings that count as table rules, and the clusters of the left edges of a page's horizontal ones."""
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page_no"), (F.col("l_linenumber") * 2).cast("double").alias("x0"), (F.col("l_partkey") % 100).cast("double").alias("long"), (F.col("l_suppkey") % 3).cast("double").alias("width"))
+    rule = Lo.is_rule(F.lit("h"), F.col("x0"), F.lit(0.0), F.col("x0") + F.col("long"), F.lit(1.0), F.col("width"))
+    kept = li.where(rule)
+    x = Lo.row_clusters(kept.select("doc_id", "page_no", F.col("x0").alias("y"))).groupBy("doc_id").agg(F.count("*").alias("edges"))
+    return kept.groupBy("doc_id").agg(F.count("*").alias("rules")).join(x, "doc_id")
+
+
+NAMES = (inline_facts, lined_tables, rule_lines, page_markdown, layout_document, text_marks, cell_amounts, zip_choice, convert_files, evaluation, company_list, sheet_totals, text_tables, largest_tables)
 QUERIES = {f.__name__: f for f in NAMES}
 
 CUST = "c AS (SELECT c_custkey AS doc_id, abs(round(c_acctbal * 100)::BIGINT) AS a FROM customer)"
 ORACLES = {
+    "inline_facts": """WITH o AS (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS t FROM orders) SELECT o_orderkey, 0 AS pos, 'num' AS kind, 'Nil' AS concept, 'c0' AS context_ref, NULL AS unit_ref, '' AS text, NULL::DOUBLE AS value FROM o
+      UNION ALL SELECT o_orderkey, 1, 'num', 'Cash', 'c1', 'JPY', '△' || t, t * 1000::DOUBLE FROM o UNION ALL SELECT o_orderkey, 2, 'num', 'Debt', 'c1', NULL, t::VARCHAR, -t::DOUBLE FROM o UNION ALL SELECT o_orderkey, 3, 'text', 'Policy', 'c2', NULL, 'Policy ' || o_orderkey, NULL FROM o""",
+    "lined_tables": """SELECT s_suppkey AS doc_id, 1 AS page_no, 0::BIGINT AS block_no, 100::DOUBLE AS top, 180::DOUBLE AS bottom,
+      concat_ws(chr(10), '| r0c0 x | r0c1 x | r0c2 x |', '| --- | --- | --- |', '| r1c0 x | r1c1 x |  |', '| r2c0 x | r2c1 x | r2c2 x |', '| r3c0 x | r3c1 x | r3c2 x |') AS md FROM supplier WHERE s_suppkey % 4 <> 0""",
+    "rule_lines": """WITH RECURSIVE r AS (SELECT l_orderkey AS doc_id, l_linenumber * 2 AS x FROM lineitem WHERE l_partkey % 100 > 50 AND l_suppkey % 3 < 1.5), k AS (SELECT doc_id, min(x) AS x FROM r GROUP BY doc_id
+      UNION ALL SELECT k.doc_id, (SELECT min(r.x) FROM r WHERE r.doc_id = k.doc_id AND r.x - k.x >= 3) FROM k WHERE EXISTS (SELECT 1 FROM r WHERE r.doc_id = k.doc_id AND r.x - k.x >= 3))
+      SELECT doc_id, a.rules, b.edges FROM (SELECT doc_id, count(*) AS rules FROM r GROUP BY doc_id) a JOIN (SELECT doc_id, count(*) AS edges FROM k GROUP BY doc_id) b USING (doc_id)""",
     "page_markdown": rf"""WITH {CUST} SELECT doc_id, concat_ws(chr(10) || chr(10), 'Chapter one12Item', '# Report ' || doc_id, '## Chapter one', 'text bold here', '## Chapter one', 'after' || chr(10) || 'it',
       '| Item |  | x\|y |' || chr(10) || '|---|---|---|' || chr(10) || '| cash | $' || a || ' |  |', '## Item 1. Own', 'last') AS md FROM c""",
     "layout_document": f"""WITH {CUST} SELECT doc_id, chr(10) || concat_ws(chr(10), '## 第一节 概况', 'alpha beta' || doc_id || '続く', '表一 明細', '**表一 明細**', '| 項目 | 金額 |', '| --- | --- |', '| a | ' || a || ' |',

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import filings as Fi
 from ledgerloom.operators import layout as Lo
@@ -81,13 +83,13 @@ def variant_compare(spark: SparkSession, d: str) -> DataFrame:
     return R.compare_variants(R.attribution(R.pairing(X.ledgers(spark, d), t)), R.attribution(R.pairing(_perturbed(spark, d), t))).drop("mean_base", "mean_other")
 
 
-def _quarters(spark: SparkSession, d: str) -> DataFrame:
+def quarters(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return o.groupBy(F.col("o_custkey").alias("symbol"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter")).agg(F.sum(X.cents("o_totalprice")).cast("double").alias("value"))
 
 
 def q3q4_jump(spark: SparkSession, d: str) -> DataFrame:
-    return R.cliff(_quarters(spark, d)).select("symbol", "year", "q3", "q4", "excluded")
+    return R.cliff(quarters(spark, d)).select("symbol", "year", "q3", "q4", "excluded")
 
 
 def truth_align(spark: SparkSession, d: str) -> DataFrame:
@@ -97,11 +99,15 @@ def truth_align(spark: SparkSession, d: str) -> DataFrame:
     return R.aligned(v, reports)
 
 
-def vendor_consistency(spark: SparkSession, d: str) -> DataFrame:
+def vendor_rows(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), F.abs(X.cents("c_acctbal")).alias("a"))
     k = F.col("doc_id")
     rows = c.select("doc_id", (F.col("a") * 3 + F.when(k % 4 == 1, F.col("a")).otherwise(0)).alias("assets"), F.col("a").alias("liabilities"), F.when(k % 9 == 2, F.lit(None)).otherwise(F.col("a") * 2).alias("equity"))
-    return R.consistency(rows).groupBy("skip_reason").agg(F.count("*").alias("n"))
+    return R.consistency(rows)
+
+
+def vendor_consistency(spark: SparkSession, d: str) -> DataFrame:
+    return vendor_rows(spark, d).groupBy("skip_reason").agg(F.count("*").alias("n"))
 
 
 def bench_rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -264,8 +270,9 @@ def xml_blocks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dart_markdown(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "dart_fetch").dropDuplicates(["rcept_no"])
-    return M.blocks_markdown(M.filing_blocks(r, "rcept_no", "body"), "rcept_no")
+    """The latest body of each receipt as Markdown."""
+    r = Xb.latest(table(spark, d, "dart_fetch").select("rcept_no", "fetched_at", "body").where("body IS NOT NULL"), ["rcept_no"], "fetched_at")
+    return r.select("rcept_no", M.filing_to_markdown(F.col("body")).alias("md"))
 
 
 def html_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -278,9 +285,21 @@ def html_table_markdown(spark: SparkSession, d: str) -> DataFrame:
     return Tb.pipe_markdown(c, ["fact_id", "table_no"])
 
 
+@F.pandas_udf(T.BinaryType())
+def _korean_bytes(s: pd.Series) -> pd.Series:
+    def one(t: str) -> bytes:
+        try:
+            return t.encode("cp949")
+        except UnicodeEncodeError:
+            return t.encode()
+
+    return s.map(one)
+
+
 def decode_sniff(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.encode("text", "UTF-8").alias("content"), "text")
-    return r.select("doc_id", (M.decoded(F.col("content")) == F.col("text")).alias("same"))
+    """Texts as UTF-8, and as CP949 where they can be, back from their bytes."""
+    r = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.encode("text", "UTF-8").alias("content"), _korean_bytes(F.col("text")).alias("korean"), "text")
+    return r.select("doc_id", (M.decoded(F.col("content")) == F.col("text")).alias("same"), (M.decoded(F.col("korean")) == F.col("text")).alias("same_korean"))
 
 
 def front_matter(spark: SparkSession, d: str) -> DataFrame:
@@ -408,7 +427,7 @@ ORACLES = {
     "xml_sane": r"""SELECT rcept_no, length(regexp_replace(b, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')) + 4 * (length(b) - length(replace(b, '&', '')) - len(regexp_extract_all(b, '&(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);'))) + 3 * (len(regexp_extract_all(b || ' ', '<')) - len(regexp_extract_all(b, '<[A-Za-z/!?]'))) AS chars
       FROM (SELECT DISTINCT rcept_no, body AS b FROM dart_fetch WHERE body IS NOT NULL)""",
     "latest_receipts": "SELECT rcept_no, max(fetched_at) AS fetched_at FROM dart_fetch GROUP BY 1",
-    "decode_sniff": "SELECT doc_id, true AS same FROM documents WHERE text IS NOT NULL",
+    "decode_sniff": "SELECT doc_id, true AS same, true AS same_korean FROM documents WHERE text IS NOT NULL",
     "front_matter": "WITH docs AS (SELECT DISTINCT ON (doc_id) * FROM filing_md) SELECT doc_id, '---' || chr(10) || concat_ws(chr(10), 'stock_code: \"' || nullif(stock_code, '') || '\"', 'report_period: \"' || nullif(report_period, '') || '\"') || chr(10) || '---' || chr(10) || 'x' AS md FROM docs",
     "resume_todo": "SELECT event_id FROM events WHERE NOT (event_type = 'view' OR event_id % 3 = 0)",
     "version_stale": "SELECT DISTINCT ON (doc_id) doc_id, converter_version::INT AS converter_version FROM filing_md WHERE converter_version IS DISTINCT FROM 20",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,3 +24,16 @@ def ingest(spark: SparkSession, source: str, schema, target: str, checkpoint: st
 
     q = spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def keep_bytes(files: DataFrame, path: str) -> None:
+    """Appends files (doc_id, exchange, content) that the bronze table doesn't hold yet, by the digest of their bytes, under their exchange."""
+    spark = files.sparkSession
+    new = files.where("content IS NOT NULL").withColumn("sha", F.sha2("content", 256)).dropDuplicates(["doc_id", "sha"])
+    try:
+        held = spark.read.parquet(path).select("doc_id", "sha")
+    except AnalysisException:  # the first time there is no table
+        held = None
+    if held is not None:
+        new = new.join(held, ["doc_id", "sha"], "left_anti")
+    new.withColumn("bytes", F.octet_length("content")).write.mode("append").partitionBy("exchange").parquet(path)

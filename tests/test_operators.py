@@ -183,3 +183,31 @@ def test_incremental(spark, tmp_path):
     v = spark.createDataFrame([(1, 20), (2, None), (3, 19)], "doc_id int, converter_version int")
     assert sorted(r["doc_id"] for r in incremental.stale(v, 20).collect()) == [2, 3]
     assert [r["doc_id"] for r in incremental.todo(v, v.where("doc_id < 3"), "doc_id").collect()] == [3]
+
+
+def test_bytes_and_results_are_kept_once(spark, tmp_path):
+    f = spark.createDataFrame([(1, "jpx", b"a"), (1, "jpx", b"a"), (2, "twse", b"b"), (3, "twse", None)], "doc_id int, exchange string, content binary")
+    for d in (f, f, f.limit(0), spark.createDataFrame([(1, "jpx", b"new")], f.schema)):
+        incremental.keep_bytes(d, str(tmp_path / "bronze"))
+    assert sorted((r["doc_id"], bytes(r["content"]), r["exchange"], r["bytes"]) for r in spark.read.parquet(str(tmp_path / "bronze")).collect()) == [(1, b"a", "jpx", 1), (1, b"new", "jpx", 3), (2, b"b", "twse", 1)]
+    r = spark.createDataFrame([(1, "x", None), (2, None, "failed")], "doc_id int, md string, error string")
+    sinks.append_good(r, str(tmp_path / "good"))
+    assert [tuple(x) for x in spark.read.parquet(str(tmp_path / "good")).collect()] == [(1, "x")]
+    sinks.append_json(r, str(tmp_path / "json"), "y")
+    assert {x["doc_id"]: x["variant"] for x in spark.read.json(str(tmp_path / "json")).collect()} == {1: "y", 2: "y"}
+
+
+def test_lined_tables_from_rules_and_words(spark):
+    rules = spark.createDataFrame([(1, 1, float(y)) for y in (10, 30, 50, 70)] + [(2, 1, 10.0), (2, 1, 30.0)], "doc_id int, page_no int, y double")
+    words = [(1, 1, i, x, y, x + 20, y + 10, t) for i, (x, y, t) in enumerate([(10.0, 15.0, "a"), (200.0, 15.0, "b"), (10.0, 35.0, "c|d"), (10.0, 500.0, "far")])] + [(2, 1, 9, 10.0, 15.0, 30.0, 25.0, "few")]
+    w = spark.createDataFrame(words, "doc_id int, page_no int, seq int, x0 double, y0 double, x1 double, y1 double, text string")
+    got = layout.lined_tables(rules, w).select("doc_id", "grid", layout.grid_text(F.col("grid")).alias("md")).collect()
+    assert [(r["doc_id"], r["grid"], r["md"]) for r in got] == [(1, [["a", "b"], ["c|d", ""]], "| a | b |\n| --- | --- |\n| c\\|d |  |")]
+    assert layout.lined_tables(rules.limit(0), w).count() == 0
+
+
+def test_eligible_gives_the_first_reason(spark):
+    a = spark.createDataFrame([(1, None), (2, "no_text"), (3, None), (4, None)], "doc_id int, reason string")
+    v = spark.createDataFrame([(2, "incomplete"), (3, "inconsistent"), (4, None)], "doc_id int, skip_reason string")
+    c = spark.createDataFrame([(4, True), (4, False), (1, False)], "doc_id int, excluded boolean")
+    assert {r["doc_id"]: r["skip_reason"] for r in referee.eligible(a, v, c).collect()} == {1: None, 2: "no_text", 3: "inconsistent", 4: "restatement_cliff"}
