@@ -203,5 +203,5 @@ ORACLES = {
     "next_pages": "WITH p AS (SELECT l_orderkey AS doc_id, row_number() OVER w AS page_no, l_linenumber AS k FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice)), t AS (SELECT doc_id, page_no, concat_ws(chr(10), 'p' || k, 'p' || lead(k) OVER (PARTITION BY doc_id ORDER BY page_no), 'p' || lead(k, 2) OVER (PARTITION BY doc_id ORDER BY page_no)) AS text FROM p) SELECT doc_id, page_no::INT AS page_no, text FROM t WHERE page_no % 3 = 1",
     "zip_chapters": "SELECT p_partkey, 'one ' || p_name || chr(10) || 'two ' || p_name AS html FROM part",
     "truth_eval": """WITH f AS (SELECT * FROM (SELECT c_custkey AS k, abs(round(c_acctbal * 100)::BIGINT) AS a FROM customer) WHERE a > 0 AND k % 3 <> 1 AND k % 4 <> 1 AND k % 9 <> 2 AND k % 8 <> 6)
-      SELECT 1::BIGINT AS field, count(*) AS tested, count(*) FILTER (k % 7 <> 5) AS hits, count(*) FILTER (k % 7 = 5) AS missing FROM f WHERE a + 1000 >= 1000000 UNION ALL SELECT 2, count(*), count(*), 0 FROM f WHERE a * 2 + 7 >= 1000000""",
+      SELECT 1::BIGINT AS field, count(*) AS tested, count(*) FILTER (k % 7 <> 5) AS hits, count(*) FILTER (k % 7 = 5) AS missing FROM f WHERE a + 1000 >= 1000000 HAVING count(*) > 0 UNION ALL SELECT 2, count(*), count(*), 0 FROM f WHERE a * 2 + 7 >= 1000000 HAVING count(*) > 0""",
 }
