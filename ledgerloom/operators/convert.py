@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.filings import format_of, is_page_number, quoted_units
 from ledgerloom.operators import layout, lines, tables, xbrl
-from ledgerloom.sources import markup
+from ledgerloom.sources import markup, tagged
 
 #: Enumerations and chapter marks that make a heading.
 CHAPTER_MARK = r"^第[^【]{1,5}【|^第[一二三四五六七八九十0-9]+[节章]"
@@ -202,10 +202,19 @@ def zip_markdown(files: DataFrame) -> DataFrame:
     return good.unionByName(m.where("error IS NOT NULL").select("doc_id", F.lit(None).cast("string").alias("md"), "error"))
 
 
+def tagged_markdown(files: DataFrame) -> DataFrame:
+    """The largest page of each bundle, or the page itself."""
+    m = markup.zip_members(files, "doc_id")
+    page = m.where((F.col("name") == "") | F.col("name").rlike(r"(?i)\.x?html?$"))
+    main = page.groupBy("doc_id").agg(F.max_by("data", F.struct(F.octet_length("data"), -F.col("pos"))).alias("data"))
+    good = main.select("doc_id", tagged.tagged_to_markdown(markup.decoded(F.col("data"))).alias("md"), F.lit(None).cast("string").alias("error"))
+    return good.unionByName(m.where("error IS NOT NULL").select("doc_id", F.lit(None).cast("string").alias("md"), "error"))
+
+
 #: Converters by format: plan over (doc_id, content) with doc_id, md and, where it can tell, error. Another is added by putting it in.
 CONVERTERS = {
     "ixbrl": lambda f: f.select("doc_id", markup.html_to_markdown(markup.decoded(F.col("content"))).alias("md")),
-    "esef": lambda f: f.select("doc_id", markup.html_to_markdown(markup.decoded(F.col("content"))).alias("md")),
+    "esef": lambda f: tagged_markdown(f),
     "ixbrl_zip": zip_markdown,
     "dart_xml": lambda f: f.select("doc_id", markup.filing_to_markdown(markup.decoded(F.col("content"))).alias("md")),
     "xbrl": xbrl_markdown,

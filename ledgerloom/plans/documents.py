@@ -19,6 +19,7 @@ from ledgerloom.operators import xbrl as Xb
 from ledgerloom.plans import fixtures as X
 from ledgerloom.session import table
 from ledgerloom.sources import markup as M
+from ledgerloom.sources import tagged as Tg
 
 
 def _customers(spark: SparkSession, d: str) -> DataFrame:
@@ -207,11 +208,28 @@ def rule_lines(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("doc_id").agg(F.count("*").alias("rules")).join(x, "doc_id")
 
 
-NAMES = (inline_facts, lined_tables, rule_lines, page_markdown, layout_document, text_marks, cell_amounts, zip_choice, convert_files, evaluation, company_list, sheet_totals, text_tables, largest_tables)
+def tagged_reports(spark: SparkSession, d: str) -> DataFrame:
+    """A report of each supplier in one of the three ways: key % 3 = 0 positional, 1 sized, 2 strong."""
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("doc_id"))
+    k = F.col("doc_id").cast("string")
+    head = "<html><head><style>.big{font-size:20px} .n{color:red;font-size:9.5pt}</style><title>t</title></head><body><ix:header>noise</ix:header><img src=x>"
+    line = lambda y, fs, ff, text: f'<div class="t m0 x1 h2 y{y:x} ff{ff} fs{fs:x}">{text}</div>'
+    running = "".join(line(60 + 100 * i, 1, 1, "Running") for i in range(3))
+    positional = _say(head, line(130, 3, 1, "second"), line(100, 3, 1, 'fi<div class="_ _1"></div><div class="ff1 ls0">rst</div>'), line(10, 1, 1, "Title"), line(30, 3, 2, _MARK), line(110, 3, 1, "line"), line(112, 3, 1, "extra"), running, "<p>outside</p></body></html>")
+    positional = F.replace(positional, F.lit(_MARK), F.concat(F.lit("Font "), k))
+    sized = _say(head, '<div class="n">body one</div><div class="n"><span class="big">Heading ', k, '</span></div><div class="n">body &amp; two</div><table><tr><td>a</td><td>b</td></tr><tr><td>1</td><td>', k, "</td></tr></table>bare</body></html>")
+    strong = _say(head, "<p><strong>Part ", k, "</strong></p><p>text</p><div>more</div></body></html>")
+    return s.select("doc_id", Tg.tagged_to_markdown(F.when(F.col("doc_id") % 3 == 0, positional).when(F.col("doc_id") % 3 == 1, sized).otherwise(strong)).alias("md"))
+
+
+_MARK = "@@"
+NAMES = (tagged_reports, inline_facts, lined_tables, rule_lines, page_markdown, layout_document, text_marks, cell_amounts, zip_choice, convert_files, evaluation, company_list, sheet_totals, text_tables, largest_tables)
 QUERIES = {f.__name__: f for f in NAMES}
 
 CUST = "c AS (SELECT c_custkey AS doc_id, abs(round(c_acctbal * 100)::BIGINT) AS a FROM customer)"
 ORACLES = {
+    "tagged_reports": """SELECT s_suppkey AS doc_id, CASE s_suppkey % 3 WHEN 0 THEN concat_ws(chr(10), '## Title', '## Font ' || s_suppkey, 'Running', 'first line extra second', 'Running', 'Running', 'outside')
+      WHEN 1 THEN concat_ws(chr(10), 'body one', '## Heading ' || s_suppkey, 'body & two', '| a | b |', '|---|---|', '| 1 | ' || s_suppkey || ' |', 'bare') ELSE concat_ws(chr(10), '## Part ' || s_suppkey, 'text', 'more') END AS md FROM supplier""",
     "inline_facts": """WITH o AS (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS t FROM orders) SELECT o_orderkey, 0 AS pos, 'num' AS kind, 'Nil' AS concept, 'c0' AS context_ref, NULL AS unit_ref, '' AS text, NULL::DOUBLE AS value FROM o
       UNION ALL SELECT o_orderkey, 1, 'num', 'Cash', 'c1', 'JPY', '△' || t, t * 1000::DOUBLE FROM o UNION ALL SELECT o_orderkey, 2, 'num', 'Debt', 'c1', NULL, t::VARCHAR, -t::DOUBLE FROM o UNION ALL SELECT o_orderkey, 3, 'text', 'Policy', 'c2', NULL, 'Policy ' || o_orderkey, NULL FROM o""",
     "lined_tables": """SELECT s_suppkey AS doc_id, 1 AS page_no, 0::BIGINT AS block_no, 100::DOUBLE AS top, 180::DOUBLE AS bottom,

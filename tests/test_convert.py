@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import convert, layout
-from ledgerloom.sources import markup
+from ledgerloom.sources import markup, tagged
 
 
 def test_headings_are_short_and_end_without_a_mark(spark):
@@ -76,3 +76,12 @@ def test_totals_end_at_the_next_code(spark):
     rows = lambda *ls: spark.createDataFrame(list(enumerate(ls)), "line_no int, line string").withColumn("doc_id", F.lit(1))
     got = layout.balance_totals(rows("非流動資產合計", "11,111", "資產總額", "$ 22,222", "2XXX", "33,333", "權益總計", "1100", "44,444"))
     assert {r["kind"]: (r["name"], r["amount"]) for r in got.collect()} == {"assets": ("資產總額", 22222.0), "liab": ("負債總計", 33333.0)}
+
+
+def test_tagged_reports_of_odd_shape():
+    f = tagged.tagged_markdown
+    assert f(None) is None and f("") == "" and f("plain") == "plain" and f("<table><tr><td>x") == ""
+    assert f("<strong>A</strong>b") == "## A\nb" and f('<div class="charStyle-1"><strong>A</strong></div>b') == "A\nb"
+    page = "<style>.h{font-size:12pt}.b{font-size:9px}</style>" + '<div class="b">x</div>' * 3 + f'<div class="h">{"long " * 20}</div><div class="h">Head</div>'
+    assert f(page).split("\n") == ["x", "x", "x", ("long " * 20).strip(), "## Head"]
+    assert f("<ix:hidden><div>no</div></ix:hidden><div>yes</div><ix:nonFraction>1</ix:nonFraction>") == "yes\n1"
