@@ -378,6 +378,12 @@ CHECKED = f"""t(version, names) AS (VALUES {TPL}),
           CASE WHEN reason IS NULL THEN (len(want) - len(lost))::INT END AS found, CASE WHEN reason IS NULL THEN round((len(want) - len(lost)) / len(want), 6) END AS ratio, CASE WHEN reason IS NULL THEN lost END AS missing,
           CASE WHEN reason IS NULL THEN list_filter(got, lambda x: length(x) > 3 AND len(list_filter(want, lambda g: {_LIKE})) = 0) END AS extra FROM g)"""
 RULES = "r AS (SELECT DISTINCT l_orderkey AS doc_id, (l_linenumber * 2 + CASE WHEN l_partkey % 4 = 0 THEN 100 ELSE 0 END)::DOUBLE AS y FROM lineitem)"
+#: The cells of the tables in facts' markup, which has no spanned rows and no nested tables.
+CELLS = r"""h AS (SELECT DISTINCT fact_id, html FROM edinet_xbrl WHERE html LIKE '%<table%'), t AS (SELECT fact_id, unnest(string_split(html, '<table')[2:]) AS t, generate_subscripts(string_split(html, '<table')[2:], 1) - 1 AS table_no FROM h),
+   r AS (SELECT fact_id, table_no::INT AS table_no, unnest(string_split(t, '<tr>')[2:]) AS r, (generate_subscripts(string_split(t, '<tr>')[2:], 1) - 1)::INT AS row_no FROM t),
+   d AS (SELECT fact_id, table_no, row_no, unnest(regexp_extract_all(r, '<t[dh]([^>]*)>[^<]*</t[dh]>', 1)) AS attrs, unnest(regexp_extract_all(r, '<t[dh][^>]*>([^<]*)</t[dh]>', 1)) AS text, generate_subscripts(regexp_extract_all(r, '<t[dh][^>]*>[^<]*</t[dh]>'), 1) AS i FROM r),
+   s AS (SELECT *, coalesce(try_cast(regexp_extract(attrs, 'colspan="([0-9]+)"', 1) AS INT), 1) AS span FROM d), o AS (SELECT *, (sum(span) OVER (PARTITION BY fact_id, table_no, row_no ORDER BY i) - span)::INT AS origin_col FROM s),
+   cells AS (SELECT fact_id, table_no, row_no, (origin_col + unnest(range(span)))::INT AS col_no, text, origin_col FROM o)"""
 ORACLES = {
     "xbrl_facts": f"WITH {FACTS} SELECT fact_id, concept, nullif(context_ref, '') AS context_ref, nullif(unit_ref, '') AS unit_ref, scale, text FROM f WHERE kind = 'num' AND contains(html, '<ix:non')",
     "facts_with_context": f"WITH {FACTS}, c AS (SELECT doc_id, context_ref, arg_max(ctx_end, file) AS ctx_end FROM (SELECT * REPLACE (coalesce(ctx_end, DATE '0001-01-01') AS ctx_end) FROM f) WHERE context_ref <> '' GROUP BY ALL) SELECT fact_id, doc_id, context_ref, nullif(c.ctx_end, DATE '0001-01-01') AS ctx_end FROM f JOIN c USING (doc_id, context_ref)",
@@ -417,6 +423,22 @@ ORACLES = {
     "row_bands": f"WITH {WORDS}, c AS (SELECT DISTINCT doc_id, page_no, y0 + 5 AS c FROM w), l AS (SELECT *, lead(c) OVER (PARTITION BY doc_id, page_no ORDER BY c) AS nx FROM c) SELECT doc_id, page_no, (c + nx) / 2 AS border FROM l WHERE nx IS NOT NULL",
     "word_to_cell": f"WITH {WORDS}, k AS (SELECT *, min(seq % 2) OVER (PARTITION BY doc_id, page_no) AS lo FROM w) SELECT doc_id, page_no, seq, CASE WHEN (y0 - 60) / 15 < 9 THEN ((y0 - 60) // 15)::INT END AS row_no, (seq % 2 - lo)::INT AS col_no, false AS outside_x, (y0 - 60) / 15 >= 9 AS outside_y FROM k",
     "column_split": f"WITH {WORDS}, g AS (SELECT *, lead(x0) OVER (PARTITION BY doc_id, page_no ORDER BY x0) - x0 AS gap FROM w), p AS (SELECT doc_id, page_no, max(gap) AS mg, count(*) AS n, max(x0) - min(x0) AS span FROM g GROUP BY ALL), b AS (SELECT g.doc_id, g.page_no, max(x0) AS bx, any_value(mg) AS mg FROM g JOIN p ON g.doc_id = p.doc_id AND g.page_no = p.page_no AND gap = mg WHERE n >= 4 AND span > 0 AND mg >= 0.15 * span GROUP BY g.doc_id, g.page_no) SELECT doc_id, page_no, bx + mg / 2 AS mid FROM b",
+    "reading_order": f"""WITH {WORDS}, c AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY doc_id, page_no) >= 4 THEN seq % 2 ELSE 0 END AS side FROM w),
+      g AS (SELECT doc_id, text, row_number() OVER (PARTITION BY doc_id ORDER BY page_no, side, y0, x0, seq) AS gpos FROM c), gk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY gpos) AS k FROM g),
+      o AS (SELECT doc_id, text, row_number() OVER (PARTITION BY doc_id ORDER BY page_no, CASE WHEN doc_id % 2 = 0 THEN seq % 2 ELSE 0 END, seq) AS pos FROM w), p AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY pos) AS k FROM o),
+      m AS (SELECT p.doc_id AS doc_id, gpos > lag(gpos) OVER (PARTITION BY p.doc_id ORDER BY pos) AS good FROM p JOIN gk USING (doc_id, text, k))
+      SELECT doc_id, CASE WHEN count(*) >= 50 THEN 'ok' ELSE 'skip' END AS status, count(*) AS matched, CASE WHEN count(*) >= 50 THEN round(count(*) FILTER (good) / (count(*) - 1), 6) END AS accuracy FROM m GROUP BY doc_id""",
+    "merge_paragraphs": f"WITH {WORDS} SELECT doc_id, page_no, 0 AS par_no, 'p' AS kind, string_agg(text || CASE WHEN seq % 7 = 0 THEN '.' ELSE '' END, ' ' ORDER BY seq) AS text FROM w GROUP BY doc_id, page_no",
+    "table_dedup": """WITH RECURSIVE t AS (SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice) AS seq, {'seq': row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice), 'x0': l_linenumber * 10, 'x1': l_linenumber * 10 + l_partkey % 40, 'ncols': l_suppkey % 5} AS c FROM lineitem),
+      f AS (SELECT doc_id, seq, [c] AS kept FROM t WHERE seq = 1 UNION ALL SELECT f.doc_id, t.seq, CASE WHEN len(list_filter(kept, lambda k: greatest(0, least(k.x1, c.x1) - greatest(k.x0, c.x0)) > 0.5 * (c.x1 - c.x0))) > 0 THEN kept ELSE list_append(kept, c) END FROM f JOIN t ON t.doc_id = f.doc_id AND t.seq = f.seq + 1),
+      z AS (SELECT doc_id, arg_max(kept, seq) AS kept FROM f GROUP BY doc_id), u AS (SELECT doc_id, kept, unnest(kept) AS c FROM z)
+      SELECT doc_id, 1 AS page_no, c.seq::INT AS seq, c.ncols::INT AS ncols FROM u WHERE len(list_filter(kept, lambda o: o.seq <> c.seq AND o.x0 <= c.x0 AND o.x1 >= c.x1 AND o.ncols > c.ncols)) = 0""",
+    "html_cells": f"WITH {CELLS} SELECT fact_id, table_no, row_no, col_no, text, row_no AS origin_row, origin_col FROM cells",
+    "html_table_markdown": f"""WITH {CELLS}, x AS (SELECT fact_id, table_no, row_no, col_no, CASE WHEN col_no = origin_col THEN replace(text, '|', '\\|') ELSE '' END AS t FROM cells),
+      cols AS (SELECT fact_id, table_no, col_no FROM x GROUP BY ALL HAVING max(t) <> ''), y AS (SELECT x.* FROM x JOIN cols USING (fact_id, table_no, col_no)),
+      ls AS (SELECT fact_id, table_no, row_no, '| ' || string_agg(t, ' | ' ORDER BY col_no) || ' |' AS line, '|' || repeat(' --- |', count(*)::INT) AS rule FROM y GROUP BY ALL HAVING max(t) <> ''),
+      n AS (SELECT *, row_number() OVER (PARTITION BY fact_id, table_no ORDER BY row_no) AS i FROM ls)
+      SELECT fact_id, table_no, string_agg(CASE WHEN i = 1 THEN line || chr(10) || rule ELSE line END, chr(10) ORDER BY i) AS md FROM n GROUP BY ALL HAVING count(*) >= 2""",
     "page_stitch": f"WITH {ITEMS}, s AS (SELECT doc_id, n AS page_no, ln, CASE WHEN doc_id % 3 = 0 THEN n ELSE 1 END AS chain FROM i) SELECT doc_id, chain::BIGINT AS chain, count(*) AS pages, sum(ln)::BIGINT AS nrows FROM s GROUP BY ALL",
     "captions": "WITH x AS (SELECT o_orderkey AS doc_id, unnest([95.0 - o_orderkey % 40, 60.0 + o_orderkey % 60]) AS y0, unnest(['Table 1', '表2']) AS text FROM orders) SELECT doc_id, 1 AS page_no, 0 AS table_no, arg_min(text, (100 - y0, text)) AS caption FROM x WHERE y0 < 100 AND 100 - y0 <= 30 GROUP BY doc_id",
     "balance_sheet_lines": f"WITH c AS (SELECT c_custkey AS doc_id, abs({C.format('c_acctbal')}) AS a FROM customer) SELECT doc_id, '1100' AS code, '现金' AS name, (a + 10000)::DOUBLE AS amount FROM c UNION ALL SELECT doc_id, '2100', '借款', (a + 20000)::DOUBLE FROM c WHERE doc_id % 4 <> 1",
