@@ -198,8 +198,8 @@ ORACLES = {
     "page_order_y": f"WITH {W} SELECT doc_id, seq, (row_number() OVER (PARTITION BY doc_id ORDER BY page_no, y0, seq))::INT AS by_y, (row_number() OVER (PARTITION BY doc_id ORDER BY page_no, seq))::INT AS natural FROM w",
     "page_body": f"WITH {W} SELECT doc_id, seq FROM w WHERE y0 >= 55 AND y0 <= 240 AND NOT (y0 > 225 AND seq % 5 = 0) AND NOT (seq % 2 = 1 AND y0 >= 68 AND y0 + 10 <= 122)",
     "layout_markdown": f"""WITH {W}, h AS (SELECT *, seq % 9 = 0 AS head, sum((seq % 9 = 0)::INT) OVER (PARTITION BY doc_id, page_no ORDER BY seq) AS part FROM w),
-      p AS (SELECT doc_id, page_no, part, head, min(seq) AS at, CASE WHEN head THEN chr(10) || '## ' || min(text) ELSE string_agg(text, ' ' ORDER BY seq) END AS line FROM h GROUP BY doc_id, page_no, part, head)
-      SELECT doc_id, regexp_replace(string_agg(line, chr(10) ORDER BY at), chr(10) || '{{3,}}', chr(10) || chr(10), 'g') AS md FROM p GROUP BY doc_id""",
+      p AS (SELECT doc_id, page_no, part, head, min(seq) AS first_seq, CASE WHEN head THEN chr(10) || '## ' || min(text) ELSE string_agg(text, ' ' ORDER BY seq) END AS line FROM h GROUP BY doc_id, page_no, part, head)
+      SELECT doc_id, regexp_replace(string_agg(line, chr(10) ORDER BY first_seq), chr(10) || '{{3,}}', chr(10) || chr(10), 'g') AS md FROM p GROUP BY doc_id""",
     "rules_in_blocks": f"""WITH {P.RULES}, b AS (SELECT *, coalesce((y - lag(y) OVER (PARTITION BY doc_id ORDER BY y) >= 80)::INT, 0) AS brk FROM r), g AS (SELECT doc_id, y, sum(brk) OVER (PARTITION BY doc_id ORDER BY y) AS block_no FROM b), t AS (SELECT doc_id, block_no, min(y) AS top, max(y) AS bottom FROM g GROUP BY ALL HAVING count(*) >= 2),
       v AS (SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice)::INT AS seq, l_linenumber * 2 + CASE WHEN l_partkey % 4 = 0 THEN 100 ELSE 0 END AS y FROM lineitem)
       SELECT doc_id, 1 AS page_no, block_no::BIGINT AS block_no, seq FROM v JOIN t USING (doc_id) WHERE y - 1 <= bottom AND y + 3 >= top""",
