@@ -72,7 +72,7 @@ def alignment(docs: DataFrame) -> DataFrame:
 
 
 def identity(docs: DataFrame) -> DataFrame:
-    """Assets = liabilities + equity over all candidates of a document: pass, fail or skip, and the least difference.
+    """Assets = liabilities + equity over all candidates of a document: pass, fail or skip, the least difference, and the number of candidates.
 
     Rows are told by their label before their cells become rows. Sums of distinct liabilities and
     equities are sorted together with the assets, so the nearest sum of an asset is its neighbour.
@@ -83,14 +83,17 @@ def identity(docs: DataFrame) -> DataFrame:
     per = c.groupBy("doc_id").agg(*[F.collect_set(F.when(F.col("key") == k, F.col("v"))).alias(k) for k in ("asset", "liability", "equity")])
     sums = F.array_distinct(F.flatten(F.transform("liability", lambda li: F.transform("equity", lambda e: li + e))))
     both = F.concat(F.transform("asset", lambda v: F.struct(v.alias("v"), F.lit(1).alias("asset"))), F.transform(sums, lambda v: F.struct(v.alias("v"), F.lit(0).alias("asset"))))
-    every = per.select("doc_id", F.inline(both))
+    # One row more than the candidates, so that a document without assets keeps its counts.
+    sizes = [F.size(k).alias(f"{k}_n") for k in ("asset", "liability", "equity")]
+    every = per.select("doc_id", *sizes, F.inline_outer(both))
     w = Window.partitionBy("doc_id").orderBy("v", "asset")
     below = F.last(F.when(F.col("asset") == 0, F.col("v")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     above = F.first(F.when(F.col("asset") == 0, F.col("v")), ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     diff = F.least(F.abs(F.col("v") - below), F.abs(F.col("v") - above))
-    per = every.withColumn("diff", diff).where("asset = 1").groupBy("doc_id").agg(F.min("diff").alias("diff"))
-    out = docs.where("md IS NOT NULL").select("doc_id").join(per, "doc_id", "left")
-    return out.select("doc_id", F.when(F.col("diff").isNull(), "skip").when(F.col("diff") <= 1.0, "pass").otherwise("fail").alias("status"), F.round("diff", 2).alias("diff"))
+    near = every.withColumn("diff", F.when(F.col("asset") == 1, diff)).groupBy("doc_id").agg(F.min("diff").alias("diff"), *[F.max(f"{k}_n").alias(f"{k}_n") for k in ("asset", "liability", "equity")])
+    out = docs.where("md IS NOT NULL").select("doc_id").join(near, "doc_id", "left")
+    status = F.when(F.col("diff").isNull(), "skip").when(F.col("diff") <= 1.0, "pass").otherwise("fail")
+    return out.select("doc_id", status.alias("status"), F.round("diff", 2).alias("diff"), *[F.coalesce(f"{k}_n", F.lit(0)).alias(f"{k}_n") for k in ("asset", "liability", "equity")])
 
 
 def footing(docs: DataFrame, tol_abs: float = 2.0, tol_rel: float = 0.005) -> DataFrame:

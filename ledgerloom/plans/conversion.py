@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.filings import disclosure_type
 from ledgerloom.operators import convert as C
 from ledgerloom.operators import referee as R
 from ledgerloom.operators import tables as Tb
@@ -49,6 +50,13 @@ def archive_sample(spark: SparkSession, d: str) -> DataFrame:
     return f.orderBy(F.md5(F.concat(F.lit("seed0:"), "doc_id")), "doc_id").limit(50)
 
 
+def receipt_sample(spark: SparkSession, d: str) -> DataFrame:
+    """A seeded sample of 10 receipts of each market, corrections and other reports skipped."""
+    r = table(spark, d, "dart_fetch").where(disclosure_type(F.col("report_nm")).isNotNull()).select(F.coalesce(F.nullif("corp_cls", F.lit("")), F.lit("?")).alias("market"), "rcept_no").distinct()
+    w = Window.partitionBy("market").orderBy(F.md5(F.concat(F.lit("seed0:"), "rcept_no")), "rcept_no")
+    return r.withColumn("place", F.row_number().over(w)).where("place <= 10")
+
+
 def truth_eval(spark: SparkSession, d: str) -> DataFrame:
     """Vendor fields, each under any of its labels, against the statements that pass the three filters; fields the filing leaves out are missing."""
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), (F.abs(X.cents("c_acctbal")) + 1000).cast("double").alias("liab"), (F.abs(X.cents("c_acctbal")) * 2 + 7).cast("double").alias("eq"))
@@ -175,7 +183,7 @@ def zip_chapters(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = (
-    scorecard, identity_scorecard, precheck, vendor_symbols, company_exchange, archive_sample, truth_eval, cvm_statements, generic_xbrl, xbrl_contexts, merge_signs, font_map, tagged_headings, flow_paragraphs,
+    scorecard, identity_scorecard, precheck, vendor_symbols, company_exchange, archive_sample, receipt_sample, truth_eval, cvm_statements, generic_xbrl, xbrl_contexts, merge_signs, font_map, tagged_headings, flow_paragraphs,
     page_order, page_order_y, page_body, layout_markdown, rules_in_blocks, next_pages, html_markdown, zip_chapters,
 )
 QUERIES = {f.__name__: f for f in NAMES}
@@ -205,6 +213,8 @@ ORACLES = {
       SELECT doc_id, 1 AS page_no, block_no::BIGINT AS block_no, seq FROM v JOIN t USING (doc_id) WHERE y - 1 <= bottom AND y + 3 >= top""",
     "next_pages": "WITH p AS (SELECT l_orderkey AS doc_id, row_number() OVER w AS page_no, l_linenumber AS k FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice)), t AS (SELECT doc_id, page_no, concat_ws(chr(10), 'p' || k, 'p' || lead(k) OVER (PARTITION BY doc_id ORDER BY page_no), 'p' || lead(k, 2) OVER (PARTITION BY doc_id ORDER BY page_no)) AS text FROM p) SELECT doc_id, page_no::INT AS page_no, text FROM t WHERE page_no % 3 = 1",
     "zip_chapters": "SELECT p_partkey, 'one ' || p_name || chr(10) || 'two ' || p_name AS html FROM part",
+    "receipt_sample": """WITH r AS (SELECT DISTINCT coalesce(nullif(corp_cls, ''), '?') AS market, rcept_no FROM dart_fetch WHERE NOT regexp_matches(report_nm, '정정|訂正') AND regexp_matches(report_nm, '증권신고서|證券申告書|사업보고서|事業報告書|반기보고서|半期報告書|분기보고서|四半期報告書')),
+      o AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY md5('seed0:' || rcept_no), rcept_no) AS place FROM r) SELECT market, rcept_no, place::INT AS place FROM o WHERE place <= 10""",
     "truth_eval": """WITH f AS (SELECT * FROM (SELECT c_custkey AS k, abs(round(c_acctbal * 100)::BIGINT) AS a FROM customer) WHERE a > 0 AND k % 3 <> 1 AND k % 4 <> 1 AND k % 9 <> 2 AND k % 8 <> 6)
       SELECT 1::BIGINT AS field, count(*) AS tested, count(*) FILTER (k % 7 <> 5) AS hits, count(*) FILTER (k % 7 = 5) AS missing FROM f WHERE a + 1000 >= 1000000 HAVING count(*) > 0 UNION ALL SELECT 2, count(*), count(*), 0 FROM f WHERE a * 2 + 7 >= 1000000 HAVING count(*) > 0""",
 }

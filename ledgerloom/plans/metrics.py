@@ -165,9 +165,9 @@ ORACLES = {
       SELECT docs.doc_id, CASE WHEN coalesce(sections, 0) > 1 THEN 'ok' ELSE 'skip' END AS status, coalesce(sections, 0) AS sections, CASE WHEN sections > 1 THEN fragments END AS fragments,
         CASE WHEN sections > 1 THEN round(fragments / sections, 6) END AS fragment_ratio FROM docs LEFT JOIN c USING (doc_id) WHERE md IS NOT NULL""",
     "fake_headings": f"WITH {LINES}, h AS (SELECT doc_id, {_strip('substr(line, 5)')} AS h FROM ls WHERE line LIKE '### %') SELECT doc_id, count(*) AS headings, count(*) FILTER (regexp_matches(h, '[。；！？]$|。')) AS fake, round(count(*) FILTER (regexp_matches(h, '[。；！？]$|。')) / count(*), 6) AS fake_ratio FROM h GROUP BY doc_id",
-    "script_profile": rf"""WITH {LINES}, n AS (SELECT doc_id, market, CASE WHEN NOT regexp_matches(line, '^\s*\|') AND length({_strip('line')}) >= 10 THEN line ELSE '' END AS x FROM ls),
-      g AS (SELECT doc_id, market, """ + ", ".join(f"sum({_count(p, 'x')}) AS {k}" for k, p in L.SCRIPTS.items()) + rf""", sum(length(regexp_replace(x, '[\s\x{{A0}}\x{{3000}}]', '', 'g')))::BIGINT AS narrative_chars FROM n GROUP BY ALL)
-      SELECT doc_id, CASE WHEN narrative_chars >= 200 THEN 'ok' ELSE 'skip' END AS status, narrative_chars, """ + ", ".join(f"CASE WHEN narrative_chars >= 200 THEN round({k} / narrative_chars, 6) END AS {k}_ratio" for k in L.SCRIPTS) + ", CASE WHEN narrative_chars < 200 THEN NULL " + " ".join(f"WHEN market = '{m}' THEN {k} / narrative_chars < {f}" for m, (k, f) in L.EXPECTED.items()) + " END AS suspicious FROM g",
+    "script_profile": rf"""WITH {LINES}, n AS (SELECT doc_id, market, CASE WHEN NOT regexp_matches(line, '^\s*\|') AND length({_strip('line')}) >= 10 THEN line ELSE '' END AS x, line FROM ls),
+      g AS (SELECT doc_id, market, """ + ", ".join(f"sum({_count(p, 'x')}) AS {k}, sum({_count(p, 'line')}) AS {k}_all" for k, p in L.SCRIPTS.items()) + rf""", sum(length(regexp_replace(line, '[\s\x{{A0}}\x{{3000}}]', '', 'g')))::BIGINT AS all_chars, sum(length(regexp_replace(x, '[\s\x{{A0}}\x{{3000}}]', '', 'g')))::BIGINT AS narrative_chars FROM n GROUP BY ALL)
+      SELECT doc_id, CASE WHEN narrative_chars >= 200 THEN 'ok' ELSE 'skip' END AS status, narrative_chars, """ + ", ".join(f"CASE WHEN narrative_chars >= 200 THEN round({k} / narrative_chars, 6) END AS {k}_ratio, CASE WHEN all_chars > 0 THEN round({k}_all / all_chars, 6) END AS {k}_whole" for k in L.SCRIPTS) + ", CASE WHEN narrative_chars < 200 THEN NULL " + " ".join(f"WHEN market = '{m}' THEN {k} / narrative_chars < {f}" for m, (k, f) in L.EXPECTED.items()) + " END AS suspicious FROM g",
     "content_coverage": "SELECT l_orderkey AS doc_id, sum(length(cast(trunc(l_extendedprice) AS BIGINT)::VARCHAR))::BIGINT AS source_chars, true AS covered FROM lineitem GROUP BY 1",
     "number_parsers": rf"""SELECT text, {LENIENT.replace('XX', 'text')} AS lenient, {STRICT.replace('XX', 'text')} AS strict,
       CASE WHEN regexp_matches(text, '^\(?-?\$?[0-9,]+(\.[0-9]+)?\)?$') THEN try_cast(regexp_replace(text, '[,$()]', '', 'g') AS DOUBLE) * CASE WHEN regexp_matches(text, '^\(.*\)$') THEN -1 ELSE 1 END END AS cf,
@@ -184,7 +184,7 @@ ORACLES = {
         round(try_cast(regexp_replace(t, '[^0-9.\-]', '', 'g') AS DOUBLE) * pow(10.0, sc), 4) AS cell_value FROM n""",
     "md_tables": f"WITH {ROWS} SELECT doc_id, table_no::INT AS table_no, row_no::INT AS row_no, len(cells)::INT AS n_cells, array_to_string(cells, '¦') AS row FROM rows_",
     "table_alignment": f"SELECT doc_id, 1 AS tables, (doc_id % 5 = 2)::INT AS misaligned, (doc_id % 5 = 2)::INT AS worst_rows, (doc_id % 5 = 2)::DOUBLE AS misaligned_ratio FROM (SELECT DISTINCT doc_id FROM ({ITEM}))",
-    "accounting_identity": "SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 7 = 5 THEN 'skip' WHEN c_custkey % 7 = 3 THEN 'fail' ELSE 'pass' END AS status, CASE WHEN c_custkey % 7 = 5 THEN NULL WHEN c_custkey % 7 = 3 THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS diff FROM customer",
+    "accounting_identity": "SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 7 = 5 THEN 'skip' WHEN c_custkey % 7 = 3 THEN 'fail' ELSE 'pass' END AS status, CASE WHEN c_custkey % 7 = 5 THEN NULL WHEN c_custkey % 7 = 3 THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS diff, 1 AS asset_n, CASE WHEN c_custkey % 7 = 5 THEN 0 ELSE 1 END AS liability_n, 1 AS equity_n FROM customer",
     "table_footing": f"""WITH i AS ({ITEM}), g AS (SELECT doc_id, count(*) AS n, sum(q) AS tq, sum(a) AS ta, max_by(q, (ln, q, a)) AS lq, max_by(a, (ln, q, a)) AS la FROM i GROUP BY doc_id),
       t AS (SELECT doc_id, n, 'labeled' AS kind, tq AS said, tq AS adds FROM g WHERE doc_id % 5 <> 3 UNION ALL SELECT doc_id, n, 'labeled', ta + CASE WHEN doc_id % 5 = 1 THEN ta + 1000 ELSE 0 END, ta FROM g WHERE doc_id % 5 <> 3
         UNION ALL SELECT doc_id, n - 1, 'inferred', lq, tq - lq FROM g WHERE doc_id % 5 = 3 AND n >= 3 UNION ALL SELECT doc_id, n - 1, 'inferred', la, ta - la FROM g WHERE doc_id % 5 = 3 AND n >= 3),
