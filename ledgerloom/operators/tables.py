@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,10 +145,13 @@ def articulation(docs: DataFrame, tol_abs: float = 2.0) -> DataFrame:
 def cash_flow(docs: DataFrame) -> DataFrame:
     """The six cash-flow items of the consolidated statement and whether they add up within 0.2 %.
 
-    The statement's range and the current period's column are carried by windows over the lines.
+    The statement's range and the current period's column are carried by windows over the lines that
+    can matter: titles of statements, header rows and rows of cash. The others leave within their row.
     """
-    ls = docs.select("doc_id", F.substring("report_period", 1, 4).alias("year"), F.posexplode(F.split("md", "\n")).alias("line_no", "line"))
-    ls = ls.select("doc_id", "line_no", "year", F.translate("line", " \t\r\u00a0\u3000", "").alias("s"))
+    some = lambda x, *words: reduce(Column.__or__, [F.contains(x, F.lit(w)) for w in words])
+    matters = lambda x: some(x, "合并现金流量表", "母公司现金流量表") | (x.startswith("|") & some(x, "项目", "现金"))  # noqa: E731  # every item has the last word
+    kept = F.filter(F.transform(F.split("md", "\n"), lambda x: F.translate(x, " \t\r\u00a0\u3000", "")), matters)
+    ls = docs.select("doc_id", F.substring("report_period", 1, 4).alias("year"), F.posexplode_outer(kept).alias("line_no", "s"))
     w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ls = ls.withColumn("begun", F.max(F.contains("s", F.lit("合并现金流量表"))).over(w))
     ls = ls.withColumn("inside", F.col("begun") & ~F.max(F.col("begun") & F.contains("s", F.lit("母公司现金流量表"))).over(w) & F.col("s").startswith("|"))
