@@ -164,6 +164,18 @@ METRICS = {
 }
 
 
+def source_metrics(words: DataFrame, sources: DataFrame) -> dict:
+    """The two metrics that need the source, for METRICS: the share of its characters in the text, and its reading order.
+
+    words: layout words; sources: doc_id, source_chars.
+    """
+    said = lambda d: d.where("md IS NOT NULL").select("doc_id", F.posexplode(F.filter(F.split("md", r"\s+"), lambda w: w != "")).alias("pos", "word"))
+    return {
+        "coverage": lambda d: lines.coverage(d, sources).select("doc_id", "coverage"),
+        "reading_order": lambda d: layout.reading_order(words, said(d)).select("doc_id", F.col("status").alias("order_status"), F.col("accuracy").alias("order_accuracy")),
+    }
+
+
 def scorecard(docs: DataFrame, metrics=None) -> DataFrame:
     """One row per document with the figure of every metric; a metric that measures nothing is null or skip and hinders no other.
 

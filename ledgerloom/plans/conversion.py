@@ -30,6 +30,16 @@ def identity_scorecard(spark: SparkSession, d: str) -> DataFrame:
     return Tb.identity(s).select("doc_id", F.col("status").alias("identity")).join(Tb.articulation(s).select("doc_id", F.col("ratio").alias("articulation")), "doc_id").join(Tb.alignment(s).select("doc_id", "tables", "misaligned"), "doc_id")
 
 
+def document_suite(spark: SparkSession, d: str) -> DataFrame:
+    """All twelve metrics over the statements, with their own words as the source's layout, ten a line, backwards for every fourth key."""
+    s = X.statements(spark, d)
+    w = s.select("doc_id", F.posexplode(F.filter(F.split("md", r"\s+"), lambda x: x != "")).alias("seq", "text"))
+    n = F.when(F.col("doc_id") % 4 == 1, 1000 - F.col("seq")).otherwise(F.col("seq"))
+    w = w.select("doc_id", F.lit(1).alias("page_no"), "seq", (n % 10 * 10).cast("double").alias("x0"), (F.floor(n / 10) * 20).cast("double").alias("y0"), "text")
+    every = C.scorecard(s, C.METRICS | C.source_metrics(w, s.select("doc_id", (F.char_length("md") * 2).alias("source_chars"))))
+    return every.select("doc_id", "market", "identity", "articulation", "misaligned_ratio", "section_count", "coverage", "order_status", (F.col("order_accuracy") == 1.0).alias("in_order"))
+
+
 def precheck(spark: SparkSession, d: str) -> DataFrame:
     return C.precheck(X.statements(spark, d).unionByName(table(spark, d, "filing_md").select("doc_id", "market", "md").dropDuplicates(["doc_id"])))
 
@@ -183,7 +193,7 @@ def zip_chapters(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = (
-    scorecard, identity_scorecard, precheck, vendor_symbols, company_exchange, archive_sample, receipt_sample, truth_eval, cvm_statements, generic_xbrl, xbrl_contexts, merge_signs, font_map, tagged_headings, flow_paragraphs,
+    scorecard, document_suite, identity_scorecard, precheck, vendor_symbols, company_exchange, archive_sample, receipt_sample, truth_eval, cvm_statements, generic_xbrl, xbrl_contexts, merge_signs, font_map, tagged_headings, flow_paragraphs,
     page_order, page_order_y, page_body, layout_markdown, rules_in_blocks, next_pages, html_markdown, zip_chapters,
 )
 QUERIES = {f.__name__: f for f in NAMES}
@@ -191,6 +201,8 @@ W = P.WORDS
 SPANS = f"{W}, s AS (SELECT doc_id, page_no, seq, seq % 24 // 3 * 30 + seq % 3 * 10 AS y0, CASE WHEN seq % 11 = 0 THEN 14.0 ELSE 9.0 END AS size, CASE WHEN seq % 22 = 0 THEN 'Head ' || seq WHEN seq % 11 = 0 THEN 'Running head' ELSE text END AS text FROM w)"
 ORACLES = {
     "identity_scorecard": "SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 7 = 5 THEN 'skip' WHEN c_custkey % 7 = 3 THEN 'fail' ELSE 'pass' END AS identity, (c_custkey % 5 <> 2)::INT / 2.0 AS articulation, 3::BIGINT AS tables, 0::BIGINT AS misaligned FROM customer",
+    "document_suite": """SELECT c_custkey AS doc_id, CASE c_custkey % 3 WHEN 0 THEN 'cn' WHEN 1 THEN 'jp' ELSE 'tw' END AS market, CASE WHEN c_custkey % 7 = 5 THEN 'skip' WHEN c_custkey % 7 = 3 THEN 'fail' ELSE 'pass' END AS identity,
+      (c_custkey % 5 <> 2)::INT / 2.0::DOUBLE AS articulation, 0::DOUBLE AS misaligned_ratio, 0::BIGINT AS section_count, 0.5::DOUBLE AS coverage, 'ok' AS order_status, c_custkey % 4 <> 1 AS in_order FROM customer""",
     "precheck": f"WITH d AS (SELECT DISTINCT ON (doc_id) doc_id, md FROM filing_md), r AS (SELECT doc_id, CASE WHEN length(trim(coalesce(md, ''), ' ')) < 50 THEN 'no_text' WHEN NOT regexp_matches(md, '{C.BALANCE}') THEN 'no_balance_sheet' END AS reason FROM d UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN 'no_balance_sheet' END FROM customer) SELECT doc_id, reason IS NULL AS ok, reason FROM r",
     "vendor_symbols": "SELECT stock_code, exchange, CASE lower(exchange) " + " ".join(f"WHEN '{e}' THEN stock_code || '.{s}'" for e, s in C.SUFFIX.items()) + " END AS symbol FROM issuers",
     "company_exchange": "SELECT DISTINCT corp_code, stock_code, CASE corp_cls WHEN 'Y' THEN 'ksc' WHEN 'K' THEN 'koe' ELSE 'knx' END AS exchange FROM dart_fetch WHERE stock_code <> '' AND corp_cls IN ('Y', 'K', 'N') AND corp_code IS NOT NULL",
