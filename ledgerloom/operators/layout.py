@@ -6,6 +6,8 @@ over a page's sorted array; all else is windows and joins within a page. A page
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +80,7 @@ def words_to_cells(words: DataFrame, bands: DataFrame, rows: DataFrame) -> DataF
 
 
 def lined_tables(rules: DataFrame, words: DataFrame, least_rules: int = 4) -> DataFrame:
-    """doc_id, page_no, block_no, top, bottom, grid: tables between horizontal rules, put together from rows, blocks, column bands and words.
+    """doc_id, page_no, block_no, top, bottom, x0, x1, grid: tables between horizontal rules, put together from rows, blocks, column bands and words.
 
     rules: doc_id, page_no, y; words: doc_id, page_no, seq, x0, y0, x1, y1, text. A page needs
     least_rules rules, a table two rows and two columns and some text.
@@ -96,7 +98,23 @@ def lined_tables(rules: DataFrame, words: DataFrame, least_rules: int = 4) -> Da
     t = lines_.groupBy("doc_id", "page_no").agg(F.array_sort(F.collect_list(F.struct("row_no", "m"))).alias("rows"), (F.max("wide") + 1).alias("ncols"))
     grid = F.transform("rows", lambda r: F.transform(F.sequence(F.lit(0), F.col("ncols") - 1), lambda c: F.coalesce(F.get(F.filter(r["m"], lambda x: x["col_no"] == c), F.lit(0))["text"], F.lit(""))))
     t = t.where("size(rows) >= 2 AND ncols >= 2").select("doc_id", "page_no.page_no", "page_no.block_no", grid.alias("grid"))
-    return t.join(blocks.select("doc_id", "page_no", "block_no", "top", "bottom"), ["doc_id", "page_no", "block_no"])
+    wide = w.groupBy("doc_id", F.col("page_no.page_no").alias("page_no"), F.col("page_no.block_no").alias("block_no")).agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"))
+    return t.join(blocks.select("doc_id", "page_no", "block_no", "top", "bottom"), ["doc_id", "page_no", "block_no"]).join(wide, ["doc_id", "page_no", "block_no"])
+
+
+def detected_tables(*found: DataFrame) -> DataFrame:
+    """doc_id, page_no, table_no, x0, y0, x1, y1, grid: the tables of several detectors, the first one's before the next one's.
+
+    found: doc_id, page_no, x0, y0, x1, y1, grid of each. A table that a kept one covers for more than
+    half is dropped, then one inside another of more columns. Tables are numbered from the top.
+    """
+    columns = ["doc_id", "page_no", "x0", "y0", "x1", "y1", "grid"]
+    every = reduce(DataFrame.unionByName, [d.select(*columns, F.lit(i).alias("rank")) for i, d in enumerate(found)])
+    page = Window.partitionBy("doc_id", "page_no")
+    every = every.withColumn("seq", F.row_number().over(page.orderBy("rank", "y0", "x0"))).withColumn("ncols", F.array_max(F.transform("grid", F.size)))
+    kept = kept_candidates(every.select("doc_id", "page_no", F.col("seq").cast("int").alias("seq"), "x0", "y0", "x1", "y1", F.col("ncols").cast("int").alias("ncols")))
+    t = every.join(kept.select("doc_id", "page_no", "seq"), ["doc_id", "page_no", "seq"], "left_semi")
+    return t.withColumn("table_no", F.row_number().over(page.orderBy("y0", "seq")) - 1).select("doc_id", "page_no", "table_no", "x0", "y0", "x1", "y1", "grid")
 
 
 def column_split(words: DataFrame, least: float = 0.15) -> DataFrame:

@@ -187,7 +187,7 @@ def inline_facts(spark: SparkSession, d: str) -> DataFrame:
     return f.select("o_orderkey", "pos", "kind", "concept", "context_ref", "unit_ref", "text", "value")
 
 
-def lined_tables(spark: SparkSession, d: str) -> DataFrame:
+def _lined(spark: SparkSession, d: str) -> DataFrame:
     """A page for each supplier: five rules and three words in each of four rows, a rule far below; every fourth page has too few rules."""
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("doc_id"))
     k = F.col("doc_id")
@@ -196,7 +196,23 @@ def lined_tables(spark: SparkSession, d: str) -> DataFrame:
     word = lambda r, c, part: F.struct(F.lit(r * 10 + c * 2 + part).alias("seq"), F.lit(50.0 + 100 * c + 22 * part).alias("x0"), F.lit(105.0 + 20 * r).alias("y0"), F.lit(f"r{r}c{c}" if part == 0 else "x").alias("text"))
     words = s.select("doc_id", F.lit(1).alias("page_no"), F.explode(F.array(*[word(r, c, p) for r in range(4) for c in range(3) for p in range(2) if c < 2 or r != 1])).alias("w")).select("doc_id", "page_no", "w.*")
     words = words.withColumns({"x1": F.col("x0") + 20, "y1": F.col("y0") + 10})
-    return Lo.lined_tables(rules, words).select("doc_id", "page_no", "block_no", "top", "bottom", Lo.grid_text(F.col("grid")).alias("md"))
+    return Lo.lined_tables(rules, words)
+
+
+def lined_tables(spark: SparkSession, d: str) -> DataFrame:
+    return _lined(spark, d).select("doc_id", "page_no", "block_no", "top", "bottom", Lo.grid_text(F.col("grid")).alias("md"))
+
+
+def detected_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Lined tables with candidates by text: one over the same place, one above, one too empty to be a table."""
+    first = _lined(spark, d).select("doc_id", "page_no", "x0", F.col("top").alias("y0"), "x1", F.col("bottom").alias("y1"), "grid")
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("doc_id"))
+    grid = lambda *rows: F.array(*[F.array(*map(F.lit, r)) for r in rows])
+    cand = lambda y0, y1, g: F.struct(F.lit(y0).alias("y0"), F.lit(y1).alias("y1"), g.alias("grid"))
+    cands = F.array(cand(110.0, 170.0, grid("ab", "cd")), cand(20.0, 60.0, grid("pq", "rs")), cand(300.0, 400.0, grid("xy    ", "w     ")))
+    text = s.select("doc_id", F.lit(1).alias("page_no"), F.lit(0).alias("table_no"), F.lit(60.0).alias("x0"), F.lit(200.0).alias("x1"), F.explode(cands).alias("c")).select("*", "c.*").drop("c")
+    found = Lo.detected_tables(first, Lo.accepted_text_tables(text))
+    return found.select("doc_id", "page_no", "table_no", "y0", "y1", F.size("grid").alias("n_rows"))
 
 
 def rule_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +239,7 @@ def tagged_reports(spark: SparkSession, d: str) -> DataFrame:
 
 
 _MARK = "@@"
-NAMES = (tagged_reports, inline_facts, lined_tables, rule_lines, page_markdown, layout_document, text_marks, cell_amounts, zip_choice, convert_files, evaluation, company_list, sheet_totals, text_tables, largest_tables)
+NAMES = (tagged_reports, inline_facts, lined_tables, detected_tables, rule_lines, page_markdown, layout_document, text_marks, cell_amounts, zip_choice, convert_files, evaluation, company_list, sheet_totals, text_tables, largest_tables)
 QUERIES = {f.__name__: f for f in NAMES}
 
 CUST = "c AS (SELECT c_custkey AS doc_id, abs(round(c_acctbal * 100)::BIGINT) AS a FROM customer)"
@@ -234,6 +250,8 @@ ORACLES = {
       UNION ALL SELECT o_orderkey, 1, 'num', 'Cash', 'c1', 'JPY', '△' || t, t * 1000::DOUBLE FROM o UNION ALL SELECT o_orderkey, 2, 'num', 'Debt', 'c1', NULL, t::VARCHAR, -t::DOUBLE FROM o UNION ALL SELECT o_orderkey, 3, 'text', 'Policy', 'c2', NULL, 'Policy ' || o_orderkey, NULL FROM o""",
     "lined_tables": """SELECT s_suppkey AS doc_id, 1 AS page_no, 0::BIGINT AS block_no, 100::DOUBLE AS top, 180::DOUBLE AS bottom,
       concat_ws(chr(10), '| r0c0 x | r0c1 x | r0c2 x |', '| --- | --- | --- |', '| r1c0 x | r1c1 x |  |', '| r2c0 x | r2c1 x | r2c2 x |', '| r3c0 x | r3c1 x | r3c2 x |') AS md FROM supplier WHERE s_suppkey % 4 <> 0""",
+    "detected_tables": """WITH t AS (SELECT s_suppkey AS doc_id, s_suppkey % 4 <> 0 AS lined FROM supplier), c AS (SELECT doc_id, lined, 20.0 AS y0, 60.0 AS y1, 2 AS n FROM t UNION ALL SELECT doc_id, lined, 100.0, 180.0, 4 FROM t WHERE lined UNION ALL SELECT doc_id, lined, 110.0, 170.0, 2 FROM t WHERE NOT lined)
+      SELECT doc_id, 1 AS page_no, (row_number() OVER (PARTITION BY doc_id ORDER BY y0) - 1)::INT AS table_no, y0::DOUBLE AS y0, y1::DOUBLE AS y1, n AS n_rows FROM c""",
     "rule_lines": """WITH RECURSIVE r AS (SELECT l_orderkey AS doc_id, l_linenumber * 2 AS x FROM lineitem WHERE l_partkey % 100 > 50 AND l_suppkey % 3 < 1.5), k AS (SELECT doc_id, min(x) AS x FROM r GROUP BY doc_id
       UNION ALL SELECT k.doc_id, (SELECT min(r.x) FROM r WHERE r.doc_id = k.doc_id AND r.x - k.x >= 3) FROM k WHERE EXISTS (SELECT 1 FROM r WHERE r.doc_id = k.doc_id AND r.x - k.x >= 3))
       SELECT doc_id, a.rules, b.edges FROM (SELECT doc_id, count(*) AS rules FROM r GROUP BY doc_id) a JOIN (SELECT doc_id, count(*) AS edges FROM k GROUP BY doc_id) b USING (doc_id)""",

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import convert, layout
-from ledgerloom.sources import markup, tagged
+from ledgerloom.sources import markup, pages, tagged
 
 
 def test_headings_are_short_and_end_without_a_mark(spark):
@@ -85,3 +85,14 @@ def test_tagged_reports_of_odd_shape():
     page = "<style>.h{font-size:12pt}.b{font-size:9px}</style>" + '<div class="b">x</div>' * 3 + f'<div class="h">{"long " * 20}</div><div class="h">Head</div>'
     assert f(page).split("\n") == ["x", "x", "x", ("long " * 20).strip(), "## Head"]
     assert f("<ix:hidden><div>no</div></ix:hidden><div>yes</div><ix:nonFraction>1</ix:nonFraction>") == "yes\n1"
+
+
+def test_stored_layout_becomes_a_document(spark, tmp_path):
+    b = spark.createDataFrame([(1, 1, 0, 50.0, 100.0, 90.0, 110.0, "text", 800.0, 9.0, "Mincho", "x")], "doc_id bigint, page_no int, seq int, x0 double, y0 double, x1 double, y1 double, text string, height double, size double, font string, more string")
+    b.write.parquet(str(tmp_path / "blocks"))
+    t = spark.createDataFrame([(1, 1, 0, 40.0, 200.0, 400.0, 300.0, 800.0, [["a", "b"], ["c", None]])], pages.RELATIONS["tables"])
+    t.write.json(str(tmp_path / "tables"))
+    read = lambda n, f: pages.layout_relation(spark, str(tmp_path), n, f)
+    assert convert.layout_document(read("blocks", "parquet"), read("tables", "json")).first()["md"] == "text\n| a | b |\n| --- | --- |\n| c |  |\n"
+    spark.createDataFrame([(1, "w")], "doc_id int, text string").write.parquet(str(tmp_path / "words"))
+    assert read("words", "parquet").dtypes == [tuple(c.split()) for c in pages.RELATIONS["words"].split(", ")] and read("words", "parquet").first()["x0"] is None
