@@ -16,6 +16,7 @@ from ledgerloom.operators import referee as R
 from ledgerloom.operators import tables as Tb
 from ledgerloom.operators import xbrl as Xb
 from ledgerloom.plans import fixtures as X
+from ledgerloom.plans import metrics as Me
 from ledgerloom.plans import pipelines as P
 from ledgerloom.session import table
 from ledgerloom.sources import markup as M
@@ -199,7 +200,22 @@ NAMES = (
 QUERIES = {f.__name__: f for f in NAMES}
 W = P.WORDS
 SPANS = f"{W}, s AS (SELECT doc_id, page_no, seq, seq % 24 // 3 * 30 + seq % 3 * 10 AS y0, CASE WHEN seq % 11 = 0 THEN 14.0 ELSE 9.0 END AS size, CASE WHEN seq % 22 = 0 THEN 'Head ' || seq WHEN seq % 11 = 0 THEN 'Running head' ELSE text END AS text FROM w)"
+_PART = lambda name, *columns: f"(SELECT doc_id, {', '.join(columns)} FROM ({Me.ORACLES[name]}))"
+SCORECARD = f"""WITH {Me.ROWS}, fil AS (SELECT DISTINCT ON (doc_id) doc_id, market FROM filing_md WHERE md IS NOT NULL),
+      lab AS (SELECT doc_id, table_no, coalesce(list_filter(cells[1:2], lambda z: regexp_matches(z, '{Tb.CJK}'))[1], cells[1], '') AS lab, unnest(cells[2:]) AS cell FROM rows_),
+      val AS (SELECT *, {Me.LENIENT.replace('XX', 'cell')} AS v FROM lab),
+      cand AS (SELECT doc_id, v, CASE WHEN regexp_matches(lab, '{Tb.ASSET}') THEN 'a' WHEN regexp_matches(lab, '{Tb.LIABILITY}') THEN 'l' WHEN regexp_matches(lab, '{Tb.EQUITY}') AND NOT regexp_matches(lab, '{Tb.NOT_EQUITY}') THEN 'e' END AS k FROM val WHERE v <> 0),
+      diff AS (SELECT a.doc_id AS doc_id, min(abs(a.v - l.v - e.v)) AS d FROM cand a JOIN cand l ON a.doc_id = l.doc_id AND l.k = 'l' JOIN cand e ON a.doc_id = e.doc_id AND e.k = 'e' WHERE a.k = 'a' GROUP BY a.doc_id),
+      grp AS (SELECT doc_id, table_no, v, CASE WHEN regexp_matches(lab, '{Tb.NET_INCOME}') THEN 'n' WHEN regexp_matches(lab, '{Tb.CASH}') THEN 'c' END AS g FROM val WHERE v IS NOT NULL AND NOT regexp_matches(lab, '{Tb.NOT_SHARED}')),
+      hit AS (SELECT doc_id, g, bool_or(EXISTS (SELECT 1 FROM grp o WHERE o.doc_id = grp.doc_id AND o.g = grp.g AND o.table_no <> grp.table_no AND abs(o.v - grp.v) <= 2)) AS h FROM grp WHERE g IS NOT NULL GROUP BY doc_id, g),
+      art AS (SELECT doc_id, round(count(*) FILTER (h) / count(*), 6) AS articulation FROM hit GROUP BY doc_id),
+      wide AS (SELECT doc_id, table_no, arg_min(len(cells), row_no) AS w, list(len(cells)) AS ws FROM rows_ GROUP BY ALL), ali AS (SELECT doc_id, round(count(*) FILTER (len(list_filter(ws, lambda x: x <> w)) > 0) / count(*), 6) AS misaligned_ratio FROM wide GROUP BY doc_id)
+      SELECT doc_id, market, CASE WHEN d IS NULL THEN 'skip' WHEN d <= 1 THEN 'pass' ELSE 'fail' END AS identity, CASE WHEN labeled_tested > 0 THEN round(labeled_passed / labeled_tested, 6) END AS footing, articulation, misaligned_ratio, dup_ratio, ratio AS garbled_ratio, section_count, fragment_ratio, fake_ratio, suspicious
+      FROM fil LEFT JOIN diff USING (doc_id) LEFT JOIN {_PART('filing_footing', 'labeled_tested', 'labeled_passed')} USING (doc_id) LEFT JOIN art USING (doc_id) LEFT JOIN ali USING (doc_id) LEFT JOIN {_PART('dup_lines', 'dup_ratio')} USING (doc_id)
+      LEFT JOIN {_PART('garbled_profile', 'ratio')} USING (doc_id) LEFT JOIN {_PART('section_count', 'section_count')} USING (doc_id) LEFT JOIN {_PART('fragmentation', 'fragment_ratio')} USING (doc_id) LEFT JOIN {_PART('fake_headings', 'fake_ratio')} USING (doc_id)
+      LEFT JOIN {_PART('script_profile', 'suspicious')} USING (doc_id)"""
 ORACLES = {
+    "scorecard": SCORECARD,
     "identity_scorecard": "SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 7 = 5 THEN 'skip' WHEN c_custkey % 7 = 3 THEN 'fail' ELSE 'pass' END AS identity, (c_custkey % 5 <> 2)::INT / 2.0 AS articulation, 3::BIGINT AS tables, 0::BIGINT AS misaligned FROM customer",
     "document_suite": """SELECT c_custkey AS doc_id, CASE c_custkey % 3 WHEN 0 THEN 'cn' WHEN 1 THEN 'jp' ELSE 'tw' END AS market, CASE WHEN c_custkey % 7 = 5 THEN 'skip' WHEN c_custkey % 7 = 3 THEN 'fail' ELSE 'pass' END AS identity,
       (c_custkey % 5 <> 2)::INT / 2.0::DOUBLE AS articulation, 0::DOUBLE AS misaligned_ratio, 0::BIGINT AS section_count, 0.5::DOUBLE AS coverage, 'ok' AS order_status, c_custkey % 4 <> 1 AS in_order FROM customer""",
