@@ -200,7 +200,10 @@ def chained(tables: DataFrame, near: float = 25.0) -> DataFrame:
     t = tables.withColumns({"first": F.row_number().over(page.orderBy("y0")) == 1, "last": F.row_number().over(page.orderBy(F.desc("y1"))) == 1})
     w = Window.partitionBy("doc_id").orderBy("page_no", "y0")
     prev = lambda c: F.lag(c).over(w)
-    goes_on = (prev("page_no") == F.col("page_no") - 1) & prev("last") & F.col("first") & (prev("ncols") == F.col("ncols")) & (prev("height") - prev("y1") <= near) & (F.col("y0") <= near)
+    goes_on = (
+        (prev("page_no") == F.col("page_no") - 1) & prev("last") & F.col("first") & (prev("ncols") == F.col("ncols"))
+        & (prev("height") - prev("y1") <= near) & (F.col("y0") <= near)
+    )
     t = t.withColumn("starts", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
     return t.withColumn("chain", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("first", "last", "starts")
 
@@ -276,7 +279,12 @@ def balance_totals(rows: DataFrame) -> DataFrame:
     stop = F.array_position(F.transform("next", lambda x: x["code"]), F.lit(True))
     reach = F.when(stop > 0, F.slice("next", F.lit(1), (stop - 1).cast("int"))).otherwise(F.col("next"))
     r = r.withColumn("found", F.get(F.filter(reach, lambda x: x["amt"] != ""), F.lit(0))["amt"]).where("found IS NOT NULL")
-    parts = [r.where(F.col("s").rlike(label) | F.col("s").rlike(code)).select("doc_id", F.lit(kind).alias("kind"), F.when(F.col("s").rlike(label), F.regexp_replace("s", " ", "")).otherwise(F.lit(plain)).alias("name"), F.col("found").alias("amount"), F.struct((~F.col("s").rlike(label)).cast("int").alias("c"), "line_no").alias("o")) for kind, (label, code, plain) in TOTALS.items()]
+    parts = []
+    for kind, (label, code, plain) in TOTALS.items():
+        named, coded = F.col("s").rlike(label), F.col("s").rlike(code)
+        name = F.when(named, F.regexp_replace("s", " ", "")).otherwise(F.lit(plain))
+        order = F.struct((~named).cast("int").alias("c"), "line_no").alias("o")  # labels before codes
+        parts.append(r.where(named | coded).select("doc_id", F.lit(kind).alias("kind"), name.alias("name"), F.col("found").alias("amount"), order))
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return every.groupBy("doc_id", "kind").agg(F.min_by("name", "o").alias("name"), F.regexp_replace(F.min_by("amount", "o"), ",", "").try_cast("double").alias("amount"))
 

@@ -101,13 +101,20 @@ def script_profile(docs: DataFrame) -> DataFrame:
     ls = docs.select("doc_id", "market", F.posexplode(F.split("md", "\n")).alias("line_no", "line"))
     counts = {k: F.regexp_count("line", F.lit(p)) for k, p in SCRIPTS.items()}
     filled = F.char_length(F.regexp_replace("line", r"[\s\x{A0}\x{3000}]", ""))
-    per = ls.groupBy("doc_id", "market").agg(*[F.sum(F.when(narrative, c).otherwise(0)).alias(k) for k, c in counts.items()], F.sum(F.when(narrative, filled).otherwise(0)).alias("narrative_chars"), *[F.sum(c).alias(f"{k}_all") for k, c in counts.items()], F.sum(filled).alias("all_chars"))
+    per = ls.groupBy("doc_id", "market").agg(
+        *[F.sum(F.when(narrative, c).otherwise(0)).alias(k) for k, c in counts.items()],
+        F.sum(F.when(narrative, filled).otherwise(0)).alias("narrative_chars"),
+        *[F.sum(c).alias(f"{k}_all") for k, c in counts.items()],
+        F.sum(filled).alias("all_chars"),
+    )
     ok = F.col("narrative_chars") >= 200
     share = lambda k: F.when(ok, F.round(F.col(k) / F.col("narrative_chars"), 6))
     want: Column = F.lit(None).cast("boolean")
     for market, (script, floor) in EXPECTED.items():
         want = F.when((F.col("market") == market) & ok, F.col(script) / F.col("narrative_chars") < floor).otherwise(want)
-    return per.select("doc_id", F.when(ok, "ok").otherwise("skip").alias("status"), "narrative_chars", *[share(k).alias(f"{k}_ratio") for k in SCRIPTS], *[F.round(F.try_divide(f"{k}_all", "all_chars"), 6).alias(f"{k}_whole") for k in SCRIPTS], want.alias("suspicious"))
+    whole = [F.round(F.try_divide(f"{k}_all", "all_chars"), 6).alias(f"{k}_whole") for k in SCRIPTS]
+    status = F.when(ok, "ok").otherwise("skip").alias("status")
+    return per.select("doc_id", status, "narrative_chars", *[share(k).alias(f"{k}_ratio") for k in SCRIPTS], *whole, want.alias("suspicious"))
 
 
 def coverage(docs: DataFrame, sources: DataFrame) -> DataFrame:
