@@ -19,6 +19,7 @@ import re
 from bisect import bisect
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -82,8 +83,14 @@ class Codes:
 
     def __init__(self) -> None:
         self.of: dict[str, int] = {"^": 1, "$": 2}
-        self.words: dict[str, tuple] = {}
         self.grow = True
+        self.reset()
+
+    def reset(self) -> None:
+        """Forgets the words met, but for what stands beyond a segment's end and before its start."""
+        self.words: dict[str, int] = {}
+        self.rows: list[tuple] = [(2, 2, 0, 0, 0, 0, 0, "$"), (1, 1, 0, 0, 0, 0, 0, "^")]
+        self.matrix = np.empty((0, 6), np.uint64)
 
     def code(self, x: str) -> int:
         k = self.of.get(x)
@@ -93,23 +100,19 @@ class Codes:
             k = self.of[x] = len(self.of) + 1
         return k
 
-    def word(self, w: str) -> tuple:
-        """(word, shape, four parts, kind, shape text) of a token: kind 1 is a number, 2 a sign that a number may begin with, 3 one within it."""
-        known = self.words.get(w)
-        if known is None:
-            lo, s = w.lower(), _shape(w)
-            if s[0] == "H":
-                parts = ("h1=" + lo[0], "h2=" + lo[:2], "e1=" + lo[-1], "e2=" + lo[-2:])
-            elif s in ("T", "U", "l"):
-                parts = ("t3=" + lo[-3:], "t2=" + lo[-2:], "n=" + str(min(len(lo), 12)))
-            else:
-                parts = ()
-            kind = 1 if s[0] == "d" else 2 if w in "(+" else 3 if w in NUMERIC else 0
-            known = (self.code(lo), self.code("s=" + s), *(self.code(x) for x in parts), *[0] * (4 - len(parts)), kind, s)
-            if len(self.words) >= CACHED:
-                self.words.clear()
-            self.words[w] = known
-        return known
+    def word(self, w: str) -> int:
+        """The row of a new token: (word, shape, four parts, kind, shape text); kind 1 is a number, 2 a sign that a number may begin with, 3 one within it."""
+        lo, s = w.lower(), _shape(w)
+        if s[0] == "H":
+            parts = ("h1=" + lo[0], "h2=" + lo[:2], "e1=" + lo[-1], "e2=" + lo[-2:])
+        elif s in ("T", "U", "l"):
+            parts = ("t3=" + lo[-3:], "t2=" + lo[-2:], "n=" + str(min(len(lo), 12)))
+        else:
+            parts = ()
+        kind = 1 if s[0] == "d" else 2 if w in "(+" else 3 if w in NUMERIC else 0
+        self.words[w] = len(self.rows)
+        self.rows.append((self.code(lo), self.code("s=" + s), *(self.code(x) for x in parts), *[0] * (4 - len(parts)), kind, s))
+        return len(self.rows) - 1
 
     def runs(self, seg: str, toks: list[tuple[int, int]], info: list[tuple], base: int, put: tuple[list, ...]) -> None:
         """Numbers of a segment: runs of digits and signs, coded by their shape, with the words around them."""
@@ -134,25 +137,31 @@ class Codes:
 
     def read(self, segs: list[tuple[str, list[tuple[int, int]]]]) -> tuple[np.ndarray, ...]:
         """What the features of (segment, tokens) are made of: codes of all tokens, their places, gaps before them, numbers and signs around them."""
-        flat: list[tuple] = []
+        if len(self.words) >= CACHED:
+            self.reset()
+        edge = [0, 0, 0, 1, 1, 1]
+        flat = [*edge]
         at, gap, near_at = [], [], []
         put: tuple[list, ...] = ([], [], [], [], [])
-        edge = ((2, 2, 0, 0, 0, 0),) * 3 + ((1, 1, 0, 0, 0, 0),) * 3
-        flat += edge
-        words = self.words
+        words, rows = self.words, self.rows
         for seg, toks in segs:
-            info = [words.get(w) or self.word(w) for w in [seg[x:y] for x, y in toks]]
+            mine = [words.get(w) or self.word(w) for w in [seg[x:y] for x, y in toks]]
             base = len(flat)
             at.append((base, len(toks)))
-            flat += [x[:6] for x in info]
+            flat += mine
             flat += edge
-            gap += [0, *[int(toks[i - 1][1] < toks[i][0]) for i in range(1, len(toks))]] if toks else []
-            self.runs(seg, toks, info, base, put)
+            if toks:
+                gap.append(False)
+                gap += [a[1] < b[0] for a, b in pairwise(toks)]
+            if "0" in seg:
+                self.runs(seg, toks, [rows[i] for i in mine], base, put)
             if "@" in seg or "at" in seg or "AT" in seg:
                 signs = [i for i, (x, y) in enumerate(toks) if seg[x] == "@" or (y - x == 2 and i and seg[x:y].lower() == "at" and seg[toks[i - 1][0]] in "([")]
                 for i in {i for q in signs for i in range(max(0, q - 6), min(len(toks), q + 9))}:
                     near_at.append((base + i, min((i - q for q in signs[max(0, bisect(signs, i) - 1) : bisect(signs, i) + 1]), key=abs) + 8))
-        m = np.array(flat, np.uint64)
+        if len(self.matrix) < len(rows):
+            self.matrix = np.concatenate([self.matrix, np.array([x[:6] for x in rows[len(self.matrix) :]], np.uint64)])
+        m = self.matrix[np.array(flat)]
         pos = np.concatenate([np.arange(b, b + n) for b, n in at]) if at else np.empty(0, np.int64)
         extra = np.zeros((len(m), 5), np.uint64)
         if put[0]:
@@ -335,7 +344,7 @@ def trained(lines: int = 10000, rounds: int = 6, seed: int = 7, rate: float = 0.
     segs = [(seg, toks) for seg, toks, _ in data]
     keys = codes.keys(*codes.read(segs))
     codes.grow = False
-    codes.words.clear()
+    codes.reset()
     uniq, times = np.unique(keys, return_counts=True)
     index = Index(uniq[(times >= 2) & (uniq != 0)])
     field = Field(codes, index, np.zeros((index.n + 1, K), np.float32), np.where(BARRED, -1e4, 0.0).astype(np.float32))
