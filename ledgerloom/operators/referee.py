@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import numbers_in
 from ledgerloom.operators.lines import lines
+from ledgerloom.session import merged
 
 LEAST = 1e6
 
@@ -121,7 +122,7 @@ def compare_variants(base: DataFrame, other: DataFrame, value: str = "rate") ->
 
 def aligned(truth: DataFrame, reports: DataFrame) -> DataFrame:
     """Vendor rows of exactly the reported date; never the nearest."""
-    return reports.join(truth, ["symbol", "date"]).select("symbol", "date", "field", "value")
+    return merged(reports).join(truth, ["symbol", "date"]).select("symbol", "date", "field", "value")
 
 
 def cliff(statements: DataFrame, limit: float = 0.30) -> DataFrame:
