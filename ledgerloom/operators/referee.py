@@ -68,11 +68,11 @@ def pairing(docs: DataFrame, truth: DataFrame, printed: str | None = None) -> Da
     scaled = F.filter(F.array(*[F.col("v") / float(10**k) for k in SCALES]), lambda x: x >= 1)
     targets = F.array_distinct(F.filter(F.concat(F.array("said"), scaled), lambda x: x.isNotNull()))
     probes = t.select("doc_id", "fact_no", "key", F.explode(targets).alias("p")).select("*", F.explode(_two_bins(F.col("p"))).alias("b"))
-    near = probes.join(nums, ["doc_id", "b"]).where(F.abs(F.col("x") - F.col("p")) <= REL * F.col("p"))
+    near = probes.join(merged(nums), ["doc_id", "b"]).where(F.abs(F.col("x") - F.col("p")) <= REL * F.col("p"))
     met = near.groupBy("doc_id", "fact_no").agg(F.bool_or(F.contains("norm", F.col("key"))).alias("hit"))
     whole = docs.select("doc_id", F.array_join(F.transform(F.split("md", "\n"), key_form), "\n").alias("text"))
-    named = t.join(whole, "doc_id", "left").groupBy("doc_id", "fact_no").agg(F.bool_or(F.contains("text", F.col("key"))).alias("lab"))
-    j = named.join(met, ["doc_id", "fact_no"], "left")
+    named = t.join(merged(whole), "doc_id", "left").groupBy("doc_id", "fact_no").agg(F.bool_or(F.contains("text", F.col("key"))).alias("lab"))
+    j = named.join(merged(met), ["doc_id", "fact_no"], "left")
     status = F.when(F.col("hit"), "hit").when(~F.coalesce("lab", F.lit(False)), "label_missing").when(F.col("hit").isNotNull(), "value_elsewhere").otherwise("value_absent")
     return j.select("doc_id", "fact_no", status.alias("status"))
 
@@ -90,10 +90,10 @@ def evaluation(docs: dict[str, DataFrame], truth: DataFrame) -> DataFrame:
     """
     base = docs["pdf"].select("doc_id", F.coalesce(F.char_length("md"), F.lit(0)).alias("md_chars"))
     labelled = truth.where(F.col("label").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n_labeled"))
-    out = base.join(labelled, "doc_id", "left").withColumn("n_labeled", F.coalesce("n_labeled", F.lit(0)))
+    out = base.join(merged(labelled), "doc_id", "left").withColumn("n_labeled", F.coalesce("n_labeled", F.lit(0)))
     for name, d in docs.items():
         a = attribution(pairing(d, truth))
-        out = out.join(a.select("doc_id", F.col("rate").alias(f"{name}_rate"), F.col("tested").alias(f"{name}_tested")), "doc_id", "left")
+        out = out.join(merged(a.select("doc_id", F.col("rate").alias(f"{name}_rate"), F.col("tested").alias(f"{name}_tested"))), "doc_id", "left")
     mismatch = (F.col("n_labeled") >= 50) & (F.col("md_chars") < 150 * F.col("n_labeled"))
     return out.withColumns({"suspect_input_mismatch": mismatch, "not_measurable": F.col("n_labeled") == 0})
 

@@ -6,7 +6,7 @@ from compare import TABLES
 
 DATA = "/root/testdata/sf0.001"
 #: Queries that make many rows or long texts out of a narrow table, whose size the optimizer takes for small.
-NAMES = ["document_suite", "truth_align"]
+NAMES = ["document_suite", "truth_align", "evaluation"]
 
 
 @pytest.mark.parametrize("name", NAMES)
